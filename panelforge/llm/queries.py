@@ -16,5 +16,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*names)
 
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_model import fit_quality, quality_scores
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {"op1_quality_model": op1_quality_model, "op9_quality_rules": op9_quality_rules}
 ORACLE_SQL = {"op9_quality_rules": oracle.QUALITY_RULES}
