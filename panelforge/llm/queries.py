@@ -23,5 +23,12 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_quality_model": op1_quality_model, "op9_quality_rules": op9_quality_rules}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit_toxicity, toxicity_scores
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {"op1_quality_model": op1_quality_model, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
 ORACLE_SQL = {"op9_quality_rules": oracle.QUALITY_RULES}
