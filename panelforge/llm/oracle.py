@@ -39,3 +39,28 @@ WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '')
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
 FROM judged
 """
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), listed AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+    FROM worded
+), sized AS (
+    SELECT doc_id, len(shingles) AS n FROM listed
+), flat AS (
+    SELECT doc_id, unnest(shingles) AS s FROM listed
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM flat x JOIN flat y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM sized
+    UNION
+    SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+)
+SELECT doc_id, any_value(n)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached JOIN sized USING (doc_id) GROUP BY doc_id
+"""

@@ -23,6 +23,12 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import fit_toxicity, toxicity_scores
 
@@ -30,5 +36,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_quality_model": op1_quality_model, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
-ORACLE_SQL = {"op9_quality_rules": oracle.QUALITY_RULES}
+QUERIES = {"op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
+ORACLE_SQL = {"op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}

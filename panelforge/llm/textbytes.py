@@ -8,11 +8,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Odd multiplier of the word hash, and its powers by place in a word (longer words reuse them from the start).
+#: Odd multiplier of the word hash, and its powers by place in a word.
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 POWERS = np.cumprod(np.full(256, MULTIPLIER, np.uint64), dtype=np.uint64)
 
 
+def powers(place: np.ndarray, longest: int) -> np.ndarray:
+    """The multiplier to the power of each place plus one."""
+    if longest <= 256:
+        return POWERS[place]
+    steps = np.cumprod(np.full(longest // 256 + 1, POWERS[255], np.uint64), dtype=np.uint64)
+    return POWERS[place & 255] * np.concatenate(([np.uint64(1)], steps))[place >> 8]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null counts as an empty text."""
     filled = pc.fill_null(column, "").cast(pa.large_string())
@@ -51,4 +59,4 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     lengths = ends - starts
     place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     own = data[place + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)
-    return mixed(np.add.reduceat(own * POWERS[place & 255], np.cumsum(lengths) - lengths))
+    return mixed(np.add.reduceat(own * powers(place, int(lengths.max())), np.cumsum(lengths) - lengths))
