@@ -64,3 +64,34 @@ WITH RECURSIVE worded AS (
 SELECT doc_id, any_value(n)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
 FROM reached JOIN sized USING (doc_id) GROUP BY doc_id
 """
+
+#: CRC-32 bit by bit for each byte's table entry, then byte by byte over the text.
+SHARDING = r"""
+WITH RECURSIVE bits AS (
+    SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS step FROM range(256) t(i)
+    UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, step + 1 FROM bits WHERE step < 8
+), crc_table AS (
+    SELECT list(c ORDER BY i) AS entries FROM bits WHERE step = 8
+), hexed AS (
+    SELECT row_number() OVER () AS row_id, doc_id, source, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
+), summed AS (
+    SELECT doc_id, coalesce('=' || source, '') AS source, n + 1 AS size,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, n), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)),
+            lambda a, b: xor(a // 256, entries[xor(a % 256, b) + 1])), 4294967295) AS text_crc32
+    FROM hexed, crc_table
+), ranked AS (
+    SELECT *, 2 * row_number() OVER (PARTITION BY source ORDER BY md5('11:' || doc_id || ':' || text_crc32), doc_id, size) - 1 AS twice,
+        count(*) OVER (PARTITION BY source) AS n
+    FROM summed
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY twice / (2 * n), md5('11:' || source), md5('11:' || doc_id || ':' || text_crc32), doc_id, size) AS place,
+        count(*) OVER () AS total
+    FROM ranked
+), cut AS (
+    SELECT *, (16 * place - 1) // total AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INT AS shard,
+    (row_number() OVER (PARTITION BY shard ORDER BY place) - 1)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM cut
+"""

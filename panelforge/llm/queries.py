@@ -23,6 +23,12 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import interleaved_shards
+
+    return interleaved_shards(table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_duplicates import near_duplicates
 
@@ -44,5 +50,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
-ORACLE_SQL = {"op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}
+QUERIES = {"op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
+ORACLE_SQL = {"op2_interleaved_shards": oracle.SHARDING, "op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}
