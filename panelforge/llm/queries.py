@@ -35,6 +35,14 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_byte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .byte_tokens import encoded
+
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import fit_toxicity, toxicity_scores
 
@@ -50,5 +58,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
+QUERIES = {"op6_byte_tokens": op6_byte_tokens, "op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
 ORACLE_SQL = {"op2_interleaved_shards": oracle.SHARDING, "op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}
