@@ -35,6 +35,13 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pseudo_likelihood import pseudo_log_likelihood, trained
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_log_likelihood(docs, trained(docs))
+
+
 def op6_byte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,5 +65,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op6_byte_tokens": op6_byte_tokens, "op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
+QUERIES = {"op5_pseudo_likelihood": op5_pseudo_likelihood, "op6_byte_tokens": op6_byte_tokens, "op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
 ORACLE_SQL = {"op2_interleaved_shards": oracle.SHARDING, "op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}
