@@ -29,6 +29,13 @@ def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(table(spark, sf_dir, "documents"))
 
 
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import rotated
+
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return rotated(table(spark, sf_dir, "conversations")).withColumn("spans", spans)
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_duplicates import near_duplicates
 
@@ -50,6 +57,15 @@ def op6_byte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_audio_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings are the vectors of embeddings, played as notes inside the task; no sound is kept."""
+    from .audio_prints import fingerprints, played, recording_classes, sound_of
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    prints = fingerprints(vectors, "vec_id", "embedding", lambda vector: sound_of(played(vector)))
+    return recording_classes(prints).withColumnRenamed("media_id", "vec_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import fit_toxicity, toxicity_scores
 
@@ -65,5 +81,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op5_pseudo_likelihood": op5_pseudo_likelihood, "op6_byte_tokens": op6_byte_tokens, "op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
-ORACLE_SQL = {"op2_interleaved_shards": oracle.SHARDING, "op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}
+QUERIES = {"op7_audio_prints": op7_audio_prints, "op3_perspectives": op3_perspectives, "op5_pseudo_likelihood": op5_pseudo_likelihood, "op6_byte_tokens": op6_byte_tokens, "op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
+ORACLE_SQL = {"op3_perspectives": oracle.CHAT, "op2_interleaved_shards": oracle.SHARDING, "op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}
