@@ -9,8 +9,8 @@
    still holds more than one component. The centre is the node with the most company over its bands: it has the fewest
    shingles of its own, so a group of copies joins around it.
 4. Lastly all pairs of a bucket that are untested and not in one component are confirmed too, less those that can't be links:
-   by size, by what both could share at most (the shingles that another node still in question has as well), or by
-   signature. So no link between different components is lost, and a pair is only tested while it can change the result.
+   by size, by what both could share at most (in large buckets, shingles that are rare among the nodes still in question count
+   only if both have one of them), or by signature. So no link between different components is lost, and a pair is only tested while it can change the result.
 
 Two sets of similarity 0.85 share none of the 20 bands with a probability of 4e-7, the chance to lose a link.
 """
@@ -36,6 +36,8 @@ SIMILAR = 85
 STARS = 2
 #: A pair of similarity 0.85 agrees in so few of its bins with a probability under 1e-8.
 LEAST_AGREEING = 44
+#: Nodes of a bucket from which rare shingles rule pairs out, and nodes below which a shingle is rare.
+LARGE, RARE = 64, 16
 AT_ONCE = 1 << 20
 
 
@@ -221,8 +223,8 @@ def unsettled(members: DataFrame) -> DataFrame:
     return members.join(mixed_keys, "key", "left_semi")
 
 
-def common(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, n_common): how many of a node's shingles another of these nodes has too."""
+def shingle_rows(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, shingle) of these nodes."""
 
     def single(batches):
         for b in batches:
@@ -233,21 +235,44 @@ def common(nodes: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(np.repeat(np.arange(len(found)), lengths))), pa.array(np.concatenate(found))], ["node", "shingle"])
 
     own = sets.join(nodes, "node", "left_semi").select("node", "shingles")
-    alone = own.mapInArrow(single, f"node {nodes.schema['node'].dataType.simpleString()}, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
-    private = alone.groupBy("node").agg(F.count(F.lit(1)).alias("n_private"))
-    return own.select("node", (F.octet_length("shingles") / 8).cast("long").alias("n")).join(private, "node", "left").select("node", (F.col("n") - F.coalesce("n_private", F.lit(0))).alias("n_common"))
+    return own.mapInArrow(single, f"node {nodes.schema['node'].dataType.simpleString()}, shingle long")
+
+
+def rare_shingles(nodes: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(node, n_rare, rare): its shingles that fewer than least of these nodes have, and those of them that another one has."""
+    rows = shingle_rows(nodes, sets)
+    rare = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < least)
+    return rows.join(rare, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("n_rare"), F.collect_list(F.when(F.col("n") > 1, F.col("shingle"))).alias("rare"))
 
 
 def rest(members: DataFrame, classes: DataFrame, sets: DataFrame, tested: DataFrame, similar: int) -> DataFrame:
-    """All untested pairs of the buckets between components, less those that sizes, shared shingles or signatures rule out."""
+    """All untested pairs of the buckets between components, less those that sizes, shared shingles or signatures rule out.
+
+    Two sets share at most what either has besides its private shingles. In buckets of LARGE nodes and more, two sets that share no
+    rare shingle (one of fewer than RARE nodes) share at most what either has besides its rare ones.
+    """
     facts = classes.select("node", "n_shingles", "bins")
-    known = cut(common(members.select("node").distinct(), sets).join(facts.select("node", "n_shingles"), "node"))
+    sized = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")), "key")
+    sized = cut(sized.select("key", "node", "component", (F.col("in_bucket") >= LARGE).alias("large")))
+
+    def between(rows: DataFrame, ruled: list[str], enough) -> DataFrame:
+        left, right = (rows.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n_shingles", *ruled))) for side in "ab")
+        shared_enough = lambda at_most: at_most * (100 + similar) >= (F.col("n_shingles_a") + F.col("n_shingles_b")) * similar
+        on = (left.key == right.key) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & enough(shared_enough)
+        return left.join(right, on).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+    def facts_of(rows: DataFrame, least: int) -> DataFrame:
+        nodes = rows.select("node").distinct()
+        found = facts.select("node", "n_shingles").join(nodes, "node", "left_semi").join(rare_shingles(nodes, sets, least), "node", "left")
+        return found.select("node", "n_shingles", (F.col("n_shingles") - F.coalesce("n_rare", F.lit(0))).alias("n_common"), F.coalesce("rare", F.array().cast("array<bigint>")).alias("rare"))
+
+    few, many = sized.where("not large"), sized.where("large")
     # a node that shares too few shingles for a link with a set that lies within its own has no link at all
-    rows = members.join(known.where(F.col("n_common") * 100 >= F.col("n_shingles") * similar), "node")
-    left, right = (rows.select("key", F.col("node").alias(n), F.col("component").alias(f"c{n}"), F.col("n_shingles").alias(f"n{n}"), F.col("n_common").alias(f"m{n}")) for n in "ab")
-    enough = F.least("ma", "mb") * (100 + similar) >= (F.col("na") + F.col("nb")) * similar
-    pairs = left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & enough).select("a", "b").distinct()
-    pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    own = facts_of(few, 2).where(F.col("n_common") * 100 >= F.col("n_shingles") * similar).drop("rare")
+    pairs = between(few.join(own, "node"), ["n_common"], lambda ok: ok(F.least("n_common_a", "n_common_b")))
+    crowd = many.join(facts_of(many, RARE), "node")
+    pairs = pairs.union(between(crowd, ["n_common", "rare"], lambda ok: ok(F.least("n_shingles_a", "n_shingles_b")) & (ok(F.least("n_common_a", "n_common_b")) | F.arrays_overlap("rare_a", "rare_b"))))
+    pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
     for n in "ab":
         pairs = pairs.join(facts.select(F.col("node").alias(n), F.col("bins").alias(f"bins_{n}")), n)
     same = F.size(F.filter(F.arrays_zip("bins_a", "bins_b"), lambda x: x["bins_a"] == x["bins_b"]))
