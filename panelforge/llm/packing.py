@@ -26,7 +26,7 @@ from .word_tokens import tokenizer
 
 CAPACITY = 2048
 PIECE = 512
-BATCH = 4096
+BATCH = 1536
 END_ID = 1
 
 
