@@ -27,7 +27,7 @@ from .textbytes import row_runs, text_bytes
 AT_ONCE = 6 << 20
 LONG = 96
 #: Words that a worker remembers at most before it starts anew.
-KEPT = 400_000
+KEPT = 900_000
 MEMORY = "500MB"
 
 ENCODE = """
