@@ -19,16 +19,20 @@ from panelforge.llm.quality_model import fit_quality, quality_scores
 from panelforge.llm.quality_rules import quality_rules
 
 
+def whole_rows(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and each row as a struct, whose fields no operator's columns can clash with."""
+    return docs.select(*needed, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality rules keep."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    return quality_rules(whole_rows(docs, "text")).where("kept").select("row.*")
 
 
 def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier, learnt from this stage's own labelled rows, keeps."""
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    return quality_scores(docs, model, keep=rest).where("predicted = 1").select(*docs.columns)
+    return quality_scores(whole_rows(docs, "doc_id", "text"), model, keep=("row",)).where("predicted = 1").select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that isn't among these."""
+    while name in columns:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value computed once for a row however often body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

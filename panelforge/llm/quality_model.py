@@ -14,10 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import held_out
 from .labelled import labelled_sample
-from .textbytes import row_runs, text_bytes, word_hashes, word_spans
+from .textbytes import row_runs, text_bytes, word_hashes
 
 BLOCK = 1024
 #: Bytes of text that are described at once.
@@ -205,6 +206,6 @@ def quality_scores(docs: DataFrame, model, threshold: float = 0.3, keep: tuple[s
             scores = pa.array(np.concatenate(p).astype(np.float64) if p else np.empty(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), scores], [*names, "score"])
 
-    columns = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
-    scored = docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(score, ", ".join([*columns, "score double"]))
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("score", T.DoubleType())])
+    scored = docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(score, schema)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(F.col(c) for c in keep))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, words_of
+from .common import let, unused, words_of
 
 WINDOW = 8
 
@@ -69,8 +69,9 @@ def base_measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    found = docs.select(*kept, let(words_of(whole), measures).alias("__measures"))
-    return found.select(*kept, *(F.col(f"__measures.{c}").alias(c) for c in names))
+    own = unused("measures", docs.columns)
+    found = docs.select(*kept, let(words_of(whole), measures).alias(own))
+    return found.select(*kept, *(F.col(own)[c].alias(c) for c in names))
 
 
 @dataclass(frozen=True)
