@@ -151,3 +151,25 @@ def scale_conflicts(models: DataFrame) -> DataFrame:
     per = models.agg(F.countDistinct("scale").alias("scales"), F.count("scale").alias("declared"), F.count(F.lit(1)).alias("n"))
     problem = F.when(F.col("scales") > 1, "error").when((F.col("declared") > 0) & (F.col("declared") < F.col("n")), "warning")
     return per.select(problem.alias("problem"), (F.col("n") - F.col("declared")).alias("undeclared")).where("problem is not null")
+
+
+def check_structure(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """after, if it has these columns and as many rows as before."""
+    missing = [c for c in columns if c not in after.columns]
+    if missing:
+        raise PanelError(f"columns {missing} are lost")
+    n, m = before.count(), after.count()
+    if n != m:
+        raise PanelError(f"{n} rows became {m}")
+    return after
+
+
+def check_actuals(df: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """df, if it has all targets, each a number or arrays of one draw."""
+    missing = [t for t in targets if t not in df.columns]
+    if missing:
+        raise PanelError(f"no actuals of {missing}")
+    arrays = [t for t in targets if df.schema[t].dataType.typeName() == "array"]
+    if arrays:
+        require_empty(draw_counts(df, arrays).where("least <> 1 or most <> 1"), "actuals with more or fewer than one draw")
+    return df

@@ -5,6 +5,8 @@ Doubles are rounded before they leave, since engines add in different orders.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +14,11 @@ from pyspark.sql import functions as F
 
 from .functions import draws, transforms
 from .operators import align, audits, catalogue, densify, drift, evaluate, pool, posterior, reconcile, select, update
-from .plans import partitions
+from .plans import partitions, runs
 from .plans import testpanels as tp
 from .schema import as_panel, ensure_double, grid_column, grid_row, month_start, normalise_grid_key, null_for_nan, rename_features
 from .sources import tables
+from .streaming import increments
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -880,6 +883,164 @@ def x1_json_rows(spark, sf):
     return tables.json_rows(lines, "line", "event_id long, p struct<k: long>").select("event_id", "p.k")
 
 
+# Written and read back, in the folder that the session shares
+
+
+def scratch(spark: SparkSession) -> str:
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+GRID_ROWS = f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, n, v FROM grid"
+
+
+@query(GRID_ROWS)
+def s2_write_and_read(spark, sf):
+    path = f"{scratch(spark)}.parquet"
+    tables.write_table(tp.grid_panel(spark, sf), path)
+    return tables.read_table(spark, path, "month_id int, grid_id long, n long, v double")
+
+
+PUBLISHED_SQL = f"WITH {tp.DRAWS_SQL}, mid AS (SELECT month_id, grid_id AS priogrid_id, list_transform(forecast, lambda x: x::FLOAT) AS x FROM draws WHERE model = 'mid') SELECT month_id, priogrid_id, d::INT AS draw, round(x[d + 1]::DOUBLE, 3) AS value FROM mid, range(8) r(d)"
+
+
+def published(spark: SparkSession, sf: str) -> DataFrame:
+    mid = tp.model_draws(spark, sf).where("model = 'mid'")
+    return mid.select("month_id", F.col("grid_id").alias("priogrid_id"), F.col("forecast").alias("pred_v"))
+
+
+@query(PUBLISHED_SQL)
+def s3_s4_predictions(spark, sf):
+    path = scratch(spark)
+    tables.write_predictions(published(spark, sf), "pgm", ["v"], path)
+    found = tables.read_predictions(spark, path, "pgm", ["v"])
+    return exploded(found.withColumn("pred_v", F.col("pred_v").cast("array<double>")), "pred_v", 3)
+
+
+@query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id AS priogrid_id, v, n::DOUBLE AS n FROM grid WHERE month_id BETWEEN 205 AND 215")
+def s9_range_fetch(spark, sf):
+    path = scratch(spark)
+    tp.grid_panel(spark, sf).withColumnRenamed("grid_id", "priogrid_id").write.parquet(path)
+    return tables.fetch(spark, {"operations": [], "path": path}, 205, 215)
+
+
+@query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id AS priogrid_id, CASE WHEN n % 5 <> 0 THEN v END AS quantity FROM grid WHERE month_id BETWEEN 205 AND 215")
+def s10_raw_fetch(spark, sf):
+    path = scratch(spark)
+    panel = tp.grid_panel(spark, sf).withColumnRenamed("grid_id", "priogrid_id").withColumn("v", F.when(F.col("n") % 5 != 0, F.col("v")))
+    panel.write.parquet(path)
+    return tables.fetch(spark, {"features": {"v": "quantity"}, "path": path}, 205, 215, fill=False)
+
+
+@query(GRID_ROWS)
+def s12_cached(spark, sf):
+    path = scratch(spark)
+    tables.cached(spark, path, lambda: tp.grid_panel(spark, sf), audits.require_rows)
+    return tables.cached(spark, path, lambda: tp.grid_panel(spark, sf).limit(0))
+
+
+@query(f"{scores_sql(ROW_SQL['MAE'])} SELECT eval_type, group_id, 'MAE' AS metric, {settled_sql()} AS value, 'm' AS model, 'test' AS run_type, 'y' AS target FROM grouped")
+def s14_s15_metric_records(spark, sf):
+    path = scratch(spark)
+    tables.write_metrics(evaluate.records(evaluate.scored(shortened(spark, sf), ["MAE"]), model="m", run_type="test", target="y"), path)
+    return settled(spark.read.parquet(path))
+
+
+@query(f"WITH {tp.GRID_SQL} SELECT month_id, count(*) AS n_cells FROM (SELECT DISTINCT month_id FROM grid) CROSS JOIN (SELECT DISTINCT grid_id FROM grid WHERE month_id = (SELECT max(month_id) FROM grid)) GROUP BY month_id")
+def s16_v13_published(spark, sf):
+    panel = densify.densify(tp.grid_panel(spark, sf), KEYS).select("month_id", F.col("grid_id").alias("priogrid_id"), F.array("v").alias("pred_v"))
+    found = tables.publish(panel, scratch(spark), "run", "v", {"source": "orders"})
+    return found.select(F.explode("months").alias("m")).select("m.month_id", "m.n_cells")
+
+
+@query(GRID_ROWS.replace("grid_id, n, v FROM", "grid_id AS priogrid_id, n AS lines, v FROM"))
+def p5_p10_p11_renamed(spark, sf):
+    panel = normalise_grid_key(tp.grid_panel(spark, sf).withColumnRenamed("grid_id", "priogrid_gid"))
+    return select.columns_of(rename_features(panel, {"n": "lines"}), ["month_id", "priogrid_id"], ["lines", "v"])
+
+
+@query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, v AS back FROM grid")
+def p17_scalars_and_arrays(spark, sf):
+    cells = tp.grid_panel(spark, sf).select(*KEYS, F.array("v").alias("value"))
+    return runs.draws_for_all(cells, 4).select(*KEYS, F.get("value", F.lit(3)).alias("back"))
+
+
+@query(f"WITH {tp.ALIGNED_SQL} SELECT origin, time, unit, y_true FROM aligned WHERE origin = 4")
+def j4_j5_single_frame(spark, sf):
+    one = tp.origin_forecasts(spark, sf).where("origin = 4")
+    return align.align(one, tp.actuals(spark, sf)).drop("y_pred")
+
+
+@query(f"WITH {CELLS_SQL} SELECT month_id, grid_id, country_id, total FROM cells JOIN totals USING (month_id, country_id)")
+def j10_totals_on_cells(spark, sf):
+    cells, totals = cells_and_totals(spark, sf)
+    return cells.join(totals, ["month_id", "country_id"]).select("month_id", "grid_id", "country_id", "total")
+
+
+@query(
+    f"""WITH {tp.MODELS_SQL}, {tp.COUNTRY_SQL}, {tp.HIERARCHY_SQL}, pooled AS (SELECT month_id, grid_id, avg(forecast) AS x FROM points WHERE month_id <= 260 GROUP BY ALL HAVING count(*) = 3),
+    cells AS (SELECT month_id, grid_id, country_id, x, sum(x) OVER (PARTITION BY month_id, country_id) AS own FROM pooled JOIN hierarchy USING (grid_id))
+    SELECT month_id, grid_id, country_id, {settled_sql('CASE WHEN own > 0 THEN x * n / own ELSE 0 END')} AS value FROM cells JOIN country USING (month_id, country_id)"""
+)
+def e13_ensemble_forecast(spark, sf):
+    totals = cells_and_totals(spark, sf)[1]
+    return settled(runs.ensemble_forecast(tp.model_points(spark, sf).where("month_id <= 260"), KEYS, list(tp.MODELS), tp.hierarchy(spark, sf), totals))
+
+
+@query("SELECT 'left' AS side, count(*) AS n FROM region WHERE false HAVING count(*) > 0")
+def r4_r5_by_month(spark, sf):
+    """Months reconciled apart equal the whole; nothing may differ."""
+    cells, totals = cells_and_totals(spark, sf)
+    audits.require_empty(audits.repeated_keys(cells, ["month_id", "grid_id"]), "cells")
+    early, late = (reconcile.reconcile_points(cells.where(w), totals.where(w)) for w in ("month_id < 220", "month_id >= 220"))
+    return densify.differences(rounded(early.unionByName(late), "value"), rounded(reconcile.reconcile_points(cells, totals), "value")).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"{scores_sql(ROW_SQL['MAE']).replace('WHERE step <= 30 ', '')} SELECT eval_type, group_id, 'MAE' AS metric, {settled_sql()} AS value FROM grouped")
+def g1_g3_without_cut(spark, sf):
+    return settled(evaluate.scored(shortened(spark, sf), ["MAE"], cut_to_shortest=False))
+
+
+@query(f"WITH {VECTORS_SQL}, kept AS (SELECT vec_id, list_filter(x, lambda v, i: i % 5 <> 0) AS x FROM vectors) SELECT vec_id, len(x)::INT AS n, round(list_avg(x), 6) AS mean FROM kept")
+def c7_finite_draws(spark, sf):
+    holes = F.transform("x", lambda v, i: F.when((i + 1) % 10 == 0, F.lit(float("nan"))).when((i + 1) % 5 == 0, F.lit(float("inf"))).otherwise(v))
+    found = vectors(spark, sf).select("vec_id", draws.finite(holes).alias("x"))
+    return found.select("vec_id", F.size("x").alias("n"), F.round(draws.mean(F.col("x")), 6).alias("mean"))
+
+
+@query(f"WITH {tp.GRID_SQL} SELECT 'b' AS variable, count(*) * 2 AS n FROM grid WHERE n % 6 = 0 HAVING count(*) > 0")
+def d3_missing_cells(spark, sf):
+    panel = tp.grid_panel(spark, sf).select(*KEYS, F.array("v", "v").alias("a"), F.when(F.col("n") % 6 == 0, F.array(F.lit(float("nan")), F.lit(None).cast("double"))).otherwise(F.array("v", "v")).alias("b"))
+    return densify.missing_cells(select.long_cells(panel, KEYS, ["a", "b"]))
+
+
+@query("SELECT doc_id::VARCHAR AS file_id FROM documents WHERE lang NOT IN ('en', 'de')")
+def k12_bad_records(spark, sf):
+    category = F.when(F.col("lang") == "en", "historical").when(F.col("lang") == "de", "forecast").otherwise(F.col("lang"))
+    records = tp.table(spark, sf, "documents").select(F.lit("pgm").alias("loa"), F.col("source").alias("name"), F.lit("t").alias("type"), F.array("source").alias("targets"), category.alias("category"), F.col("doc_id").cast("string").alias("file_id"))
+    return catalogue.bad_records(records).select("file_id")
+
+
+@query(f"WITH {tp.ALIGNED_SQL} SELECT origin, count(*) AS n, sum(y_true) AS y FROM aligned GROUP BY origin")
+def x2_origins_streamed(spark, sf):
+    at = scratch(spark)
+    rows = align.align(tp.origin_forecasts(spark, sf), tp.actuals(spark, sf)).select("origin", "time", "unit", "y_true")
+    rows.repartition("origin").write.partitionBy("origin").parquet(f"{at}/in")
+    increments.score_origins(spark, f"{at}/in", "time int, unit long, y_true double, origin int", f"{at}/state", increments.per_origin(f"{at}/out"), files=4)
+    return spark.read.parquet(f"{at}/out").groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.sum("y_true").alias("y"))
+
+
+@query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, CASE WHEN month_id IN (200, 201) AND grid_id % 2 = 0 THEN v + 2 ELSE v END AS v FROM grid")
+def x3_corrections_streamed(spark, sf):
+    at = scratch(spark)
+    panel = tp.grid_panel(spark, sf).select(*KEYS, "v")
+    panel.write.parquet(f"{at}/panel")
+    for k in (1, 2):
+        panel.where("month_id in (200, 201) and grid_id % 2 = 0").select(*KEYS, (F.col("v") + k).alias("v"), F.lit(k).alias("arrived")).coalesce(1).write.mode("append").parquet(f"{at}/new")
+    last = increments.apply_corrections(spark, f"{at}/new", "month_id int, grid_id long, v double, arrived int", f"{at}/state", f"{at}/panel", f"{at}/versions", KEYS, files=10)
+    return spark.read.parquet(last)
+
+
 def ensemble_scores(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: three models' forecasts pooled by weight, aligned with what happened for 13 origins, scored by step, month and origin."""
     pooled = pool.pool_points(tp.model_points(spark, sf), KEYS, list(tp.MODELS), "mean", {"low": 0.5}, use_weights=True)

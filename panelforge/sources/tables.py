@@ -179,7 +179,7 @@ def publish(df: DataFrame, path: str, run: str, target: str, provenance: dict[st
         raise PanelError("months have different numbers of cells")
     shards = df.withColumns({k: F.lit(v) for k, v in provenance.items()})
     shards.repartition("month_id").write.partitionBy("month_id").parquet(f"{path}/shards")
-    written = df.sparkSession.read.parquet(f"{path}/shards").select(*(F.col(f.name).cast(f.dataType) for f in shards.schema.fields))
+    written = df.sparkSession.read.parquet(f"{path}/shards").select(*(F.col(f.name).cast(f.dataType.simpleString()) for f in shards.schema.fields))
     if fingerprint(written).first() != fingerprint(shards).first():
         raise PanelError("what was written isn't what was given")
     manifest(df, run, target).write.parquet(f"{path}/manifest")

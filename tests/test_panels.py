@@ -110,6 +110,33 @@ def test_audits(spark):
     assert audits.same_content(df, df.repartition(3)) and not audits.same_content(df, df.limit(2))
 
 
+def test_structure_and_actuals(spark):
+    df = spark.createDataFrame([(1, 1, 1.0, [1.0]), (2, 1, 2.0, [1.0])], "month_id int, priogrid_id int, y double, z array<double>")
+    assert audits.check_structure(df, df.select("y"), ["y"]).count() == 2
+    assert audits.check_actuals(df, ["y", "z"]) is df
+    for bad in (lambda: audits.check_structure(df, df.limit(1), ["y"]), lambda: audits.check_structure(df, df, ["q"]), lambda: audits.check_actuals(df, ["q"])):
+        with pytest.raises(PanelError):
+            bad()
+    with pytest.raises(PanelError):
+        audits.check_actuals(df.withColumn("z", F.array(F.lit(1.0), F.lit(2.0))), ["z"])
+
+
+def test_runs(spark):
+    from panelforge.plans import runs
+
+    rows = [(m, g, float(m + g), None if g == 1 else 1.0) for m in (1, 2, 3) for g in (1, 2) if (m, g) != (2, 2)]
+    out = runs.audited_panel(panel(spark, rows), KEYS, 1, 3, [("raw_ged", [("temporal.tlag", [1])], "lagged")])
+    assert {(r.month_id, r.priogrid_id): r.lagged for r in out.collect()}[3, 2] == 0.0
+    with pytest.raises(PanelError):
+        runs.audited_panel(panel(spark, rows), KEYS, 0, 3)
+    late = spark.createDataFrame([(0, 99, 1, [1.0])], "origin int, time int, unit int, y_pred array<double>")
+    with pytest.raises(PanelError):
+        runs.evaluation(late, late.select("time", "unit", F.lit(1.0).alias("y_true")), 9, ["MAE"], 2, 0)
+    good = late.withColumn("time", F.lit(10))
+    assert {r.value for r in runs.evaluation(good, good.select("time", "unit", F.lit(3.0).alias("y_true")), 9, ["MAE"], 2, 0).collect()} == {2.0}
+    assert runs.common_targets(panel(spark, rows), panel(spark, rows).drop("other")) == ["raw_ged"]
+
+
 def test_drift_alerts(spark):
     rows = [(m, g, None if m == 3 else 1.0, 100.0 if m == 40 else float(m % 5)) for m in range(1, 41) for g in (1, 2)]
     df = panel(spark, rows)
