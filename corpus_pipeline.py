@@ -38,12 +38,10 @@ def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each group of near-duplicates; of rows that share an id, the first text in order."""
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    several = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = docs.join(kept, "doc_id", "left_semi")
-    repeated = single.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *(c for c in rest if c != "text"))).alias("row"))
-    once = single.join(several, "doc_id", "left_anti")
-    return once.select(*docs.columns).unionByName(repeated.select("doc_id", "row.*").select(*docs.columns))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # the join has brought the rows of an id together, so the aggregate moves nothing more
+    once = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *(F.col(f"`{c}`") for c in rest))).alias("row"))
+    return once.select("doc_id", "row.*").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
