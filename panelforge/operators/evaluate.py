@@ -55,14 +55,17 @@ def label(by: str, value: Column) -> Column:
     return F.format_string({"step": "step%02d", "month": "month%d", "time_series": "ts%02d"}[by], value)
 
 
-def scored(aligned: DataFrame, metrics: Sequence[str], cut_to_shortest: bool = True) -> DataFrame:
-    """(eval_type, group_id, metric, value): every metric by step, month and origin, in one pass of grouping sets."""
+def scored(aligned: DataFrame, metrics: Sequence[str], cut_to_shortest: bool = True, options: dict[str, dict] | None = None) -> DataFrame:
+    """(eval_type, group_id, metric, value): every metric by step, month and origin, in one pass of grouping sets.
+
+    options holds a metric's arguments: {"twCRPS": {"threshold": 25.0}}.
+    """
     unknown = [m for m in metrics if m not in METRICS]
     if unknown:
         raise PanelError(f"unknown metrics {unknown}")
     rows = truncated(aligned) if cut_to_shortest else aligned
     sets = rows.groupingSets([[F.col("step")], [F.col("time")], [F.col("origin")]], "step", "time", "origin")
-    found = sets.agg(F.grouping_id().alias("__id"), *(METRICS[m]().alias(m) for m in metrics))
+    found = sets.agg(F.grouping_id().alias("__id"), *(METRICS[m](**(options or {}).get(m, {})).alias(m) for m in metrics))
     # a set bit says that the column isn't in the set: step, time, origin
     kind = F.when(F.col("__id") == 3, "step").when(F.col("__id") == 5, "month").otherwise("time_series")
     group = F.when(F.col("__id") == 3, label("step", F.col("step"))).when(F.col("__id") == 5, label("month", F.col("time"))).otherwise(label("time_series", F.col("origin")))

@@ -59,6 +59,12 @@ def unnested(sql_from: str, keys: str, column: str, places: int = 6) -> str:
     return f"SELECT {keys}, d::INT AS draw, round({column}[d + 1], {places}) AS value FROM {sql_from}, range(len({column})) r(d)"
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 # Sources and subsets
 
 
@@ -93,13 +99,15 @@ def s11_patterned(spark, sf):
 
 @query(f"WITH {tp.COUNTRY_SQL} SELECT month_id, country_id, n::DOUBLE AS total FROM country")
 def s17_country_totals(spark, sf):
-    cm = tp.country_panel(spark, sf)
-    return cm.select("month_id", "country_id", F.get(F.array(F.col("n").cast("double")), F.lit(0)).alias("total"))
+    path = scratch(spark)
+    tp.country_panel(spark, sf).select("month_id", "country_id", F.col("n").cast("double").alias("pred_n")).write.parquet(path)
+    return tables.country_totals(spark, path, "n").withColumn("total", F.get("total", F.lit(0)))
 
 
-@query("SELECT source, max(doc_id) AS path FROM documents GROUP BY source")
+@query("SELECT doc_id AS path FROM documents WHERE source = 'src1' ORDER BY doc_id DESC LIMIT 1")
 def s18_newest(spark, sf):
-    return tp.table(spark, sf, "documents").groupBy("source").agg(F.max_by("doc_id", "doc_id").alias("path"))
+    name = F.concat("source", F.lit("_"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))
+    return tables.newest_path(tp.table(spark, sf, "documents").select(name.alias("name"), F.col("doc_id").alias("path")), "src1_")
 
 
 @query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, v FROM grid WHERE month_id BETWEEN 181 AND 260")
@@ -393,19 +401,14 @@ def shortened(spark: SparkSession, sf: str) -> DataFrame:
     return aligned_rows(spark, sf).where("not (origin = 3 and step > 30)")
 
 
-def one_metric(metric: str, row: str, outer: str = "avg(score)", df=lambda rows: rows):
+def one_metric(metric: str, row: str, outer: str = "avg(score)", **options):
     sql = f"{scores_sql(row, outer)} SELECT eval_type, group_id, '{metric}' AS metric, {settled_sql()} AS value FROM grouped"
-    return sql, lambda spark, sf: settled(evaluate.scored(df(shortened(spark, sf)), [metric]))
+    return sql, lambda spark, sf: settled(evaluate.scored(shortened(spark, sf), [metric], options={metric: options}))
 
 
 for _metric, _row in ROW_SQL.items():
-    _name = f"m_{_metric.lower()}"
-    if _metric == "twCRPS":
-        ORACLE_SQL[_name] = one_metric(_metric, _row)[0]
-        evaluate.METRICS["twCRPS"] = lambda threshold=100.0: F.avg(draws.twcrps(F.col("y_pred"), F.col("y_true"), threshold))
-        QUERIES[_name] = one_metric(_metric, _row)[1]
-        continue
-    ORACLE_SQL[_name], QUERIES[_name] = one_metric(_metric, _row)
+    _options = {"threshold": 100.0} if _metric == "twCRPS" else {}
+    ORACLE_SQL[f"m_{_metric.lower()}"], QUERIES[f"m_{_metric.lower()}"] = one_metric(_metric, _row, **_options)
 ORACLE_SQL["m_rmsle"], QUERIES["m_rmsle"] = one_metric("RMSLE", ROW_SQL["MSLE"], "sqrt(avg(score))")
 ORACLE_SQL["m_pearson"], QUERIES["m_pearson"] = one_metric("Pearson", "struct_pack(y := y, p := list_avg(x))", "corr(score.y, score.p)")
 ORACLE_SQL["m_mcr_sample"], QUERIES["m_mcr_sample"] = one_metric("MCR_sample", "struct_pack(y := y, p := list_avg(x))", "avg(score.p) / nullif(avg(score.y), 0)")
@@ -772,7 +775,7 @@ def v14_parity(spark, sf):
 @query(f"WITH {tp.MODELS_SQL} SELECT model, count(*) AS n FROM points WHERE model = 'mid' GROUP BY 1")
 def v16_different_inputs(spark, sf):
     points = tp.model_points(spark, sf)
-    raw = points.where("model <> 'high'").select("model", *KEYS, F.when(F.col("model") == "mid", F.col("forecast")).otherwise(F.col("forecast") * 1).alias("v"))
+    raw = points.where("model <> 'high'")
     same = raw.unionByName(raw.where("model = 'low'").withColumn("model", F.lit("lower")))
     return audits.different_inputs(same).select("model", "n")
 
@@ -883,13 +886,7 @@ def x1_json_rows(spark, sf):
     return tables.json_rows(lines, "line", "event_id long, p struct<k: long>").select("event_id", "p.k")
 
 
-# Written and read back, in the folder that the session shares
-
-
-def scratch(spark: SparkSession) -> str:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
-
+# Written and read back
 
 GRID_ROWS = f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, n, v FROM grid"
 
