@@ -5,7 +5,7 @@ pitch classes, smoothed over time and scaled to length 1. A window of SPAN frame
 image gives the sum of any rectangle in four lookups. Sixteen filters, each the log ratio of two areas, are quantised to two bits in
 Gray code and packed into one 32-bit code for each place of the window.
 
-Recordings that share a pair of codes GAP places apart fall into one bucket; star-shaped candidates, with further rounds and a
+Recordings that share a pair of codes GAP places apart fall into one bucket; star-shaped candidates, with a further round and a
 final check of what is left, as for near-duplicate texts, name the pairs to align. Two recordings are aligned at the offset that most of
 their equal codes agree on, and are one class if the share of wrong bits there is small over a long enough overlap.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .near_duplicates import components, star, unsettled
+from .near_duplicates import STARS, components, star, unsettled
 from .textbytes import MULTIPLIER, mixed
 
 FRAME, HOP, SPAN, SMOOTH = 0.25, 0.0625, 16, 3
@@ -188,20 +188,21 @@ def recording_classes(prints: DataFrame) -> DataFrame:
     company = members.groupBy("node").agg(F.sum("company").alias("company"))
     members = cut(members.drop("company").join(company, "node").withColumn("component", F.col("node")))
     tested = links = labels = None
-    while not members.isEmpty():
-        pairs = star(members, 0 if tested is None else 1)
+    for turn in range(STARS + 1):
+        if members.isEmpty():
+            break
+        pairs = left_over(members) if turn == STARS else star(members, turn)
         pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        if tested is not None and pairs.isEmpty():
-            pairs = cut(left_over(members).join(tested, ["a", "b"], "left_anti"))
-            if pairs.isEmpty():
-                break
         found = cut(align_pairs(pairs, nodes))
-        tested = pairs if tested is None else cut(tested.union(pairs))
+        if turn < STARS:
+            tested = pairs if tested is None else tested.union(pairs)
+        if found.isEmpty():
+            continue
         links = found if links is None else links.union(found)
-        if not found.isEmpty():
-            labels = components(links)
+        labels = components(links)
+        if turn < STARS:
             members = members.drop("component").join(labels, "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
-        members = cut(unsettled(members))
+            members = cut(unsettled(members))
     by_print = nodes.select("codes_sha256", F.col("node").alias("print_id"))
     if labels is None:
         by_print = by_print.select("codes_sha256", "print_id", F.col("print_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
