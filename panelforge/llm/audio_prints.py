@@ -153,7 +153,8 @@ def aligned(one: np.ndarray, other: np.ndarray) -> tuple[int, float, int]:
 
 def align_pairs(pairs: DataFrame, prints: DataFrame) -> DataFrame:
     """(a, b, offset, wrong) of the pairs (a, b) that align."""
-    both = pairs.join(prints.select(F.col("node").alias("a"), F.col("codes").alias("x")), "a").join(prints.select(F.col("node").alias("b"), F.col("codes").alias("y")), "b")
+    x, y = (prints.select(F.col("node").alias(end), F.col("codes").alias(name)).hint("merge") for end, name in (("a", "x"), ("b", "y")))
+    both = pairs.join(x, "a").join(y, "b")
 
     def compare(batches):
         for b in batches:
@@ -184,25 +185,25 @@ def recording_classes(prints: DataFrame) -> DataFrame:
     nodes = cut(rows.where("size(codes) > 0 and media_id is not null").groupBy("codes_sha256").agg(F.min("media_id").alias("node"), F.first("codes").alias("codes")))
     flat = cut(nodes.select("node", "codes").mapInArrow(keys, f"node {kind}, bands array<long>").select(F.explode("bands").alias("key"), "node").distinct())
     several = flat.groupBy("key").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
-    members = cut(flat.join(several, "key"))
+    members = cut(flat.join(several.hint("merge"), "key"))
     company = members.groupBy("node").agg(F.sum("company").alias("company"))
-    members = cut(members.drop("company").join(company, "node").withColumn("component", F.col("node")))
+    members = cut(members.drop("company").join(company.hint("merge"), "node").withColumn("component", F.col("node")))
     tested = links = labels = None
     for turn in range(STARS + 1):
         if members.isEmpty():
             break
-        pairs = left_over(members) if turn == STARS else star(members, turn)
-        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        pairs = left_over(members) if turn == STARS else star(members, turn, "merge")
+        pairs = cut(pairs if tested is None else pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"))
         found = cut(align_pairs(pairs, nodes))
         if turn < STARS:
             tested = pairs if tested is None else tested.union(pairs)
         if found.isEmpty():
             continue
         links = found if links is None else links.union(found)
-        labels = components(links)
+        labels = components(links, "merge")
         if turn < STARS:
-            members = members.drop("component").join(labels, "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
-            members = cut(unsettled(members))
+            members = members.drop("component").join(labels.hint("merge"), "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
+            members = cut(unsettled(members, "merge"))
     by_print = nodes.select("codes_sha256", F.col("node").alias("print_id"))
     if labels is None:
         by_print = by_print.select("codes_sha256", "print_id", F.col("print_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))

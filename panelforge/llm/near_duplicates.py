@@ -178,15 +178,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return both.select("a", "b", "s", "t").mapInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component): the least node reachable over links (a, b). Labels spread and then jump to their label's label."""
+def hinted(df: DataFrame, hint: str | None) -> DataFrame:
+    return df.hint(hint) if hint else df
+
+
+def components(links: DataFrame, hint: str | None = None) -> DataFrame:
+    """(node, component): the least node reachable over links (a, b). Labels spread and then jump to their label's label.
+
+    hint is a join hint: `merge` keeps what many small joins would broadcast out of the driver's memory.
+    """
     edges = cut(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = cut(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
     while True:
-        heard = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("heard"))
-        spread = labels.join(heard, "node", "left").select("node", F.col("component").alias("was"), F.least("component", "heard").alias("now"))
+        heard = edges.join(hinted(labels.withColumnRenamed("node", "b"), hint), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("heard"))
+        spread = labels.join(hinted(heard, hint), "node", "left").select("node", F.col("component").alias("was"), F.least("component", "heard").alias("now"))
         ahead = labels.select(F.col("node").alias("now"), F.col("component").alias("then"))
-        found = cut(spread.join(ahead, "now", "left").select("node", "was", F.least("now", "then").alias("component")))
+        found = cut(spread.join(hinted(ahead, hint), "now", "left").select("node", "was", F.least("now", "then").alias("component")))
         labels = found.select("node", "component")
         if found.where("was <> component").isEmpty():
             return labels
@@ -200,7 +207,7 @@ def buckets(classes: DataFrame) -> DataFrame:
     return found.drop("company").join(found.groupBy("node").agg(F.sum("company").alias("company")), "node").select("key", "node", "company")
 
 
-def star(members: DataFrame, turn: int) -> DataFrame:
+def star(members: DataFrame, turn: int, hint: str | None = None) -> DataFrame:
     """Candidate pairs (a, b) of buckets (key, node, company, component) of more than one component: a centre with each node of another component.
 
     The centre has the most company: in the first turn of all nodes of the bucket, in later turns of those outside the component of that one.
@@ -212,15 +219,15 @@ def star(members: DataFrame, turn: int) -> DataFrame:
 
     chosen = centres(members)
     if turn:
-        chosen = centres(members.join(chosen, "key").where("component <> its").select(*members.columns))
-    pairs = members.join(chosen, "key").where("component <> its")
+        chosen = centres(members.join(hinted(chosen, hint), "key").where("component <> its").select(*members.columns))
+    pairs = members.join(hinted(chosen, hint), "key").where("component <> its")
     return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
-def unsettled(members: DataFrame) -> DataFrame:
+def unsettled(members: DataFrame, hint: str | None = None) -> DataFrame:
     """The rows of buckets that hold more than one component."""
     mixed_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    return members.join(mixed_keys, "key", "left_semi")
+    return members.join(hinted(mixed_keys, hint), "key", "left_semi")
 
 
 def shingle_rows(nodes: DataFrame, sets: DataFrame) -> DataFrame:
