@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import written
 from .near_duplicates import STARS, components, star, unsettled
 from .textbytes import MULTIPLIER, mixed
 
@@ -180,30 +180,30 @@ def recording_classes(prints: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(rows, pa.list_(pa.int64()))], ["node", "bands"])
 
     digest = F.sha2(F.array_join(F.transform("codes", lambda x: x.cast("string")), ","), 256)
-    rows = cut(prints.withColumn("codes_sha256", digest))
+    rows = written(prints.withColumn("codes_sha256", digest))
     kind = prints.schema["media_id"].dataType.simpleString()
-    nodes = cut(rows.where("size(codes) > 0 and media_id is not null").groupBy("codes_sha256").agg(F.min("media_id").alias("node"), F.first("codes").alias("codes")))
-    flat = cut(nodes.select("node", "codes").mapInArrow(keys, f"node {kind}, bands array<long>").select(F.explode("bands").alias("key"), "node").distinct())
+    nodes = written(rows.where("size(codes) > 0 and media_id is not null").groupBy("codes_sha256").agg(F.min("media_id").alias("node"), F.first("codes").alias("codes")))
+    flat = written(nodes.select("node", "codes").mapInArrow(keys, f"node {kind}, bands array<long>").select(F.explode("bands").alias("key"), "node").distinct())
     several = flat.groupBy("key").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
-    members = cut(flat.join(several.hint("merge"), "key"))
+    members = written(flat.join(several.hint("merge"), "key"))
     company = members.groupBy("node").agg(F.sum("company").alias("company"))
-    members = cut(members.drop("company").join(company.hint("merge"), "node").withColumn("component", F.col("node")))
+    members = written(members.drop("company").join(company.hint("merge"), "node").withColumn("component", F.col("node")))
     tested = links = labels = None
     for turn in range(STARS + 1):
         if members.isEmpty():
             break
         pairs = left_over(members) if turn == STARS else star(members, turn, "merge")
-        pairs = cut(pairs if tested is None else pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"))
-        found = cut(align_pairs(pairs, nodes))
+        pairs = written(pairs if tested is None else pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"))
+        found = written(align_pairs(pairs, nodes))
         if turn < STARS:
             tested = pairs if tested is None else tested.union(pairs)
         if found.isEmpty():
             continue
         links = found if links is None else links.union(found)
-        labels = components(links, "merge")
+        labels = components(links, "merge", written)
         if turn < STARS:
             members = members.drop("component").join(labels.hint("merge"), "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
-            members = cut(unsettled(members, "merge"))
+            members = written(unsettled(members, "merge"))
     by_print = nodes.select("codes_sha256", F.col("node").alias("print_id"))
     if labels is None:
         by_print = by_print.select("codes_sha256", "print_id", F.col("print_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +38,31 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the checkpoint folder and read from there, so that lineage ends and a lost executor costs no recomputation.
+def written(df: DataFrame) -> DataFrame:
+    """As cut, but a Parquet table in the checkpoint folder.
 
-    The folder is spark.checkpoint.dir of the session; where that is unset (tests on one machine), a temporary one.
+    A checkpoint hands what the optimizer knows of its columns on to the next plan; over many rounds of joins that makes
+    planning slow. A table starts anew.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    shared = checkpoint_folder(spark)
+    path = f"{shared}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session; where none is set (tests on one machine), a temporary one."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written to the checkpoint folder and read from there, so that lineage ends and a lost executor costs no recomputation.
+
+    The folder is spark.checkpoint.dir of the session; see checkpoint_folder.
+    """
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)

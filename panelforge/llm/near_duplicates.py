@@ -182,7 +182,7 @@ def hinted(df: DataFrame, hint: str | None) -> DataFrame:
     return df.hint(hint) if hint else df
 
 
-def components(links: DataFrame, hint: str | None = None) -> DataFrame:
+def components(links: DataFrame, hint: str | None = None, cut=cut) -> DataFrame:
     """(node, component): the least node reachable over links (a, b). Labels spread and then jump to their label's label.
 
     hint is a join hint: `merge` keeps what many small joins would broadcast out of the driver's memory.
