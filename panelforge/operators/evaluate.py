@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,23 +25,32 @@ def squared(y: Column, p: Column) -> Column:
     return (y - p) * (y - p)
 
 
-#: Aggregates over rows (y_true, y_pred array) by metric name; each takes no column that another group needs.
-METRICS = {
-    "MSE": lambda: F.avg(per_draw(squared)),
-    "MSLE": lambda: F.avg(per_draw(lambda y, p: squared(F.log1p(y), F.log1p(p)))),
-    "RMSLE": lambda: F.sqrt(F.avg(per_draw(lambda y, p: squared(F.log1p(y), F.log1p(p))))),
-    "MAE": lambda: F.avg(per_draw(lambda y, p: F.abs(y - p))),
-    "y_hat_bar": lambda: F.avg(draws.mean(F.col("y_pred"))),
-    "Brier": lambda: F.avg(squared(F.col("y_true"), draws.mean(F.col("y_pred")))),
-    "CRPS": lambda: F.avg(draws.crps(F.col("y_pred"), F.col("y_true"))),
-    "twCRPS": lambda threshold=1.0: F.avg(draws.twcrps(F.col("y_pred"), F.col("y_true"), threshold)),
-    "QIS": lambda low=0.05, high=0.95: F.avg((draws.pinball(F.col("y_pred"), F.col("y_true"), low) + draws.pinball(F.col("y_pred"), F.col("y_true"), high)) / 2),
-    "MIS": lambda alpha=0.1: F.avg(draws.interval_score(F.col("y_pred"), F.col("y_true"), alpha)),
-    "Coverage": lambda alpha=0.1: F.avg(draws.covered(F.col("y_pred"), F.col("y_true"), alpha)),
-    "MCR_sample": lambda: F.when(F.avg("y_true") != 0, F.avg(draws.mean(F.col("y_pred"))) / F.avg("y_true")),
-    "EMD": lambda: F.avg(per_draw(lambda y, p: F.abs(y - p))),
-    "Pearson": lambda: F.corr("y_true", draws.mean(F.col("y_pred"))),
-    "MTD": lambda: F.avg(per_draw(tweedie)),
+def mean_of(row: Column) -> tuple[Column, Callable[[str], Column]]:
+    return row, F.avg
+
+
+def mean_draw() -> Column:
+    return draws.mean(F.col("y_pred"))
+
+
+#: By metric name: a number for each row (y_true, y_pred array), and the aggregate over a group that takes that column's name. The
+#: row's number is computed once, before rows are dealt to the three groupings.
+METRICS: dict[str, Callable[..., tuple[Column, Callable[[str], Column]]]] = {
+    "MSE": lambda: mean_of(per_draw(squared)),
+    "MSLE": lambda: mean_of(per_draw(lambda y, p: squared(F.log1p(y), F.log1p(p)))),
+    "RMSLE": lambda: (per_draw(lambda y, p: squared(F.log1p(y), F.log1p(p))), lambda c: F.sqrt(F.avg(c))),
+    "MAE": lambda: mean_of(per_draw(lambda y, p: F.abs(y - p))),
+    "y_hat_bar": lambda: mean_of(mean_draw()),
+    "Brier": lambda: mean_of(squared(F.col("y_true"), mean_draw())),
+    "CRPS": lambda: mean_of(draws.crps(F.col("y_pred"), F.col("y_true"))),
+    "twCRPS": lambda threshold=1.0: mean_of(draws.twcrps(F.col("y_pred"), F.col("y_true"), threshold)),
+    "QIS": lambda low=0.05, high=0.95: mean_of((draws.pinball(F.col("y_pred"), F.col("y_true"), low) + draws.pinball(F.col("y_pred"), F.col("y_true"), high)) / 2),
+    "MIS": lambda alpha=0.1: mean_of(draws.interval_score(F.col("y_pred"), F.col("y_true"), alpha)),
+    "Coverage": lambda alpha=0.1: mean_of(draws.covered(F.col("y_pred"), F.col("y_true"), alpha)),
+    "MCR_sample": lambda: (mean_draw(), lambda c: F.when(F.avg("y_true") != 0, F.avg(c) / F.avg("y_true"))),
+    "EMD": lambda: mean_of(per_draw(lambda y, p: F.abs(y - p))),
+    "Pearson": lambda: (mean_draw(), lambda c: F.corr("y_true", c)),
+    "MTD": lambda: mean_of(per_draw(tweedie)),
 }
 
 
@@ -63,9 +72,11 @@ def scored(aligned: DataFrame, metrics: Sequence[str], cut_to_shortest: bool = T
     unknown = [m for m in metrics if m not in METRICS]
     if unknown:
         raise PanelError(f"unknown metrics {unknown}")
-    rows = truncated(aligned) if cut_to_shortest else aligned
+    chosen = {m: METRICS[m](**(options or {}).get(m, {})) for m in metrics}
+    rows = aligned.select("step", "time", "origin", F.col("y_true").cast("double").alias("y_true"), *(row.alias(m) for m, (row, _) in chosen.items()))
+    rows = truncated(rows) if cut_to_shortest else rows
     sets = rows.groupingSets([[F.col("step")], [F.col("time")], [F.col("origin")]], "step", "time", "origin")
-    found = sets.agg(F.grouping_id().alias("__id"), *(METRICS[m](**(options or {}).get(m, {})).alias(m) for m in metrics))
+    found = sets.agg(F.grouping_id().alias("__id"), *(of_group(m).alias(m) for m, (_, of_group) in chosen.items()))
     # a set bit says that the column isn't in the set: step, time, origin
     kind = F.when(F.col("__id") == 3, "step").when(F.col("__id") == 5, "month").otherwise("time_series")
     group = F.when(F.col("__id") == 3, label("step", F.col("step"))).when(F.col("__id") == 5, label("month", F.col("time"))).otherwise(label("time_series", F.col("origin")))

@@ -475,7 +475,8 @@ def m5_m6_ranking(spark, sf):
 @query("WITH x AS (SELECT doc_id, quality, toxic FROM labels) SELECT round(avg(pow(toxic - (CASE WHEN quality = 1 THEN 0.1 ELSE 0.4 END)::DOUBLE, 2)), 9) AS brier FROM x")
 def m7_brier_labels(spark, sf):
     rows = tp.table(spark, sf, "labels").select(F.col("toxic").alias("y_true"), F.array(F.when(F.col("quality") == 1, 0.1).otherwise(0.4)).alias("y_pred"))
-    return rows.agg(evaluate.METRICS["Brier"]().alias("brier")).withColumn("brier", F.round("brier", 9))
+    score, over = evaluate.METRICS["Brier"]()
+    return rows.select(score.alias("s")).agg(over("s").alias("brier")).withColumn("brier", F.round("brier", 9))
 
 
 # Posterior summaries
