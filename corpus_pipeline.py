@@ -13,11 +13,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.llm.common import unused
 from panelforge.llm.near_duplicates import near_duplicates
 from panelforge.llm.packing import packed
 from panelforge.llm.quality_model import fit_quality, quality_scores
 from panelforge.llm.quality_rules import quality_rules
 
+#: A character of a word of near_duplicates.
+WORD = r"[^\x20\x09-\x0D]"
+
 
 def whole_rows(docs: DataFrame, *needed: str) -> DataFrame:
     """The needed columns, and each row as a struct, whose fields no operator's columns can clash with."""
@@ -36,12 +40,22 @@ def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near-duplicates; of rows that share an id, the first text in order."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    """One whole row of each group of near-duplicates: that of the least doc_id, a null one last.
+
+    Groups are made of rows, not of ids: a row is known by the 64-bit hash of its id and text, so texts under one id, or under
+    none, are linked only if they are alike. Rows without words have nothing to be compared by, and each stays.
+    """
+    words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    key = unused("row_key", docs.columns)
+    keyed = docs.where(words).withColumn(key, F.xxhash64("doc_id", "text"))
+    groups = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(key), "component_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key)).alias("first")
+    kept = keyed.select(key, "doc_id").join(groups, key).groupBy("component_id").agg(first).select(F.col(f"first.{key}").alias(key))
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    # the join has brought the rows of an id together, so the aggregate moves nothing more
-    once = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *(F.col(f"`{c}`") for c in rest))).alias("row"))
-    return once.select("doc_id", "row.*").select(*(F.col(f"`{c}`") for c in docs.columns))
+    # the join has brought the rows of a key together, so the aggregate moves nothing more
+    once = keyed.join(kept, key, "left_semi").groupBy(key).agg(F.min(F.struct("doc_id", "text", *(F.col(f"`{c}`") for c in rest))).alias("row"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return once.select("row.*").select(*columns).union(docs.where(~words).select(*columns))
 
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -558,6 +558,17 @@ def test_pipeline_keeps_one_row_of_repeated_ids(spark, odd, empty):
     assert c.by_rules(spark, empty, "").count() == 0
 
 
+def test_pipeline_groups_rows_and_not_ids(spark):
+    import corpus_pipeline as c
+
+    rng = random.Random(12)
+    copied, alone, other, nameless, null_copy = (prose(rng, 40, 5000) for _ in range(5))
+    rows = [(3, copied), (7, copied), (7, alone), (8, other), (8, nameless[::-1]), (None, nameless), (None, null_copy), (9, null_copy), (None, None), (None, " "), (None, " "), (4, ""), (4, None), (5, alone + " x")]
+    found = c.one_of_each_group(spark, spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA), "").collect()
+    want = [(3, copied), (5, alone + " x"), (8, other), (8, nameless[::-1]), (None, nameless), (9, null_copy), (None, None), (None, " "), (None, " "), (4, ""), (4, None)]
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(want)
+
+
 # Queries against SQL
 
 
