@@ -59,8 +59,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all rows, in sequences of 2048 ids at most."""
-    return packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of all rows with their ids, in sequences of 2048 ids at most."""
+    return packed(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [("quality rules", by_rules), ("quality classifier", by_classifier), ("near duplicates", one_of_each_group), ("packing", into_sequences)]

@@ -3,7 +3,8 @@
 A text is split by the tokenizer's pattern into words, each of which is encoded by itself; so a worker encodes each distinct
 word once. The words' bytes are rows (word, place, id) of a recursive query: in each step neighbouring rows join the merge
 table, the leftmost of a word's pairs of least rank is contracted, and words without a pair leave. Ordered aggregation strings
-the ids of a word together, and decodes them by joining their bytes. A text's ids and decoded bytes are those of its words.
+the ids of a word together. A text's ids are those of its words. Decoding knows ids only: it joins the vocabulary's bytes of
+each id, in order.
 
 A word of over LONG bytes would need as many steps as it has bytes, each over all of them. Such words are contracted by a heap
 of pairs instead, with the same result.
@@ -29,6 +30,8 @@ LONG = 96
 #: Words that a worker remembers at most before it starts anew.
 KEPT = 900_000
 MEMORY = "500MB"
+#: Ids that are spelt at once.
+BLOCK = 1 << 16
 
 ENCODE = """
 WITH RECURSIVE state(word, place, id, following, active) AS (
@@ -50,27 +53,27 @@ WITH RECURSIVE state(word, place, id, following, active) AS (
         FROM paired JOIN chosen USING (word) WHERE hit IS NULL OR place <> hit + 1
     )
 )
-SELECT word, array_to_string(list_transform(tokens, lambda x: x.id), ',') AS ids, array_to_string(list_transform(tokens, lambda x: x.bytes), '') AS bytes
-FROM (
-    SELECT word, list({'id': id, 'bytes': bytes} ORDER BY place) AS tokens
-    FROM state JOIN vocabulary USING (id) WHERE NOT active GROUP BY word
-)
+SELECT word, array_to_string(list(id ORDER BY place), ',') AS ids FROM state WHERE NOT active GROUP BY word
 """
 
 
+def ranks_of(path: str) -> dict[bytes, int]:
+    """The id of each token of a rank file."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+
+
 class ByteTokenizer:
     def __init__(self, path: str, pattern: str):
         import duckdb
 
         self.split = regex.compile(pattern)
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-        self.token = {r: t for t, r in self.ranks.items()}
+        self.ranks = ranks_of(path)
         pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         self.of_byte = np.array([self.ranks[bytes([k])] for k in range(256)], np.int32)
         self.base = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
-        merges, vocabulary = np.array(pairs, np.int32), list(self.ranks.items())
-        self.tables(merges=pa.table({"pair": merges[:, 0].astype(np.int64) * 65536 + merges[:, 1], "id": merges[:, 2]}), vocabulary=pa.table({"id": pa.array([r for _, r in vocabulary], pa.int32()), "bytes": [t.hex() for t, _ in vocabulary]}))
+        merges = np.array(pairs, np.int32)
+        self.tables(merges=pa.table({"pair": merges[:, 0].astype(np.int64) * 65536 + merges[:, 1], "id": merges[:, 2]}))
         self.forget()
 
     def tables(self, **found: pa.Table) -> None:
@@ -80,9 +83,8 @@ class ByteTokenizer:
             self.base.unregister("given")
 
     def forget(self) -> None:
-        #: By word: its ids as text, and the bytes that they decode to.
+        #: By word: its ids as text.
         self.ids: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
         """Encodes new words."""
@@ -94,13 +96,12 @@ class ByteTokenizer:
         ids = self.of_byte[np.frombuffer(b"".join(data[k] for k in short), np.uint8)]
         self.base.register("symbols", pa.table({"word": word, "place": place, "id": ids}))
         found = self.base.sql(ENCODE).to_arrow_table()
-        for k, own, raw in zip(*(found.column(c).to_pylist() for c in ("word", "ids", "bytes")), strict=True):
-            self.ids[words[k]], self.decoded[words[k]] = own, bytes.fromhex(raw)
+        for k, own in zip(*(found.column(c).to_pylist() for c in ("word", "ids")), strict=True):
+            self.ids[words[k]] = own
         self.base.unregister("symbols")
         for k, d in enumerate(data):
             if len(d) > LONG:
-                own = self.contract(d)
-                self.ids[words[k]], self.decoded[words[k]] = ",".join(map(str, own)), b"".join(self.token[i] for i in own)
+                self.ids[words[k]] = ",".join(map(str, self.contract(d)))
 
     def contract(self, data: bytes) -> list[int]:
         """Ids of one long word."""
@@ -125,19 +126,37 @@ class ByteTokenizer:
             at = ends[at]
         return out
 
-    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """(number of ids, sha256 of the ids, sha256 of the decoded bytes) of each text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         if len(self.ids) > KEPT:
             self.forget()
         pieces = [self.split.findall(t) for t in texts]
         fresh = list({w for words in pieces for w in words if w not in self.ids})
         if fresh:
             self.learn(fresh)
+        return [np.fromstring(",".join(map(self.ids.__getitem__, words)), np.int32, sep=",") if words else np.empty(0, np.int32) for words in pieces]
+
+
+class Spelling:
+    """What each id stands for, as bytes that lie one after the other."""
+
+    def __init__(self, of_id: dict[int, bytes]):
+        parts = [of_id.get(i, b"") for i in range(max(of_id) + 1)]
+        self.known = np.array([i in of_id for i in range(len(parts))])
+        self.length = np.array([len(p) for p in parts], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        """The bytes of these ids in order."""
         out = []
-        for words in pieces:
-            ids, raw = ",".join(map(self.ids.__getitem__, words)), b"".join(map(self.decoded.__getitem__, words))
-            out.append((ids.count(",") + 1 if words else 0, sha256(ids.encode()).hexdigest(), sha256(raw).hexdigest()))
-        return out
+        for k in range(0, len(ids), BLOCK):
+            own = ids[k : k + BLOCK]
+            if own.min() < 0 or own.max() >= len(self.known) or not self.known[own].all():
+                raise ValueError("an id that isn't in the vocabulary")
+            length = self.length[own]
+            out.append(self.data[np.arange(length.sum()) + np.repeat(self.start[own] - (np.cumsum(length) - length), length)].tobytes())
+        return b"".join(out)
 
 
 _OPEN: dict[tuple[str, str], ByteTokenizer] = {}
@@ -150,8 +169,19 @@ def tokenizer(path: str, pattern: str) -> ByteTokenizer:
     return _OPEN[path, pattern]
 
 
-def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs (doc_id, text), repeated rows included.
+_SPELT: dict[str, tuple[Spelling, Spelling]] = {}
+
+
+def spellings(path: str) -> tuple[Spelling, Spelling]:
+    """(the bytes of each id, its number as text and a comma), once for each worker process."""
+    if path not in _SPELT:
+        token = {r: t for t, r in ranks_of(path).items()}
+        _SPELT[path] = Spelling(token), Spelling({r: b"%d," % r for r in token})
+    return _SPELT[path]
+
+
+def token_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids) for each row of docs (doc_id, text), repeated rows included; decoded() is the way back.
 
     A null text counts as an empty one, without ids. An empty table gives an empty table. The rank file is read by the workers.
     """
@@ -161,9 +191,43 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         for b in batches:
             _, offsets = text_bytes(b.column("text"))
             for first, last in row_runs(offsets, AT_ONCE):
-                found = own.digests([t or "" for t in b.column("text").slice(first, last - first).to_pylist()])
-                n, ids, raw = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, last - first), pa.array(n, pa.int64()), pa.array(ids), pa.array(raw)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                found = own.encode([t or "" for t in b.column("text").slice(first, last - first).to_pylist()])
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, last - first), ids], ["doc_id", "ids"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, ids array<int>")
+
+
+def rows_of_ids(column: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of each row, none for a null."""
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    for there, a, e in zip(column.is_valid().to_pylist(), ends[:-1], ends[1:], strict=True):
+        yield flat[a:e] if there else flat[:0]
+
+
+def decoded(rows: DataFrame, ranks_path: str) -> DataFrame:
+    """(doc_id, bytes) for each row of rows (doc_id, ids). Null ids decode to no bytes; an id that the vocabulary hasn't is an error."""
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelt = spellings(ranks_path)[0]
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([spelt.joined(ids) for ids in rows_of_ids(b.column("ids"))], pa.binary())], ["doc_id", "bytes"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "ids").mapInArrow(decode, f"doc_id {kind}, bytes binary")
+
+
+def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs (doc_id, text): digests of token_ids and of what these ids decode to."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelt, numbers = spellings(ranks_path)
+        for b in batches:
+            found = [(len(ids), sha256(numbers.joined(ids)[:-1]).hexdigest(), sha256(spelt.joined(ids)).hexdigest()) for ids in rows_of_ids(b.column("ids"))]
+            n, ids, raw = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return token_ids(docs, ranks_path, pattern).mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -109,7 +109,8 @@ def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, piece
             columns = list(zip(*found, strict=True))
             arrays = [pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:7])]
             if with_ids:
-                arrays.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32).tolist() for x in columns[7]], pa.list_(pa.int32())))
+                ends = np.concatenate(([0], np.cumsum(columns[2]))).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(columns[7]), "<i4"))))
             return pa.RecordBatch.from_arrays(arrays, names)
 
         def close() -> pa.RecordBatch:

@@ -320,6 +320,22 @@ def test_byte_tokens_equal_the_library(odd, empty, files):
     assert encoded(empty, path, files.PATTERN).count() == 0
 
 
+def test_byte_tokens_there_and_back(spark, odd, empty, files):
+    import tiktoken
+
+    from panelforge.llm.byte_tokens import decoded, ranks_of, token_ids
+
+    path = files.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=files.PATTERN, mergeable_ranks=ranks_of(path), special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in odd.collect()}
+    found = token_ids(clashing(odd), path, files.PATTERN)
+    assert found.count() == odd.count() and all(r.ids == library.encode_ordinary(texts[r.doc_id]) for r in found.collect())
+    given = spark.createDataFrame([(i, library.encode_ordinary(t)[::-1]) for i, t in texts.items()] + [(99, None), (99, [])], "doc_id long, ids array<int>")
+    back = {r.doc_id: bytes(r.bytes) for r in decoded(given, path).collect()}
+    assert back == {i: library.decode_bytes(library.encode_ordinary(t)[::-1]) for i, t in texts.items()} | {99: b""}
+    assert decoded(token_ids(empty, path, files.PATTERN), path).count() == 0
+
+
 def test_long_words_by_heap_equal_short_ones_by_query(files, monkeypatch):
     from panelforge.llm import byte_tokens as b
 
@@ -569,6 +585,19 @@ def test_pipeline_groups_rows_and_not_ids(spark):
     assert Counter((r.doc_id, r.text) for r in found) == Counter(want)
 
 
+def test_pipeline_ends_in_ids(spark, odd, files):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as c
+
+    library = Tokenizer.from_file(files.path("word_bpe_49k.json"))
+    library.encode_special_tokens = True
+    texts = {r.doc_id: r.text or "" for r in odd.collect()}
+    for r in c.into_sequences(spark, odd, "").collect():
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids + [1]
+        assert r.ids == ids[r.start : r.start + r.length]
+
+
 # Queries against SQL
 
 
