@@ -1023,9 +1023,9 @@ def k12_bad_records(spark, sf):
 def x2_origins_streamed(spark, sf):
     at = scratch(spark)
     rows = align.align(tp.origin_forecasts(spark, sf), tp.actuals(spark, sf)).select("origin", "time", "unit", "y_true")
-    rows.repartition("origin").write.partitionBy("origin").parquet(f"{at}/in")
+    rows.write.partitionBy("origin").parquet(f"{at}/in")
     increments.score_origins(spark, f"{at}/in", "time int, unit long, y_true double, origin int", f"{at}/state", increments.per_origin(f"{at}/out"), files=4)
-    return spark.read.parquet(f"{at}/out").groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.sum("y_true").alias("y"))
+    return increments.origin_rows(spark, f"{at}/out").groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.sum("y_true").alias("y"))
 
 
 @query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, CASE WHEN month_id IN (200, 201) AND grid_id % 2 = 0 THEN v + 2 ELSE v END AS v FROM grid")

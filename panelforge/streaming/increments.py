@@ -15,7 +15,8 @@ from ..schema import PanelError
 def score_origins(spark: SparkSession, path: str, schema: str, checkpoint: str, sink: Callable[[DataFrame, int], None], files: int = 1):
     """Every new file below path (origin=.../ directories) goes to the sink, a few at a time; ends when all that is there is done.
 
-    The sink gets (rows, batch number) and must give the same result if it is called again for one origin.
+    The sink gets (rows, batch number) and must give the same result if it is called again for one batch. An origin's files may
+    be spread over several batches.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -24,14 +25,20 @@ def score_origins(spark: SparkSession, path: str, schema: str, checkpoint: str,
 
 
 def per_origin(out: str) -> Callable[[DataFrame, int], None]:
-    """A sink that replaces each origin's directory, and so may run twice."""
+    """A sink that replaces what a batch gave to each origin (directories origin=.../batch=...), and so may run twice; see origin_rows."""
 
     def sink(rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("origin").parquet(out)
+        batch = rows.withColumn("batch", F.lit(number))
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("origin", "batch").parquet(out)
 
     return sink
 
 
+def origin_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The rows of all batches that per_origin wrote."""
+    return spark.read.parquet(out).drop("batch")
+
+
 def apply_corrections(spark: SparkSession, path: str, schema: str, checkpoint: str, panel: str, versions: str, keys: tuple[str, str], columns=None, files: int = 1) -> str:
     """Corrections that arrive as files are laid over the panel, each batch giving a new version of it below `versions`; the last version's path.
 

@@ -214,3 +214,20 @@ def test_origins_one_at_a_time(spark, tmp_path):
     df.repartition(1).write.partitionBy("origin").parquet(f"{tmp_path}/in")
     increments.score_origins(spark, f"{tmp_path}/in", "time int, value double, origin int", f"{tmp_path}/check", increments.per_origin(f"{tmp_path}/out"))
     assert spark.read.parquet(f"{tmp_path}/out").count() == 12
+
+
+def test_origins_of_several_files_lose_no_batch(spark, tmp_path):
+    df = spark.createDataFrame([(o, t, 1.0) for o in range(2) for t in range(6)], "origin int, time int, value double")
+    df.repartition(3, "time").write.partitionBy("origin").parquet(f"{tmp_path}/in")
+    sink = increments.per_origin(f"{tmp_path}/out")
+    taken = []
+
+    def twice(rows, number):
+        taken.append(number)
+        sink(rows, number)
+        sink(rows, number)
+
+    increments.score_origins(spark, f"{tmp_path}/in", "time int, value double, origin int", f"{tmp_path}/check", twice)
+    assert len(taken) > 2
+    found = increments.origin_rows(spark, f"{tmp_path}/out")
+    assert sorted((r.origin, r.time) for r in found.collect()) == [(o, t) for o in range(2) for t in range(6)]
