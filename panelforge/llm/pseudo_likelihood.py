@@ -7,7 +7,7 @@ give the word. A text's score is the sum of the conditional log-probabilities of
 Words are hashed into WORDS buckets. The classes part the buckets, by frequency, into shares of about equal weight. Counts are
 taken over all texts. The network is trained in numpy inside the tasks: in each round every partition starts from the
 common weights and takes a gradient step for each batch of its own positions (each STRIDE-th of all its texts, others in each
-round); then the partitions' weights are averaged, an embedding by how often each partition met it.
+round, so that the rounds together take every position once); then the partitions' weights are averaged, an embedding by how often each partition met it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ WORDS = 1 << BITS
 #: The bucket that stands beyond both ends of a text.
 EDGE = WORDS
 SIDE, SIZE, HIDDEN, CLASSES = 2, 8, 32, 64
-ROUNDS, STRIDE, BATCH = 2, 8, 512
+ROUNDS, BATCH = 2, 512
+STRIDE = ROUNDS
 AT_ONCE = 1 << 20
 #: Positions that are scored at once.
 BLOCK = 1 << 13

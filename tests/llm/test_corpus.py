@@ -478,6 +478,18 @@ def test_pseudo_likelihood(spark, odd, empty):
     assert p.pseudo_log_likelihood(empty, p.trained(empty)).count() == 0
 
 
+def test_training_takes_every_position(spark):
+    import pyarrow as pa
+
+    from panelforge.llm import pseudo_likelihood as p
+
+    text = " ".join(f"word{i}" for i in range(600))
+    docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    start, network = p.Network(p.word_counts(docs)), p.trained(docs)
+    ((_, _, _, buckets),) = p.bucketed(pa.array([text]))
+    assert (network.embedding[buckets] != start.embedding[buckets]).any(1).all()
+
+
 # Audio
 
 
