@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .near_duplicates import STARS, components, star, unsettled
+from .near_duplicates import components, relabelled, star, unsettled
 from .textbytes import MULTIPLIER, mixed
 
 FRAME, HOP, SPAN, SMOOTH = 0.25, 0.0625, 16, 3
@@ -188,20 +188,17 @@ def recording_classes(prints: DataFrame) -> DataFrame:
     members = written(flat.join(several.hint("merge"), "key"))
     company = members.groupBy("node").agg(F.sum("company").alias("company"))
     members = written(members.drop("company").join(company.hint("merge"), "node").withColumn("component", F.col("node")))
-    tested = links = labels = None
-    for turn in range(STARS + 1):
+    links = labels = None
+    for turn in range(2):
         if members.isEmpty():
             break
-        pairs = left_over(members) if turn == STARS else star(members, turn, "merge")
-        pairs = written(pairs if tested is None else pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"))
-        found = written(align_pairs(pairs, nodes))
-        if turn < STARS:
-            tested = pairs if tested is None else tested.union(pairs)
+        pairs = left_over(members) if turn else star(members, "merge")
+        found = written(align_pairs(written(pairs.select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b")).distinct()), nodes))
         if found.isEmpty():
             continue
         links = found if links is None else links.union(found)
-        labels = components(links, "merge", written)
-        if turn < STARS:
+        labels = components(links, "merge")
+        if not turn:
             members = members.drop("component").join(labels.hint("merge"), "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
             members = written(unsettled(members, "merge"))
     by_print = nodes.select("codes_sha256", F.col("node").alias("print_id"))
@@ -222,7 +219,7 @@ def left_over(members: DataFrame) -> DataFrame:
     large = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key")
     rows = members.join(large, "key", "left_semi")
     left, right = (rows.select("key", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-    return left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
+    return left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select(F.col("a").alias("one"), F.col("b").alias("other"))
 
 
 RATE, NOTE = 4000, 0.1

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: White space of the word rule `[^\x20\x09-\x0D]+`, as a Java pattern.
 SPACE = r"[\x20\x09-\x0D]+"
+_LOCAL: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,31 +39,32 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """As cut, but a Parquet table in the checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir of the session, which must be set on a cluster.
 
-    A checkpoint hands what the optimizer knows of its columns on to the next plan; over many rounds of joins that makes
-    planning slow. A table starts anew.
+    Where it is unset and everything runs in one process (tests), a temporary folder serves.
     """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="spark-shared-"))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, so that lineage ends, a lost executor costs no recomputation, later steps read
+    the columns that they need, and planning starts from the table's real size."""
     spark = df.sparkSession
-    shared = checkpoint_folder(spark)
-    path = f"{shared}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; where none is set (tests on one machine), a temporary one."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the checkpoint folder and read from there, so that lineage ends and a lost executor costs no recomputation.
-
-    The folder is spark.checkpoint.dir of the session; see checkpoint_folder.
-    """
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of written tables that nothing reads any more."""
+    for df in tables:
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,15 +4,18 @@
    is the signature. An empty bin takes the value of another, found by a hash of the bin and an attempt number that is the
    same for all texts. Four neighbouring bins make a band. Texts of equal sets are one node from here on.
 2. Nodes with the same band fall into one bucket. A bucket of m nodes gives m - 1 candidate edges: a star around a centre.
-   The edges are confirmed on the full sets, and confirmed ones joined into components.
-3. A star leaves pairs without the centre untested. Another round with other centres follows, only for nodes whose bucket
-   still holds more than one component. The centre is the node with the most company over its bands: it has the fewest
-   shingles of its own, so a group of copies joins around it.
-4. Lastly all pairs of a bucket that are untested and not in one component are confirmed too, less those that can't be links:
-   by size, by what both could share at most (in large buckets, shingles that are rare among the nodes still in question count
-   only if both have one of them), or by signature. So no link between different components is lost, and a pair is only tested while it can change the result.
+   The centre is the node with the most company over its bands: it has the fewest shingles of its own, so a group of copies
+   joins around it. The edges are confirmed on the full sets, and confirmed ones joined into components.
+3. A star leaves pairs without the centre untested. In buckets that still hold more than one component, pairs of different
+   components are tested too, less those that can't be links. What two sets share is at most the shingles that both have in
+   common with many nodes, and the rare ones (those of fewer than RARE nodes) that they share. So a pair is tested only if it
+   shares a rare shingle, which few do, or if either has enough shingles besides its rare ones. No link between different
+   components is lost, and a pair is only tested while it can change the result.
 
 Two sets of similarity 0.85 share none of the 20 bands with a probability of 4e-7, the chance to lose a link.
+
+Every step writes a Parquet table to the checkpoint folder and later steps read the columns they need; tables that are no longer
+needed are deleted.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import dropped, written
 from .textbytes import MULTIPLIER, mixed, row_runs, text_bytes, word_hashes, word_spans
 
 SHINGLE = 5
@@ -32,12 +35,8 @@ BANDS, ROWS = 20, 4
 BINS = BANDS * ROWS
 #: Links have 100 * intersection >= SIMILAR * union.
 SIMILAR = 85
-#: Rounds of stars before the remaining pairs.
-STARS = 2
-#: A pair of similarity 0.85 agrees in so few of its bins with a probability under 1e-8.
-LEAST_AGREEING = 44
-#: Nodes of a bucket from which rare shingles rule pairs out, and nodes below which a shingle is rare.
-LARGE, RARE = 64, 16
+#: Nodes below which a shingle is rare.
+RARE = 16
 AT_ONCE = 1 << 20
 
 
@@ -128,41 +127,47 @@ def fixed_lists(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel(), kind))
 
 
+def prints(n: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums over each set, which stand for the whole set."""
+    edge = np.cumsum(n) - n
+    return [(np.add.reduceat(np.append(mixed(h * np.uint64(k)), np.uint64(0)), edge) * (n > 0)).view(np.int64) for k in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, print1, print2, bands, bins) for each row; the prints stand for the whole set."""
+    """(doc_id, n_shingles, print1, print2, bands) for each row."""
 
     def sketch(batches):
         for b in batches:
             for first, last, n, h in shingle_sets(b.column("text")):
-                edge = np.cumsum(n) - n
-                sums = [np.add.reduceat(np.append(mixed(h * np.uint64(k)), np.uint64(0)), edge) * (n > 0) for k in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
-                s = signatures(n, h)
-                low = (mixed(s + np.arange(BINS, dtype=np.uint64) * MULTIPLIER) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(first, last - first), pa.array(n, pa.int64()), *(pa.array(x.view(np.int64)) for x in sums), fixed_lists(band_keys(s).view(np.int64), pa.int64()), fixed_lists(low, pa.int32())],
-                    ["doc_id", "n_shingles", "print1", "print2", "bands", "bins"],
+                    [b.column("doc_id").slice(first, last - first), pa.array(n, pa.int64()), *map(pa.array, prints(n, h)), fixed_lists(band_keys(signatures(n, h)).view(np.int64), pa.int64())],
+                    ["doc_id", "n_shingles", "print1", "print2", "bands"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sketch, f"doc_id {id_type}, n_shingles long, print1 long, print2 long, bands array<long>, bins array<int>")
+    return docs.select("doc_id", "text").mapInArrow(sketch, f"doc_id {id_type}, n_shingles long, print1 long, print2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles binary): the sets of the documents named by nodes."""
+    """(node, shingles binary): the sets of nodes (node, least, n_shingles, print1, print2), each found in a document of that id whose prints are the node's."""
 
     def sets(batches):
         for b in batches:
             for first, last, n, h in shingle_sets(b.column("text")):
                 ends = np.cumsum(n)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, last - first), pa.array([h[e - k : e].tobytes() for e, k in zip(ends, n, strict=True)], pa.binary())], ["node", "shingles"])
+                own = b.slice(first, last - first)
+                wanted = [own.column(c).to_numpy() for c in ("n_shingles", "print1", "print2")]
+                same = np.logical_and.reduce([x == y for x, y in zip((n, *prints(n, h)), wanted, strict=True)])
+                found = [h[e - k : e].tobytes() if keep else None for e, k, keep in zip(ends, n, same, strict=True)]
+                yield pa.RecordBatch.from_arrays([own.column("node"), pa.array(found, pa.binary())], ["node", "shingles"]).filter(pa.array(same))
 
-    wanted = docs.select("doc_id", "text").join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    return wanted.mapInArrow(sets, f"node {docs.schema['doc_id'].dataType.simpleString()}, shingles binary").distinct()
+    wanted = docs.select(F.col("doc_id").alias("least"), "text").join(nodes, "least")
+    return wanted.select("node", "n_shingles", "print1", "print2", "text").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The pairs (a, b) that are links, by their full sets."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
+    """(a, b): the components of the pairs (one, other, a, b) that are links by their full sets."""
+    both = pairs.join(sets.select(F.col("node").alias("one"), F.col("shingles").alias("s")), "one").join(sets.select(F.col("node").alias("other"), F.col("shingles").alias("t")), "other")
 
     def compare(batches):
         for b in batches:
@@ -174,54 +179,53 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
                 found.append(100 * shared >= similar * (len(p) + len(q) - shared))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(found, pa.bool_()))
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    return both.select("a", "b", "s", "t").mapInArrow(compare, f"a {kind}, b {kind}").distinct()
+    return both.select("a", "b", "s", "t").mapInArrow(compare, "a long, b long").distinct()
 
 
 def hinted(df: DataFrame, hint: str | None) -> DataFrame:
     return df.hint(hint) if hint else df
 
 
-def components(links: DataFrame, hint: str | None = None, cut=cut) -> DataFrame:
-    """(node, component): the least node reachable over links (a, b). Labels spread and then jump to their label's label.
+def components(links: DataFrame, hint: str | None = None) -> DataFrame:
+    """(node, component), written: the least node reachable over links (a, b). Labels spread and then jump to their label's label.
 
     hint is a join hint: `merge` keeps what many small joins would broadcast out of the driver's memory.
     """
-    edges = cut(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = cut(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
+    edges = written(links.select("a", "b").union(links.select("b", "a")).distinct())
+    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
     while True:
         heard = edges.join(hinted(labels.withColumnRenamed("node", "b"), hint), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("heard"))
         spread = labels.join(hinted(heard, hint), "node", "left").select("node", F.col("component").alias("was"), F.least("component", "heard").alias("now"))
         ahead = labels.select(F.col("node").alias("now"), F.col("component").alias("then"))
-        found = cut(spread.join(hinted(ahead, hint), "now", "left").select("node", "was", F.least("now", "then").alias("component")))
+        found = written(spread.join(hinted(ahead, hint), "now", "left").select("node", "was", F.least("now", "then").alias("component")))
+        dropped(labels)
         labels = found.select("node", "component")
         if found.where("was <> component").isEmpty():
+            dropped(edges)
             return labels
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(key, node, company) of the buckets with more than one node; company: the nodes of all its buckets."""
+    """(key, node, company, component) of the buckets with more than one node; company: the nodes of all its buckets. Each node is a component."""
     rows = classes.select(F.explode("bands").alias("key"), "node")
-    several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("company"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    found = cut(rows.join(several.select("key", "company"), "key"))
-    return found.drop("company").join(found.groupBy("node").agg(F.sum("company").alias("company")), "node").select("key", "node", "company")
+    several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
+    # a node has BANDS keys at most
+    own = rows.join(several, "key").groupBy("node").agg(F.sum("company").alias("company"), F.collect_list("key").alias("keys"))
+    return own.select(F.explode("keys").alias("key"), "node", "company", F.col("node").alias("component"))
 
 
-def star(members: DataFrame, turn: int, hint: str | None = None) -> DataFrame:
-    """Candidate pairs (a, b) of buckets (key, node, company, component) of more than one component: a centre with each node of another component.
-
-    The centre has the most company: in the first turn of all nodes of the bucket, in later turns of those outside the component of that one.
-    """
-    most = F.max(F.struct("company", (-F.col("node")).alias("least"), "node", "component")).alias("centre")
+def star(members: DataFrame, hint: str | None = None) -> DataFrame:
+    """Candidate pairs (one, other, a, b) of buckets (key, node, company, component) of more than one component: a centre with each node of another component, and their components."""
+    best = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct("company", (-F.col("node")).alias("least"), "node", "component")).alias("centre"))
+    best = best.where("low < high").select("key", F.col("centre.node").alias("other"), F.col("centre.component").alias("b"))
+    pairs = members.join(hinted(best, hint), "key").where("component <> b")
+    return pairs.select(F.col("node").alias("one"), "other", F.col("component").alias("a"), "b").distinct()
 
-    def centres(of: DataFrame) -> DataFrame:
-        return of.groupBy("key").agg(most).select("key", F.col("centre.node").alias("centre"), F.col("centre.component").alias("its"))
 
-    chosen = centres(members)
-    if turn:
-        chosen = centres(members.join(hinted(chosen, hint), "key").where("component <> its").select(*members.columns))
-    pairs = members.join(hinted(chosen, hint), "key").where("component <> its")
-    return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+def relabelled(members: DataFrame, labels: DataFrame, hint: str | None = None) -> DataFrame:
+    """members (component, ...) with the components that labels (node, component) give to theirs; those without one keep it."""
+    new = labels.select(F.col("node").alias("component"), F.col("component").alias("__new"))
+    return members.join(hinted(new, hint), "component", "left").withColumn("component", F.coalesce("__new", "component")).drop("__new")
 
 
 def unsettled(members: DataFrame, hint: str | None = None) -> DataFrame:
@@ -230,8 +234,8 @@ def unsettled(members: DataFrame, hint: str | None = None) -> DataFrame:
     return members.join(hinted(mixed_keys, hint), "key", "left_semi")
 
 
-def shingle_rows(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, shingle) of these nodes."""
+def shingle_rows(sets: DataFrame) -> DataFrame:
+    """(node, shingle)"""
 
     def single(batches):
         for b in batches:
@@ -241,92 +245,89 @@ def shingle_rows(nodes: DataFrame, sets: DataFrame) -> DataFrame:
                 lengths = np.array([len(x) for x in found])
                 yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(np.repeat(np.arange(len(found)), lengths))), pa.array(np.concatenate(found))], ["node", "shingle"])
 
-    own = sets.join(nodes, "node", "left_semi").select("node", "shingles")
-    return own.mapInArrow(single, f"node {nodes.schema['node'].dataType.simpleString()}, shingle long")
+    return sets.mapInArrow(single, "node long, shingle long")
 
 
-def rare_shingles(nodes: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """(node, n_rare, rare): its shingles that fewer than least of these nodes have, and those of them that another one has."""
-    rows = shingle_rows(nodes, sets)
-    rare = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < least)
-    return rows.join(rare, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("n_rare"), F.collect_list(F.when(F.col("n") > 1, F.col("shingle"))).alias("rare"))
+def rest(members: DataFrame, sizes: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Pairs (one, other, a, b), written, of different components of these buckets that may be links, by their sizes and shingles.
 
-
-def rest(members: DataFrame, classes: DataFrame, sets: DataFrame, tested: DataFrame, similar: int) -> DataFrame:
-    """All untested pairs of the buckets between components, less those that sizes, shared shingles or signatures rule out.
-
-    Two sets share at most what either has besides its private shingles. In buckets of LARGE nodes and more, two sets that share no
-    rare shingle (one of fewer than RARE nodes) share at most what either has besides its rare ones.
+    sizes is (node, n_shingles, bands). What two sets share is at most what either has besides its rare shingles, and their shared rare
+    ones. A pair that shares several buckets comes from the first of them.
     """
-    facts = classes.select("node", "n_shingles", "bins")
-    sized = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")), "key")
-    sized = cut(sized.select("key", "node", "component", (F.col("in_bucket") >= LARGE).alias("large")))
-
-    def between(rows: DataFrame, ruled: list[str], enough) -> DataFrame:
-        left, right = (rows.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n_shingles", *ruled))) for side in "ab")
-        shared_enough = lambda at_most: at_most * (100 + similar) >= (F.col("n_shingles_a") + F.col("n_shingles_b")) * similar
-        on = (left.key == right.key) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & enough(shared_enough)
-        return left.join(right, on).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-
-    def facts_of(rows: DataFrame, least: int) -> DataFrame:
-        nodes = rows.select("node").distinct()
-        found = facts.select("node", "n_shingles").join(nodes, "node", "left_semi").join(rare_shingles(nodes, sets, least), "node", "left")
-        return found.select("node", "n_shingles", (F.col("n_shingles") - F.coalesce("n_rare", F.lit(0))).alias("n_common"), F.coalesce("rare", F.array().cast("array<bigint>")).alias("rare"))
-
-    few, many = sized.where("not large"), sized.where("large")
-    # a node that shares too few shingles for a link with a set that lies within its own has no link at all
-    own = facts_of(few, 2).where(F.col("n_common") * 100 >= F.col("n_shingles") * similar).drop("rare")
-    pairs = between(few.join(own, "node"), ["n_common"], lambda ok: ok(F.least("n_common_a", "n_common_b")))
-    crowd = many.join(facts_of(many, RARE), "node")
-    pairs = pairs.union(between(crowd, ["n_common", "rare"], lambda ok: ok(F.least("n_shingles_a", "n_shingles_b")) & (ok(F.least("n_common_a", "n_common_b")) | F.arrays_overlap("rare_a", "rare_b"))))
-    pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-    for n in "ab":
-        pairs = pairs.join(facts.select(F.col("node").alias(n), F.col("bins").alias(f"bins_{n}")), n)
-    same = F.size(F.filter(F.arrays_zip("bins_a", "bins_b"), lambda x: x["bins_a"] == x["bins_b"]))
-    return pairs.where(same >= LEAST_AGREEING).select("a", "b")
+    nodes = members.select("node", "component").distinct()
+    rows = shingle_rows(sets.join(nodes, "node", "left_semi"))
+    few = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < RARE)
+    rare = written(rows.join(few, "shingle").select("node", "shingle", F.col("n").cast("int").alias("n")))
+    n_rare = rare.groupBy("node").agg(F.count(F.lit(1)).alias("n_rare"))
+    facts = nodes.join(sizes, "node").join(n_rare, "node", "left")
+    facts = written(facts.select("node", "component", "n_shingles", "bands", (F.col("n_shingles") - F.coalesce("n_rare", F.lit(0))).alias("common")))
+    fits = lambda shared: shared * (100 + similar) >= (F.col("n_shingles_one") + F.col("n_shingles_other")) * similar
+    either = F.least("common_one", "common_other")
+
+    def pairs(on: str, df: DataFrame) -> DataFrame:
+        one, other = (df.select(on, *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c != on)) for side in ("one", "other"))
+        return one.join(other, on).where("node_one < node_other and component_one <> component_other")
+
+    sharing = pairs("shingle", rare.where("n > 1").select("node", "shingle").join(facts.drop("bands"), "node"))
+    sharing = sharing.groupBy(*(c for c in sharing.columns if c != "shingle")).agg(F.count(F.lit(1)).alias("shared")).where(fits(either + F.col("shared")))
+    # of a bucket, only nodes that could be linked with one of the least size and no rare shingle
+    crowd = members.select("key", "node").join(facts, "node")
+    least = crowd.groupBy("key").agg(F.min("n_shingles").alias("least"))
+    crowd = crowd.join(least, "key").where(F.col("common") * (100 + similar) >= (F.col("n_shingles") + F.col("least")) * similar)
+    alike = pairs("key", crowd.select("key", *facts.columns)).where(fits(either) & (F.col("key") == F.get(F.array_intersect("bands_one", "bands_other"), F.lit(0))))
+    names = ["node_one", "node_other", "component_one", "component_other"]
+    found = written(sharing.select(*names).union(alike.select(*names)).distinct().toDF("one", "other", "a", "b"))
+    dropped(rare, facts)
+    return found
 
 
 def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text; other columns are ignored).
 
     component_id is the least doc_id reachable over links, and kept says that it is the row's own. A null text, or one without
-    words, has an empty set and is linked with nothing. Rows that share a doc_id are versions of one document and linked by
-    it; each gets a row. A null doc_id gets the component of its equals, if they have an id, and isn't kept. An empty table
-    gives an empty table.
+    words, has an empty set and is linked with nothing. Very long texts are read piece by piece. Rows are compared by their texts
+    alone: repeated rows share one component, and texts that share a doc_id are documents of their own, each with the component of
+    its text. A null doc_id takes no part in links; it gets the component of its equals, if they have an id, else null, and isn't
+    kept. An empty table gives an empty table.
     """
-    rows = cut(sketched(docs))
-    whole = rows.where("n_shingles > 0")
+    rows = written(sketched(docs))
     by = ["n_shingles", "print1", "print2"]
-    classes = cut(whole.groupBy(*by).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("bins").alias("bins")))
-    named = classes.where("node is not null")
-    members = cut(buckets(named).withColumn("component", F.col("node")))
-    tested = links = labels = sets = None
-    for turn in range(STARS + 1):
-        if turn == STARS:
-            pairs = rest(members, named, sets, tested, similar)
-        else:
-            pairs = star(members, turn)
-            pairs = pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs
-        pairs = cut(pairs)
-        if turn == 0:
-            if pairs.isEmpty():
-                break
-            sets = cut(full_sets(docs, members.select("node").distinct()))
-        found = cut(confirmed(pairs, sets, similar))
-        tested = pairs if tested is None else cut(tested.union(pairs))
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        if turn < STARS:
-            now = members.drop("component").join(labels, "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
-            members = cut(unsettled(now))
-            if members.isEmpty():
-                break
-            sets = cut(sets.join(members.select("node").distinct(), "node", "left_semi"))
-    of_class = named.select(*by, "node")
+    named = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*by).agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+    classes = written(named.withColumn("node", F.monotonically_increasing_id()))
+    members = written(buckets(classes))
+    labels = None
+    if not members.isEmpty():
+        nodes = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "least", *by)
+        sets = written(full_sets(docs, nodes))
+        labels = linked(members, classes.select("node", "n_shingles", "bands"), sets, similar)
+        dropped(members, sets)
+    of_class = classes.select(*by, "least", F.col("node").alias("component"))
     if labels is not None:
-        of_class = of_class.join(labels, "node", "left").select(*by, F.coalesce("component", "node").alias("node"))
-    found = rows.select("doc_id", *by).join(of_class, by, "left")
-    component = F.coalesce("node", "doc_id")
+        of_class = relabelled(of_class, labels)
+        first = of_class.groupBy("component").agg(F.min("least").alias("first"))
+        of_class = of_class.join(first, "component").select(*by, F.col("first").alias("least"))
+    found = rows.select("doc_id", *by).join(of_class.select(*by, "least"), by, "left")
+    component = F.coalesce("least", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+def linked(members: DataFrame, sizes: DataFrame, sets: DataFrame, similar: int) -> DataFrame | None:
+    """(node, component) of the nodes that are linked with another; None if none is."""
+    pairs = written(star(members))
+    links = written(confirmed(pairs, sets, similar))
+    first = None if links.isEmpty() else components(links)
+    if first is not None:
+        members = relabelled(members, first)
+    left = written(unsettled(members.select("key", "node", "component")))
+    dropped(pairs, links)
+    if left.isEmpty():
+        return first
+    pairs = rest(left, sizes, sets, similar)
+    links = written(confirmed(pairs, sets, similar))
+    second = None if links.isEmpty() else components(links)
+    dropped(left, pairs, links)
+    if first is None or second is None:
+        return first if second is None else second
+    # components of the second round are nodes or components of the first
+    later = relabelled(first, second)
+    return written(later.select("node", "component").union(second.join(first.select("node"), "node", "left_anti").select("node", "component")))

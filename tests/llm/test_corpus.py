@@ -46,6 +46,7 @@ def odd_texts():
         "it's don't we'll\x00 they've 'tis 12345 6a7",
         prose(rng, 4000, 100000),
         "z" * 3000 + " " + prose(rng, 30),
+        "hello <|endoftext|> world <|startoftext|>a<|ENDOFTEXT|>",
     ]
 
 
@@ -95,15 +96,41 @@ def test_quality_rules(odd, empty):
     assert quality_rules(empty).count() == 0
 
 
-def test_rule_order_never_changes_the_verdict(odd):
+def test_rule_order_never_changes_the_verdict(spark, odd, empty):
     from panelforge.llm import quality_rules as q
 
-    measured = q.base_measures(odd)
-    verdicts = [sorted((str(r.doc_id), str(r.text), r.rejected_by is None) for r in q.cascade(measured, list(rules)).collect()) for rules in (q.RULES, q.RULES[::-1])]
+    rules = (*q.BASE, *q.RULES)
+    verdicts = [sorted((str(r.doc_id), str(r.text), r.by is None) for r in odd.withColumn("by", q.rejected_by(order)).collect()) for order in (rules, rules[::-1])]
     assert verdicts[0] == verdicts[1]
-    order = q.rule_order(measured)
-    rates = [rate / spent for _, rate, spent in order]
-    assert rates == sorted(rates, reverse=True)
+    measured = {(r.doc_id, r.text): r.kept for r in q.quality_rules(odd).collect()}
+    lazy = q.quality_rules(clashing(odd), measures=False).collect()
+    assert len(lazy) == odd.count() and all(measured[r.doc_id, r.text] == r.kept for r in lazy)
+    assert q.quality_rules(empty, measures=False).count() == 0
+
+
+def test_rules_are_ordered_by_what_they_still_reject():
+    from panelforge.llm.quality_rules import ordered
+
+    patterns = [(frozenset("ab"), 30), (frozenset("b"), 10), (frozenset("c"), 20), (frozenset(), 40)]
+    # b rejects 40 of 100 for 1; of what it leaves a rejects nothing any more, and c a third
+    assert [(name, round(share, 3)) for name, share in ordered({"a": 1.0, "b": 1.1, "c": 9.0}, patterns)] == [("b", 0.4), ("c", 0.333), ("a", 0.0)]
+    assert [name for name, _ in ordered({"a": 1.0, "b": 8.0, "c": 1.0}, patterns)] == ["a", "c", "b"]
+
+
+def test_a_rejected_text_costs_no_later_rule(spark):
+    from panelforge.llm import quality_rules as q
+
+    broken = q.Rule("broken", lambda t, w: F.raise_error("evaluated").isNull())
+    docs = spark.createDataFrame([("one two",)] * 3, "text string")
+    assert [r.by for r in docs.select(q.rejected_by([q.BASE[0], broken]).alias("by")).collect()] == ["few_words"] * 3
+
+
+def test_rule_order_is_the_same_again(spark):
+    from panelforge.llm import quality_rules as q
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    orders = [[m.rule.name for m in q.rule_order(docs)] for _ in range(3)]
+    assert len({tuple(o) for o in orders[1:]}) == 1 and orders[1].index("repeats") > orders[1].index("symbols")
 
 
 def test_repeats_by_brute_force(spark):
@@ -253,12 +280,12 @@ def test_near_duplicates_equal_brute_force(spark):
     rng.shuffle(texts)
     rows = list(enumerate(texts))
     want = components_by_brute_force(rows)
-    for large in (64, 3):  # with and without the rule of large buckets
-        nd.LARGE, kept = large, nd.LARGE
+    for rare in (16, 3):
+        nd.RARE, kept = rare, nd.RARE
         try:
             found = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         finally:
-            nd.LARGE = kept
+            nd.RARE = kept
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
         assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
@@ -280,6 +307,32 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert near_duplicates(empty).count() == 0
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    from panelforge.llm.near_duplicates import near_duplicates
+
+    rng = random.Random(21)
+    a, b, c = (prose(rng, 50, 5000) for _ in range(3))
+    rows = [(5, a), (7, a), (7, b), (9, b), (9, b), (None, b), (None, c), (3, None), (3, c + " one more")]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(5, 5, True), (7, 5, False), (7, 7, True), (9, 7, False), (9, 7, False), (None, 7, False), (None, None, False), (3, 3, True), (3, 3, True)]
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in found) == Counter(want)
+
+
+def test_a_large_group_below_the_limit_loses_no_link(spark):
+    from panelforge.llm import near_duplicates as nd
+
+    rng, base = random.Random(31), prose(random.Random(30), 90, 5000).split()
+    texts = []
+    for i in range(160):
+        own = base[:]
+        for k in rng.sample(range(90), rng.randrange(1, 4)):
+            own[k] = f"x{rng.randrange(6)}" if i % 2 else f"y{i}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    found = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components_by_brute_force(rows)
+
+
 def test_words_in_pieces(monkeypatch):
     from panelforge.llm import near_duplicates as nd
     from panelforge.llm.textbytes import text_bytes
@@ -336,14 +389,21 @@ def test_byte_tokens_there_and_back(spark, odd, empty, files):
     assert decoded(token_ids(empty, path, files.PATTERN), path).count() == 0
 
 
-def test_long_words_by_heap_equal_short_ones_by_query(files, monkeypatch):
+def test_both_queries_equal_the_library_on_any_word(files):
+    import tiktoken
+
     from panelforge.llm import byte_tokens as b
 
-    own = b.ByteTokenizer(files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN)
-    rng = random.Random(6)
-    words = ["".join(rng.choice("abcdeghinorst") for _ in range(rng.randrange(1, 60))) for _ in range(200)] + ["aaaaaaa", "ababab", "日本語"]
-    own.learn(words)
-    assert all(own.ids[w] == ",".join(map(str, own.contract(w.encode()))) for w in words)
+    path, rng = files.path("byte_bpe_multi_50k.tiktoken"), random.Random(6)
+    own = b.ByteTokenizer(path, files.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=files.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    words = ["".join(rng.choice("abcdeghinorst") for _ in range(rng.randrange(1, 60))) for _ in range(200)] + ["aaaaaaa", "ababab", "日本語", "ab" * 90, "a" * 400, "the" * 60, "日本語のテキスト" * 30]
+    words += ["".join(rng.choice(["in", "g", "er", "ab", "cd", "ion", "s", "t"]) for _ in range(rng.randrange(40, 300))) for _ in range(40)]
+    want = {w: ",".join(map(str, library.encode_ordinary(w))) for w in words}
+    for query in (b.ENCODE, b.ENCODE_LONG):
+        own.forget()
+        own.contract(query, words, [w.encode() for w in words], list(range(len(words))))
+        assert own.ids == want
 
 
 def test_packing(odd, empty, files):
@@ -353,7 +413,6 @@ def test_packing(odd, empty, files):
 
     path = files.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     texts = {r.doc_id: r.text or "" for r in odd.collect()}
     found = packed(clashing(odd), path).collect()
     by_doc, by_sequence = {}, {}
@@ -378,6 +437,16 @@ def test_packing(odd, empty, files):
     assert all(len(r.ids) == r.length for r in packed(odd, path, with_ids=True).collect())
 
 
+def test_padding_does_not_grow_with_partitions(spark, files):
+    from panelforge.llm.packing import packed
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    for n in (1, 64):
+        found = packed(docs.repartition(n), files.path("word_bpe_49k.json"))
+        used, sequences = found.agg(F.sum("length"), F.countDistinct("sequence_id")).first()
+        assert used > 0.98 * 2048 * sequences, n
+
+
 def test_differencing_fills_windows():
     from panelforge.llm.packing import cut_ids, windows
 
@@ -582,8 +651,8 @@ def test_pipeline_keeps_one_row_of_repeated_ids(spark, odd, empty):
     rows = c.one_of_each_group(spark, odd.where("doc_id is not null"), "").collect()
     ids = [r.doc_id for r in rows]
     assert len(ids) == len(set(ids)) and 6 in ids and 9 not in ids
-    assert c.one_of_each_group(spark, empty, "").count() == 0
-    assert c.by_rules(spark, empty, "").count() == 0
+    for name, stage in c.STAGES:
+        assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0, name
 
 
 def test_pipeline_groups_rows_and_not_ids(spark):
@@ -603,13 +672,24 @@ def test_pipeline_ends_in_ids(spark, odd, files):
     import corpus_pipeline as c
 
     library = Tokenizer.from_file(files.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     texts = {r.doc_id: r.text or "" for r in odd.collect()}
     for r in c.into_sequences(spark, odd, "").collect():
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids + [1]
         assert r.ids == ids[r.start : r.start + r.length]
 
 
+def test_pipeline_runs_its_stages_one_after_the_other(spark):
+    import corpus_pipeline as c
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in c.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, sf).collect(), stage(spark, docs, sf).schema)
+    pieces = lambda df: Counter((r.doc_id, r.doc_tokens) for r in df.collect() if r.start == 0)
+    found = c.run(spark, sf)
+    assert pieces(found) == pieces(docs) and found.columns == docs.columns
+
+
 # Queries against SQL
 
 
