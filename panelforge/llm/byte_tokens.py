@@ -6,14 +6,14 @@ table, the leftmost of a word's pairs of least rank is contracted, and words wit
 the ids of a word together. A text's ids are those of its words. Decoding knows ids only: it joins the vocabulary's bytes of
 each id, in order.
 
-A word of over LONG bytes would need as many steps as it has bytes, each over all of them. Such words are contracted by a heap
-of pairs instead, with the same result.
+In a word of many bytes a step contracts every pair of least rank at once, the left one of two that overlap, so that it takes few
+steps. Contracting them one by one gives the same unless a contraction makes a pair of still lower rank; in such a step only the
+leftmost is contracted. Either query gives the same ids for any word; the first is quicker for short words.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -26,7 +26,8 @@ from .textbytes import row_runs, text_bytes
 
 #: Bytes of text that are encoded at once; one longer text stands alone.
 AT_ONCE = 6 << 20
-LONG = 96
+#: Bytes up to which a word's steps contract one pair.
+SHORT = 96
 #: Words that a worker remembers at most before it starts anew.
 KEPT = 900_000
 MEMORY = "500MB"
@@ -56,6 +57,32 @@ WITH RECURSIVE state(word, place, id, following, active) AS (
 SELECT word, array_to_string(list(id ORDER BY place), ',') AS ids FROM state WHERE NOT active GROUP BY word
 """
 
+ENCODE_LONG = """
+WITH RECURSIVE state(word, place, id, active) AS (
+    SELECT word, place, id, true FROM symbols
+    UNION ALL
+    (
+        WITH paired AS (
+            SELECT word, place, s.id, before, after_both, m.id AS made, min(m.id) OVER (PARTITION BY word) AS best FROM (
+                SELECT word, row_number() OVER w AS place, id, lag(id) OVER w AS before, lead(id) OVER w AS following, lead(id, 2) OVER w AS after_both
+                FROM state WHERE active WINDOW w AS (PARTITION BY word ORDER BY place)
+            ) s LEFT JOIN merges m ON m.pair = s.id::BIGINT * 65536 + following
+        ), counted AS (
+            SELECT *, coalesce(made = best, false) AS fits, place - max(CASE WHEN made = best THEN 0 ELSE place END) OVER (PARTITION BY word ORDER BY place) AS nth FROM paired
+        ), turned AS (
+            SELECT word, place, id, before, after_both, best, fits AND nth % 2 = 1 AS apart, row_number() OVER (PARTITION BY word, fits ORDER BY place) AS turn FROM counted
+        ), lower AS (
+            SELECT DISTINCT word FROM turned JOIN merges m ON apart AND m.id < best AND m.pair IN (before::BIGINT * 65536 + best, best::BIGINT * 65536 + after_both, best::BIGINT * 65536 + best)
+        ), hits AS (
+            SELECT word, place, id, best, apart AND (turn = 1 OR word NOT IN (FROM lower)) AS hit FROM turned
+        )
+        SELECT word, place, CASE WHEN hit THEN best ELSE id END, best IS NOT NULL
+        FROM (SELECT *, lag(hit, 1, false) OVER (PARTITION BY word ORDER BY place) AS gone FROM hits) WHERE NOT gone
+    )
+)
+SELECT word, array_to_string(list(id ORDER BY place), ',') AS ids FROM state WHERE NOT active GROUP BY word
+"""
+
 
 def ranks_of(path: str) -> dict[bytes, int]:
     """The id of each token of a rank file."""
@@ -89,42 +116,21 @@ class ByteTokenizer:
     def learn(self, words: list[str]) -> None:
         """Encodes new words."""
         data = [w.encode() for w in words]
-        short = [k for k, d in enumerate(data) if len(d) <= LONG]
-        lengths = np.array([len(data[k]) for k in short], np.int64)
-        word = np.repeat(np.array(short, np.int32), lengths)
+        for query, own in ((ENCODE, [k for k, d in enumerate(data) if len(d) <= SHORT]), (ENCODE_LONG, [k for k, d in enumerate(data) if len(d) > SHORT])):
+            if own:
+                self.contract(query, words, data, own)
+
+    def contract(self, query: str, words: list[str], data: list[bytes], own: list[int]) -> None:
+        """Runs the query over the bytes of these words."""
+        lengths = np.array([len(data[k]) for k in own], np.int64)
+        word = np.repeat(np.array(own, np.int32), lengths)
         place = (np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-        ids = self.of_byte[np.frombuffer(b"".join(data[k] for k in short), np.uint8)]
+        ids = self.of_byte[np.frombuffer(b"".join(data[k] for k in own), np.uint8)]
         self.base.register("symbols", pa.table({"word": word, "place": place, "id": ids}))
-        found = self.base.sql(ENCODE).to_arrow_table()
-        for k, own in zip(*(found.column(c).to_pylist() for c in ("word", "ids")), strict=True):
-            self.ids[words[k]] = own
+        found = self.base.sql(query).to_arrow_table()
+        for k, text in zip(*(found.column(c).to_pylist() for c in ("word", "ids")), strict=True):
+            self.ids[words[k]] = text
         self.base.unregister("symbols")
-        for k, d in enumerate(data):
-            if len(d) > LONG:
-                self.ids[words[k]] = ",".join(map(str, self.contract(d)))
-
-    def contract(self, data: bytes) -> list[int]:
-        """Ids of one long word."""
-        ends, before = list(range(1, len(data) + 1)), list(range(-1, len(data) - 1))
-        rank = lambda i: self.ranks.get(data[i : ends[ends[i]]]) if ends[i] < len(data) else None
-        heap = [(r, i, ends[ends[i]]) for i in range(len(data)) if (r := rank(i)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, i, end = heapq.heappop(heap)
-            if ends[i] < 0 or ends[i] >= len(data) or ends[ends[i]] != end:
-                continue
-            gone = ends[i]
-            ends[i], ends[gone] = end, -1
-            if end < len(data):
-                before[end] = i
-            for k in (before[i], i):
-                if k >= 0 and (r := rank(k)) is not None:
-                    heapq.heappush(heap, (r, k, ends[ends[k]]))
-        out, at = [], 0
-        while at < len(data):
-            out.append(self.ranks[data[at : ends[at]]])
-            at = ends[at]
-        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
