@@ -6,8 +6,9 @@ into windows of nearly equal sums: partial partitions into k sums start with one
 are merged, the largest sums of one with the smallest of the other, until one is left. k starts at the least number that can
 hold the batch and rises until no sum exceeds CAPACITY.
 
-Batches are formed inside a task, so nothing is shuffled, memory is bounded by a batch, and no key can be hot. Each
-partition's last window may be part empty.
+Batches are formed inside a task, so memory is bounded by a batch and no key can be hot. A partition's last, smaller batch isn't
+divided there: what partitions have left is gathered, REST ids to a task, and divided in the same way, so that padding doesn't grow
+with the number of partitions.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .common import written
 from .textbytes import row_runs, text_bytes
 from .word_tokens import tokenizer
 
@@ -28,6 +31,8 @@ CAPACITY = 2048
 PIECE = 512
 BATCH = 1536
 END_ID = 1
+#: Ids of partitions' last batches that a task divides.
+REST = 1 << 22
 
 
 def difference(sizes: np.ndarray, k: int) -> list[list[int]]:
@@ -91,65 +96,79 @@ def cut_ids(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[
 
 
 def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, piece: int = PIECE, batch: int = BATCH, with_ids: bool = False) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]) for each piece of each row of docs (doc_id, text).
+    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]) for each piece of each row of docs (doc_id, text; other columns are ignored).
 
-    A null or empty text has the end id alone. Repeated rows are packed one by one. sequence_id holds the partition's number
-    above 32 bits and the sequence's number in it below. An empty table gives an empty table. with_ids adds the piece's ids.
+    A null or empty text has the end id alone. A very long text is encoded by itself and cut like any other. Repeated rows, and rows
+    that share an id or have none, are packed one by one. sequence_id holds a task's number above 32 bits and the sequence's number
+    in it below, and bit 62 for what partitions had left. An empty table gives an empty table. with_ids adds the piece's ids. The
+    pieces are written to the shared folder once, before what is left is gathered.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+
+    def table(pieces: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+        columns = list(zip(*pieces, strict=True))
+        arrays = [pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:7])]
+        if with_ids:
+            ends = np.concatenate(([0], np.cumsum(columns[2]))).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(columns[7]), "<i4"))))
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    def divided(waiting: list[tuple], number: int) -> list[tuple]:
+        """The pieces in windows, which are numbered from number on."""
+        out = []
+        for k, part in enumerate(windows(np.array([p[2] for p in waiting]), capacity)):
+            at = 0
+            for i in part:
+                out.append((*waiting[i][:5], number + k, at, waiting[i][7]))
+                at += waiting[i][2]
+        return out
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         end = np.array([END_ID], "<u4").tobytes()
-        waiting: list[tuple] = []
-        encoder, id_type = tokenizer(tokenizer_path), None
-
-        def rows(found: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*found, strict=True))
-            arrays = [pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:7])]
-            if with_ids:
-                ends = np.concatenate(([0], np.cumsum(columns[2]))).astype(np.int32)
-                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(columns[7]), "<i4"))))
-            return pa.RecordBatch.from_arrays(arrays, names)
-
-        def close() -> pa.RecordBatch:
-            nonlocal number
-            out = []
-            for part in windows(np.array([p[2] for p in waiting]), capacity):
-                at = 0
-                for i in part:
-                    doc_id, start, length, crc, n, ids = waiting[i]
-                    out.append((doc_id, start, length, crc, n, number, at, ids))
-                    at += length
-                number += 1
-            waiting.clear()
-            return rows(out)
-
+        encoder, waiting, kind = tokenizer(tokenizer_path), [], None
         for b in batches:
-            id_type = b.column("doc_id").type
-            doc_ids, texts = b.column("doc_id"), b.column("text")
+            doc_ids, texts, kind = b.column("doc_id"), b.column("text"), b.column("doc_id").type
             _, offsets = text_bytes(texts)
             for first, last in row_runs(offsets, 1 << 20):
-                full = []
+                done = []
                 encoded = encoder.encode([t or "" for t in texts.slice(first, last - first).to_pylist()])
                 for doc_id, ids in zip(doc_ids.slice(first, last - first).to_pylist(), encoded, strict=True):
                     ids += end
                     n = len(ids) // 4
                     for start, length in cut_ids(n, capacity, piece):
                         own = ids[4 * start : 4 * (start + length)]
-                        entry = (doc_id, start, length, zlib.crc32(own), n)
-                        if length == capacity:
-                            full.append((*entry, number, 0, own if with_ids else None))
-                            number += 1
-                        else:
-                            waiting.append((*entry, own if with_ids else None))
-                            if len(waiting) >= batch:
-                                yield close()
-                if full:
-                    yield rows(full)
+                        full = length == capacity
+                        entry = (doc_id, start, length, zlib.crc32(own), n, number if full else None, 0 if full else None, own if with_ids else None)
+                        number += full
+                        (done if full else waiting).append(entry)
+                        if len(waiting) >= batch:
+                            done += divided(waiting, number)
+                            number = done[-1][5] + 1
+                            waiting = []
+                if done:
+                    yield table(done, kind)
+        if waiting:
+            yield table(waiting, kind)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 1 << 62 | TaskContext.get().partitionId() << 32
+        waiting, kind = [], None
+        for b in batches:
+            kind = b.column("doc_id").type
+            columns = [b.column(c).to_pylist() for c in names[:7]]
+            columns.append([np.array(x.values, "<i4").tobytes() for x in b.column("ids")] if with_ids else [None] * b.num_rows)
+            for entry in zip(*columns, strict=True):
+                waiting.append(entry)
+                if len(waiting) >= batch:
+                    done = divided(waiting, number)
+                    number, waiting = done[-1][5] + 1, []
+                    yield table(done, kind)
         if waiting:
-            yield close()
+            yield table(divided(waiting, number), kind)
 
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(pack, schema)
+    pieces = written(docs.select("doc_id", "text").mapInArrow(pack, schema))
+    left = pieces.where("sequence_id is null")
+    n = left.agg(F.sum("length")).first()[0] or 0
+    return pieces.where("sequence_id is not null").union(left.repartition(max(1, n // REST)).mapInArrow(gather, schema))

@@ -2,7 +2,7 @@
 
 The tokenizer's file splits a normalised text into words, and encodes each word by itself; so a word's ids can be kept. Most
 texts are split on flat bytes in numpy, and their words looked up by a 64-bit hash. Texts with characters whose normal form,
-lower case or class two libraries might see differently are encoded whole by the library.
+lower case or class two libraries might see differently, and those with the file's special marks, are encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -64,8 +64,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.library.no_truncation()
+        #: What the library turns into one id wherever it occurs in a text.
+        self.marks = [t.content for t in self.library.get_added_tokens_decoder().values()]
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -123,7 +123,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        plain = [PLAIN.fullmatch(t) is not None for t in texts]
+        plain = [PLAIN.fullmatch(t) is not None and not any(m in t for m in self.marks) for t in texts]
         quick = iter(self.plain([t.lower().encode() for t, p in zip(texts, plain, strict=True) if p]))
         return [next(quick) if p else np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t, p in zip(texts, plain, strict=True)]
 
