@@ -1,21 +1,23 @@
 """Quality rules as a short-circuit cascade, with built-in functions only.
 
-A rule is a test on one text. Before the cascade runs, each rule's cost (seconds a row) and
-rejection rate are measured on a sample; the rules are then tried in order of rejections per
-second, and the first that rejects a text ends its cascade. The order decides how fast a text is
-rejected, never whether: the verdict is the conjunction of all rules.
+A rule is a test on one text and computes what it needs from the text itself. Before the cascade runs, each rule is timed by itself on a
+sample, and what all of them reject there is counted. The order is then built from the front: next comes the rule that rejects most
+of the sample's texts that the rules before it leave, a second of its own cost. The first rule that rejects a text ends its
+cascade, so what later rules would need isn't computed. The order decides how fast a text is rejected, never whether: the verdict is
+the conjunction of all rules.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, unused, words_of
+from .common import SPACE, let, unused, words_of
 
 WINDOW = 8
 
@@ -76,28 +78,33 @@ def base_measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects(text column's name) is true for a text that the rule rejects; it may use the base measures."""
+    """rejects(text, its words) is true for a text that the rule rejects."""
 
     name: str
-    rejects: Callable[[str], Column]
+    rejects: Callable[[Column, Column], Column]
 
 
-def upper_letters(text: str) -> Column:
-    return F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[^A-Z]", ""))
+def found_in(text: Column, pattern: str) -> Column:
+    """Characters of this class."""
+    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def double_bangs(text: str) -> Column:
-    whole = F.coalesce(F.col(text), F.lit(""))
-    return F.length(whole) - F.length(F.replace(whole, F.lit("!!"), F.lit("")))
+def word_chars(text: Column) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, SPACE, ""))
 
 
-#: The rules beyond the base: thresholds in whole numbers, so that every engine decides alike.
+#: What base_failed means, as rules. Thresholds are in whole numbers, so that every engine decides alike.
+BASE = (
+    Rule("few_words", lambda t, w: F.size(w) < 20),
+    Rule("repeats", lambda t, w: repeat_words(w) * 100 > F.size(w) * 30),
+)
+#: The rules beyond the base.
 RULES = (
-    Rule("symbols", lambda t: F.col("n_symbols") * 100 > F.col("n_words") * 25),
-    Rule("word_length", lambda t: (F.col("word_chars") > F.col("n_words") * 25) | (F.col("word_chars") * 2 < F.col("n_words") * 3)),
-    Rule("repeated_lines", lambda t: F.col("n_dup_lines") * 10 > F.col("n_words")),
-    Rule("shouting", lambda t: upper_letters(t) * 100 > F.col("word_chars") * 60),
-    Rule("exclamation", lambda t: double_bangs(t) * 100 > F.col("n_words") * 60),
+    Rule("symbols", lambda t, w: found_in(t, r"[#*$%&|<>]") * 100 > F.size(w) * 25),
+    Rule("word_length", lambda t, w: let(F.length(F.array_join(w, "")), lambda c: (c > F.size(w) * 25) | (c * 2 < F.size(w) * 3))),
+    Rule("repeated_lines", lambda t, w: let(lines_with_words(t), lambda x: F.size(x) - F.size(F.array_distinct(x))) * 10 > F.size(w)),
+    Rule("shouting", lambda t, w: found_in(t, "[A-Z]") * 100 > F.length(F.array_join(w, "")) * 60),
+    Rule("exclamation", lambda t, w: (F.length(t) - F.length(F.replace(t, F.lit("!!"), F.lit("")))) * 100 > F.size(w) * 60),
 )
 
 
@@ -105,60 +112,101 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
 
 
-def rule_order(measured: DataFrame, rules=RULES, text: str = "text", sample_rows: int = 2000, repeats: int = 2) -> list[tuple[Rule, float, float]]:
-    """(rule, rejection rate, seconds for the sample), by rejections per second, largest first.
+def whole(text: str) -> Column:
+    return F.coalesce(F.col(f"`{text}`"), F.lit(""))
+
+
+def tested(text: str, verdict: Callable[[Column, Column], Column]) -> Column:
+    """verdict(text, words), with the text split into words once."""
+    return let(words_of(whole(text)), lambda words: verdict(whole(text), words))
+
+
+@dataclass(frozen=True)
+class Measured:
+    """A rule's own seconds for the sample, and how often it rejects a sampled text that the rules before it leave."""
+
+    rule: Rule
+    seconds: float
+    rejected: float
+
 
-    The sample is a random share of the rows, sized to sample_rows on average; every rule is timed on it alone, less the
-    time of a rule that does nothing, and the shortest of the repeats counts. On an empty table the given order stays.
+def ordered(cost: dict[str, float], patterns: Sequence[tuple[frozenset[str], int]]) -> list[tuple[str, float]]:
+    """(rule, rejections among what is left), most rejections a second first; patterns count the texts that the same rules reject.
+
+    Costs count by powers of two, and ties go to the cheaper rule by that measure, then to the first name, so that noise in the clock
+    doesn't change the order.
+    """
+    level = {name: 2.0 ** round(log2(seconds)) for name, seconds in cost.items()}
+    left, out = list(patterns), []
+    while len(out) < len(cost):
+        n = max(1, sum(k for _, k in left))
+        gain = {name: sum(k for names, k in left if name in names) / n for name in cost if name not in dict(out)}
+        best = min(gain, key=lambda name: (-gain[name] / level[name], level[name], name))
+        out.append((best, gain[best]))
+        left = [(names, k) for names, k in left if best not in names]
+    return out
+
+
+def rule_order(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), text: str = "text", sample_rows: int = 2000, copies: int = 4, repeats: int = 3) -> list[Measured]:
+    """The rules in the order in which they reject most a second.
+
+    The sample is a random share of the rows, sized to sample_rows on average. Each rule is timed by itself over copies of it, less the time
+    that the same job takes without a rule; the shortest of the repeats counts, and half of the empty job's time at least, below which
+    the clock can't tell rules apart. On an empty table the given order stays.
     """
-    total = measured.count()
-    if not total:
-        return [(r, 0.0, 0.0) for r in rules]
-    sample = measured.sample(min(1.0, sample_rows / total), seed=17).persist()
+    total = docs.count()
+    sample = docs.select(F.col(f"`{text}`").alias("text")).sample(min(1.0, sample_rows / max(1, total)), seed=17).persist()
     try:
-        n = max(1, sample.count())
-
-        def timed(test: Column) -> tuple[int, float]:
-            spent, found = [], 0
+        verdicts = F.struct(*(F.coalesce(tested("text", r.rejects), F.lit(False)).alias(r.name) for r in rules))
+        found = sample.select(verdicts.alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()
+        if not found:
+            return [Measured(r, 0.0, 0.0) for r in rules]
+
+        def timed(test: Callable[[Column, Column], Column]) -> float:
+            several = sample.select("text", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+            spent = []
             for _ in range(repeats):
                 began = time.perf_counter()
-                found = sample.agg(F.sum(F.coalesce(test, F.lit(False)).cast("long"))).first()[0] or 0
+                several.agg(F.sum(tested("text", test).cast("long"))).collect()
                 spent.append(time.perf_counter() - began)
-            return found, min(spent)
+            return min(spent)
 
-        idle = timed(F.lit(False))[1]
-        out = []
-        for rule in rules:
-            found, spent = timed(rule.rejects(text))
-            out.append((rule, found / n, max(spent - idle, 1e-4)))
+        idle = timed(lambda t, w: F.size(w) < 0)
+        cost = {r.name: max(timed(r.rejects) - idle, idle / 2) for r in rules}
     finally:
         sample.unpersist()
-    return sorted(out, key=lambda x: -x[1] / x[2])
+    patterns = [(frozenset(name for name, hit in row.v.asDict().items() if hit), row.n) for row in found]
+    by_name = {r.name: r for r in rules}
+    return [Measured(by_name[name], cost[name], rejected) for name, rejected in ordered(cost, patterns)]
 
 
-def cascade(measured: DataFrame, order: list[Rule], text: str = "text") -> DataFrame:
-    """Adds rejected_by (the first rule in this order that rejects the text, or null). Later rules aren't evaluated for it."""
-    chain = None
-    for rule in order:
-        test = F.coalesce(rule.rejects(text), F.lit(False))
-        chain = F.when(test, rule.name) if chain is None else chain.when(test, rule.name)
-    return measured.withColumn("rejected_by", F.lit(None).cast("string") if chain is None else chain)
+def rejected_by(order: Sequence[Rule], text: str = "text") -> Column:
+    """The first rule in this order that rejects the text, or null. Later rules aren't evaluated for it."""
 
+    def chain(whole_text: Column, words: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for rule in reversed(order):
+            out = F.when(F.coalesce(rule.rejects(whole_text, words), F.lit(False)), rule.name).otherwise(out)
+        return out
 
-def quality_rules(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = 2000) -> DataFrame:
-    """docs with the base measures, base_failed, rejected_by and kept.
+    return tested(text, chain)
 
-    A null or empty text has no words and fails the base. Repeated rows are judged one by one. Columns of docs named like
-    an added one are replaced. An empty table gives an empty table. The base is tested before the cascade.
-    """
-    order = [r for r, _, _ in rule_order(base_on_sample(docs, text, sample_rows), rules, text, sample_rows)]
-    measured = base_measures(docs, text)
-    measured = measured.withColumn("base_failed", base_failed())
-    first = Rule("base", lambda t: F.col("base_failed"))
-    return cascade(measured, [first, *order], text).withColumn("kept", F.col("rejected_by").isNull())
 
+def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 2000, measures: bool = True) -> DataFrame:
+    """docs with rejected_by (the rule that ended the text's cascade, null if none) and kept.
 
-def base_on_sample(docs: DataFrame, text: str, sample_rows: int) -> DataFrame:
-    """Base measures of a random share of docs, for rule_order; only that share is measured."""
-    total = docs.count()
-    return base_measures(docs.sample(min(1.0, sample_rows / total), seed=13) if total > sample_rows else docs, text)
+    With measures also the base measures and base_failed are added; since they are there for every text, the base is tested first,
+    and rejected_by is `base` for what it fails. Without, the base's rules take their places in the cascade like the others, and a text
+    is worked on no longer than until it is rejected. kept is the same either way.
+
+    A null or empty text has no words and fails the base. A very long text is one row like any other. Repeated rows are judged one by
+    one. Columns of docs named like an added one are replaced. An empty table gives an empty table.
+    """
+    tried = rules if measures else (*BASE, *rules)
+    order = [m.rule for m in rule_order(docs, tried, text, sample_rows)]
+    if measures:
+        found = base_measures(docs, text).withColumn("base_failed", base_failed())
+        verdict = F.when(F.col("base_failed"), "base").otherwise(rejected_by(order, text))
+    else:
+        found, verdict = docs, rejected_by(order, text)
+    return found.withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())
