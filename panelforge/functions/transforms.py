@@ -153,9 +153,13 @@ def parse_queryset(operations: list[list[dict]]) -> list[tuple[str, list[tuple[s
     return found
 
 
+#: Transforms of tables by registry name: (df, keys, column, out, *arguments) -> df.
+TABLE_TRANSFORMS: dict[str, Callable[..., DataFrame]] = {"spatial.lag": spatial_lag, "spatial.countrylag": adjacency_lag, "spatial.treelag": tree_lag, "spatial.sptime_dist": spacetime_distance}
+
+
 def apply_chain(df: DataFrame, keys: tuple[str, str], base: str, steps: list[tuple[str, list]], out: str, extra: dict[str, Callable] | None = None) -> DataFrame:
-    """df with out, made from base by the steps. extra holds transforms of tables: (df, keys, column, out, *arguments) -> df."""
-    extra = {"spatial.lag": spatial_lag, "spatial.treelag": tree_lag, "spatial.sptime_dist": spacetime_distance} | (extra or {})
+    """df with out, made from base by the steps. extra holds further transforms of tables; arguments of one may be tables, as the adjacency of `spatial.countrylag`."""
+    extra = TABLE_TRANSFORMS | (extra or {})
     df = df.withColumn(out, F.col(base))
     for name, arguments in steps:
         if name in COLUMN_TRANSFORMS:

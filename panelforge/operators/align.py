@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .audits import require_empty
+
 
 def step_table(spark: SparkSession, base: int, steps: int = 36, shifts: int = 12) -> DataFrame:
     """(origin, time, step): origin i's step s is month base + i + s, for steps 1 to steps and origins 0 to shifts."""
@@ -46,9 +48,17 @@ def key_differences(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return found.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
 
+def misaligned(result: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(problem, n): wanted keys that the result lacks (`missing`), and keys that either table repeats (`repeated`); must be empty before a result is realigned."""
+    missing = wanted.select(*keys).join(result.select(*keys), list(keys), "left_anti").select(F.lit("missing").alias("problem"))
+    repeated = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit("repeated").alias("problem")) for df in (result, wanted)]
+    return missing.union(repeated[0]).union(repeated[1]).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
 def realign(result: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """result's rows in the shape of wanted's keys; keys without a result have nulls."""
-    return wanted.select(*keys).join(result, list(keys), "left")
+    """result's rows for wanted's keys; a missing or repeated key is an error."""
+    require_empty(misaligned(result, wanted, keys), "the result doesn't fit the keys")
+    return wanted.select(*keys).join(result, list(keys))
 
 
 def history(reference: DataFrame, sources: Sequence[tuple[str, DataFrame]], targets: Sequence[str], keys: Sequence[str]) -> DataFrame:

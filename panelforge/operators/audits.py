@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,21 +53,35 @@ def unexpected_draws(forecasts: DataFrame, expected: int, column: str = "forecas
 
 
 def reusable(saved: DataFrame, column: str, expected: int) -> bool:
-    """Whether a saved forecast has as many draws as are wanted."""
-    row = saved.select(F.size(column).alias("n")).limit(1).collect()
-    return bool(row) and row[0].n == expected
+    """Whether all rows of a saved forecast have as many draws as are wanted."""
+    row = draw_counts(saved, [column]).first()
+    return row.least == row.most == expected
+
+
+def empty_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name) of the tables without a row."""
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts).where("n = 0").select("name")
+
+
+def missing_keys(df: DataFrame, level: str) -> list[str]:
+    """Key columns of the level that the table lacks."""
+    return [k for k in LEVELS[level] if k not in df.columns]
 
 
 def check_level(df: DataFrame, level: str) -> DataFrame:
-    missing = [k for k in LEVELS[level] if k not in df.columns]
-    if missing:
+    if missing := missing_keys(df, level):
         raise PanelError(f"{level} needs {missing}")
     return df
 
 
+def missing_predictions(df: DataFrame, targets: Sequence[str]) -> list[str]:
+    """Targets without a prediction column."""
+    return [t for t in targets if PREFIX + t not in df.columns]
+
+
 def check_predictions(df: DataFrame, targets: Sequence[str]) -> DataFrame:
-    missing = [t for t in targets if PREFIX + t not in df.columns]
-    if missing:
+    if missing := missing_predictions(df, targets):
         raise PanelError(f"no predictions of {missing}")
     return df
 
@@ -120,10 +135,14 @@ def manifest(df: DataFrame, run: str, target: str, key: str = "month_id") -> Dat
     return cells_by_month(df, key).agg(months.alias("months"), F.max("n_cells").alias("cell_count")).select(F.lit(run).alias("run"), F.lit(target).alias("target"), "months", "cell_count")
 
 
+def content(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Aggregates n and print: rows and a hash of their content that doesn't depend on order."""
+    return F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("print")
+
+
 def fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by, n, print): rows and a hash of their content that doesn't depend on order."""
-    values = [c for c in df.columns if c not in by]
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*values).cast("decimal(38,0)")).alias("print"))
+    """(by, n, print) of the rows' content."""
+    return df.groupBy(*by).agg(*content([c for c in df.columns if c not in by]))
 
 
 def same_content(left: DataFrame, right: DataFrame) -> bool:
@@ -153,23 +172,31 @@ def scale_conflicts(models: DataFrame) -> DataFrame:
     return per.select(problem.alias("problem"), (F.col("n") - F.col("declared")).alias("undeclared")).where("problem is not null")
 
 
+def structure_changes(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(problem, item, n): columns that are lost (`column`), and by how many rows the tables differ (`rows`)."""
+    n = before.agg(F.count(F.lit(1)).alias("__n")).crossJoin(F.broadcast(after.agg(F.count(F.lit(1)).alias("__m"))))
+    lost = F.array(*(F.lit(c) for c in columns if c not in after.columns)).cast("array<string>")
+    rows = n.select(F.lit("rows").alias("problem"), F.lit("all").alias("item"), (F.col("__m") - F.col("__n")).alias("n")).where("n <> 0")
+    return n.select(F.lit("column").alias("problem"), F.explode(lost).alias("item"), F.lit(1).cast("long").alias("n")).unionByName(rows)
+
+
 def check_structure(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
     """after, if it has these columns and as many rows as before."""
-    missing = [c for c in columns if c not in after.columns]
-    if missing:
-        raise PanelError(f"columns {missing} are lost")
-    n, m = before.count(), after.count()
-    if n != m:
-        raise PanelError(f"{n} rows became {m}")
+    require_empty(structure_changes(before, after, columns), "the table changed")
     return after
 
 
+def bad_actuals(df: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """(target, problem) of targets that are missing, or hold arrays of more or fewer than one draw."""
+    arrays = [t for t in targets if t in df.columns and df.schema[t].dataType.typeName() == "array"]
+    wide = df.agg(*(F.max((F.size(t) != 1).cast("int")).alias(t) for t in arrays)) if arrays else df.agg(F.lit(0).alias("__none"))
+    problem = [F.struct(F.lit(t).alias("target"), F.lit("missing").alias("problem")) for t in targets if t not in df.columns]
+    problem += [F.when(F.col(t) == 1, F.struct(F.lit(t).alias("target"), F.lit("draws").alias("problem"))) for t in arrays]
+    found = F.explode(F.array_compact(F.array(*problem))) if problem else F.explode(F.array().cast("array<struct<target: string, problem: string>>"))
+    return wide.select(found.alias("x")).select("x.target", "x.problem")
+
+
 def check_actuals(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """df, if it has all targets, each a number or arrays of one draw."""
-    missing = [t for t in targets if t not in df.columns]
-    if missing:
-        raise PanelError(f"no actuals of {missing}")
-    arrays = [t for t in targets if df.schema[t].dataType.typeName() == "array"]
-    if arrays:
-        require_empty(draw_counts(df, arrays).where("least <> 1 or most <> 1"), "actuals with more or fewer than one draw")
+    require_empty(bad_actuals(df, targets), "actuals")
     return df

@@ -86,8 +86,9 @@ def orphan_timeline(files: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def timestamp(text: Column) -> Column:
-    """An ISO time in UTC (the session's zone is UTC); without a zone it is UTC already; what can't be read is null."""
-    return F.try_to_timestamp(text)
+    """The instant of an ISO time; without a zone it is in UTC, whatever the session's zone; what can't be read is null."""
+    zoned = F.when(~text.rlike(":"), F.concat(text, F.lit("T00:00:00Z"))).when(text.rlike(r"(Z|[+-]\d\d(:?\d\d)?)$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.try_to_timestamp(zoned)
 
 
 def verdict(broken: DataFrame, counts: DataFrame) -> DataFrame:
@@ -103,6 +104,12 @@ def stale_history(files: DataFrame, documents: DataFrame, category: str = "histo
     return top.join(known, "file_id", "left").select(F.col("file_id").alias("newest_file"), F.coalesce("indexed", F.lit(False)).alias("indexed"))
 
 
+def category_counts(files: DataFrame, documents: DataFrame) -> DataFrame:
+    """(category, n, indexed): files of each category, and how many of them a document names."""
+    known = documents.select("file_id").where("file_id is not null").distinct().withColumn("__known", F.lit(1))
+    return files.join(known, "file_id", "left").groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.count("__known").alias("indexed"))
+
+
 def bad_records(records: DataFrame) -> DataFrame:
     """Records of an unknown category, or without what a record must have; must be empty before they are appended."""
     needed = [f.name for f in RECORD.fields if not f.nullable]

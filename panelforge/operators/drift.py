@@ -33,8 +33,14 @@ def rates(df: DataFrame, keys: tuple[str, str], features: Sequence[str], kind: s
     return found.select(check.alias("check"), item.alias("item"), "rate")
 
 
-def deltas(df: DataFrame, keys: tuple[str, str], features: Sequence[str], last_month: int, recent: int = 1, before: int = 30) -> DataFrame:
-    """(check, item, rate): how missing and zero rates of the last months differ from those of the months before them."""
+def newest_month(df: DataFrame, keys: tuple[str, str]) -> int:
+    """The last month that the table has; 0 for an empty one."""
+    return df.agg(F.max(keys[0])).first()[0] or 0
+
+
+def deltas(df: DataFrame, keys: tuple[str, str], features: Sequence[str], last_month: int | None = None, recent: int = 1, before: int = 30) -> DataFrame:
+    """(check, item, rate): how missing and zero rates of the last months differ from those of the months before them. last_month: of the data, if not given."""
+    last_month = newest_month(df, keys) if last_month is None else last_month
     new = F.col(keys[0]) > last_month - recent
     old = (F.col(keys[0]) <= last_month - recent) & (F.col(keys[0]) > last_month - recent - before)
     change = lambda x: F.abs(F.avg(F.when(new, x)) - F.avg(F.when(old, x)))
@@ -42,14 +48,22 @@ def deltas(df: DataFrame, keys: tuple[str, str], features: Sequence[str], last_m
     return found.unpivot(["feature"], ["delta_missing", "delta_zero"], "check", "rate").select("check", F.col("feature").alias("item"), "rate")
 
 
-def extremes(df: DataFrame, keys: tuple[str, str], features: Sequence[str], last_month: int, recent: int = 1) -> DataFrame:
-    """(check, item, rate): how many standard deviations of the earlier months the greatest recent value lies above their mean."""
+def extremes(df: DataFrame, keys: tuple[str, str], features: Sequence[str], last_month: int | None = None, recent: int = 1) -> DataFrame:
+    """(check, item, rate): how many standard deviations of the earlier months the greatest recent value lies above their mean. last_month: of the data, if not given."""
+    last_month = newest_month(df, keys) if last_month is None else last_month
     new = F.col(keys[0]) > last_month - recent
     value = F.nanvl("value", F.lit(None).cast("double"))
     found = tall(df, keys, features).groupBy("feature").agg(F.max(F.when(new, value)).alias("top"), F.avg(F.when(~new, value)).alias("mean"), F.stddev(F.when(~new, value)).alias("sd"))
     return found.select(F.lit("extreme").alias("check"), F.col("feature").alias("item"), F.when(F.col("sd") > 0, (F.col("top") - F.col("mean")) / F.col("sd")).alias("rate"))
 
 
+def checks(df: DataFrame, keys: tuple[str, str], features: Sequence[str], recent: int = 1) -> DataFrame:
+    """(check, item, rate) of all checks, the last month being the data's."""
+    last = newest_month(df, keys)
+    found = [rates(df, keys, features, "missing"), rates(df, keys, features, "zero"), deltas(df, keys, features, last, recent), extremes(df, keys, features, last, recent)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
 def alerts(checks: DataFrame, model: str, thresholds: dict[str, float] | None = None) -> DataFrame:
     """(model, check, item, rate, threshold, severity) of the rates above their thresholds; severe from twice the threshold on."""
     limits = THRESHOLDS | (thresholds or {})

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import draws
 from ..schema import PanelError
+from .audits import draw_counts
+
 
 def per_draw(score) -> Column:
     """The mean of a score over a row's draws, so that nothing is exploded."""
@@ -54,12 +57,6 @@ METRICS: dict[str, Callable[..., tuple[Column, Callable[[str], Column]]]] = {
 }
 
 
-def truncated(aligned: DataFrame) -> DataFrame:
-    """Steps beyond the last step of the shortest origin set to null: those rows count by month and origin, not by step."""
-    shortest = aligned.groupBy("origin").agg(F.max("step").alias("__last")).agg(F.min("__last").alias("__cut"))
-    return aligned.crossJoin(F.broadcast(shortest)).withColumn("step", F.when(F.col("step") <= F.col("__cut"), F.col("step"))).drop("__cut")
-
-
 def label(by: str, value: Column) -> Column:
     return F.format_string({"step": "step%02d", "month": "month%d", "time_series": "ts%02d"}[by], value)
 
@@ -67,19 +64,24 @@ def label(by: str, value: Column) -> Column:
 def scored(aligned: DataFrame, metrics: Sequence[str], cut_to_shortest: bool = True, options: dict[str, dict] | None = None) -> DataFrame:
     """(eval_type, group_id, metric, value): every metric by step, month and origin, in one pass of grouping sets.
 
-    options holds a metric's arguments: {"twCRPS": {"threshold": 25.0}}.
+    With cut_to_shortest, steps beyond the last step of the shortest origin have no group of their own; their rows count by month and
+    origin. The groups of origins know their last steps, so the rows aren't read again for it. options holds a metric's arguments: {"twCRPS": {"threshold": 25.0}}.
     """
     unknown = [m for m in metrics if m not in METRICS]
     if unknown:
         raise PanelError(f"unknown metrics {unknown}")
     chosen = {m: METRICS[m](**(options or {}).get(m, {})) for m in metrics}
     rows = aligned.select("step", "time", "origin", F.col("y_true").cast("double").alias("y_true"), *(row.alias(m) for m, (row, _) in chosen.items()))
-    rows = truncated(rows) if cut_to_shortest else rows
+    rows = rows.withColumn("__step", F.col("step"))
     sets = rows.groupingSets([[F.col("step")], [F.col("time")], [F.col("origin")]], "step", "time", "origin")
-    found = sets.agg(F.grouping_id().alias("__id"), *(of_group(m).alias(m) for m, (_, of_group) in chosen.items()))
+    found = sets.agg(F.grouping_id().alias("__id"), F.max("__step").alias("__last"), *(of_group(m).alias(m) for m, (_, of_group) in chosen.items()))
     # a set bit says that the column isn't in the set: step, time, origin
     kind = F.when(F.col("__id") == 3, "step").when(F.col("__id") == 5, "month").otherwise("time_series")
     group = F.when(F.col("__id") == 3, label("step", F.col("step"))).when(F.col("__id") == 5, label("month", F.col("time"))).otherwise(label("time_series", F.col("origin")))
+    if cut_to_shortest:
+        # a few hundred groups, one row each
+        shortest = F.min(F.when(F.col("__id") == 6, F.col("__last"))).over(Window.partitionBy())
+        found = found.withColumn("__cut", shortest).where("__id <> 3 or step <= __cut")
     found = found.where("not (__id = 3 and step is null)").select(kind.alias("eval_type"), group.alias("group_id"), *metrics)
     return found.unpivot(["eval_type", "group_id"], list(metrics), "metric", "value")
 
@@ -126,6 +128,42 @@ def collapsed(aligned: DataFrame) -> DataFrame:
     return aligned.withColumn("y_pred", F.array(draws.mean(F.col("y_pred"))))
 
 
+def kinds(forecasts: DataFrame, by: Sequence[str] = (), column: str = "y_pred") -> DataFrame:
+    """(by, kind): `point` where every cell has one draw, `sample` where all have the same number above one, else `mixed`."""
+    counts = draw_counts(forecasts, [column], by)
+    kind = F.when(F.col("least") != F.col("most"), "mixed").when(F.col("most") == 1, "point").otherwise("sample")
+    return counts.select(*by, kind.alias("kind"))
+
+
+def kind_of(aligned: DataFrame) -> str:
+    """`point` or `sample`; cells of both kinds, or of several numbers of draws, are an error."""
+    kind = kinds(aligned).first().kind
+    if kind == "mixed":
+        raise PanelError("forecasts have different numbers of draws")
+    return kind
+
+
+def task_scores(aligned: dict[str, DataFrame], config: dict, options: dict[str, dict] | None = None) -> DataFrame:
+    """(task, target, eval_type, group_id, metric, value) of every declared target (aligned by its name) by the metrics of its task.
+
+    A target's task is regression or classification as the configuration declares it, point or sample as its forecasts are. A
+    configuration that gives a target's task no metrics is an error, and so is a declared target without forecasts.
+    """
+    lists, found = task_metrics(config), []
+    for task in ("regression", "classification"):
+        for target in config.get(f"{task}_targets") or []:
+            if target not in aligned:
+                raise PanelError(f"no forecasts of {target}")
+            name = f"{task}_{kind_of(aligned[target])}"
+            if name not in lists:
+                raise PanelError(f"no metrics for {name}")
+            scores = scored(aligned[target], lists[name], options=options)
+            found.append(scores.select(F.lit(name).alias("task"), F.lit(target).alias("target"), *scores.columns))
+    if not found:
+        raise PanelError("no targets are declared")
+    return reduce(DataFrame.unionByName, found)
+
+
 def task_metrics(config: dict) -> dict[str, list[str]]:
     """Metrics by task (regression or classification, point or sample) of a configuration that declares targets for it."""
     found = {}

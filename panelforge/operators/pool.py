@@ -7,6 +7,7 @@ models together; each model has one row for a cell, so groups are as large as th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,10 +78,17 @@ def pool_draws(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str],
     - vincent: the weighted mean of the models' quantile functions, which are their sorted draws.
     - concat: all models' draws, in order of models.
     - aligned: the mean of the models draw by draw.
+
+    vincent and aligned need as many draws from each model; a cell without fails the job that computes it (pool_conflicts finds such cells).
     """
     shares = normalised_weights(models, weights)
     own = [F.col(f"m{i}") for i in range(len(models))]
     wide = side_by_side(forecasts, keys, models)
+    if method in ("vincent", "aligned"):
+        sizes = [F.size(a) for a in own]
+        # null where a model lacks the cell: the optimizer may test this before such cells are left out
+        uneven = reduce(lambda a, b: a | b, (sizes[0] != n for n in sizes[1:]), F.lit(False))
+        own[0] = F.when(uneven, F.raise_error(F.lit("models have different numbers of draws for a cell")).cast(wide.schema["m0"].dataType)).otherwise(own[0])
     if method == "vincent":
         pooled = zip_sum([F.array_sort(a) for a in own], [shares[m] for m in models])
     elif method == "concat":
@@ -107,6 +115,17 @@ def pool_draws(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str],
     return wide.select(*keys, pooled.alias("forecast"))
 
 
+def pool_conflicts(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str]) -> DataFrame:
+    """(problem, n): cells that some model lacks (`missing`), that a model has twice (`repeated`), or for which models have different numbers of draws (`draws`).
+
+    Must be empty before draws are concatenated or averaged.
+    """
+    cells = forecasts.where(F.col("model").isin(list(models))).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("model").alias("models"), F.min(F.size("forecast")).alias("least"), F.max(F.size("forecast")).alias("most"))
+    checks = (("missing", F.col("models") < len(models)), ("repeated", F.col("rows") > F.col("models")), ("draws", F.col("least") != F.col("most")))
+    counts = cells.agg(*(F.count(F.when(bad, 1)).alias(name) for name, bad in checks))
+    return counts.unpivot([], [name for name, _ in checks], "problem", "n").where("n > 0")
+
+
 def pool_origins(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str], method: str = "mean", **options) -> DataFrame:
     """Pools of all targets and rolling origins at once: target and origin are further keys."""
     return pool_points(forecasts, ["target", "origin", *keys], models, method, **options)

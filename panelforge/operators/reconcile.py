@@ -16,6 +16,11 @@ def with_country(cells: DataFrame, hierarchy: DataFrame) -> DataFrame:
     return cells.join(hierarchy, [k for k in (MONTH, GRID) if k in hierarchy.columns], "left")
 
 
+def with_totals(cells: DataFrame, countries: DataFrame) -> DataFrame:
+    """cells with their country's total in their month; cells of a country without one are left out (unmapped finds them)."""
+    return cells.join(countries.select(MONTH, COUNTRY, "total"), [MONTH, COUNTRY])
+
+
 def unmapped(cells: DataFrame, countries: DataFrame) -> DataFrame:
     """(month_id, country_id, n): cells without a country (null) or whose country has no forecast; must be empty."""
     missing = cells.join(countries.select(MONTH, COUNTRY), [MONTH, COUNTRY], "left_anti")
@@ -42,8 +47,13 @@ def reconcile_points(cells: DataFrame, countries: DataFrame) -> DataFrame:
 def reconcile_draws(cells: DataFrame, countries: DataFrame, samples: int) -> DataFrame:
     """As reconcile_points for arrays of draws: country totals of one draw apply to each, those of S draws to the same draw.
 
-    cells has value array, countries total array. The sums of all draws are one aggregate of S columns, without exploding.
+    cells has value array, countries total array. The sums of all draws are one aggregate of S columns, without exploding. Cells that
+    don't have S draws, and totals of neither 1 nor S, fail the job that computes them (draw_conflicts finds them).
     """
+    fitting = F.col("value").isNull() | (F.size("value") == samples)
+    cells = cells.withColumn("value", F.when(fitting, F.col("value")).otherwise(F.raise_error(F.lit(f"a cell without {samples} draws")).cast(cells.schema["value"].dataType)))
+    fitting = F.col("total").isNull() | F.size("total").isin(1, samples)
+    countries = countries.withColumn("total", F.when(fitting, F.col("total")).otherwise(F.raise_error(F.lit(f"a country total of neither 1 nor {samples} draws")).cast(countries.schema["total"].dataType)))
     own = [F.sum(F.greatest(F.get("value", F.lit(i)), F.lit(0.0))).alias(f"__{i}") for i in range(samples)]
     sums = cells.groupBy(MONTH, COUNTRY).agg(*own).select(MONTH, COUNTRY, F.array(*(f"__{i}" for i in range(samples))).alias("__own"))
     totals = sums.join(countries.select(MONTH, COUNTRY, "total"), [MONTH, COUNTRY])
@@ -57,6 +67,13 @@ def check_samples(country: int, grid: int) -> None:
         raise PanelError(f"country totals have {country} draws, cells {grid}")
 
 
+def draw_conflicts(cells: DataFrame, countries: DataFrame) -> DataFrame:
+    """(month_id, country_id, least, most, total): countries whose cells differ in their number of draws, or whose total has neither 1 nor as many; must be empty."""
+    counts = cells.groupBy(MONTH, COUNTRY).agg(F.min(F.size("value")).alias("least"), F.max(F.size("value")).alias("most"))
+    both = counts.join(countries.select(MONTH, COUNTRY, F.size("total").alias("total")), [MONTH, COUNTRY])
+    return both.where((F.col("least") != F.col("most")) | ~F.col("total").isin(1) & (F.col("total") != F.col("most")))
+
+
 def reconcile_targets(cells: DataFrame, countries: DataFrame, targets: list[str]) -> DataFrame:
     """All targets (columns of both tables) in one pass."""
     sums = cells.groupBy(MONTH, COUNTRY).agg(*(F.sum(F.greatest(t, F.lit(0.0))).alias(f"__own_{t}") for t in targets))

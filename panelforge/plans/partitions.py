@@ -42,11 +42,9 @@ def default_ranges(partition: str, steps: int = 36, last_month: int | None = Non
 
 
 def month_range(partition: str, ranges: dict[str, tuple[int, int]], last_month: int | None = None) -> tuple[int, int]:
-    """The months to fetch: train to test, or train alone for forecasts, whose end may be overridden."""
+    """The months to fetch: train to test, or train alone for forecasts, whose end may be overridden; elsewhere last_month is ignored."""
     if partition == "forecasting":
         return ranges["train"][0], last_month or ranges["train"][1]
-    if last_month is not None:
-        raise PanelError("only forecasts may end elsewhere")
     return ranges["train"][0], ranges["test"][1]
 
 
@@ -78,6 +76,16 @@ def chained(read: Callable[[], DataFrame], *steps: Step) -> DataFrame:
     return df
 
 
+def extracted(download: Callable[[], DataFrame], preprocess: Step, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """An extraction: what is downloaded, preprocessed and saved; save gives the saved table back."""
+    return chained(download, preprocess, save)
+
+
+def postprocessed(read: Callable[[], DataFrame], transform: Step, validate: Callable[[DataFrame], DataFrame], save: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A post-process: what is read and transformed is saved, if validate, which raises an error or gives the table back, passes it."""
+    return chained(read, transform, validate, save)
+
+
 def prepared_actuals(actuals: DataFrame, hooks: Sequence[Step]) -> DataFrame:
     """Hooks that change the actuals before they are scored."""
     return chained(lambda: actuals, *hooks)

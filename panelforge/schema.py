@@ -127,3 +127,9 @@ def wire_target(names: dict[str, str]) -> callable:
         return names[name]
 
     return of
+
+
+def wire_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """df with its prediction columns under the published names of their targets; a target without one is an error."""
+    of = wire_target(names)
+    return df.withColumnsRenamed({c: PREFIX + of(c.removeprefix(PREFIX)) for c in prediction_columns(df)})

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.audits import fingerprint, manifest, uneven_months
+from ..operators.audits import content, fingerprint, manifest, uneven_months
+from ..operators.drift import alerts, checks
 from ..schema import LEVELS, PREFIX, PanelError, audit_schema, ensure_double, grid_column, grid_row, rename_features
 
 
@@ -45,8 +46,8 @@ def prediction_table(df: DataFrame, level: str, targets: Sequence[str]) -> DataF
 
 
 def write_predictions(df: DataFrame, level: str, targets: Sequence[str], path: str, mode: str = "error") -> None:
-    """One directory for each month, so that later reads of a few months skip the rest."""
-    prediction_table(df, level, targets).repartition(LEVELS[level][0]).write.mode(mode).partitionBy(LEVELS[level][0]).parquet(path)
+    """One directory for each month, so that later reads of a few months skip the rest. A month of many rows gets several files."""
+    prediction_table(df, level, targets).hint("rebalance", LEVELS[level][0]).write.mode(mode).partitionBy(LEVELS[level][0]).parquet(path)
 
 
 #: Raw sources by name: (spark, first month, last month, **arguments) -> DataFrame.
@@ -99,6 +100,14 @@ def fetch_queryset(spark: SparkSession, first: int, last: int, descriptor: dict)
     return ensure_double(spark.read.parquet(descriptor["path"]).where(F.col(keys[0]).between(first, last)), keys)
 
 
+def fetch_checked(spark: SparkSession, descriptor: dict, first: int, last: int, model: str, recent: int = 1, **arguments) -> tuple[DataFrame, DataFrame]:
+    """What fetch gives, and the drift alerts (model, check, item, rate, threshold, severity) of its numeric features."""
+    df = fetch(spark, descriptor, first, last, **arguments)
+    keys = LEVELS[descriptor.get("level", "pgm")]
+    features = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in (*keys, "row", "col")]
+    return df, alerts(checks(df, keys, features, recent), model)
+
+
 @source("synthetic")
 def fetch_synthetic(spark: SparkSession, first: int, last: int, descriptor: dict) -> DataFrame:
     """months x places with patterns of the grid id: `column` (col % 10), `row` (row % 10) or `both` ((row + col) % 20), all from 0."""
@@ -117,17 +126,19 @@ def patterned(cells: DataFrame, pattern: str, features: Sequence[str]) -> DataFr
     return cells.withColumns({f: values[pattern].cast("double") for f in features})
 
 
-def cached(spark: SparkSession, path: str, compute: Callable[[], DataFrame], audit: Callable[[DataFrame], DataFrame] = lambda df: df, use_saved: bool = True) -> DataFrame:
-    """The saved table, if it is wanted and there; else the computed one, audited before it is saved. An empty or unreadable one is an error.
+def cached(spark: SparkSession, path: str, compute: Callable[[], DataFrame], audit: Callable[[DataFrame], DataFrame] = lambda df: df, use_saved: bool = True, current: Callable[[DataFrame], bool] = lambda df: True) -> DataFrame:
+    """The saved table, if it is wanted, there and current; else the computed one, audited before it is saved. An empty or unreadable one is an error.
 
-    A write commits as a whole, so that a reader never sees a part of it.
+    current says whether a saved table still serves, as one of another number of draws doesn't. A write commits as a whole, so that a reader
+    never sees a part of it.
     """
     fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     if use_saved and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
         saved = spark.read.parquet(path)
         if saved.isEmpty():
             raise PanelError(f"{path} is empty")
-        return saved
+        if current(saved):
+            return saved
     audit(compute()).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -170,19 +181,32 @@ def output_names(df: DataFrame, run_type: str, ts: str, target: str | None = Non
     return df.withColumns({"run_type": F.lit(run_type), "ts": F.lit(ts), "target": F.lit(target), "origin": F.lit(origin).cast("int")})
 
 
+def prediction_name(run_type: Column, ts: Column, target: Column, origin: Column) -> Column:
+    """predictions_<run>_<ts>[_<target>][_NN]; a null target or origin is left out."""
+    return F.concat_ws("_", F.lit("predictions"), run_type, ts, target, F.when(origin.isNotNull(), F.lpad(origin.cast("string"), 2, "0")))
+
+
+def evaluation_name(run_type: Column, target: Column, kind: Column, ts: Column) -> Column:
+    """eval_<run>_<target>_<kind>_<ts>"""
+    return F.concat_ws("_", F.lit("eval"), run_type, target, kind, ts)
+
+
 def publish(df: DataFrame, path: str, run: str, target: str, provenance: dict[str, str]) -> DataFrame:
     """A shard for each month with where it comes from, then the manifest, which says that all shards are there.
 
-    Months of different cell counts are an error, and so is a written table whose content isn't the given one's.
+    Months of different cell counts are an error, and so is a written table whose content isn't the given one's; then there is no
+    manifest. df is evaluated once: its fingerprint is observed while the shards are written, and all else is read from them. A month
+    of many rows gets several files.
     """
-    if not uneven_months(df).isEmpty():
-        raise PanelError("months have different numbers of cells")
     shards = df.withColumns({k: F.lit(v) for k, v in provenance.items()})
-    shards.repartition("month_id").write.partitionBy("month_id").parquet(f"{path}/shards")
+    given = Observation()
+    shards.observe(given, *content(shards.columns)).hint("rebalance", "month_id").write.partitionBy("month_id").parquet(f"{path}/shards")
     written = df.sparkSession.read.parquet(f"{path}/shards").select(*(F.col(f.name).cast(f.dataType.simpleString()) for f in shards.schema.fields))
-    if fingerprint(written).first() != fingerprint(shards).first():
+    if not uneven_months(written).isEmpty():
+        raise PanelError("months have different numbers of cells")
+    if fingerprint(written).first().asDict() != given.get:
         raise PanelError("what was written isn't what was given")
-    manifest(df, run, target).write.parquet(f"{path}/manifest")
+    manifest(written, run, target).write.parquet(f"{path}/manifest")
     return df.sparkSession.read.parquet(f"{path}/manifest")
 
 

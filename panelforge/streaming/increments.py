@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.transforms import replay
+from ..operators.align import align
+from ..operators.evaluate import METRICS
 from ..operators.update import overwrite
 from ..schema import PanelError
 
@@ -39,27 +42,53 @@ def origin_rows(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
-def apply_corrections(spark: SparkSession, path: str, schema: str, checkpoint: str, panel: str, versions: str, keys: tuple[str, str], columns=None, files: int = 1) -> str:
-    """Corrections that arrive as files are laid over the panel, each batch giving a new version of it below `versions`; the last version's path.
+def scored_per_origin(out: str, actuals: DataFrame, metrics: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """A sink that joins a batch's forecasts (origin, time, unit, y_pred) to the actuals and keeps each origin's sums of row scores; see origin_scores.
 
-    Of several corrections of a cell in one batch the one of greatest `arrived` counts. A version is written as a whole and a batch that runs
-    again writes the same version again.
+    A batch that runs again replaces what it gave.
+    """
+    scores = {m: METRICS[m]()[0] for m in metrics}
+
+    def sink(rows: DataFrame, number: int) -> None:
+        aligned = align(rows, actuals)
+        sums = aligned.select("origin", *(score.alias(m) for m, score in scores.items())).groupBy("origin").agg(F.count(F.lit(1)).alias("n"), *(F.sum(m).alias(m) for m in metrics))
+        per_origin(out)(sums, number)
+
+    return sink
+
+
+def origin_scores(spark: SparkSession, out: str, metrics: Sequence[str]) -> DataFrame:
+    """(origin, n, metric means) over all batches of scored_per_origin; for metrics that are means of row scores."""
+    sums = origin_rows(spark, out).groupBy("origin").agg(F.sum("n").alias("n"), *(F.sum(m).alias(m) for m in metrics))
+    return sums.select("origin", "n", *((F.col(m) / F.col("n")).alias(m) for m in metrics))
+
+
+def apply_corrections(spark: SparkSession, path: str, schema: str, checkpoint: str, panel: str, versions: str, keys: tuple[str, str], columns=None, files: int = 1) -> DataFrame:
+    """The panel with the corrections laid over it that have arrived as files so far; columns are made anew from it (replay).
+
+    Of several corrections of a cell the one of the latest batch counts, and in a batch that of greatest `arrived`. A batch writes its own
+    corrections below `versions` (batch=...), nothing else, so the panel isn't copied; a batch that runs again writes the same
+    again, and a call without new files gives what the call before gave.
     """
-    state = {"at": panel}
     names = [c for c in spark.read.parquet(panel).columns if c not in keys]
 
+    def latest(rows: DataFrame, order: str, shared: Sequence[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*shared), order).alias("__new")).select(*keys, "__new.*")
+
     def sink(rows: DataFrame, number: int) -> None:
         shared = [c for c in names if c in rows.columns]
-        last = rows.groupBy(*keys).agg(F.max_by(F.struct(*shared), "arrived").alias("__new")).select(*keys, "__new.*")
-        base = panel if number == 0 else f"{versions}/{number - 1}"
-        overwrite(spark.read.parquet(base), last, keys).write.mode("overwrite").parquet(f"{versions}/{number}")
-        state["at"] = f"{versions}/{number}"
+        latest(rows, "arrived", shared).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(versions)
 
     query = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception():
         raise PanelError(str(query.exception()))
-    if columns:
-        replay(spark.read.parquet(state["at"]), keys, columns).write.mode("overwrite").parquet(f"{versions}/replayed")
-        state["at"] = f"{versions}/replayed"
-    return state["at"]
+    found = spark.read.parquet(panel)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(versions)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        # what corrections don't have is null in all of them
+        rows = spark.read.schema(spark.read.parquet(panel).schema.add("batch", T.IntegerType())).parquet(versions)
+        # field by field, so that a later correction of one leaves an earlier one of another
+        last = rows.groupBy(*keys).agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("batch"))).alias(c) for c in names))
+        found = overwrite(found, last, keys)
+    return replay(found, keys, columns) if columns else found

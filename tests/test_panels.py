@@ -93,8 +93,8 @@ def test_partitions():
     assert horizon.origins == 13 and horizon.months == 48
     assert partitions.default_ranges("forecasting", 36, 500)["test"] == (501, 536)
     partitions.check_ranges(partitions.default_ranges("calibration"), horizon)
-    with pytest.raises(PanelError):
-        partitions.month_range("calibration", partitions.default_ranges("calibration"), 400)
+    assert partitions.month_range("calibration", partitions.default_ranges("calibration"), 400) == (121, 444)
+    assert partitions.month_range("forecasting", partitions.default_ranges("forecasting", 36, 500), 490) == (121, 490)
     with pytest.raises(PanelError):
         partitions.origins_of("other")
 
@@ -205,8 +205,15 @@ def test_corrections_arrive_as_files(spark, tmp_path):
     schema_text = "month_id int, priogrid_id int, raw_ged double, arrived int"
     for k, (month, value) in enumerate(((2, 20.0), (3, 30.0), (2, 21.0))):
         spark.createDataFrame([(month, 1, value, k)], schema_text).coalesce(1).write.mode("append").parquet(f"{tmp_path}/new")
-    last = increments.apply_corrections(spark, f"{tmp_path}/new", schema_text, f"{tmp_path}/check", f"{tmp_path}/panel", f"{tmp_path}/versions", KEYS, [("x.ged", [("temporal.tlag", [1])], "ged_lag")], files=10)
-    assert {(r.month_id, r.ged_lag) for r in spark.read.parquet(last).collect()} == {(1, None), (2, 1.0), (3, 21.0)}
+    arguments = (spark, f"{tmp_path}/new", schema_text, f"{tmp_path}/check", f"{tmp_path}/panel", f"{tmp_path}/versions", KEYS)
+    columns = [("x.ged", [("temporal.tlag", [1])], "ged_lag")]
+    for files in (10, 1):  # the second call finds nothing new
+        found = increments.apply_corrections(*arguments, columns, files=files)
+        assert {(r.month_id, r.ged_lag) for r in found.collect()} == {(1, None), (2, 1.0), (3, 21.0)}
+    spark.createDataFrame([(2, 1, 5.0, 0)], schema_text).coalesce(1).write.mode("append").parquet(f"{tmp_path}/new")
+    assert {(r.month_id, r.raw_ged) for r in increments.apply_corrections(*arguments).collect()} == {(1, 1.0), (2, 5.0), (3, 30.0)}
+    none = increments.apply_corrections(spark, f"{tmp_path}/none", schema_text, f"{tmp_path}/check2", f"{tmp_path}/panel", f"{tmp_path}/versions2", KEYS) if spark.createDataFrame([], schema_text).write.parquet(f"{tmp_path}/none") is None else None
+    assert none.count() == 3
 
 
 def test_origins_one_at_a_time(spark, tmp_path):

@@ -75,3 +75,13 @@ def test_origins_that_a_model_lacks(spark):
     df = spark.createDataFrame([("a", "t", 0), ("a", "t", 1), ("b", "t", 0)], "model string, target string, origin int")
     assert [tuple(r) for r in pool.origin_gaps(df, 2).collect()] == [("t", 1, 1)]
     assert df.select(F.count(F.lit(1))).first()[0] == 3
+
+
+def test_draws_of_different_numbers_are_refused(spark):
+    df = spark.createDataFrame([("a", 1, 1, [1.0, 2.0]), ("b", 1, 1, [1.0]), ("a", 1, 2, [1.0]), ("b", 1, 3, [1.0, 2.0])], "model string, month_id int, grid_id int, forecast array<double>")
+    keys = ["month_id", "grid_id"]
+    for method in ("vincent", "aligned"):
+        with pytest.raises(Exception, match="different numbers of draws"):
+            pool.pool_draws(df, keys, ["a", "b"], method).collect()
+        assert pool.pool_draws(df.where("grid_id > 1"), keys, ["a", "b"], method).count() == 0
+    assert {(r.problem, r.n) for r in pool.pool_conflicts(df, keys, ["a", "b"]).collect()} == {("missing", 2), ("draws", 1)}

@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from panelforge import queries as panel
+from panelforge import queries_runs  # noqa: F401
 
 from twins import compare, connection
 

@@ -58,3 +58,15 @@ def test_invariants_find_nothing_after_reconciling(spark):
     after = reconcile.reconcile_points(cells, countries)
     assert reconcile.broken_invariants(cells, after, countries).isEmpty()
     assert not reconcile.broken_invariants(cells, cells, countries).isEmpty()
+
+
+def test_totals_of_a_wrong_number_of_draws_are_refused(spark):
+    cells = spark.createDataFrame([(1, 1, 1, [1.0, 2.0])], "month_id int, grid_id int, country_id int, value array<double>")
+    for total, good in (([5.0], True), ([5.0, 6.0], True), ([1.0, 2.0, 3.0], False)):
+        countries = spark.createDataFrame([(1, 1, total)], "month_id int, country_id int, total array<double>")
+        assert reconcile.draw_conflicts(cells, countries).isEmpty() == good
+        if good:
+            assert reconcile.reconcile_draws(cells, countries, 2).count() == 1
+        else:
+            with pytest.raises(Exception, match="neither 1 nor 2 draws"):
+                reconcile.reconcile_draws(cells, countries, 2).collect()
