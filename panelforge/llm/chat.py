@@ -4,8 +4,8 @@ For each participant of a dialogue the dialogue is rendered once with that speak
 with their names, and turns of the system stay the system's. The spans of the assistant's own words (and of the mark that ends
 them) are the parts that a model is trained on; all else is masked.
 
-A dialogue of many turns is rendered in parts of PART turn numbers, so no row or group grows without bound. Parts are numbered
-by turn, and each has the perspectives of all participants of the whole dialogue.
+A perspective is the whole dialogue in one row, so a dialogue must fit a task, as a text must. For dialogues that don't, `part` renders so many
+turn numbers to a row; each part has the perspectives of all participants of the whole dialogue.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .common import let
 
-PART = 256
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 SYSTEM = "system"
 
@@ -25,11 +24,12 @@ def safe(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
-def rotated(turns: DataFrame, part: int = PART) -> DataFrame:
-    """(conv_id, part, speaker, n_turns, n_own, text, spans array<struct<start, end>>) for each part and participant.
+def rotated(turns: DataFrame, part: int | None = None) -> DataFrame:
+    """(conv_id[, part], speaker, n_turns, n_own, text, spans array<struct<start, end>>) for each dialogue and participant.
 
     turns has conv_id, turn, role and text; other columns are ignored. Participants are the distinct roles but the system's; a
-    null role is the participant `unknown`. start and end count code points of text; [start, end) is trained on. Turns come in
+    null role is the participant `unknown`. A role's line breaks become spaces, since its name stands in a line. With part, a dialogue's turns k * part
+    to (k + 1) * part - 1 are a row of their own, whose part is k. start and end count code points of text; [start, end) is trained on. Turns come in
     order of turn, then role, then text (nulls first), repeated rows included; a null turn counts as turn 0. A dialogue of system turns
     alone has no participant and no row. A null conv_id is a dialogue of its own. A null text is empty. An empty table gives an
     empty table.
@@ -37,9 +37,9 @@ def rotated(turns: DataFrame, part: int = PART) -> DataFrame:
     rows = turns.select(
         "conv_id",
         F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
-        safe(F.coalesce(F.col("role").cast("string"), F.lit("unknown"))).alias("role"),
+        F.translate(safe(F.coalesce(F.col("role").cast("string"), F.lit("unknown"))), "\r\n", "  ").alias("role"),
         safe(F.col("text")).alias("text"),
-    ).withColumn("part", F.floor(F.col("turn") / part).cast("long"))
+    ).withColumn("part", F.floor(F.col("turn") / part).cast("long") if part else F.lit(0).cast("long"))
     speakers = rows.where(F.col("role") != SYSTEM).select("conv_id", F.col("role").alias("speaker")).distinct()
     parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("said"))
     views = parts.join(speakers, parts.conv_id.eqNullSafe(speakers.conv_id)).select(parts.conv_id, "part", "speaker", "said")
@@ -68,4 +68,4 @@ def rotated(turns: DataFrame, part: int = PART) -> DataFrame:
         )
 
     view = views.select("conv_id", "part", "speaker", let(F.transform("said", segment), ends).alias("view"))
-    return view.select("conv_id", "part", "speaker", "view.*")
+    return view.select("conv_id", *["part"] * bool(part), "speaker", "view.*")

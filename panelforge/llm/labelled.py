@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, written
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, seed: int = 5) -> DataFrame:
-    """(doc_id, text, label int): about so many labelled documents, each id once, none of them held out.
+def sampled(doc_id: Column, share: int, seed: int = 5) -> Column:
+    """Whether a hash of the id alone puts it among so many millionths of all ids."""
+    return F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(1_000_000)) < F.lit(share)
 
-    Which labels are taken depends on a hash of their id alone. Rows without a label or id are left out; an id with more
-    than one label takes the smallest, one with more than one text the first in order.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, most_bytes: int) -> tuple[DataFrame, int]:
+    """(doc_id, text, label int) of about so many labelled documents, each id once, none of them held out, and the share of all that they are, in millionths.
+
+    Which documents are taken depends on a hash of their id alone; where their texts have more bytes than most_bytes together, the share
+    is lowered so that they have about as many. Rows without a label or id are left out; an id with more than one label takes the
+    smallest, one with more than one text the first in order. The sample is written to the shared folder.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     known = known.where(~held_out(F.col("doc_id")))
     total = known.count()
-    share = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1_000_000)) < F.lit(1_000_000 if total <= rows else int(1e6 * rows / total))
-    few = known.where(share).groupBy("doc_id").agg(F.min("label").alias("label"))
-    found = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & share).join(few, "doc_id")
-    return found.groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    share = 1_000_000 if total <= rows else int(1e6 * rows / total)
+    few = known.where(sampled(F.col("doc_id"), share)).groupBy("doc_id").agg(F.min("label").alias("label"))
+    found = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & sampled(F.col("doc_id"), share)).join(few, "doc_id")
+    found = written(found.groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")))
+    size = found.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        share = int(share * most_bytes / size)
+        found = found.where(sampled(F.col("doc_id"), share))
+    return found, share

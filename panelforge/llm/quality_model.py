@@ -23,8 +23,8 @@ from .textbytes import row_runs, text_bytes, word_hashes
 BLOCK = 1024
 #: Bytes of text that are described at once.
 AT_ONCE = 1 << 20
-#: Labelled texts that a model is fitted on, at most about.
-SAMPLE = 4000
+#: Labelled texts that a model is fitted on, at most about, and their bytes.
+SAMPLE, SAMPLE_BYTES = 4000, 16 << 20
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CLASSES = len(PUNCTUATION) + 8
@@ -170,8 +170,8 @@ class Constant:
         return np.full(len(n), self.value)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
-    """A model of labels.quality, from about so many labelled documents that aren't held out.
+def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES):
+    """A model of labels.quality, from about so many labelled documents, or bytes of them, that aren't held out.
 
     Without labels every score is 0.5; with one class only, every score is that class.
     """
@@ -183,7 +183,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
                 rows = [x[e - k : e].astype(np.float32).tobytes() for e, k in zip(ends, n, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, last - first), b.column("label").slice(first, last - first).cast(pa.int32()), pa.array(rows, pa.binary())], ["doc_id", "label", "bag"])
 
-    found = labelled_sample(docs, labels, "quality", sample).mapInArrow(bags, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, bag binary")
+    found = labelled_sample(docs, labels, "quality", sample, sample_bytes)[0].mapInArrow(bags, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, bag binary")
     rows = sorted(found.collect(), key=lambda r: str(r.doc_id))
     y = np.array([r.label for r in rows], np.float32)
     if len(set(y.tolist())) < 2:

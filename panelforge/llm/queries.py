@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .common import table
+from .common import table, written
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,10 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import interleaved_shards
 
-    return interleaved_shards(table(spark, sf_dir, "documents"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    size, crc = (F.octet_length(text) + 1).cast("long"), F.crc32(text.cast("binary"))
+    found = interleaved_shards(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +70,12 @@ def op7_audio_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .toxicity import fit_toxicity, toxicity_scores
+    from .toxicity import calibrated, fit_toxicity, toxicity_logits, toxicity_scores
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity_scores(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels)
+    logits = written(toxicity_logits(docs, model))
+    return toxicity_scores(logits, calibrated(model, logits, labels))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,16 +15,12 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import unused, written
+
 #: Rows that a slice has on average, at least; in large tables the square root of all rows, so that counts stay few.
 SLICE = 5000
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, text_crc32): UTF-8 bytes plus 1, and the text's CRC; a null text has no bytes."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-
-
 def numbered(rows: DataFrame, strata: list[str], slice_of: Column, order: list[Column], number: str, total: str) -> DataFrame:
     """rows with number (1, 2, ... in each stratum, by slice and then by order) and total (rows of the stratum)."""
     cut = rows.withColumn("__slice", slice_of)
@@ -41,15 +37,28 @@ def numbered(rows: DataFrame, strata: list[str], slice_of: Column, order: list[C
 
 
 def interleaved_shards(docs: DataFrame, shards: int = 16, seed: int = 11) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of docs (doc_id, text, source).
+    """docs with shard (0 to shards - 1) and slot (its place in the shard, gapless from 0, in fractional-rank order) for each row.
+
+    The law is `rows`: counts differ by one at most. docs has doc_id, text and source. A null source is a source of its own. Rows are ordered
+    within a source by the md5 of seed, id and the text's CRC; rows that share both take their places in any order. Equal texts
+    aren't kept together: they are dealt like other rows. Columns of docs named shard or slot are replaced. A very long text is a row
+    like any other. An empty table gives an empty table.
 
-    The law is `rows`: counts differ by one at most. Shards are 0 to shards - 1; slots are gapless from 0 in fractional-rank order.
-    A null source is a source of its own; a null text has size 1. Rows that share a doc_id and text are told apart by nothing
-    (the hash is the md5 of seed, id and CRC) and take their places in any order. Equal texts aren't kept together: they are dealt like other rows. grown_shard is null
-    under this law. An empty table gives an empty table.
+    The rows are written to the shared folder once with a number each; places are found on a few bytes a row, and the rows are moved
+    once, to their places.
     """
-    rows = sized(docs).withColumn("source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-    total = docs.count()
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    row, crc, size = (unused(name, docs.columns) for name in ("row", "crc", "size"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = written(docs.select(*(F.col(f"`{c}`") for c in kept), F.monotonically_increasing_id().alias(row), F.crc32(text.cast("binary")).alias(crc), (F.octet_length(text) + 1).cast("long").alias(size)))
+    light = rows.select(F.col(row).alias("row"), "doc_id", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source"), F.col(crc).alias("text_crc32"), F.col(size).alias("size"))
+    placed = places(light, shards, seed).select(F.col("row").alias(row), "shard", "slot")
+    return rows.join(placed, row).select(*(F.col(f"`{c}`") for c in kept), "shard", "slot")
+
+
+def places(rows: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(row, shard, slot) of rows (row, doc_id, source, text_crc32, size)."""
+    total = rows.count()
     slices = max(1, total // max(SLICE, isqrt(total)))
     hashed = lambda *of: F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in of)).cast("binary"))
     rows = rows.withColumn("__hash", hashed("doc_id", "text_crc32"))
@@ -60,12 +69,16 @@ def interleaved_shards(docs: DataFrame, shards: int = 16, seed: int = 11) -> Dat
     # whole-number arithmetic, so that equal fractions stay equal: the slice of (2 r - 1) / (2 n)
     by_share = F.floor(twice * slices / (F.col("__rows") * 2))
     order = [twice / (F.col("__rows") * 2), hashed("source"), F.col("__hash"), F.col("doc_id"), F.col("size")]
-    placed = numbered(ranked.withColumn("__all", F.lit(0)), ["__all"], by_share, order, "__place", "__total")
+    ranked = written(ranked.withColumn("__all", F.lit(0)))
+    placed = numbered(ranked, ["__all"], by_share, order, "__place", "__total")
     at = F.col("__place") - 1
     shard = F.expr(f"(__place * {shards} - 1) div __total").cast("int")
     # shard k begins at the first place p (from 0) with ((p + 1) * shards - 1) div total = k
     begin = F.expr(f"(shard * __total + {shards}) div {shards} - 1")
     found = placed.withColumn("shard", shard)
-    return found.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (at - F.when(F.col("shard") == 0, 0).otherwise(begin)).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
-    )
+    return found.select("row", "shard", (at - F.when(F.col("shard") == 0, 0).otherwise(begin)).cast("long").alias("slot"))
+
+
+def write_shards(sharded: DataFrame, path: str) -> None:
+    """One directory for each shard (shard=...), its files' rows in order of their slots. Every task writes what it has of each shard."""
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

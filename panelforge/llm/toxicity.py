@@ -3,11 +3,12 @@
 A text's words (runs of letters and digits, lower case in ASCII) are hashed. A word's embedding is the sum of three rows of
 one table: that of the word, of its first 4 bytes and of its first 6, so that unseen forms of a stem share what is known of
 it. Filters of widths 1, 2 and 3 slide over the words, each filter's maximum over the whole text passes a rectifier, and a logistic unit scores
-the maxima. Everything is trained in numpy on the driver from a bounded sample of labelled texts. Because a filter is
+the maxima. The weights are trained in numpy on the driver from a bounded sample of labelled texts. Because a filter is
 linear in the embeddings, scoring looks up each word's share of each filter in a table instead of multiplying.
 
-The language of a text is guessed from its own function words. For each language the threshold that divides the sample
-best is found, and scores are shifted so that it lies at 0.5.
+The language of a text is guessed from its own function words. All labelled texts that the weights weren't trained on are scored and
+counted by language, logit and label; for each language the threshold that divides them best is found, and scores are shifted so
+that it lies at 0.5.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out
-from .labelled import labelled_sample
+from .labelled import labelled_sample, sampled
 from .quality_model import sigmoid
 from .textbytes import row_runs, text_bytes, word_hashes, word_spans
 
@@ -30,10 +31,12 @@ BUCKETS = sum(1 << b for b in BITS)
 SIZE, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 #: Bytes of text whose words are looked up at once.
 AT_ONCE = 1 << 20
-#: Labelled texts that a model is fitted on, at most about.
-SAMPLE = 6000
-#: Labelled texts of each class that a language needs for a threshold of its own.
+#: Labelled texts that the weights are fitted on, at most about, and their bytes.
+SAMPLE, SAMPLE_BYTES = 6000, 16 << 20
+#: Labelled texts of each class that a language needs for a threshold of its own; otherwise it has that of all languages together.
 LEAST = 8
+#: Logits are counted in steps of 1 / STEPS.
+STEPS, FARTHEST = 16, 40
 
 #: Frequent function words by language.
 FUNCTION_WORDS = {
@@ -128,7 +131,7 @@ class Convolution:
 
     def __init__(self, embedding: np.ndarray, filters: dict[int, np.ndarray], out: np.ndarray, out0: float):
         self.embedding, self.filters, self.out, self.out0 = embedding, filters, out, out0
-        self.thresholds = np.zeros(len(LANGUAGES))
+        self.thresholds, self.share = np.zeros(len(LANGUAGES)), 0
 
     def tables(self) -> None:
         """For scoring: what a word in a filter's k-th place adds, for all widths and places."""
@@ -159,10 +162,6 @@ class Convolution:
             heard[first:last] += spoken(self.keys, self.of_language, hashes, n)
         return top @ self.out + self.out0, np.where(heard.any(1), heard.argmax(1), len(FUNCTION_WORDS))
 
-    def score(self, column: pa.Array) -> np.ndarray:
-        z, language = self.logits(column)
-        return sigmoid(z - self.thresholds[language])
-
     @classmethod
     def fit(cls, words: list[np.ndarray], y: np.ndarray, epochs: int = 12, batch: int = 32, seed: int = 3) -> Convolution:
         """Trained with Adam on the cross entropy; only the windows that hold a filter's maximum get a gradient.
@@ -192,11 +191,10 @@ class Convolution:
             for at in range(0, len(order), batch):
                 rows = order[at : at + batch]
                 step += 1
-                grads = cls.gradient(params, [words[r] for r in rows], y[rows], weight[rows])
-                touched = np.unique(np.concatenate([words[r] for r in rows]))
+                touched, *grads = cls.gradient(params, [words[r] for r in rows], y[rows], weight[rows])
                 for k, g in enumerate(grads):
                     own = touched if k == 0 else slice(None)
-                    g = g[own] + 1e-5 * params[k][own]
+                    g = g + 1e-5 * params[k][own]
                     m1[k][own] += 0.1 * (g - m1[k][own])
                     m2[k][own] += 0.01 * (g * g - m2[k][own])
                     params[k][own] -= 0.005 * (m1[k][own] / (1 - 0.9**step)) / (np.sqrt(m2[k][own] / (1 - 0.99**step)) + 1e-7)
@@ -204,95 +202,127 @@ class Convolution:
 
     @staticmethod
     def gradient(params: list[np.ndarray], texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+        """(rows of the embeddings that these texts have, their gradient, those of the filters, of the output weights and of the last one)."""
         e, *filters, out, out0 = params
-        top = np.zeros((len(texts), FILTERS * len(WIDTHS)), np.float32)
-        where = np.full(top.shape, -1)
-        for i, words in enumerate(texts):
-            x = e[words].sum(1)
-            for j, (w, f) in enumerate(zip(WIDTHS, filters, strict=True)):
-                if len(words) >= w:
-                    total = sum(x[k : len(words) - w + 1 + k] @ f[k] for k in range(w))
-                    at = total.argmax(0)
-                    own = slice(j * FILTERS, (j + 1) * FILTERS)
-                    top[i, own], where[i, own] = np.maximum(total[at, np.arange(FILTERS)], 0), np.where(total[at, np.arange(FILTERS)] > 0, at, -1)
+        n = np.array([len(t) for t in texts])
+        words, end = np.concatenate(texts), np.cumsum(n)
+        x = e[words].sum(1)
+        top, where = np.zeros((len(texts), FILTERS * len(WIDTHS)), np.float32), []
+        for j, (w, f) in enumerate(zip(WIDTHS, filters, strict=True)):
+            have = np.flatnonzero(n >= w)
+            at = np.concatenate([np.arange(end[i] - n[i], end[i] - w + 1) for i in have]) if len(have) else np.empty(0, int)
+            best = np.full((len(texts), FILTERS), -1)
+            if len(at):
+                total = sum(x[at + k] @ f[k] for k in range(w))
+                first = np.cumsum(n[have] - w + 1) - (n[have] - w + 1)
+                most = np.maximum.reduceat(total, first)
+                # the first window that has the maximum
+                place = np.where(total == np.repeat(most, n[have] - w + 1, 0), np.arange(len(at))[:, None], len(at))
+                best[have] = np.where(most > 0, at[np.minimum.reduceat(place, first)], -1)
+                top[have, j * FILTERS : (j + 1) * FILTERS] = np.maximum(most, 0)
+            where.append(best)
         d = (sigmoid(top @ out + out0[0]) - y) * weight / weight.sum()
-        de, df = np.zeros_like(e), [np.zeros_like(f) for f in filters]
         dtop = d[:, None] * out
-        for i, c in zip(*np.nonzero(where >= 0), strict=True):
-            j, w = c // FILTERS, WIDTHS[c // FILTERS]
+        rows, parts, df = [], [], []
+        for j, (w, f) in enumerate(zip(WIDTHS, filters, strict=True)):
+            i, c = np.nonzero(where[j] >= 0)
+            own, at, g = dtop[i, j * FILTERS + c], where[j][i, c], np.zeros_like(f)
             for k in range(w):
-                rows = texts[i][where[i, c] + k]
-                df[j][k, :, c % FILTERS] += dtop[i, c] * e[rows].sum(0)
-                de[rows] += dtop[i, c] * filters[j][k, :, c % FILTERS]
-        return [de, *df, top.T @ d, np.array([d.sum()], np.float32)]
-
-    def calibrate(self, logits: np.ndarray, language: np.ndarray, y: np.ndarray) -> None:
-        """Each language's threshold gives the best F1 on the sample, in the middle of the logits between which it may lie."""
-
-        def best(z: np.ndarray, label: np.ndarray) -> float:
-            by = np.argsort(-z, kind="stable")
-            hits = np.cumsum(label[by])
-            f1 = 2 * hits / (np.arange(1, len(z) + 1) + label.sum())
-            k = int(f1.argmax())
-            below = z[by[k + 1]] if k + 1 < len(z) else z[by[k]] - 2
-            return float((z[by[k]] + below) / 2)
-
-        common = best(logits, y)
-        self.thresholds[:] = common
+                np.add.at(g[k].T, c, own[:, None] * x[at + k])
+                rows.append(words[at + k].ravel())
+                parts.append(np.repeat(own[:, None] * f[k][:, c].T, words.shape[1], 0))
+            df.append(g)
+        touched = np.unique(words)
+        de = np.zeros((len(touched), SIZE), np.float32)
+        np.add.at(de, np.searchsorted(touched, np.concatenate(rows)), np.concatenate(parts))
+        return [touched, de, *df, top.T @ d, np.array([d.sum()], np.float32)]
+
+
+def best_threshold(counts: np.ndarray) -> float:
+    """The logit from which on to call texts toxic, for the best F1, in the middle of the empty steps around it; counts is (steps, label)."""
+    hits, called = counts[::-1, 1].cumsum()[::-1], counts.sum(1)[::-1].cumsum()[::-1]
+    f1 = 2 * hits / np.maximum(called + counts[:, 1].sum(), 1)
+    # of equal ones the highest step, which has texts itself; below it come empty steps, then texts that aren't called
+    k = int(len(f1) - 1 - f1[::-1].argmax())
+    below = np.flatnonzero(counts[:k].sum(1))
+    low = below[-1] + 1 if len(below) else k - 2 * STEPS
+    return (low + k) / 2 / STEPS - FARTHEST
+
+
+def calibrated(model, logits: DataFrame, labels: DataFrame):
+    """model with a threshold for each language, from all labelled rows of logits (doc_id, logit, language) that aren't held out and that the
+    weights weren't trained on; where these lack one of the labels, from all that aren't held out.
+
+    Only counts by language, step of the logit and label come to the driver.
+    """
+    if not isinstance(model, Convolution):
+        return model
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("toxic").cast("int").alias("label"))
+    place = F.greatest(F.lit(0), F.least(F.lit(2 * FARTHEST * STEPS - 1), F.floor((F.col("logit") + FARTHEST) * STEPS))).cast("int")
+    apart = ~trained_on(F.col("doc_id"), model.share)
+    rows = logits.join(known, "doc_id").groupBy("language", place.alias("step"), "label", apart.alias("apart")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = np.zeros((2, len(LANGUAGES), 2 * FARTHEST * STEPS, 2))
+    for r in rows:
+        counts[int(r.apart), r.language, r.step, r.label] += r.n
+    own = counts[1] if counts[1].sum((0, 1)).min() >= LEAST else counts.sum(0)
+    if own.sum((0, 1)).min() > 0:
+        model.thresholds[:] = best_threshold(own.sum(0))
         for k in range(len(LANGUAGES)):
-            own = language == k
-            if min(y[own].sum(), (1 - y[own]).sum()) >= LEAST:
-                self.thresholds[k] = best(logits[own], y[own])
+            if own[k].sum(0).min() >= LEAST:
+                model.thresholds[k] = best_threshold(own[k])
+    return model
+
+
+def trained_on(doc_id, share: int):
+    """Whether the weights are trained on a labelled document: by two hashes of its id, a share (in millionths) of all, less a third for the thresholds."""
+    return sampled(doc_id, share) & (F.pmod(F.xxhash64(F.lit(71), doc_id), F.lit(3)) != 0)
 
 
 class Constant:
+    """Stands in where the labels have one class or none."""
+
     def __init__(self, value: float):
         self.value = value
+        self.thresholds = np.zeros(len(LANGUAGES))
 
-    def score(self, column: pa.Array) -> np.ndarray:
-        return np.full(len(column), self.value)
+    def logits(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        x = {0.0: -np.inf, 0.5: 0.0, 1.0: np.inf}[self.value]
+        return np.full(len(column), x), np.full(len(column), len(FUNCTION_WORDS))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
-    """A model of labels.toxic, from about so many labelled documents that aren't held out.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES):
+    """A model of labels.toxic, its weights trained on about so many labelled documents, or bytes of them, that aren't held out; see calibrated
+    for its thresholds.
 
-    A third of the sample is kept from the training of the network's weights where each class has 60 texts or more, and sets the
-    thresholds; in smaller samples all texts do both. Without labels every score is 0.5; with one class only, that class.
+    Without labels every score is 0.5; with one class only, that class.
     """
 
     def hashes(batches):
-        keys, of_language = language_hashes()
         for b in batches:
             rows: list[list[np.ndarray]] = [[] for _ in range(b.num_rows)]
-            heard = np.zeros((b.num_rows, len(FUNCTION_WORDS)))
-            for first, last, n, h in worded(b.column("text")):
-                heard[first:last] += spoken(keys, of_language, h, n)
+            for first, _, n, h in worded(b.column("text")):
                 for i, (end, k) in enumerate(zip(np.cumsum(n), n, strict=True)):
                     rows[first + i].append(buckets(h[end - k : end]))
             packed = [np.concatenate([*own, np.empty((0, len(BITS)), np.int32)]).tobytes() for own in rows]
-            language = pa.array(np.where(heard.any(1), heard.argmax(1), len(FUNCTION_WORDS)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.string()), b.column("label").cast(pa.int32()), language, pa.array(packed, pa.binary())], ["doc_id", "label", "language", "words"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.string()), b.column("label").cast(pa.int32()), pa.array(packed, pa.binary())], ["doc_id", "label", "words"])
 
-    found = labelled_sample(docs, labels, "toxic", sample).mapInArrow(hashes, "doc_id string, label int, language int, words binary")
-    rows = sorted(found.collect(), key=lambda r: r.doc_id)
-    y, language = np.array([r.label for r in rows], np.float32), np.array([r.language for r in rows])
+    found, share = labelled_sample(docs, labels, "toxic", sample, sample_bytes)
+    found = found.where(trained_on(F.col("doc_id"), share))
+    rows = sorted(found.mapInArrow(hashes, "doc_id string, label int, words binary").collect(), key=lambda r: r.doc_id)
+    y = np.array([r.label for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
         return Constant(float(y[0]) if len(y) else 0.5)
     words = [np.frombuffer(r.words, np.int32).reshape(-1, len(BITS)) for r in rows]
     del rows
-    apart = np.arange(len(y)) % 3 == 2 if min(y.sum(), len(y) - y.sum()) >= 60 else np.zeros(len(y), bool)
-    model = Convolution.fit([w for w, a in zip(words, apart, strict=True) if not a], y[~apart])
-    model.tables()
-    own = [i for i in range(len(y)) if apart[i]] or list(range(len(y)))
-    top = np.concatenate([model.maxima(np.concatenate([words[i] for i in part]), np.array([len(words[i]) for i in part])) for part in (own[k : k + 200] for k in range(0, len(own), 200))])
-    model.calibrate(top @ model.out + model.out0, language[own], y[own])
+    model = Convolution.fit(words, y)
+    model.share = share
     return model
 
 
-def toxicity_scores(docs: DataFrame, model, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row of docs, repeated rows included.
+def toxicity_logits(docs: DataFrame, model) -> DataFrame:
+    """(doc_id, logit, language) for each row of docs (doc_id, text), repeated rows included; language is a place in LANGUAGES.
 
-    The score depends on the text alone; a null text counts as an empty one, which has no words. A null id isn't held out.
+    Both depend on the text alone; a null text counts as an empty one, which has no words. A very long text is looked up piece by piece.
     An empty table gives an empty table. The model goes to the tasks as a broadcast of a few MB, whatever the input.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -302,7 +332,15 @@ def toxicity_scores(docs: DataFrame, model, threshold: float = 0.5) -> DataFrame
         if isinstance(m, Convolution) and not hasattr(m, "shares"):
             m.tables()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(m.score(b.column("text")).astype(np.float64), pa.float64())], ["doc_id", "score"])
+            z, language = m.logits(b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(z.astype(np.float64), pa.float64()), pa.array(language.astype(np.int32))], ["doc_id", "logit", "language"])
+
+    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, logit double, language int")
+
 
-    scored = docs.select("doc_id", "text").mapInArrow(score, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def toxicity_scores(logits: DataFrame, model, threshold: float = 0.5) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for each row of logits: the logistic function of the logit less its language's threshold. A null id isn't held out."""
+    edges = F.array(*(F.lit(float(t)) for t in model.thresholds))
+    z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("logit") - F.get(edges, F.col("language"))))
+    scored = logits.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), (1 / (1 + F.exp(-z))).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

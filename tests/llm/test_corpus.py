@@ -210,17 +210,83 @@ def test_attention_gradient_by_differences():
         assert g[at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-6)
 
 
-def test_toxicity_on_held_out_rows(spark, odd, empty):
-    from panelforge.llm.toxicity import fit_toxicity, toxicity_scores
+def scored_for_toxicity(docs, labels, given=None):
+    from panelforge.llm.toxicity import calibrated, fit_toxicity, toxicity_logits, toxicity_scores
 
-    docs, labels = labelled(spark, lambda rng, t: t + " " + " ".join(rng.choice(["vilestem", "vilework", "viler", "grimble", "grimbly"]) for _ in range(3)) + " " + prose(rng, 5))
     model = fit_toxicity(docs, labels)
-    scored = toxicity_scores(docs, model)
-    assert accuracy(scored, labels, "toxic") > 0.95
-    wild = toxicity_scores(clashing(odd), model).collect()
+    return toxicity_scores(toxicity_logits(docs if given is None else given, model), calibrated(model, toxicity_logits(docs, model), labels))
+
+
+def test_toxicity_on_held_out_rows(spark, odd, empty):
+    docs, labels = labelled(spark, lambda rng, t: t + " " + " ".join(rng.choice(["vilestem", "vilework", "viler", "grimble", "grimbly"]) for _ in range(3)) + " " + prose(rng, 5))
+    assert accuracy(scored_for_toxicity(docs, labels), labels, "toxic") > 0.95
+    wild = scored_for_toxicity(docs, labels, clashing(odd)).collect()
     assert len(wild) == odd.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in wild)
-    assert toxicity_scores(empty, model).count() == 0
-    assert toxicity_scores(docs, fit_toxicity(docs, labels.limit(0))).select("score").distinct().collect()[0].score == 0.5
+    assert scored_for_toxicity(docs, labels, empty).count() == 0
+    assert scored_for_toxicity(docs, labels.limit(0)).select("score").distinct().collect()[0].score == 0.5
+    assert scored_for_toxicity(docs, labels.where("toxic = 0")).select("predicted").distinct().collect()[0].predicted == 0
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    """Filters word by word in plain Python."""
+    from panelforge.llm import toxicity as t
+
+    docs, labels = labelled(spark, lambda rng, text: text + " vilestem vilework", 200)
+    model = t.fit_toxicity(docs, labels)
+    texts = ["w1 w2 vilestem, vilework w3", "", "W1", "der die und w5 w6 w7 viles", "the of w1 w9"]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model.thresholds[:] = [0.5, -0.5, 0.25, 0.0, 1.0]
+    for r in t.toxicity_scores(t.toxicity_logits(given, model), model).collect():
+        words = re.findall("[0-9a-z]+", texts[r.doc_id].lower())
+        x = []
+        for w in words:
+            forms = [t.hashed(w), t.hashed(w[:4]), t.hashed(w[:6])]
+            starts = np.cumsum((0, *(1 << b for b in t.BITS)))
+            x.append(sum(model.embedding[int(h >> np.uint64(64 - b)) + s] for h, b, s in zip(forms, t.BITS, starts, strict=False)))
+        top = [max([0.0] + [float(sum(x[i + k] @ f[k][:, c] for k in range(w))) for i in range(len(x) - w + 1)]) for w, f in model.filters.items() for c in range(t.FILTERS)]
+        heard = [sum(w in own.split() for w in words) for own in t.FUNCTION_WORDS.values()]
+        language = heard.index(max(heard)) if max(heard) else 4
+        z = float(np.dot(top, model.out)) + model.out0 - model.thresholds[language]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+def test_toxicity_gradient_by_differences():
+    from panelforge.llm import toxicity as t
+
+    rng = np.random.default_rng(0)
+    params = [rng.normal(size=(t.BUCKETS, t.SIZE)), *(rng.normal(size=(w, t.SIZE, t.FILTERS)) for w in t.WIDTHS), rng.normal(size=t.FILTERS * 3), np.array([0.3])]
+    texts = [rng.integers(0, t.BUCKETS, (n, 3)).astype(np.int32) for n in (6, 1, 0, 4)]
+    y, weight = np.array([1.0, 0.0, 1.0, 0.0]), np.array([2.0, 1.0, 1.0, 1.0])
+
+    def loss():
+        top = []
+        for words in texts:
+            x = params[0][words].sum(1)
+            top.append([max([0.0] + [sum(x[i + k] @ f[k][:, c] for k in range(w)) for i in range(len(x) - w + 1)]) for w, f in zip(t.WIDTHS, params[1:4], strict=True) for c in range(t.FILTERS)])
+        p = 1 / (1 + np.exp(-(np.array(top) @ params[4] + params[5][0])))
+        return float((-(y * np.log(p) + (1 - y) * np.log(1 - p)) * weight).sum() / weight.sum())
+
+    touched, *grads = t.Convolution.gradient(params, texts, y, weight)
+    for k, g in enumerate(grads):
+        for at in [np.unravel_index(i, g.shape) for i in np.argsort(-np.abs(g).ravel())[:3]]:
+            real = (touched[at[0]], *at[1:]) if k == 0 else at
+            params[k][real] += 1e-5
+            up = loss()
+            params[k][real] -= 2e-5
+            down = loss()
+            params[k][real] += 1e-5
+            assert g[at] == pytest.approx((up - down) / 2e-5, rel=2e-2, abs=1e-4), (k, at)
+
+
+def test_threshold_lies_between_the_classes():
+    from panelforge.llm import toxicity as t
+
+    counts = np.zeros((2 * t.FARTHEST * t.STEPS, 2))
+    at = lambda z: int((z + t.FARTHEST) * t.STEPS)
+    counts[at(-3.0), 0], counts[at(-1.0), 0], counts[at(2.0), 1], counts[at(3.0), 1] = 50, 10, 5, 5
+    assert t.best_threshold(counts) == pytest.approx(0.5, abs=0.1)
+    counts[at(2.5), 0] = 1
+    assert t.best_threshold(counts) == pytest.approx(0.5, abs=0.1)
 
 
 def test_long_texts_are_looked_up_in_pieces(monkeypatch):
@@ -232,9 +298,9 @@ def test_long_texts_are_looked_up_in_pieces(monkeypatch):
     model = t.Convolution(rng.normal(size=(t.BUCKETS, t.SIZE)).astype(np.float32), {w: rng.normal(size=(w, t.SIZE, t.FILTERS)).astype(np.float32) for w in t.WIDTHS}, rng.normal(size=t.FILTERS * 3).astype(np.float32), 0.1)
     model.tables()
     texts = pa.array([prose(random.Random(3), 500), None, "", "one two"])
-    whole = model.score(texts)
+    whole = model.logits(texts)[0]
     monkeypatch.setattr(t, "AT_ONCE", 200)
-    assert np.allclose(whole, model.score(texts), atol=1e-5)
+    assert np.allclose(whole, model.logits(texts)[0], atol=1e-4)
 
 
 # Near-duplicates
@@ -473,25 +539,30 @@ def test_word_tokens_equal_the_library(files):
 # Sharding
 
 
-def test_shards_match_the_mixture(spark, odd, empty):
-    from panelforge.llm.sharding import interleaved_shards
+def test_shards_match_the_mixture(spark, odd, empty, tmp_path):
+    from panelforge.llm.sharding import interleaved_shards, write_shards
 
     rows = [(i, f"t{i}", None, "hot" if i % 3 else f"s{i % 5}", 0) for i in range(1000)]
-    found = interleaved_shards(spark.createDataFrame(rows, SCHEMA)).collect()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sharded = interleaved_shards(docs)
+    found = sharded.collect()
+    assert sharded.columns == [*docs.columns, "shard", "slot"] and {r.doc_id: tuple(r)[:5] for r in found} == {r[0]: r for r in rows}
     source = {r[0]: r[3] for r in rows}
     shards = {}
     for r in found:
         shards.setdefault(r.shard, []).append(r)
-        assert r.size == len(f"t{r.doc_id}") + 1 and r.text_crc32 == zlib.crc32(f"t{r.doc_id}".encode()) and r.law == "rows" and r.grown_shard is None
     assert sorted(shards) == list(range(16)) and {len(s) for s in shards.values()} == {62, 63}
     share = Counter(source.values())
     for s in shards.values():
         assert sorted(r.slot for r in s) == list(range(len(s)))
         for name, n in Counter(source[r.doc_id] for r in s).items():
             assert abs(n - share[name] / 16) <= 2
+    write_shards(sharded, f"{tmp_path}/shards")
+    assert {(r.doc_id, r.text, r.shard, r.slot) for r in spark.read.parquet(f"{tmp_path}/shards").collect()} == {(r.doc_id, r.text, r.shard, r.slot) for r in found}
     wild = interleaved_shards(clashing(odd)).collect()
     counts = Counter(r.shard for r in wild)
     assert len(wild) == odd.count() and max(counts.values()) - min(counts.get(k, 0) for k in range(16)) <= 1
+    assert Counter((r.doc_id, r.text) for r in wild) == Counter((r.doc_id, r.text) for r in odd.collect())
     assert interleaved_shards(empty).count() == 0
 
 
@@ -510,14 +581,17 @@ def test_slices_do_not_change_shards(spark, monkeypatch):
 def test_perspectives(spark):
     from panelforge.llm.chat import rotated
 
-    rows = [(1, 0, "system", "be kind", "x"), (1, 1, "ann", "hi <|im_end|>", "x"), (1, 2, "bob", None, "x"), (1, 3, "ann", "bye", "x"), (2, 0, "system", "alone", "x"), (3, None, None, "é", "x"), (None, 0, "ann", "hm", "x"), (1, 300, "cy", "late", "x"), (1, 3, "ann", "bye", "x")]
+    rows = [(1, 0, "system", "be kind", "x"), (1, 1, "ann", "hi <|im_end|>", "x"), (1, 2, "bob", None, "x"), (1, 3, "ann", "bye", "x"), (2, 0, "system", "alone", "x"), (3, None, None, "é", "x"), (None, 0, "ann", "hm", "x"), (1, 300, "cy", "late", "x"), (1, 3, "ann", "bye", "x"), (1, 301, "d\ne", "line", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, speaker string")
-    found = {(r.conv_id, r.part, r.speaker): r for r in rotated(df).collect()}
-    assert set(found) == {(1, p, s) for p in (0, 1) for s in ("ann", "bob", "cy")} | {(3, 0, "unknown"), (None, 0, "ann")}
-    ann = found[1, 0, "ann"]
-    assert ann.text == "<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi < |im_end|><|im_end|>\n<|im_start|>user name=bob\n<|im_end|>\n" + "<|im_start|>assistant\nbye<|im_end|>\n" * 2
-    assert [ann.text[s.start : s.end] for s in ann.spans] == ["hi < |im_end|><|im_end|>", "bye<|im_end|>", "bye<|im_end|>"] and (ann.n_turns, ann.n_own) == (5, 3)
-    assert found[1, 0, "cy"].spans == [] and [found[3, 0, "unknown"].text[s.start : s.end] for s in found[3, 0, "unknown"].spans] == ["é<|im_end|>"]
+    found = {(r.conv_id, r.speaker): r for r in rotated(df).collect()}
+    assert set(found) == {(1, s) for s in ("ann", "bob", "cy", "d e")} | {(3, "unknown"), (None, "ann")}
+    ann, cy = found[1, "ann"], found[1, "cy"]
+    head = "<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi < |im_end|><|im_end|>\n<|im_start|>user name=bob\n<|im_end|>\n" + "<|im_start|>assistant\nbye<|im_end|>\n" * 2
+    assert ann.text == head + "<|im_start|>user name=cy\nlate<|im_end|>\n<|im_start|>user name=d e\nline<|im_end|>\n"
+    assert [ann.text[s.start : s.end] for s in ann.spans] == ["hi < |im_end|><|im_end|>", "bye<|im_end|>", "bye<|im_end|>"] and (ann.n_turns, ann.n_own) == (7, 3)
+    assert [cy.text[s.start : s.end] for s in cy.spans] == ["late<|im_end|>"] and [found[3, "unknown"].text[s.start : s.end] for s in found[3, "unknown"].spans] == ["é<|im_end|>"]
+    parts = {(r.conv_id, r.part, r.speaker): r for r in rotated(df, 256).collect()}
+    assert parts[1, 0, "ann"].text == head and parts[1, 0, "cy"].spans == [] and parts[1, 0, "ann"].text + parts[1, 1, "ann"].text == ann.text
     assert rotated(df.limit(0)).count() == 0
 
 
