@@ -155,7 +155,7 @@ def rule_order(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), text: s
     can't tell rules apart. On an empty table the given order stays.
     """
     total = docs.count()
-    sample = docs.select(F.col(f"`{text}`").alias("text")).sample(min(1.0, sample_rows / max(1, total)), seed=17).persist()
+    sample = docs.select(F.col(f"`{text}`").alias("text")).sample(min(1.0, sample_rows / max(1, total)), seed=17).repartition(1).persist()
     try:
         verdicts = F.struct(*(F.coalesce(tested("text", r.rejects), F.lit(False)).alias(r.name) for r in rules))
         found = sample.select(verdicts.alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()
