@@ -27,7 +27,7 @@ WORDS = 1 << BITS
 #: The bucket that stands beyond both ends of a text.
 EDGE = WORDS
 SIDE, SIZE, HIDDEN, CLASSES = 2, 8, 32, 64
-ROUNDS, BATCH = 2, 512
+ROUNDS, BATCH = 2, 2048
 STRIDE = ROUNDS
 AT_ONCE = 1 << 20
 #: Positions that are scored at once.
@@ -70,12 +70,12 @@ class Network:
         self.out[-1] = np.log(np.maximum(mass, 1) / mass.sum())
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(joined embeddings, hidden layer, log-probabilities of the classes) for rows of neighbours."""
+        """(joined embeddings, hidden layer, logits of the classes, the greatest of each row being 0) for rows of neighbours."""
         x = self.embedding[context].reshape(len(context), -1)
         h = np.tanh(x @ self.hidden)
         z = h @ self.out[:-1] + self.out[-1]
         z -= z.max(1, keepdims=True)
-        return x, h, z - np.log(np.exp(z).sum(1, keepdims=True))
+        return x, h, z
 
     def log_probabilities(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of each word at these places, given its neighbours."""
@@ -83,24 +83,25 @@ class Network:
         for k in range(0, len(at), BLOCK):
             own = at[k : k + BLOCK]
             word = row[own]
-            p = self.forward(row[own[:, None] + OFFSETS])[2]
-            out[k : k + BLOCK] = p[np.arange(len(own)), self.of_class[word]] + self.log_share[word]
+            z = self.forward(row[own[:, None] + OFFSETS])[2]
+            out[k : k + BLOCK] = z[np.arange(len(own)), self.of_class[word]] - np.log(np.exp(z).sum(1)) + self.log_share[word]
         return out
 
     def step(self, context: np.ndarray, word: np.ndarray, state: dict[str, np.ndarray], rate: float = 0.1) -> None:
         """One gradient step (Adagrad) on the mean cross entropy."""
-        x, h, p = self.forward(context)
-        d = np.exp(p)
+        x, h, z = self.forward(context)
+        d = np.exp(z, out=z)
+        d /= d.sum(1, keepdims=True)
         d[np.arange(len(word)), self.of_class[word]] -= 1
-        d /= len(word)
+        d *= np.float32(1 / len(word))
         dh = (d @ self.out[:-1].T) * (1 - h * h)
         dx = (dh @ self.hidden.T).reshape(-1, SIZE)
-        rows, of = np.unique(context.ravel(), return_inverse=True)
-        de = np.zeros((len(rows), SIZE), np.float32)
-        np.add.at(de, of, dx)
-        for name, own, g in (("hidden", slice(None), x.T @ dh), ("out", slice(None), np.concatenate((h.T @ d, d.sum(0)[None]))), ("embedding", rows, de)):
+        by = np.argsort(context.ravel(), kind="stable")
+        rows = context.ravel()[by]
+        first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+        for name, own, g in (("hidden", slice(None), x.T @ dh), ("out", slice(None), np.concatenate((h.T @ d, d.sum(0)[None]))), ("embedding", rows[first], np.add.reduceat(dx[by], first))):
             state[name][own] += g * g
-            getattr(self, name)[own] -= rate * g / np.sqrt(state[name][own] + 1e-8)
+            getattr(self, name)[own] -= np.float32(rate) * g / np.sqrt(state[name][own] + np.float32(1e-8))
 
     def rows(self) -> np.ndarray:
         """All weights as rows of SIZE numbers."""
@@ -170,7 +171,8 @@ def trained(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, stride: i
 def pseudo_log_likelihood(docs: DataFrame, network: Network) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_likelihood) for each row of docs (doc_id, text), repeated rows included.
 
-    A null text, or one without words, has 0 words, log-likelihood 0 and a null mean. An empty table gives an empty table.
+    A null text, or one without words, has 0 words, log-likelihood 0 and a null mean. Very long texts are read piece by piece. Other columns
+    of docs, whatever their names, are ignored. An empty table gives an empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
