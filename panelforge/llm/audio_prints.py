@@ -5,9 +5,11 @@ pitch classes, smoothed over time and scaled to length 1. A window of SPAN frame
 image gives the sum of any rectangle in four lookups. Sixteen filters, each the log ratio of two areas, are quantised to two bits in
 Gray code and packed into one 32-bit code for each place of the window.
 
-Recordings that share a pair of codes GAP places apart fall into one bucket; star-shaped candidates, with a further round and a
-final check of what is left, as for near-duplicate texts, name the pairs to align. Two recordings are aligned at the offset that most of
-their equal codes agree on, and are one class if the share of wrong bits there is small over a long enough overlap.
+Two recordings are aligned at the offset that most of their equal anchors agree on, and linked if the share of wrong bits there is small
+over a long enough overlap. An anchor is a pair of codes GAP places apart: single codes meet by chance in so many unrelated
+recordings that a histogram of theirs aligns some of those too. So linked recordings share an anchor, and anchors are the buckets in
+which all candidates meet: first as stars, as for near-duplicate texts, then all pairs of a bucket that are in different components
+still. No link between different components is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .near_duplicates import components, relabelled, star, unsettled
+from .near_duplicates import components, star, unsettled
 from .textbytes import MULTIPLIER, mixed
 
 FRAME, HOP, SPAN, SMOOTH = 0.25, 0.0625, 16, 3
@@ -30,8 +32,8 @@ LOWEST, HIGHEST = 55.0, 1760.0
 #: Borders of a filter's log ratio between its four levels.
 BORDERS = np.array([-0.25, 0.0, 0.25])
 GRAY = np.array([0, 1, 3, 2], np.uint32)
-#: Places between the two codes of a key.
-GAP = 12
+#: Places between the two codes of an anchor.
+GAP = 4
 #: Aligned recordings have at most this share of wrong bits over at least so many codes.
 WRONG, OVERLAP = 0.25, 16
 
@@ -127,22 +129,23 @@ def fingerprints(media: DataFrame, media_id: str, sound: str, decode: Callable =
     return media.select(F.col(media_id).alias("media_id"), sound).mapInArrow(batches, f"media_id {kind}, codes array<int>")
 
 
-def keys_of(found: np.ndarray) -> np.ndarray:
-    """A hash of each distinct pair of codes GAP places apart; of fewer codes, one of all of them."""
+def anchors(found: np.ndarray) -> np.ndarray:
+    """The pair of codes GAP places apart that begins at each place, as one number; of fewer codes, one of the first code alone."""
     own = found.view(np.uint32).astype(np.uint64)
     if len(own) <= GAP:
-        own = np.append(own, np.zeros(GAP, np.uint64))
-    return np.unique(mixed((own[:-GAP] << np.uint64(32) | own[GAP:]) * MULTIPLIER))
+        return own[:1] << np.uint64(32)
+    return own[:-GAP] << np.uint64(32) | own[GAP:]
 
 
 def aligned(one: np.ndarray, other: np.ndarray) -> tuple[int, float, int]:
-    """(offset of other's start in one, share of wrong bits, overlap): the offset that most equal codes agree on, the least such."""
-    by = np.argsort(other, kind="stable")
-    low, high = np.searchsorted(other[by], one, "left"), np.searchsorted(other[by], one, "right")
+    """(offset of other's start in one, share of wrong bits, overlap): the offset that most equal anchors agree on, the least such; without any, all bits are wrong."""
+    x, y = anchors(one), anchors(other)
+    by = np.argsort(y, kind="stable")
+    low, high = np.searchsorted(y[by], x, "left"), np.searchsorted(y[by], x, "right")
     n = high - low
     if not n.sum():
         return 0, 1.0, 0
-    at = np.repeat(np.arange(len(one)), n)
+    at = np.repeat(np.arange(len(x)), n)
     match = by[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
     offsets, votes = np.unique(at - match, return_counts=True)
     offset = int(offsets[votes.argmax()])
@@ -166,24 +169,20 @@ def align_pairs(pairs: DataFrame, prints: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, f"a {kind}, b {kind}, offset long, wrong double")
 
 
-def recording_classes(prints: DataFrame) -> DataFrame:
-    """(media_id, n_codes, codes_sha256, print_id, class_id, n_links) for each row of prints (media_id, codes).
+def recording_links(nodes: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """(a, b, offset, wrong) of the links found among nodes (node, codes), and (node, component) of the nodes that they join; None without any.
 
-    print_id is the least id with the same codes; class_id the least id reachable over aligned pairs of prints; n_links counts the
-    pairs between prints that were found to align, with the star's centres. A recording without codes is a class of its own. A null id
-    gets its print's. Rows that share an id are versions of one recording. An empty table gives an empty table.
+    Every link is one that was tried: all between a star's centre and another node, and of the rest those between nodes that weren't in one
+    component yet. offset is b's start in a, in codes.
     """
 
     def keys(batches):
         for b in batches:
-            rows = [keys_of(x.values.to_numpy()).view(np.int64) if x.is_valid and len(x.values) else np.empty(0, np.int64) for x in b.column("codes")]
+            rows = [np.unique(mixed(anchors(x.values.to_numpy()) * MULTIPLIER)).view(np.int64) for x in b.column("codes")]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(rows, pa.list_(pa.int64()))], ["node", "bands"])
 
-    digest = F.sha2(F.array_join(F.transform("codes", lambda x: x.cast("string")), ","), 256)
-    rows = written(prints.withColumn("codes_sha256", digest))
-    kind = prints.schema["media_id"].dataType.simpleString()
-    nodes = written(rows.where("size(codes) > 0 and media_id is not null").groupBy("codes_sha256").agg(F.min("media_id").alias("node"), F.first("codes").alias("codes")))
-    flat = written(nodes.select("node", "codes").mapInArrow(keys, f"node {kind}, bands array<long>").select(F.explode("bands").alias("key"), "node").distinct())
+    kind = nodes.schema["node"].dataType.simpleString()
+    flat = written(nodes.select("node", "codes").mapInArrow(keys, f"node {kind}, bands array<long>").select(F.explode("bands").alias("key"), "node"))
     several = flat.groupBy("key").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
     members = written(flat.join(several.hint("merge"), "key"))
     company = members.groupBy("node").agg(F.sum("company").alias("company"))
@@ -201,16 +200,43 @@ def recording_classes(prints: DataFrame) -> DataFrame:
         if not turn:
             members = members.drop("component").join(labels.hint("merge"), "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
             members = written(unsettled(members, "merge"))
+    return links, labels
+
+
+def recording_classes(prints: DataFrame) -> DataFrame:
+    """(media_id, n_codes, codes_sha256, print_id, class_id, n_links, link_id, link_offset, link_wrong) for each row of prints (media_id, codes).
+
+    print_id is the least id with the same codes; class_id the least id reachable over links of prints; n_links counts the links that were
+    tried and found (see recording_links), and link_id is the print of the one with the fewest wrong bits, of equal ones the least, with
+    its start in this recording, in codes, and its share of wrong bits. A recording without codes, or whose codes are null, is a class of
+    its own. A null id gets its print's. Rows that share an id are versions of one recording. Very long recordings are one row like
+    any other; other columns of prints, whatever their names, are ignored. An empty table gives an empty table.
+    """
+    digest = F.sha2(F.array_join(F.transform("codes", lambda x: x.cast("string")), ","), 256)
+    rows = written(prints.select("media_id", F.coalesce("codes", F.array().cast("array<int>")).alias("codes")).withColumn("codes_sha256", digest))
+    nodes = written(rows.where("size(codes) > 0 and media_id is not null").groupBy("codes_sha256").agg(F.min("media_id").alias("node"), F.first("codes").alias("codes")))
+    links, labels = recording_links(nodes)
     by_print = nodes.select("codes_sha256", F.col("node").alias("print_id"))
     if labels is None:
-        by_print = by_print.select("codes_sha256", "print_id", F.col("print_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+        none = F.lit(None)
+        by_print = by_print.select("codes_sha256", "print_id", F.col("print_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), none.cast(nodes.schema["node"].dataType).alias("link_id"), none.cast("long").alias("link_offset"), none.cast("double").alias("link_wrong"))
     else:
-        ends = links.select(F.explode(F.array("a", "b")).alias("print_id")).groupBy("print_id").agg(F.count(F.lit(1)).alias("n_links"))
+        ends = links.select(F.col("a").alias("print_id"), F.col("b").alias("id"), "offset", "wrong").union(links.select("b", "a", -F.col("offset"), "wrong"))
+        best = F.min(F.struct("wrong", "id", "offset"))
+        ends = ends.groupBy("print_id").agg(F.count(F.lit(1)).alias("n_links"), best.alias("best"))
         by_print = by_print.join(labels.select(F.col("node").alias("print_id"), F.col("component").alias("class_id")), "print_id", "left").join(ends, "print_id", "left")
-        by_print = by_print.select("codes_sha256", "print_id", F.coalesce("class_id", "print_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        by_print = by_print.select("codes_sha256", "print_id", F.coalesce("class_id", "print_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("best.id").alias("link_id"), F.col("best.offset").alias("link_offset"), F.col("best.wrong").alias("link_wrong"))
     out = rows.join(by_print, "codes_sha256", "left")
     return out.select(
-        "media_id", F.size("codes").cast("long").alias("n_codes"), "codes_sha256", F.coalesce("print_id", "media_id").alias("print_id"), F.coalesce("class_id", "media_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+        "media_id",
+        F.size("codes").cast("long").alias("n_codes"),
+        "codes_sha256",
+        F.coalesce("print_id", "media_id").alias("print_id"),
+        F.coalesce("class_id", "media_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "link_id",
+        "link_offset",
+        "link_wrong",
     )
 
 
