@@ -178,15 +178,79 @@ def test_quality_model_on_held_out_rows(spark, odd, empty):
     assert quality_scores(docs, fit_quality(docs, labels.where("quality = 1"))).select("score").distinct().collect()[0].score == 1.0
 
 
+def test_quality_model_tells_shuffled_words_from_prose(spark):
+    from panelforge.llm.quality_model import fit_quality, quality_scores
+
+    rng, follows = random.Random(17), {}
+    for k in range(300):
+        follows[f"w{k}"] = [f"w{rng.randrange(300)}" for _ in range(3)]
+
+    def chain(n):
+        words = [f"w{rng.randrange(300)}"]
+        while len(words) < n:
+            words.append(rng.choice(follows[words[-1]]))
+        return words
+
+    rows, labels = [], []
+    for i in range(500):
+        words = chain(rng.randrange(60, 120))
+        if i % 2:
+            rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1 - i % 2, 0))
+    model = fit_quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    pairs = []
+    for k in range(60):
+        words = chain(90)
+        pairs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(rng.sample(words, len(words))))]
+    score = {r.doc_id: r.score for r in quality_scores(spark.createDataFrame(pairs, "doc_id long, text string"), model).collect()}
+    assert sum(score[2 * k] > score[2 * k + 1] for k in range(60)) >= 57
+
+
+def test_quality_scores_by_brute_force(spark):
+    """Passages, attention and pooling in plain Python."""
+    from panelforge.llm import quality_model as q
+    from panelforge.llm.textbytes import word_hashes
+
+    docs, labels = labelled(spark, lambda rng, t: t.upper(), 120)
+    model = q.fit_quality(docs, labels)
+    texts = [prose(random.Random(5), 500), "Short, plain text.", "", "ÀB 12 b b\n\nc"]
+    w = model.weights
+    for r in q.quality_scores(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect():
+        data = texts[r.doc_id].encode()
+        parts = max(1, -(-len(data) // q.BLOCK))
+        size = max(1, -(-len(data) // parts))
+        encoded = []
+        for at in range(0, max(1, len(data)), size):
+            piece = data[at : at + size]
+            raw = np.frombuffer(piece, np.uint8)
+            x = q.describe(raw, np.zeros(len(raw), int), 1)[0][0]
+            words = re.findall(rb"[^\t\n\x0b\x0c\r ]+", piece)
+            hashes = [int(word_hashes(np.frombuffer(v, np.uint8), np.array([0]), np.array([len(v)]))[0]) for v in words]
+            rows = [model.table[h >> 50] for h in hashes]
+            for a, b in zip(hashes, hashes[1:], strict=False):
+                total = np.array([a], np.uint64) + np.array([b], np.uint64) * q.MULTIPLIER
+                rows.append(model.table[(int(q.mixed(total * q.MULTIPLIER)[0]) >> 49) + (1 << 14)])
+            embedded = np.mean(rows, 0) if rows else np.zeros(q.EMBEDDED)
+            x = np.concatenate((np.clip((x - model.mean) / model.deviation, -6, 6), embedded))
+            encoded.append(np.tanh(x @ w["encode"] + w["encode0"]))
+        a = [float(np.tanh(h @ w["v"]) * q.sigmoid(h @ w["u"]) @ w["w"]) for h in encoded]
+        a = np.exp(np.array(a) - max(a))
+        z = sum(k * h for k, h in zip(a / a.sum(), encoded, strict=True))
+        assert r.score == pytest.approx(float(q.sigmoid(z @ w["out"] + w["out0"][0])), abs=1e-4)
+
+
 def test_passages_of_long_texts_do_not_depend_on_pieces(monkeypatch):
     import pyarrow as pa
 
     from panelforge.llm import quality_model as q
 
     texts = pa.array([prose(random.Random(1), 900), "", None, "b c" * 700])
-    whole = [x for _, _, _, x in q.passages(texts)]
+    together = lambda k: np.concatenate([found[k] for found in q.passages(texts)])
+    whole = [together(k) for k in (3, 4, 5)]
     monkeypatch.setattr(q, "AT_ONCE", 2048)
-    assert np.allclose(np.concatenate(whole), np.concatenate([x for _, _, _, x in q.passages(texts)]))
+    for k, x in zip((3, 4, 5), whole, strict=True):
+        assert np.allclose(x, together(k))
 
 
 def test_attention_gradient_by_differences():
@@ -200,7 +264,9 @@ def test_attention_gradient_by_differences():
         p = AttentionBag.forward(w, x, n)["p"]
         return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
 
-    for name, g in AttentionBag.gradient(w, x, n, y).items():
+    grads, dx = AttentionBag.gradient(w, x, n, y)
+    w["x"], grads["x"] = x, dx
+    for name, g in grads.items():
         at = tuple(0 for _ in w[name].shape)
         w[name][at] += 1e-5
         up = loss()
