@@ -88,3 +88,17 @@ def test_hdi_and_mode(spark):
     assert r.m == pytest.approx((edges[counts.argmax()] + edges[counts.argmax() + 1]) / 2)
     assert r.q == pytest.approx(np.quantile(x, 0.3))
     assert spark.createDataFrame([([0.0, 0.0, 5.0],)], "x array<double>").select(draws.mode(F.col("x"))).first()[0] == 0.0
+
+
+def test_crps_of_rows_of_any_length(spark):
+    from panelforge.functions import draws
+
+    rows = [(1.0, [0.0, 2.0, 4.0]), (2.0, [2.0]), (None, [1.0]), (1.0, []), (1.0, None), (1.0, [1.0, None]), (3.0, [5.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "y double, x array<double>").coalesce(1)
+    found = [r.s for r in df.select(draws.crps(F.col("x"), F.col("y")).alias("s")).collect()]
+    for (y, x), s in zip(rows, found, strict=True):
+        if y is None or not x or None in x:
+            assert s is None
+        else:
+            n = len(x)
+            assert s == pytest.approx(sum(abs(v - y) for v in x) / n - sum(abs(a - b) for a in x for b in x) / (2 * n * n))
