@@ -189,7 +189,8 @@ def spellings(path: str) -> tuple[Spelling, Spelling]:
 def token_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) for each row of docs (doc_id, text), repeated rows included; decoded() is the way back.
 
-    A null text counts as an empty one, without ids. An empty table gives an empty table. The rank file is read by the workers.
+    A null text counts as an empty one, without ids. A very long text is encoded by itself. Other columns of docs, whatever their names, are
+    ignored. An empty table gives an empty table. The rank file is read by the workers.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +227,7 @@ def decoded(rows: DataFrame, ranks_path: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs (doc_id, text): digests of token_ids and of what these ids decode to."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs (doc_id, text): digests of token_ids, whose cases these are, and of what these ids decode to."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelt, numbers = spellings(ranks_path)

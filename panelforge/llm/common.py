@@ -48,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = context.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local["):
+    if not context.master.startswith("local[") and context.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="spark-shared-"))
 

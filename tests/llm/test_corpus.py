@@ -837,6 +837,38 @@ def test_pipeline_runs_its_stages_one_after_the_other(spark):
 # Queries against SQL
 
 
+def test_query_results_against_the_libraries(spark, files):
+    """The queries that SQL can't express, on whole tables: rows, contract columns, and what can be held against a library."""
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from panelforge.llm import queries
+    from panelforge.llm.byte_tokens import ranks_of
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = {name: queries.QUERIES[name](spark, sf).collect() for name in ("op1_quality_model", "op5_pseudo_likelihood", "op6_byte_tokens", "op7_audio_prints", "op8_toxicity", "op10_packing")}
+    for name in ("op1_quality_model", "op8_toxicity"):
+        cut = 0.3 if name[:3] == "op1" else 0.5
+        assert sorted(r.doc_id for r in found[name]) == sorted(texts)
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= cut) for r in found[name])
+    assert {r.doc_id: r.n_words for r in found["op5_pseudo_likelihood"]} == {i: len(SPACE.findall(t)) for i, t in texts.items()}
+    assert all(r.log_likelihood < 0 for r in found["op5_pseudo_likelihood"] if r.n_words)
+    byte_library = tiktoken.Encoding("own", pat_str=files.PATTERN, mergeable_ranks=ranks_of(files.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    for r in found["op6_byte_tokens"]:
+        ids = byte_library.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
+    word_library = Tokenizer.from_file(files.path("word_bpe_49k.json"))
+    pieces = {}
+    for r in found["op10_packing"]:
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert set(pieces) == set(texts)
+    for i, rows in pieces.items():
+        ids = np.array(word_library.encode(texts[i], add_special_tokens=False).ids + [1], "<u4")
+        assert sum(r.length for r in rows) == len(ids) and all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in rows)
+    assert sorted(r.vec_id for r in found["op7_audio_prints"]) == sorted(r.vec_id for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id").collect())
+
+
 def test_queries_equal_sql(spark):
     from panelforge.llm import queries
 
