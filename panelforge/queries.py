@@ -62,7 +62,7 @@ def unnested(sql_from: str, keys: str, column: str, places: int = 6) -> str:
 def scratch(spark: SparkSession) -> str:
     """A new path in the folder that the driver and all executors share, spark.checkpoint.dir; where it is unset and everything runs in one process, a temporary one."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared and not spark.sparkContext.master.startswith("local["):
+    if not shared and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{(shared or tempfile.mkdtemp(prefix='spark-scratch-')).rstrip('/')}/{uuid.uuid4().hex}"
 
