@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.draws import let
 from ..schema import PanelError
 
 MONTH, GRID, COUNTRY = "month_id", "grid_id", "country_id"

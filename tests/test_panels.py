@@ -110,6 +110,16 @@ def test_audits(spark):
     assert audits.same_content(df, df.repartition(3)) and not audits.same_content(df, df.limit(2))
 
 
+def test_keys_and_predictions_of_a_level(spark):
+    df = spark.createDataFrame([(1, 2, [1.0])], "month_id int, priogrid_id int, pred_y array<double>")
+    assert audits.check_level(df, "pgm") is df and audits.check_predictions(df, ["y"]) is df
+    with pytest.raises(PanelError, match="country_id"):
+        audits.check_level(df, "cm")
+    with pytest.raises(PanelError, match="z"):
+        audits.check_predictions(df, ["y", "z"])
+    assert audits.reusable(df, "pred_y", 1) and not audits.reusable(df.unionByName(df.withColumn("pred_y", F.array(F.lit(1.0), F.lit(2.0)))), "pred_y", 1)
+
+
 def test_structure_and_actuals(spark):
     df = spark.createDataFrame([(1, 1, 1.0, [1.0]), (2, 1, 2.0, [1.0])], "month_id int, priogrid_id int, y double, z array<double>")
     assert audits.check_structure(df, df.select("y"), ["y"]).count() == 2
