@@ -125,9 +125,15 @@ def pick(x: Column, at: Sequence[int]) -> Column:
     return F.transform(F.array(*(F.lit(i) for i in at)), lambda i: F.get(x, i))
 
 
+def chance(part: int, seed: int, *of: Column) -> Column:
+    """A whole number from 0 to 2^32 - 1, fixed by seed and values: 8 hexadecimal digits, from the part-th (0 to 3) on, of the md5 of both, colons between."""
+    text = F.concat_ws(":", F.lit(str(seed)), *(c.cast("string") for c in of))
+    return F.conv(F.substring(F.md5(text), 8 * part + 1, 8), 16, 10).cast("long")
+
+
 def drawn(x: Column, k: int, seed: int, *keys: Column) -> Column:
-    """k draws with replacement, fixed by seed and keys, whatever the partitioning."""
-    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.get(x, F.pmod(F.xxhash64(F.lit(seed), *keys, j), F.size(x)).cast("int")))
+    """k draws with replacement, fixed by seed and keys, whatever the partitioning and engine."""
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.get(x, F.pmod(chance(0, seed, *keys, j), F.size(x)).cast("int")))
 
 
 def cleaned(x: Column, value: float) -> Column:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import zip_sum
+from ..functions.draws import chance, zip_sum
 from ..schema import PanelError
 
 
@@ -102,12 +102,13 @@ def pool_draws(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str],
             edges.append(total)
 
         def drawn(j: Column) -> Column:
-            unit = F.pmod(F.xxhash64(F.lit(seed), *keys, j, F.lit("model")), F.lit(1 << 30)) / float(1 << 30)
+            at = [*(F.col(k) for k in keys), j]
+            unit = chance(0, seed, *at) / float(1 << 32)
             which = F.lit(len(models) - 1)
             for i in reversed(range(len(models) - 1)):
                 which = F.when(unit < edges[i], i).otherwise(which)
             chosen = F.get(F.array(*own), which)
-            return F.get(chosen, F.pmod(F.xxhash64(F.lit(seed), *keys, j, F.lit("draw")), F.size(chosen)).cast("int"))
+            return F.get(chosen, F.pmod(chance(1, seed, *at), F.size(chosen)).cast("int"))
 
         pooled = F.transform(F.sequence(F.lit(0), F.size(own[0]) - 1), drawn)
     else:

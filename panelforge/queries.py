@@ -256,15 +256,19 @@ for _name, _method, _aggregate, _options in (
     ORACLE_SQL[_name], QUERIES[_name] = pooled_points(_method, _aggregate, **_options)
 
 
-@query()
-def e7_resampled(spark, sf):
-    return exploded(pool.pool_draws(tp.model_draws(spark, sf), KEYS, list(tp.MODELS), "resample", {"low": 0.2}), "forecast")
-
-
 WIDE_SQL = f"""{tp.DRAWS_SQL}, wide AS (SELECT month_id, grid_id, max(forecast) FILTER (model = 'low') AS a, max(forecast) FILTER (model = 'mid') AS b, max(forecast) FILTER (model = 'high') AS c
     FROM draws GROUP BY ALL HAVING count(*) = 3)"""
 
 
+@query(
+    f"""WITH {WIDE_SQL}, picks AS (SELECT *, md5('42:' || month_id || ':' || grid_id || ':' || d) AS h FROM wide, range(8) r(d)), chosen AS (
+    SELECT month_id, grid_id, d, CASE WHEN ('0x' || h[1:8])::BIGINT / 4294967296.0::DOUBLE < 0.2::DOUBLE THEN a WHEN ('0x' || h[1:8])::BIGINT / 4294967296.0::DOUBLE < 0.6::DOUBLE THEN b ELSE c END AS x, ('0x' || h[9:16])::BIGINT AS k FROM picks)
+    SELECT month_id, grid_id, d::INT AS draw, round(x[k % 8 + 1], 6) AS value FROM chosen"""
+)
+def e7_resampled(spark, sf):
+    return exploded(pool.pool_draws(tp.model_draws(spark, sf), KEYS, list(tp.MODELS), "resample", {"low": 0.2}), "forecast")
+
+
 @query(f"WITH {WIDE_SQL}, sorted AS (SELECT month_id, grid_id, list_sort(a) AS a, list_sort(b) AS b, list_sort(c) AS c FROM wide) SELECT month_id, grid_id, d::INT AS draw, round(a[d + 1] * 0.5 + b[d + 1] * 0.25 + c[d + 1] * 0.25, 6) AS value FROM sorted, range(8) r(d)")
 def e8_vincentized(spark, sf):
     return exploded(pool.pool_draws(tp.model_draws(spark, sf), KEYS, list(tp.MODELS), "vincent", {"low": 0.5}), "forecast")
@@ -535,7 +539,7 @@ def c4_c8_statistics(spark, sf):
     return rounded(posterior.statistics(vectors(spark, sf), ["vec_id"], ["x"]), "mean", "sd", "q05", "q50", "q95")
 
 
-@query()
+@query(f"WITH {VECTORS_SQL} SELECT vec_id, d::INT AS draw, round(x[('0x' || md5('42:' || vec_id || ':' || d)[1:8])::BIGINT % 64 + 1], 6) AS value FROM vectors, range(5) r(d)")
 def c9_sampled(spark, sf):
     return exploded(posterior.sampled(vectors(spark, sf), ["vec_id"], "x", 5), "x")
 
