@@ -115,3 +115,61 @@ SELECT conv_id, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_own, st
     coalesce(string_agg((after - 1 - length(body))::VARCHAR || '-' || (after - 1)::VARCHAR, ',' ORDER BY k) FILTER (own), '') AS spans
 FROM placed GROUP BY conv_id, speaker
 """
+
+#: Each item's best documents, by weights and counts over all documents.
+LEXICAL_SEARCH = r"""
+WITH words AS (
+    SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+), tfs AS (
+    SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (
+    SELECT row, sum(tf)::BIGINT AS n FROM tfs GROUP BY row
+), totals AS (
+    SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals
+), scores AS (
+    SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths USING (row), totals GROUP BY item_id, row, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scores WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+#: Each language's phrases that hold together most.
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+    SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), rows AS (
+    SELECT lang, piece, unnest(w) AS w1, generate_subscripts(w, 1) AS place FROM words
+), runs AS (
+    SELECT lang, w1, lead(w1) OVER own AS w2, lead(w1, 2) OVER own AS w3, lead(w1, 3) OVER own AS w4 FROM rows WINDOW own AS (PARTITION BY piece ORDER BY place)
+), totals AS (
+    SELECT lang, count(*) AS n FROM runs GROUP BY lang
+), phrases AS MATERIALIZED (
+    SELECT lang, phrase, count(*) AS f FROM (
+        SELECT lang, w1 AS phrase FROM runs UNION ALL SELECT lang, w1 || ' ' || w2 FROM runs UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 FROM runs UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs
+    ) WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, len(string_split(phrase, ' ')) AS size, phrase, f, string_split(phrase, ' ') AS w FROM phrases WHERE contains(phrase, ' ')
+), splits AS MATERIALIZED (
+    SELECT lang, phrase, f, place.k, array_to_string(w[1:place.k], ' ') AS head, array_to_string(w[place.k + 1:], ' ') AS tail FROM candidates, range(1, 4) place(k) WHERE place.k < size
+), cuts AS (
+    SELECT s.lang, s.phrase, s.f AS a, s.k, x.f AS l, y.f AS r, (2000000::HUGEINT * s.f) // (x.f + y.f) AS score
+    FROM splits s JOIN phrases x ON x.lang = s.lang AND x.phrase = s.head JOIN phrases y ON y.lang = s.lang AND y.phrase = s.tail
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, phrase, max(f) AS within FROM (
+        SELECT lang, f, unnest(list_transform(range(1, size - s.part + 2), lambda i: array_to_string(w[i:i + s.part - 1], ' '))) AS phrase FROM candidates JOIN range(2, 4) s(part) ON s.part < size
+    ) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM lowest LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang) WHERE within IS NULL OR 100 * within < 80 * a
+QUALIFY rank <= 2000
+"""

@@ -86,5 +86,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op7_audio_prints": op7_audio_prints, "op3_perspectives": op3_perspectives, "op5_pseudo_likelihood": op5_pseudo_likelihood, "op6_byte_tokens": op6_byte_tokens, "op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules}
-ORACLE_SQL = {"op3_perspectives": oracle.CHAT, "op2_interleaved_shards": oracle.SHARDING, "op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES}
+def op11_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .prefix_tokens import encoded
+
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical_search import ranked_search
+
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op7_audio_prints": op7_audio_prints, "op3_perspectives": op3_perspectives, "op5_pseudo_likelihood": op5_pseudo_likelihood, "op6_byte_tokens": op6_byte_tokens, "op2_interleaved_shards": op2_interleaved_shards, "op10_packing": op10_packing, "op1_quality_model": op1_quality_model, "op4_near_duplicates": op4_near_duplicates, "op8_toxicity": op8_toxicity, "op9_quality_rules": op9_quality_rules, "op11_prefix_tokens": op11_prefix_tokens, "op12_lexical_search": op12_lexical_search, "op13_collocations": op13_collocations}
+ORACLE_SQL = {"op3_perspectives": oracle.CHAT, "op2_interleaved_shards": oracle.SHARDING, "op4_near_duplicates": oracle.NEAR_DUPLICATES, "op9_quality_rules": oracle.QUALITY_RULES, "op12_lexical_search": oracle.LEXICAL_SEARCH, "op13_collocations": oracle.COLLOCATIONS}

@@ -121,9 +121,12 @@ class WordTokenizer:
         edge = np.concatenate(([0], total))[np.searchsorted(starts, begin)] * 4
         return [ids[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
+    def is_plain(self, text: str) -> bool:
+        return PLAIN.fullmatch(text) is not None and not any(m in text for m in self.marks)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        plain = [PLAIN.fullmatch(t) is not None and not any(m in t for m in self.marks) for t in texts]
+        plain = [self.is_plain(t) for t in texts]
         quick = iter(self.plain([t.lower().encode() for t, p in zip(texts, plain, strict=True) if p]))
         return [next(quick) if p else np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t, p in zip(texts, plain, strict=True)]
 
