@@ -28,7 +28,7 @@ LONGEST = SHARED + 1
 #: One of so many windows is a trigger.
 TRIGGER = 32
 #: Bytes of text or chunks that are worked on at once; one longer text stands alone.
-AT_ONCE = 8 << 20
+AT_ONCE = 2 << 20
 #: Bits of the map of frequent phrases: 8 MB, whatever the corpus.
 BITS = 1 << 26
 #: Parts into which a language's phrases are dealt before their first ones are merged.
