@@ -52,6 +52,12 @@ def finite(x: Column) -> Column:
     return F.filter(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
 
 
+def some_finite(x: Column) -> Column:
+    """finite(x), of which a row without any fails the job."""
+    error = F.raise_error(F.lit("a cell has no finite draw"))
+    return let(finite(x), lambda own: F.when(F.coalesce(F.size(own), F.lit(0)) > 0, own).otherwise(F.from_json(error.cast("string"), "array<double>")))
+
+
 def zero_share(x: Column, tolerance: float = 1e-8) -> Column:
     return F.when(F.size(x) > 0, F.size(F.filter(x, lambda v: F.abs(v) <= tolerance)) / F.size(x))
 

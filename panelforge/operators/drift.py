@@ -49,12 +49,12 @@ def deltas(df: DataFrame, keys: tuple[str, str], features: Sequence[str], last_m
 
 
 def extremes(df: DataFrame, keys: tuple[str, str], features: Sequence[str], last_month: int | None = None, recent: int = 1) -> DataFrame:
-    """(check, item, rate): how many standard deviations of the earlier months the greatest recent value lies above their mean. last_month: of the data, if not given."""
+    """(check, item, rate): how many standard deviations of the earlier months the recent value farthest from their mean, above or below, lies from it. last_month: of the data, if not given."""
     last_month = newest_month(df, keys) if last_month is None else last_month
     new = F.col(keys[0]) > last_month - recent
     value = F.nanvl("value", F.lit(None).cast("double"))
-    found = tall(df, keys, features).groupBy("feature").agg(F.max(F.when(new, value)).alias("top"), F.avg(F.when(~new, value)).alias("mean"), F.stddev(F.when(~new, value)).alias("sd"))
-    return found.select(F.lit("extreme").alias("check"), F.col("feature").alias("item"), F.when(F.col("sd") > 0, (F.col("top") - F.col("mean")) / F.col("sd")).alias("rate"))
+    found = tall(df, keys, features).groupBy("feature").agg(F.max(F.when(new, value)).alias("top"), F.min(F.when(new, value)).alias("low"), F.avg(F.when(~new, value)).alias("mean"), F.stddev(F.when(~new, value)).alias("sd"))
+    return found.select(F.lit("extreme").alias("check"), F.col("feature").alias("item"), F.when(F.col("sd") > 0, F.greatest(F.col("top") - F.col("mean"), F.col("mean") - F.col("low")) / F.col("sd")).alias("rate"))
 
 
 def checks(df: DataFrame, keys: tuple[str, str], features: Sequence[str], recent: int = 1) -> DataFrame:

@@ -128,8 +128,18 @@ def pool_conflicts(forecasts: DataFrame, keys: Sequence[str], models: Sequence[s
 
 
 def pool_origins(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str], method: str = "mean", **options) -> DataFrame:
-    """Pools of all targets and rolling origins at once: target and origin are further keys."""
-    return pool_points(forecasts, ["target", "origin", *keys], models, method, **options)
+    """Pools of all targets and rolling origins at once: target and origin are further keys. An origin that a model lacks fails the job (origin_gaps finds it).
+
+    Which models an origin has is one small aggregate beside the pooling, joined to it by target and origin.
+    """
+    own = forecasts.where(F.col("model").isin(list(models)))
+    there = own.groupBy("target", "origin").agg(F.countDistinct("model").alias("__models"))
+    pooled = pool_points(forecasts, ["target", "origin", *keys], models, method, **options)
+    # from the side of the origins, since one without a cell that all models have pools to nothing
+    joined = there.join(pooled.withColumn("__pooled", F.lit(True)), ["target", "origin"], "left")
+    error = F.raise_error(F.format_string("a model lacks origin %s of %s", F.col("origin").cast("string"), F.col("target"))).cast("boolean")
+    whole = joined.where(F.when(F.col("__models") < len(models), error).otherwise(F.col("__pooled").isNotNull()))
+    return whole.select("target", "origin", *keys, "forecast")
 
 
 def origin_gaps(forecasts: DataFrame, models: int) -> DataFrame:

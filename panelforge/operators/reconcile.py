@@ -16,13 +16,23 @@ def with_country(cells: DataFrame, hierarchy: DataFrame) -> DataFrame:
 
 
 def with_totals(cells: DataFrame, countries: DataFrame) -> DataFrame:
-    """cells with their country's total in their month; cells of a country without one are left out (unmapped finds them)."""
-    return cells.join(countries.select(MONTH, COUNTRY, "total"), [MONTH, COUNTRY])
+    """cells with their country's total in their month. A cell without a country, or whose country has no total, fails the job (unmapped finds them)."""
+    return on_cells(cells, countries.select(MONTH, COUNTRY, "total"), ["total"])
+
+
+def on_cells(cells: DataFrame, totals: DataFrame, columns: list[str]) -> DataFrame:
+    """cells with columns of totals (month_id, country_id, ..), in which none is null; a cell without them fails the job that computes the first of them, so no cell is lost."""
+    joined = cells.join(totals.withColumn("__found", F.lit(True)), [MONTH, COUNTRY], "left")
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in (MONTH, GRID, COUNTRY)]
+    error = F.raise_error(F.format_string("no country total: month %s, cell %s, country %s", *place))
+    found = {c: F.when(F.col("__found").isNull() | F.col(c).isNull(), error.cast(totals.schema[c].dataType)).otherwise(F.col(c)) for c in columns}
+    return joined.withColumns(found).drop("__found")
 
 
 def unmapped(cells: DataFrame, countries: DataFrame) -> DataFrame:
     """(month_id, country_id, n): cells without a country (null) or whose country has no forecast; must be empty."""
-    missing = cells.join(countries.select(MONTH, COUNTRY), [MONTH, COUNTRY], "left_anti")
+    there = countries.where("total is not null") if "total" in countries.columns else countries
+    missing = cells.join(there.select(MONTH, COUNTRY), [MONTH, COUNTRY], "left_anti")
     return missing.groupBy(MONTH, COUNTRY).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -35,11 +45,12 @@ def scale(value: Column, total: Column, own: Column) -> Column:
 def reconcile_points(cells: DataFrame, countries: DataFrame) -> DataFrame:
     """(month_id, grid_id, country_id, value) from cells (.., value) and countries (month_id, country_id, total).
 
-    Totals are aggregated before they are joined back, so a country with very many cells moves one row for each task.
+    Totals are aggregated before they are joined back, so a country with very many cells moves one row for each task. A cell without a
+    country or total fails the job; unmapped() finds such cells.
     """
-    sums = cells.groupBy(MONTH, COUNTRY).agg(F.sum(F.greatest("value", F.lit(0.0))).alias("__own"))
+    sums = cells.groupBy(MONTH, COUNTRY).agg(F.coalesce(F.sum(F.greatest("value", F.lit(0.0))), F.lit(0.0)).alias("__own"))
     totals = sums.join(countries.select(MONTH, COUNTRY, "total"), [MONTH, COUNTRY])
-    joined = cells.join(totals, [MONTH, COUNTRY])
+    joined = on_cells(cells, totals, ["total", "__own"])
     return joined.select(MONTH, GRID, COUNTRY, scale(F.col("value"), F.col("total"), F.col("__own")).alias("value"))
 
 
@@ -47,18 +58,19 @@ def reconcile_draws(cells: DataFrame, countries: DataFrame, samples: int) -> Dat
     """As reconcile_points for arrays of draws: country totals of one draw apply to each, those of S draws to the same draw.
 
     cells has value array, countries total array. The sums of all draws are one aggregate of S columns, without exploding. Cells that
-    don't have S draws, and totals of neither 1 nor S, fail the job that computes them (draw_conflicts finds them).
+    don't have S draws, totals of neither 1 nor S, and cells without a country or total fail the job that computes them (draw_conflicts
+    and unmapped find them).
     """
     fitting = F.col("value").isNull() | (F.size("value") == samples)
     cells = cells.withColumn("value", F.when(fitting, F.col("value")).otherwise(F.raise_error(F.lit(f"a cell without {samples} draws")).cast(cells.schema["value"].dataType)))
     fitting = F.col("total").isNull() | F.size("total").isin(1, samples)
     countries = countries.withColumn("total", F.when(fitting, F.col("total")).otherwise(F.raise_error(F.lit(f"a country total of neither 1 nor {samples} draws")).cast(countries.schema["total"].dataType)))
-    own = [F.sum(F.greatest(F.get("value", F.lit(i)), F.lit(0.0))).alias(f"__{i}") for i in range(samples)]
+    own = [F.coalesce(F.sum(F.greatest(F.get("value", F.lit(i)), F.lit(0.0))), F.lit(0.0)).alias(f"__{i}") for i in range(samples)]
     sums = cells.groupBy(MONTH, COUNTRY).agg(*own).select(MONTH, COUNTRY, F.array(*(f"__{i}" for i in range(samples))).alias("__own"))
     totals = sums.join(countries.select(MONTH, COUNTRY, "total"), [MONTH, COUNTRY])
     total = lambda i: F.get("total", F.when(F.size("total") == 1, F.lit(0)).otherwise(i))
     scaled = F.transform("value", lambda x, i: scale(x, total(i), F.get("__own", i)))
-    return cells.join(totals, [MONTH, COUNTRY]).select(MONTH, GRID, COUNTRY, scaled.alias("value"))
+    return on_cells(cells, totals, ["total", "__own"]).select(MONTH, GRID, COUNTRY, scaled.alias("value"))
 
 
 def check_samples(country: int, grid: int) -> None:
@@ -74,10 +86,10 @@ def draw_conflicts(cells: DataFrame, countries: DataFrame) -> DataFrame:
 
 
 def reconcile_targets(cells: DataFrame, countries: DataFrame, targets: list[str]) -> DataFrame:
-    """All targets (columns of both tables) in one pass."""
-    sums = cells.groupBy(MONTH, COUNTRY).agg(*(F.sum(F.greatest(t, F.lit(0.0))).alias(f"__own_{t}") for t in targets))
+    """All targets (columns of both tables) in one pass; as reconcile_points for each."""
+    sums = cells.groupBy(MONTH, COUNTRY).agg(*(F.coalesce(F.sum(F.greatest(t, F.lit(0.0))), F.lit(0.0)).alias(f"__own_{t}") for t in targets))
     totals = sums.join(countries.select(MONTH, COUNTRY, *(F.col(t).alias(f"__total_{t}") for t in targets)), [MONTH, COUNTRY])
-    return cells.join(totals, [MONTH, COUNTRY]).select(MONTH, GRID, COUNTRY, *(scale(F.col(t), F.col(f"__total_{t}"), F.col(f"__own_{t}")).alias(t) for t in targets))
+    return on_cells(cells, totals, [f"__{x}_{t}" for x in ("own", "total") for t in targets]).select(MONTH, GRID, COUNTRY, *(scale(F.col(t), F.col(f"__total_{t}"), F.col(f"__own_{t}")).alias(t) for t in targets))
 
 
 def broken_invariants(before: DataFrame, after: DataFrame, countries: DataFrame, sums: float = 1e-2, zeros: float = 1e-8) -> DataFrame:

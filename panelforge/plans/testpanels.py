@@ -31,6 +31,12 @@ def country_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy(month_id(F.col("o_orderdate")).alias("month_id"), F.col("c_nationkey").alias("country_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def country_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(month_id, country_id, total): a forecast for every country and month with a cell, that of its orders, 0 without any."""
+    places = grid_panel(spark, sf_dir).join(hierarchy(spark, sf_dir), "grid_id").select("month_id", "country_id").distinct()
+    return places.join(country_panel(spark, sf_dir), ["month_id", "country_id"], "left").select("month_id", "country_id", F.coalesce("n", F.lit(0)).cast("double").alias("total"))
+
+
 def hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(grid_id, country_id)"""
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("grid_id"), F.col("s_nationkey").alias("country_id"))
@@ -72,6 +78,7 @@ def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 GRID_SQL = "grid AS (SELECT ((year(l_shipdate) - 1980) * 12 + month(l_shipdate))::INT AS month_id, l_suppkey AS grid_id, count(*) AS n, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)"
 COUNTRY_SQL = "country AS (SELECT ((year(o_orderdate) - 1980) * 12 + month(o_orderdate))::INT AS month_id, c_nationkey AS country_id, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"
 HIERARCHY_SQL = "hierarchy AS (SELECT s_suppkey AS grid_id, s_nationkey AS country_id FROM supplier)"
+TOTALS_SQL = f"{HIERARCHY_SQL}, {COUNTRY_SQL}, totals AS (SELECT month_id, country_id, coalesce(n, 0)::DOUBLE AS total FROM (SELECT DISTINCT month_id, country_id FROM grid JOIN hierarchy USING (grid_id)) LEFT JOIN country USING (month_id, country_id))"
 MODELS_SQL = f"{GRID_SQL}, points AS (SELECT model, month_id, grid_id, v * factor AS forecast FROM grid, (VALUES ('low', 0.8::DOUBLE), ('mid', 1.0::DOUBLE), ('high', 1.3::DOUBLE)) m(model, factor) WHERE NOT (model = 'high' AND grid_id % 7 = 0))"
 
 

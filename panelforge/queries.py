@@ -298,13 +298,23 @@ def e12_origin_ensembles(spark, sf):
 
 # Reconciliation
 
-CELLS_SQL = f"{tp.GRID_SQL}, {tp.COUNTRY_SQL}, {tp.HIERARCHY_SQL}, cells AS (SELECT month_id, grid_id, country_id, CASE WHEN n % 4 = 0 THEN 0 ELSE v END AS value, n AS second FROM grid JOIN hierarchy USING (grid_id) WHERE month_id <= 260), totals AS (SELECT month_id, country_id, n::DOUBLE AS total FROM country)"
+CELLS_SQL = f"{tp.GRID_SQL}, {tp.TOTALS_SQL}, cells AS (SELECT month_id, grid_id, country_id, CASE WHEN n % 4 = 0 THEN 0 ELSE v END AS value, n AS second FROM grid JOIN hierarchy USING (grid_id))"
 
 
 def cells_and_totals(spark, sf):
-    cells = reconcile.with_country(tp.grid_panel(spark, sf).where("month_id <= 260"), tp.hierarchy(spark, sf))
+    cells = reconcile.with_country(tp.grid_panel(spark, sf), tp.hierarchy(spark, sf))
     cells = cells.select("month_id", "grid_id", "country_id", F.when(F.col("n") % 4 == 0, 0.0).otherwise(F.col("v")).alias("value"), F.col("n").cast("double").alias("second"))
-    return cells, tp.country_panel(spark, sf).select("month_id", "country_id", F.col("n").cast("double").alias("total"))
+    return cells, tp.country_forecast(spark, sf)
+
+
+@query(
+    f"""WITH {tp.GRID_SQL}, {tp.COUNTRY_SQL}, {tp.HIERARCHY_SQL}, mapped AS (SELECT month_id, grid_id, CASE WHEN grid_id % 5 > 0 THEN country_id END AS country_id FROM grid JOIN hierarchy USING (grid_id))
+    SELECT month_id, country_id, count(*) AS n FROM mapped ANTI JOIN country USING (month_id, country_id) GROUP BY ALL"""
+)
+def j9_unmapped(spark, sf):
+    """Cells of months without orders, and every fifth cell, which has no country."""
+    cells = reconcile.with_country(tp.grid_panel(spark, sf), tp.hierarchy(spark, sf).where("grid_id % 5 > 0"))
+    return reconcile.unmapped(cells, tp.country_panel(spark, sf).withColumnRenamed("n", "total"))
 
 
 @query(
@@ -485,8 +495,8 @@ def m5_m6_ranking(spark, sf):
 @query("WITH x AS (SELECT doc_id, quality, toxic FROM labels) SELECT round(avg(pow(toxic - (CASE WHEN quality = 1 THEN 0.1 ELSE 0.4 END)::DOUBLE, 2)), 9) AS brier FROM x")
 def m7_brier_labels(spark, sf):
     rows = tp.table(spark, sf, "labels").select(F.col("toxic").alias("y_true"), F.array(F.when(F.col("quality") == 1, 0.1).otherwise(0.4)).alias("y_pred"))
-    score, over = evaluate.METRICS["Brier"]()
-    return rows.select(score.alias("s")).agg(over("s").alias("brier")).withColumn("brier", F.round("brier", 9))
+    brier = evaluate.METRICS["Brier"]()
+    return rows.select("y_true", brier.row.alias("s")).agg(brier.of_group("s").alias("brier")).withColumn("brier", F.round("brier", 9))
 
 
 # Posterior summaries
@@ -689,7 +699,8 @@ LAST_SQL = "(SELECT max(month_id) FROM grid)"
 DELTA_SQL = f"abs(avg(CASE WHEN month_id > {LAST_SQL} - 3 THEN {{x}} END) - avg(CASE WHEN month_id <= {LAST_SQL} - 3 AND month_id > {LAST_SQL} - 33 THEN {{x}} END))"
 DELTAS_SQL = f"""SELECT 'delta_missing' AS "check", feature AS item, {DELTA_SQL.format(x='(value IS NULL)::INT')} AS rate FROM tall GROUP BY feature
     UNION ALL SELECT 'delta_zero', feature, {DELTA_SQL.format(x='coalesce(value = 0, false)::INT')} FROM tall GROUP BY feature"""
-EXTREMES_SQL = f"""SELECT 'extreme' AS "check", feature AS item, (max(CASE WHEN month_id > {LAST_SQL} - 3 THEN value END) - avg(CASE WHEN month_id <= {LAST_SQL} - 3 THEN value END)) / stddev_samp(CASE WHEN month_id <= {LAST_SQL} - 3 THEN value END) AS rate FROM tall GROUP BY feature"""
+EARLIER_SQL = f"avg(CASE WHEN month_id <= {LAST_SQL} - 3 THEN value END)"
+EXTREMES_SQL = f"""SELECT 'extreme' AS "check", feature AS item, greatest(max(CASE WHEN month_id > {LAST_SQL} - 3 THEN value END) - {EARLIER_SQL}, {EARLIER_SQL} - min(CASE WHEN month_id > {LAST_SQL} - 3 THEN value END)) / stddev_samp(CASE WHEN month_id <= {LAST_SQL} - 3 THEN value END) AS rate FROM tall GROUP BY feature"""
 
 
 @query(f"""WITH {DRIFT_SQL} SELECT "check", item, round(rate, 6) AS rate FROM ({DELTAS_SQL})""")
@@ -992,13 +1003,13 @@ def j10_totals_on_cells(spark, sf):
 
 
 @query(
-    f"""WITH {tp.MODELS_SQL}, {tp.COUNTRY_SQL}, {tp.HIERARCHY_SQL}, pooled AS (SELECT month_id, grid_id, avg(forecast) AS x FROM points WHERE month_id <= 260 GROUP BY ALL HAVING count(*) = 3),
+    f"""WITH {tp.MODELS_SQL}, {tp.TOTALS_SQL}, pooled AS (SELECT month_id, grid_id, avg(forecast) AS x FROM points GROUP BY ALL HAVING count(*) = 3),
     cells AS (SELECT month_id, grid_id, country_id, x, sum(x) OVER (PARTITION BY month_id, country_id) AS own FROM pooled JOIN hierarchy USING (grid_id))
-    SELECT month_id, grid_id, country_id, {settled_sql('CASE WHEN own > 0 THEN x * n / own ELSE 0 END')} AS value FROM cells JOIN country USING (month_id, country_id)"""
+    SELECT month_id, grid_id, country_id, {settled_sql('CASE WHEN own > 0 THEN x * total / own ELSE 0 END')} AS value FROM cells JOIN totals USING (month_id, country_id)"""
 )
 def e13_ensemble_forecast(spark, sf):
     totals = cells_and_totals(spark, sf)[1]
-    return settled(runs.ensemble_forecast(tp.model_points(spark, sf).where("month_id <= 260"), KEYS, list(tp.MODELS), tp.hierarchy(spark, sf), totals))
+    return settled(runs.ensemble_forecast(tp.model_points(spark, sf), KEYS, list(tp.MODELS), tp.hierarchy(spark, sf), totals))
 
 
 @query(ORACLE_SQL["r1_proportional"])
@@ -1018,10 +1029,17 @@ def g1_g3_without_cut(spark, sf):
 @query(f"WITH {VECTORS_SQL}, kept AS (SELECT vec_id, list_filter(x, lambda v, i: i % 5 <> 0) AS x FROM vectors) SELECT vec_id, len(x)::INT AS n, round(list_avg(x), 6) AS mean FROM kept")
 def c7_finite_draws(spark, sf):
     holes = F.transform("x", lambda v, i: F.when((i + 1) % 10 == 0, F.lit(float("nan"))).when((i + 1) % 5 == 0, F.lit(float("inf"))).otherwise(v))
-    found = vectors(spark, sf).select("vec_id", draws.finite(holes).alias("x"))
+    found = vectors(spark, sf).select("vec_id", draws.some_finite(holes).alias("x"))
     return found.select("vec_id", F.size("x").alias("n"), F.round(draws.mean(F.col("x")), 6).alias("mean"))
 
 
+@query(f"WITH {VECTORS_SQL} SELECT vec_id FROM vectors WHERE len(list_filter(x, lambda v: v > 0.02)) = 0 OR vec_id % 9 = 0")
+def c7_without_draws(spark, sf):
+    """Vectors of which nothing is left when small values are infinite; every ninth is null."""
+    holes = F.when(F.col("vec_id") % 9 > 0, F.transform("x", lambda v: F.when(v > 0.02, v).otherwise(F.lit(float("inf")))))
+    return posterior.without_draws(vectors(spark, sf).withColumn("x", holes), ["vec_id"], "x")
+
+
 @query(f"WITH {tp.GRID_SQL} SELECT 'b' AS variable, count(*) * 2 AS n FROM grid WHERE n % 6 = 0 HAVING count(*) > 0")
 def d3_missing_cells(spark, sf):
     panel = tp.grid_panel(spark, sf).select(*KEYS, F.array("v", "v").alias("a"), F.when(F.col("n") % 6 == 0, F.array(F.lit(float("nan")), F.lit(None).cast("double"))).otherwise(F.array("v", "v")).alias("b"))
@@ -1035,14 +1053,47 @@ def k12_bad_records(spark, sf):
     return catalogue.bad_records(records).select("file_id")
 
 
-@query(f"WITH {tp.ALIGNED_SQL} SELECT origin, count(*) AS n, {settled_sql('avg(' + ROW_SQL['MAE'].replace('x,', 'y_pred,').replace('y - p', 'y_true - p') + ')')} AS mae FROM aligned GROUP BY origin")
+def ranked_sql(metric: str) -> str:
+    """AP or AUC of the mean forecasts by step, month and origin, an outcome above 100 counting as true: counts by score, summed from the top."""
+    value = {"AP": "sum(pos * tp / (tp + fp)) / nullif(sum(pos), 0)", "AUC": "sum(neg * (tp - pos / 2.0::DOUBLE)) / nullif(sum(pos), 0) / nullif(sum(neg), 0)"}[metric]
+    kinds = (("step", "format('step{:02d}', step)", "WHERE step <= 30"), ("month", "format('month{:d}', time)", ""), ("time_series", "format('ts{:02d}', origin)", ""))
+    rows = " UNION ALL ".join(f"SELECT '{kind}' AS eval_type, {group} AS group_id, list_avg(x) AS score, y > 100 AS hit FROM cut {where}" for kind, group, where in kinds)
+    return f"""WITH {SHORT_SQL}, ranked AS ({rows}), levels AS (SELECT eval_type, group_id, score, sum(hit::INT)::DOUBLE AS pos, sum((NOT hit)::INT)::DOUBLE AS neg FROM ranked GROUP BY ALL), running AS (
+    SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM levels WINDOW w AS (PARTITION BY eval_type, group_id ORDER BY score DESC)
+) SELECT eval_type, group_id, '{metric}' AS metric, {settled_sql(value)} AS value FROM running GROUP BY eval_type, group_id"""
+
+
+def exceeded(rows: DataFrame) -> DataFrame:
+    """Whether more than 100 happened, in place of what happened."""
+    return rows.withColumn("y_true", (F.col("y_true") > 100).cast("double"))
+
+
+for _metric in evaluate.RANKED:
+    ORACLE_SQL[f"m_{_metric.lower()}"] = ranked_sql(_metric)
+    QUERIES[f"m_{_metric.lower()}"] = lambda spark, sf, m=_metric: settled(evaluate.scored(exceeded(shortened(spark, sf)), [m]))
+
+STREAMED = [m for m in evaluate.METRICS if m != "Brier"]
+
+
+def arriving(spark: SparkSession, sf: str, at: str, actuals: DataFrame, metrics, options=None) -> DataFrame:
+    """Scores of forecasts that arrive as several files an origin, a few a batch."""
+    short = tp.origin_forecasts(spark, sf).where(f"not (origin = 3 and time > {tp.BASE} + 33)")
+    short.repartition(3, "unit").write.partitionBy("origin").parquet(f"{at}/in")
+    sink = increments.kept_states(f"{at}/out", actuals, align.step_table(spark, tp.BASE), metrics, options)
+    increments.score_origins(spark, f"{at}/in", "time int, unit long, y_pred array<double>, origin int", f"{at}/state", sink, files=8)
+    return settled(increments.streamed_scores(spark, f"{at}/out", metrics, options=options))
+
+
+@query(" UNION ALL ".join(f"SELECT eval_type, group_id, metric, value FROM ({ORACLE_SQL[f'm_{m.lower()}']})" for m in STREAMED))
 def x2_origins_streamed(spark, sf):
-    """Forecasts arrive as several files an origin, a few a batch; each batch is scored, and batches meet in an origin's score."""
-    at = scratch(spark)
-    tp.origin_forecasts(spark, sf).repartition(3, "unit").write.partitionBy("origin").parquet(f"{at}/in")
-    sink = increments.scored_per_origin(f"{at}/out", tp.actuals(spark, sf), ["MAE"])
-    increments.score_origins(spark, f"{at}/in", "time int, unit long, y_pred array<double>, origin int", f"{at}/state", sink, files=4)
-    return settled(increments.origin_scores(spark, f"{at}/out", ["MAE"]).withColumnRenamed("MAE", "mae"), "mae")
+    """Every metric of regressions, merged over batches."""
+    return arriving(spark, sf, scratch(spark), tp.actuals(spark, sf), STREAMED, {"twCRPS": {"threshold": 100.0}})
+
+
+@query(" UNION ALL ".join(f"SELECT eval_type, group_id, metric, value FROM ({ORACLE_SQL[f'm_{m.lower()}']})" for m in evaluate.RANKED))
+def x2_ranked_streamed(spark, sf):
+    """AP and AUC, merged over batches."""
+    return arriving(spark, sf, scratch(spark), exceeded(tp.actuals(spark, sf)), list(evaluate.RANKED))
 
 
 @query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, CASE WHEN month_id IN (200, 201) AND grid_id % 2 = 0 THEN v + 2 ELSE v END AS v FROM grid")

@@ -354,7 +354,7 @@ def v19_bad_actuals(spark, sf):
 
 # Tasks and strategies
 
-TASKS = {"regression_targets": ["y", "z"], "classification_targets": ["c"], "regression_sample_metrics": ["CRPS"], "regression_point_metrics": ["MAE", "MSE"], "classification_point_metrics": ["Brier"]}
+TASKS = {"regression_targets": ["y", "z"], "classification_targets": ["c"], "regression_sample_metrics": ["CRPS"], "regression_point_metrics": ["MAE", "MSE"], "classification_point_metrics": ["Brier", "AP"]}
 
 
 def grouped_sql(target: str, task: str, metric: str, row: str) -> str:
@@ -363,11 +363,17 @@ def grouped_sql(target: str, task: str, metric: str, row: str) -> str:
     return " UNION ALL ".join(f"SELECT '{task}' AS task, '{target}' AS target, '{kind}' AS eval_type, {label} AS group_id, '{metric}' AS metric, {settled_sql(f'avg({row})')} AS value FROM {target}_rows GROUP BY {by}" for kind, label, by in groups)
 
 
+_LEVELS = " UNION ALL ".join(f"SELECT '{kind}' AS eval_type, {label} AS group_id, x[1] AS score, y FROM c_rows" for kind, label in (("step", "format('step{:02d}', step)"), ("month", "format('month{:d}', time)"), ("time_series", "format('ts{:02d}', origin)")))
+_PRECISION = f"""SELECT 'classification_point', 'c', eval_type, group_id, 'AP', {settled_sql('sum(pos * tp / k) / nullif(sum(pos), 0)')} FROM (
+    SELECT *, sum(pos) OVER w AS tp, sum(n) OVER w AS k FROM (SELECT eval_type, group_id, score, sum(y)::DOUBLE AS pos, count(*) AS n FROM ({_LEVELS}) GROUP BY ALL) WINDOW w AS (PARTITION BY eval_type, group_id ORDER BY score DESC)
+) GROUP BY eval_type, group_id"""
+
+
 @query(
     f"""WITH {tp.ALIGNED_SQL}, y_rows AS (SELECT origin, time, step, y_true AS y, y_pred AS x FROM aligned), z_rows AS (SELECT origin, time, step, y_true AS y, [list_avg(y_pred)] AS x FROM aligned),
     c_rows AS (SELECT origin, time, step, (y_true > 150)::INT AS y, [(list_avg(y_pred) > 150)::INT * 0.8::DOUBLE + 0.1::DOUBLE] AS x FROM aligned)
     {grouped_sql('y', 'regression_sample', 'CRPS', ROW_SQL['CRPS'])} UNION ALL {grouped_sql('z', 'regression_point', 'MAE', 'abs(y - x[1])')} UNION ALL {grouped_sql('z', 'regression_point', 'MSE', '(y - x[1]) * (y - x[1])')}
-    UNION ALL {grouped_sql('c', 'classification_point', 'Brier', '(y - x[1]) * (y - x[1])')}"""
+    UNION ALL {grouped_sql('c', 'classification_point', 'Brier', '(y - x[1]) * (y - x[1])')} UNION ALL {_PRECISION}"""
 )
 def g6_task_scores(spark, sf):
     """Three targets, each scored by the metrics of its task: draws, points, and the chance of exceeding 150."""
@@ -385,17 +391,17 @@ def g7_kinds(spark, sf):
     return evaluate.kinds(cut, ["model"], "forecast")
 
 
-POOLED_SQL = f"""{tp.MODELS_SQL}, {tp.COUNTRY_SQL}, {tp.HIERARCHY_SQL}, pooled AS (SELECT month_id, grid_id, avg(forecast) AS x FROM points WHERE month_id <= 260 GROUP BY ALL HAVING count(*) = 3),
+POOLED_SQL = f"""{tp.MODELS_SQL}, {tp.TOTALS_SQL}, pooled AS (SELECT month_id, grid_id, avg(forecast) AS x FROM points GROUP BY ALL HAVING count(*) = 3),
     cells AS (SELECT month_id, grid_id, country_id, x, sum(x) OVER (PARTITION BY month_id, country_id) AS own FROM pooled JOIN hierarchy USING (grid_id))"""
 
 
 @query(
-    f"""WITH {POOLED_SQL} SELECT month_id, grid_id, country_id, {settled_sql('CASE WHEN own > 0 THEN x * n / own ELSE 0 END')} AS value, 'proportional' AS mode FROM cells JOIN country USING (month_id, country_id)
+    f"""WITH {POOLED_SQL} SELECT month_id, grid_id, country_id, {settled_sql('CASE WHEN own > 0 THEN x * total / own ELSE 0 END')} AS value, 'proportional' AS mode FROM cells JOIN totals USING (month_id, country_id)
     UNION ALL SELECT month_id, grid_id, country_id, {settled_sql('x')}, 'none' FROM cells UNION ALL SELECT month_id, grid_id, country_id, {settled_sql('x + 1')}, 'shifted' FROM cells"""
 )
 def x6_reconcilers(spark, sf):
     """The same cells by two reconcilers of the library and one of the caller's."""
-    points = tp.model_points(spark, sf).where("month_id <= 260")
+    points = tp.model_points(spark, sf)
     pooled = pool.pool_points(points, KEYS, list(tp.MODELS)).withColumnRenamed("forecast", "value")
     cells, totals = reconcile.with_country(pooled, tp.hierarchy(spark, sf)), cells_and_totals(spark, sf)[1]
     shifted = "shifted", lambda c, t: runs.unchanged(c, t).withColumn("value", F.col("value") + 1)
@@ -406,9 +412,9 @@ def x6_reconcilers(spark, sf):
 
 
 @query(
-    f"""WITH {WIDE_SQL}, {tp.COUNTRY_SQL}, {tp.HIERARCHY_SQL}, pooled AS (SELECT month_id, grid_id, d, (a[d + 1] + b[d + 1] + c[d + 1]) / 3 AS x FROM wide, range(8) r(d) WHERE month_id <= 260),
+    f"""WITH {WIDE_SQL}, {tp.TOTALS_SQL}, pooled AS (SELECT month_id, grid_id, d, (a[d + 1] + b[d + 1] + c[d + 1]) / 3 AS x FROM wide, range(8) r(d)),
     cells AS (SELECT month_id, grid_id, country_id, d, x, sum(x) OVER (PARTITION BY month_id, country_id, d) AS own FROM pooled JOIN hierarchy USING (grid_id))
-    SELECT month_id, grid_id, country_id, d::INT AS draw, {settled_sql('CASE WHEN own > 0 THEN x * (n * (1 + d / 10.0::DOUBLE)) / own ELSE 0 END', 4)} AS value FROM cells JOIN country USING (month_id, country_id)"""
+    SELECT month_id, grid_id, country_id, d::INT AS draw, {settled_sql('CASE WHEN own > 0 THEN x * (total * (1 + d / 10.0::DOUBLE)) / own ELSE 0 END', 4)} AS value FROM cells JOIN totals USING (month_id, country_id)"""
 )
 def e13_draw_ensemble(spark, sf):
     """Draws averaged over models, scaled to draws of country totals, and saved."""
@@ -418,7 +424,7 @@ def e13_draw_ensemble(spark, sf):
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    draws = tp.model_draws(spark, sf).where("month_id <= 260")
+    draws = tp.model_draws(spark, sf)
     totals = cells_and_totals(spark, sf)[1].withColumn("total", F.transform(F.sequence(F.lit(0), F.lit(7)), lambda d: F.col("total") * (1 + d / F.lit(10.0))))
     found = runs.ensemble_forecast(draws, KEYS, list(tp.MODELS), tp.hierarchy(spark, sf), totals, "aligned", reconciler=("draws", runs.aligned_draws(tp.DRAWS)), save=save)
     return exploded(found, "value", 4, settle=True)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.transforms import replay
-from ..operators.align import align
-from ..operators.evaluate import METRICS
+from ..operators.align import align, with_steps
+from ..operators.evaluate import chosen, curve_states, merged, merged_curve, ranked_values, states, values
 from ..operators.update import overwrite
 from ..schema import PanelError
 
@@ -42,25 +43,34 @@ def origin_rows(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
-def scored_per_origin(out: str, actuals: DataFrame, metrics: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A sink that joins a batch's forecasts (origin, time, unit, y_pred) to the actuals and keeps each origin's sums of row scores; see origin_scores.
+def kept_states(out: str, actuals: DataFrame, steps: DataFrame, metrics: Sequence[str], options: dict[str, dict] | None = None) -> Callable[[DataFrame, int], None]:
+    """A sink that joins a batch's forecasts (origin, time, unit, y_pred) to the actuals and steps and keeps the states of the batch's groups; see streamed_scores.
 
-    A batch that runs again replaces what it gave.
+    States are as many rows as a batch has groups, and for AP and AUC as many as its groups have distinct mean forecasts; no row of forecasts is kept. A batch that
+    runs again replaces what it gave. A batch of which nothing is aligned gives nothing.
     """
-    scores = {m: METRICS[m]()[0] for m in metrics}
+    plain = chosen(metrics, options)
 
     def sink(rows: DataFrame, number: int) -> None:
-        aligned = align(rows, actuals)
-        sums = aligned.select("origin", *(score.alias(m) for m, score in scores.items())).groupBy("origin").agg(F.count(F.lit(1)).alias("n"), *(F.sum(m).alias(m) for m in metrics))
-        per_origin(out)(sums, number)
+        aligned = with_steps(align(rows, actuals), steps).persist()
+        try:
+            parts = [("states", states(aligned, metrics, options))] * bool(plain) + [("curve", curve_states(aligned))] * (len(plain) < len(metrics))
+            for name, found in parts:
+                found.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{out}/{name}")
+        finally:
+            aligned.unpersist()
 
     return sink
 
 
-def origin_scores(spark: SparkSession, out: str, metrics: Sequence[str]) -> DataFrame:
-    """(origin, n, metric means) over all batches of scored_per_origin; for metrics that are means of row scores."""
-    sums = origin_rows(spark, out).groupBy("origin").agg(F.sum("n").alias("n"), *(F.sum(m).alias(m) for m in metrics))
-    return sums.select("origin", "n", *((F.col(m) / F.col("n")).alias(m) for m in metrics))
+def streamed_scores(spark: SparkSession, out: str, metrics: Sequence[str], cut_to_shortest: bool = True, options: dict[str, dict] | None = None) -> DataFrame:
+    """What scored() gives for the rows of all batches of kept_states, which took the same metrics and options: their states are merged, and then valued."""
+    plain, found = chosen(metrics, options), []
+    if plain:
+        found.append(values(merged(spark.read.parquet(f"{out}/states"), metrics, options), metrics, cut_to_shortest, options))
+    if len(plain) < len(metrics):
+        found.append(ranked_values(merged_curve(spark.read.parquet(f"{out}/curve")), metrics, cut_to_shortest))
+    return reduce(DataFrame.unionByName, found)
 
 
 def apply_corrections(spark: SparkSession, path: str, schema: str, checkpoint: str, panel: str, versions: str, keys: tuple[str, str], columns=None, files: int = 1) -> DataFrame:

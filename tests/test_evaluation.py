@@ -1,3 +1,5 @@
+from functools import reduce
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +104,70 @@ def test_crps_of_rows_of_any_length(spark):
         else:
             n = len(x)
             assert s == pytest.approx(sum(abs(v - y) for v in x) / n - sum(abs(a - b) for a in x for b in x) / (2 * n * n))
+
+
+def rolling(spark):
+    """Rows of three origins with ties, missing forecasts and missing outcomes; the last months of one origin have no forecast."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for o in range(3):
+        for s in range(1, 5 if o else 4):
+            for u in range(12):
+                draw = [round(float(v), 1) for v in rng.gamma(2, 1, 4)]
+                rows.append((o, 20 + o + s, u, s, None if (u + s) % 7 == 0 else float(rng.integers(0, 4)), None if u == 3 else [] if u == 4 and s > 2 else draw))
+    return spark.createDataFrame(rows, "origin int, time int, unit int, step int, y_true double, y_pred array<double>")
+
+
+def by_name(df):
+    return {(r.eval_type, r.group_id, r.metric): r.value for r in df.collect()}
+
+
+def test_streamed_scores_are_the_batch_scores(spark, tmp_path):
+    from panelforge.streaming import increments
+
+    rows, names = rolling(spark), [*evaluate.METRICS, *evaluate.RANKED]
+    options = {"twCRPS": {"threshold": 0.7}, "MIS": {"alpha": 0.3}}
+    want = by_name(evaluate.scored(rows, names, options=options))
+    actuals = rows.select("time", "unit", "origin", "y_true")
+    steps = align.step_table(spark, 20, 4, 2)
+    for split in (1, 2, 5):
+        out = f"{tmp_path}/{split}"
+        # what happened differs by origin here, so each origin's is joined as its own units
+        apart = lambda df: df.withColumn("unit", F.col("unit") + 100 * F.col("origin"))
+        sink = increments.kept_states(out, apart(actuals).drop("origin"), steps, names, options)
+        for k in range(split):
+            batch = apart(rows).where(F.pmod(F.xxhash64("unit", "time"), F.lit(split)) == k).select("origin", "time", "unit", "y_pred")
+            sink(batch, k)
+            sink(batch, k)
+        sink(apart(rows).where("unit < 0").select("origin", "time", "unit", "y_pred"), split)
+        got = by_name(increments.streamed_scores(spark, out, names, options=options))
+        assert got.keys() == want.keys()
+        for key, value in want.items():
+            assert got[key] == (None if value is None else pytest.approx(value, abs=1e-9)), key
+
+
+def test_ranked_scores_by_group_equal_all_pairs(spark):
+    rows = rolling(spark)
+    scores = by_name(evaluate.scored(rows, ["AP", "AUC", "MAE"], cut_to_shortest=False))
+    groups = {}
+    for r in rows.collect():
+        if r.y_true is not None and r.y_pred:
+            for key in (("step", f"step{r.step:02d}"), ("month", f"month{r.time}"), ("time_series", f"ts{r.origin:02d}")):
+                groups.setdefault(key, []).append((reduce(lambda a, b: a + b, r.y_pred, 0.0) / len(r.y_pred), r.y_true > 0))
+    for key, own in groups.items():
+        hits, misses = [s for s, t in own if t], [s for s, t in own if not t]
+        auc = np.mean([(a > b) + (a == b) / 2 for a in hits for b in misses]) if hits and misses else None
+        ap = sum(sum(t for s, t in own if s >= h) / sum(s >= h for s, _ in own) for h in hits) / len(hits)
+        assert scores[(*key, "AUC")] == (None if auc is None else pytest.approx(auc)) and scores[(*key, "AP")] == pytest.approx(ap)
+
+
+def test_slices_keep_the_order(spark):
+    values = sorted([*np.random.default_rng(3).normal(size=400) * 10.0 ** np.arange(-200, 200), 0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1.0, np.nextafter(1, 2)])
+    found = [r.s for r in spark.createDataFrame([(float(v),) for v in values], "v double").coalesce(1).select(evaluate.slice_of(F.col("v")).alias("s")).collect()]
+    assert found == sorted(found)
+
+
+def test_tasks_take_average_precision(spark):
+    rows = rolling(spark).where("y_true is not null and size(y_pred) > 0").withColumn("y_pred", F.slice("y_pred", 1, 1))
+    found = evaluate.task_scores({"c": rows}, {"classification_targets": ["c"], "classification_point_metrics": ["AP"]})
+    assert {r.metric for r in found.collect()} == {"AP"} and {r.task for r in found.collect()} == {"classification_point"}

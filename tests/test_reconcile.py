@@ -70,3 +70,50 @@ def test_totals_of_a_wrong_number_of_draws_are_refused(spark):
         else:
             with pytest.raises(Exception, match="neither 1 nor 2 draws"):
                 reconcile.reconcile_draws(cells, countries, 2).collect()
+
+
+def failing(df):
+    with pytest.raises(Exception, match="no country total|lacks origin|no finite draw") as found:
+        df.write.format("noop").mode("overwrite").save()
+    return str(found.value)
+
+
+def test_cells_without_country_or_total_fail_the_job(spark):
+    cells = spark.createDataFrame([(1, 11, 1, 2.0), (1, 12, 2, 3.0), (1, 13, None, 4.0), (2, 11, 1, 5.0)], "month_id int, grid_id int, country_id int, value double")
+    countries = spark.createDataFrame([(1, 1, 5.0), (1, 2, None), (2, 9, 1.0)], "month_id int, country_id int, total double")
+    assert {(r.month_id, r.country_id, r.n) for r in reconcile.unmapped(cells, countries).collect()} == {(1, 2, 1), (1, None, 1), (2, 1, 1)}
+    for where in ("country_id = 2", "country_id is null", "month_id = 2"):
+        assert "no country total" in failing(reconcile.reconcile_points(cells.where(where), countries))
+        assert "no country total" in failing(reconcile.with_totals(cells.where(where), countries))
+        arrays = cells.where(where).selectExpr("month_id", "grid_id", "country_id", "array(value) as value")
+        assert "no country total" in failing(reconcile.reconcile_draws(arrays, countries.selectExpr("month_id", "country_id", "case when total is not null then array(total) end as total"), 1))
+    assert "no country total" in failing(reconcile.reconcile_targets(cells, countries.withColumnRenamed("total", "value"), ["value"]))
+    assert [tuple(r) for r in reconcile.reconcile_points(cells.where("grid_id = 11 and month_id = 1"), countries).collect()] == [(1, 11, 1, 5.0)]
+
+
+def test_cells_without_a_value_stay_zero(spark):
+    cells = spark.createDataFrame([(1, 11, 1, None)], "month_id int, grid_id int, country_id int, value double")
+    countries = spark.createDataFrame([(1, 1, 5.0)], "month_id int, country_id int, total double")
+    assert reconcile.reconcile_points(cells, countries).first().value == 0.0
+
+
+def test_an_origin_that_a_model_lacks_fails_the_job(spark):
+    from panelforge.operators import pool
+
+    rows = [(m, "t", o, 1, 7, float(o)) for m in ("a", "b") for o in (0, 1)]
+    schema = "model string, target string, origin int, month_id int, grid_id int, forecast double"
+    whole = pool.pool_origins(spark.createDataFrame(rows, schema), ["month_id", "grid_id"], ["a", "b"])
+    assert {(r.origin, r.forecast) for r in whole.collect()} == {(0, 0.0), (1, 1.0)}
+    assert "lacks origin 1 of t" in failing(pool.pool_origins(spark.createDataFrame(rows[:3], schema), ["month_id", "grid_id"], ["a", "b"]))
+
+
+def test_a_cell_without_a_finite_draw_fails_the_job(spark):
+    from panelforge.operators import posterior
+
+    rows = [(1, [1.0, float("nan"), 3.0]), (2, [float("inf"), None]), (3, []), (4, None)]
+    df = spark.createDataFrame(rows, "id int, x array<double>")
+    assert {r.id for r in posterior.without_draws(df, ["id"], "x").collect()} == {2, 3, 4}
+    for k in (2, 3, 4):
+        assert "no finite draw" in failing(posterior.analysed(df.where(f"id = {k}"), ["id"], "x"))
+        assert "no finite draw" in failing(posterior.statistics(df.where(f"id = {k}"), ["id"], ["x"]))
+    assert posterior.statistics(df.where("id = 1"), ["id"], ["x"]).first()["mean"] == 2.0
