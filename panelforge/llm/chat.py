@@ -27,10 +27,11 @@ def safe(text: Column) -> Column:
 def rotated(turns: DataFrame, part: int | None = None) -> DataFrame:
     """(conv_id[, part], speaker, n_turns, n_own, text, spans array<struct<start, end>>) for each dialogue and participant.
 
-    turns has conv_id, turn, role and text; other columns are ignored. Participants are the distinct roles but the system's; a
-    null role is the participant `unknown`. A role's line breaks become spaces, since its name stands in a line. With part, a dialogue's turns k * part
+    turns has conv_id, turn, role and text; other columns are ignored. Participants are the distinct roles but the system's, as
+    they stand there; a null role is a participant of its own. What is shown of a role has blanks for line breaks, since it stands in a line, and null is shown as
+    `unknown`; participants whose names look alike stay apart, each with its row. With part, a dialogue's turns k * part
     to (k + 1) * part - 1 are a row of their own, whose part is k. start and end count code points of text; [start, end) is trained on. Turns come in
-    order of turn, then role, then text (nulls first), repeated rows included; a null turn counts as turn 0. A dialogue of system turns
+    order of turn, then the shown role, text and role (nulls first), repeated rows included; a null turn counts as turn 0. A dialogue of system turns
     alone has no participant and no row. A null conv_id is a dialogue of its own. A null text is empty. An empty table gives an
     empty table.
     """
@@ -39,15 +40,16 @@ def rotated(turns: DataFrame, part: int | None = None) -> DataFrame:
         F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
         F.translate(safe(F.coalesce(F.col("role").cast("string"), F.lit("unknown"))), "\r\n", "  ").alias("role"),
         safe(F.col("text")).alias("text"),
+        F.col("role").cast("string").alias("who"),
     ).withColumn("part", F.floor(F.col("turn") / part).cast("long") if part else F.lit(0).cast("long"))
-    speakers = rows.where(F.col("role") != SYSTEM).select("conv_id", F.col("role").alias("speaker")).distinct()
-    parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("said"))
-    views = parts.join(speakers, parts.conv_id.eqNullSafe(speakers.conv_id)).select(parts.conv_id, "part", "speaker", "said")
+    speakers = rows.where(~F.col("who").eqNullSafe(SYSTEM)).select("conv_id", F.col("role").alias("speaker"), F.col("who").alias("speaks")).distinct()
+    parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "who"))).alias("said"))
+    views = parts.join(speakers, parts.conv_id.eqNullSafe(speakers.conv_id)).select(parts.conv_id, "part", "speaker", "speaks", "said")
 
     def segment(x: Column) -> Column:
         """(head, body, own) of a turn."""
-        own = x["role"] == F.col("speaker")
-        head = F.when(own, "assistant").when(x["role"] == SYSTEM, SYSTEM).otherwise(F.concat(F.lit("user name="), x["role"]))
+        own = x["who"].eqNullSafe(F.col("speaks"))
+        head = F.when(own, "assistant").when(x["who"] == SYSTEM, SYSTEM).otherwise(F.concat(F.lit("user name="), x["role"]))
         return F.struct(F.concat(F.lit(OPEN), head, F.lit("\n")).alias("head"), F.concat(x["text"], F.lit(CLOSE)).alias("body"), own.alias("own"))
 
     def ends(segments: Column) -> Column:

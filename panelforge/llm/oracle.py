@@ -98,22 +98,22 @@ FROM cut
 
 CHAT = """
 WITH turns AS (
-    SELECT conv_id, coalesce(turn, 0) AS turn, translate(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(13) || chr(10), '  ') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
+    SELECT conv_id, coalesce(turn, 0) AS turn, translate(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(13) || chr(10), '  ') AS role, replace(coalesce(text, ''), '<|', '< |') AS text, role AS who
     FROM conversations
 ), speakers AS (
-    SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> 'system'
+    SELECT DISTINCT conv_id, role AS speaker, who AS speaks FROM turns WHERE who IS DISTINCT FROM 'system'
 ), segments AS (
-    SELECT conv_id, speaker, turn, role, text, role = speaker AS own,
-        '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system' ELSE 'user name=' || role END || chr(10) AS head,
+    SELECT t.conv_id, speaker, speaks, turn, role, text, who, who IS NOT DISTINCT FROM speaks AS own,
+        '<|im_start|>' || CASE WHEN who IS NOT DISTINCT FROM speaks THEN 'assistant' WHEN who = 'system' THEN 'system' ELSE 'user name=' || role END || chr(10) AS head,
         text || '<|im_end|>' AS body
-    FROM turns JOIN speakers USING (conv_id)
+    FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ), placed AS (
     SELECT *, row_number() OVER w AS k, sum(length(head) + length(body) + 1) OVER w AS after
-    FROM segments WINDOW w AS (PARTITION BY conv_id, speaker ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+    FROM segments WINDOW w AS (PARTITION BY conv_id, speaker, speaks ORDER BY turn, role, text, who NULLS FIRST ROWS UNBOUNDED PRECEDING)
 )
 SELECT conv_id, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_own, string_agg(head || body || chr(10), '' ORDER BY k) AS text,
     coalesce(string_agg((after - 1 - length(body))::VARCHAR || '-' || (after - 1)::VARCHAR, ',' ORDER BY k) FILTER (own), '') AS spans
-FROM placed GROUP BY conv_id, speaker
+FROM placed GROUP BY conv_id, speaker, speaks
 """
 
 #: Each item's best documents, by weights and counts over all documents.
