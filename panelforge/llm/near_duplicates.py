@@ -134,22 +134,25 @@ def prints(n: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, print1, print2, bands) for each row."""
+    """(doc_id, text_print, n_shingles, print1, print2, bands) for each row; text_print is a hash of its text."""
 
     def sketch(batches):
         for b in batches:
             for first, last, n, h in shingle_sets(b.column("text")):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(first, last - first), pa.array(n, pa.int64()), *map(pa.array, prints(n, h)), fixed_lists(band_keys(signatures(n, h)).view(np.int64), pa.int64())],
-                    ["doc_id", "n_shingles", "print1", "print2", "bands"],
+                    [*(b.column(c).slice(first, last - first) for c in ("doc_id", "text_print")), pa.array(n, pa.int64()), *map(pa.array, prints(n, h)), fixed_lists(band_keys(signatures(n, h)).view(np.int64), pa.int64())],
+                    ["doc_id", "text_print", "n_shingles", "print1", "print2", "bands"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sketch, f"doc_id {id_type}, n_shingles long, print1 long, print2 long, bands array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_print"), "text").mapInArrow(sketch, f"doc_id {id_type}, text_print long, n_shingles long, print1 long, print2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles binary): the sets of nodes (node, least, n_shingles, print1, print2), each found in a document of that id whose prints are the node's."""
+    """(node, shingles binary): the sets of nodes (node, least, text_print, n_shingles, print1, print2), each found in a document of that id and hash of text whose prints are the node's.
+
+    The hash is in the join, so that many texts under one id don't meet each other.
+    """
 
     def sets(batches):
         for b in batches:
@@ -161,7 +164,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 found = [h[e - k : e].tobytes() if keep else None for e, k, keep in zip(ends, n, same, strict=True)]
                 yield pa.RecordBatch.from_arrays([own.column("node"), pa.array(found, pa.binary())], ["node", "shingles"]).filter(pa.array(same))
 
-    wanted = docs.select(F.col("doc_id").alias("least"), "text").join(nodes, "least")
+    wanted = docs.select(F.col("doc_id").alias("least"), F.xxhash64("text").alias("text_print"), "text").join(nodes, ["least", "text_print"])
     return wanted.select("node", "n_shingles", "print1", "print2", "text").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
 
 
@@ -292,12 +295,13 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """
     rows = written(sketched(docs))
     by = ["n_shingles", "print1", "print2"]
-    named = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*by).agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+    named = rows.where("n_shingles > 0 and doc_id is not null").groupBy(*by).agg(F.min(F.struct("doc_id", "text_print")).alias("__first"), F.first("bands").alias("bands"))
+    named = named.select(*by, F.col("__first.doc_id").alias("least"), F.col("__first.text_print").alias("text_print"), "bands")
     classes = written(named.withColumn("node", F.monotonically_increasing_id()))
     members = written(buckets(classes))
     labels = None
     if not members.isEmpty():
-        nodes = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "least", *by)
+        nodes = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "least", "text_print", *by)
         sets = written(full_sets(docs, nodes))
         labels = linked(members, classes.select("node", "n_shingles", "bands"), sets, similar)
         dropped(members, sets)
