@@ -3,8 +3,8 @@
 A text is split by the tokenizer's pattern into words, each of which is encoded by itself; so a worker encodes each distinct
 word once. The words' bytes are rows (word, place, id) of a recursive query: in each step neighbouring rows join the merge
 table, the leftmost of a word's pairs of least rank is contracted, and words without a pair leave. Ordered aggregation strings
-the ids of a word together. A text's ids are those of its words. Decoding knows ids only: it joins the vocabulary's bytes of
-each id, in order.
+the ids of a word together. A text's ids are those of its words. Decoding knows ids only: rows (text, place, id) join the vocabulary's
+bytes, and ordered aggregation strings these together.
 
 In a word of many bytes a step contracts every pair of least rank at once, the left one of two that overlap, so that it takes few
 steps. Contracting them one by one gives the same unless a contraction makes a pair of still lower rank; in such a step only the
@@ -31,8 +31,8 @@ SHORT = 96
 #: Words that a worker remembers at most before it starts anew.
 KEPT = 900_000
 MEMORY = "500MB"
-#: Ids that are spelt at once.
-BLOCK = 1 << 16
+#: Ids that are spelt or decoded at once; a longer row is decoded in parts.
+BLOCK = 1 << 18
 
 ENCODE = """
 WITH RECURSIVE state(word, place, id, following, active) AS (
@@ -83,6 +83,9 @@ WITH RECURSIVE state(word, place, id, active) AS (
 SELECT word, array_to_string(list(id ORDER BY place), ',') AS ids FROM state WHERE NOT active GROUP BY word
 """
 
+#: Bytes are letters of Latin-1 here, one each, since strings are what DuckDB strings together.
+DECODE = "SELECT part, string_agg(letters, '' ORDER BY place) AS letters FROM ids JOIN vocabulary USING (id) GROUP BY part"
+
 
 def ranks_of(path: str) -> dict[bytes, int]:
     """The id of each token of a rank file."""
@@ -143,6 +146,49 @@ class ByteTokenizer:
         return [np.fromstring(",".join(map(self.ids.__getitem__, words)), np.int32, sep=",") if words else np.empty(0, np.int32) for words in pieces]
 
 
+class Decoder:
+    """The bytes of ids, by a join with the vocabulary and ordered aggregation."""
+
+    def __init__(self, path: str):
+        import duckdb
+
+        token = {r: t for t, r in ranks_of(path).items()}
+        self.known = np.zeros(max(token) + 1, bool)
+        self.known[list(token)] = True
+        self.base = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
+        self.base.register("given", pa.table({"id": pa.array(list(token), pa.int32()), "letters": [t.decode("latin-1") for t in token.values()]}))
+        self.base.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
+        self.base.unregister("given")
+
+    def decode(self, rows: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each row of ids, about BLOCK ids at once."""
+        lengths = np.array([len(x) for x in rows], np.int64)
+        flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.known) or not self.known[flat].all()):
+            raise ValueError("an id that isn't in the vocabulary")
+        # parts begin with a row and at each BLOCK of it
+        starts = np.cumsum(lengths) - lengths
+        n_parts = -(-lengths // BLOCK)
+        row = np.repeat(np.arange(len(rows)), n_parts)
+        start = starts[row] + BLOCK * (np.arange(len(row)) - np.repeat(np.cumsum(n_parts) - n_parts, n_parts))
+        edges = np.append(start, len(flat))
+        out: list[list[bytes]] = [[] for _ in rows]
+        first = 0
+        while first < len(row):
+            last = max(first + 1, int(np.searchsorted(edges, edges[first] + BLOCK, "right")) - 1)
+            size = np.diff(edges[first : last + 1])
+            part = np.repeat(np.arange(last - first, dtype=np.int32), size)
+            place = (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
+            self.base.register("ids", pa.table({"part": part, "place": place, "id": flat[edges[first] : edges[last]]}))
+            found = self.base.sql(DECODE).to_arrow_table()
+            self.base.unregister("ids")
+            by_part = dict(zip(found.column("part").to_pylist(), found.column("letters").to_pylist(), strict=True))
+            for k in range(last - first):
+                out[row[first + k]].append(by_part[k].encode("latin-1"))
+            first = last
+        return [b"".join(x) for x in out]
+
+
 class Spelling:
     """What each id stands for, as bytes that lie one after the other."""
 
@@ -175,15 +221,21 @@ def tokenizer(path: str, pattern: str) -> ByteTokenizer:
     return _OPEN[path, pattern]
 
 
-_SPELT: dict[str, tuple[Spelling, Spelling]] = {}
+_READY: dict[str, tuple[Decoder, Spelling]] = {}
 
 
-def spellings(path: str) -> tuple[Spelling, Spelling]:
-    """(the bytes of each id, its number as text and a comma), once for each worker process."""
-    if path not in _SPELT:
-        token = {r: t for t, r in ranks_of(path).items()}
-        _SPELT[path] = Spelling(token), Spelling({r: b"%d," % r for r in token})
-    return _SPELT[path]
+def decoder(path: str) -> tuple[Decoder, Spelling]:
+    """(the decoder, each id's number as text and a comma), once for each worker process."""
+    if path not in _READY:
+        _READY[path] = Decoder(path), Spelling({r: b"%d," % r for r in ranks_of(path).values()})
+    return _READY[path]
+
+
+def encoded_runs(batch: pa.RecordBatch, own: ByteTokenizer) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """(doc_ids, ids of each) of a batch (doc_id, text), a bounded number of bytes at once."""
+    _, offsets = text_bytes(batch.column("text"))
+    for first, last in row_runs(offsets, AT_ONCE):
+        yield batch.column("doc_id").slice(first, last - first), own.encode([t or "" for t in batch.column("text").slice(first, last - first).to_pylist()])
 
 
 def token_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -196,12 +248,10 @@ def token_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(ranks_path, pattern)
         for b in batches:
-            _, offsets = text_bytes(b.column("text"))
-            for first, last in row_runs(offsets, AT_ONCE):
-                found = own.encode([t or "" for t in b.column("text").slice(first, last - first).to_pylist()])
+            for doc_ids, found in encoded_runs(b, own):
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, last - first), ids], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([doc_ids, ids], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, ids array<int>")
@@ -215,26 +265,35 @@ def rows_of_ids(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def decoded(rows: DataFrame, ranks_path: str) -> DataFrame:
-    """(doc_id, bytes) for each row of rows (doc_id, ids). Null ids decode to no bytes; an id that the vocabulary hasn't is an error."""
+    """(doc_id, bytes) for each row of rows (doc_id, ids), repeated rows included.
+
+    Null ids decode to no bytes; an id that the vocabulary hasn't is an error. A row of very many ids is decoded in parts. Other columns of rows, whatever their
+    names, are ignored. An empty table gives an empty table.
+    """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelt = spellings(ranks_path)[0]
+        own = decoder(ranks_path)[0]
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([spelt.joined(ids) for ids in rows_of_ids(b.column("ids"))], pa.binary())], ["doc_id", "bytes"])
+            found = own.decode([x.astype(np.int32) for x in rows_of_ids(b.column("ids"))])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "bytes"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "ids").mapInArrow(decode, f"doc_id {kind}, bytes binary")
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs (doc_id, text): digests of token_ids, whose cases these are, and of what these ids decode to."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs (doc_id, text): digests of its ids, as token_ids gives them (its cases are those), and of what these ids decode to."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelt, numbers = spellings(ranks_path)
+        own, (back, numbers) = tokenizer(ranks_path, pattern), decoder(ranks_path)
         for b in batches:
-            found = [(len(ids), sha256(numbers.joined(ids)[:-1]).hexdigest(), sha256(spelt.joined(ids)).hexdigest()) for ids in rows_of_ids(b.column("ids"))]
-            n, ids, raw = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            for doc_ids, found in encoded_runs(b, own):
+                columns = [
+                    pa.array([len(x) for x in found], pa.int64()),
+                    pa.array([sha256(numbers.joined(x)[:-1]).hexdigest() for x in found], pa.string()),
+                    pa.array([sha256(x).hexdigest() for x in back.decode(found)], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays([doc_ids, *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return token_ids(docs, ranks_path, pattern).mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
