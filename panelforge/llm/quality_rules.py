@@ -1,17 +1,18 @@
 """Quality rules as a short-circuit cascade, with built-in functions only.
 
-A rule is a test on one text and computes what it needs from the text itself. Before the cascade runs, each rule is timed by itself on a
-sample, and what all of them reject there is counted. The order is then built from the front: next comes the rule that rejects most
-of the sample's texts that the rules before it leave, a second of its own cost. The first rule that rejects a text ends its
-cascade, so what later rules would need isn't computed. The order decides how fast a text is rejected, never whether: the verdict is
-the conjunction of all rules.
+A rule is a test on one text and computes what it needs from the text itself, or from the base measures where these are there. It states
+what it costs a character, in nanoseconds as timed_costs() measures them once. Before the cascade runs, each rule's cost for the texts of a sample is
+estimated from this, and what all rules reject there is counted, in one job. The order is then built from the front: next comes the
+rule that rejects most of the sample's texts that the rules before it leave, a second of its own cost. The first rule that rejects a
+text ends its cascade, so what later rules would need isn't computed. The order decides how fast a text is rejected, never whether: the
+verdict is the conjunction of all rules. No clock runs, so the same table always gives the same order.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import log2
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import let, unused, words_of
 
 WINDOW = 8
+#: What rules cost a character beyond splitting the text into words, in nanoseconds.
+COSTS = {"few_words": 0.2, "repeats": 200.0, "symbols": 17.0, "word_length": 6.0, "repeated_lines": 5.0, "shouting": 30.0, "exclamation": 3.0}
 
 
 def repeat_words(words: Column, window: int = WINDOW) -> Column:
@@ -78,10 +81,13 @@ def base_measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects(text, its words) is true for a text that the rule rejects."""
+    """rejects(text, its words) is true for a text that the rule rejects, and costs so many nanoseconds a character; by_measures() is the same
+    from the columns of base_measures and costs next to nothing."""
 
     name: str
     rejects: Callable[[Column, Column], Column]
+    cost: float = 10.0
+    by_measures: Callable[[], Column] | None = None
 
 
 def found_in(text: Column, pattern: str) -> Column:
@@ -89,18 +95,32 @@ def found_in(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
+def measure(name: str) -> Column:
+    return F.col(name)
+
+
 #: What base_failed means, as rules. Thresholds are in whole numbers, so that every engine decides alike.
 BASE = (
-    Rule("few_words", lambda t, w: F.size(w) < 20),
-    Rule("repeats", lambda t, w: repeat_words(w) * 100 > F.size(w) * 30),
+    Rule("few_words", lambda t, w: F.size(w) < 20, COSTS["few_words"], lambda: measure("n_words") < 20),
+    Rule("repeats", lambda t, w: repeat_words(w) * 100 > F.size(w) * 30, COSTS["repeats"], lambda: measure("n_repeat_words") * 100 > measure("n_words") * 30),
 )
 #: The rules beyond the base.
 RULES = (
-    Rule("symbols", lambda t, w: found_in(t, r"[#*$%&|<>]") * 100 > F.size(w) * 25),
-    Rule("word_length", lambda t, w: let(F.length(F.array_join(w, "")), lambda c: (c > F.size(w) * 25) | (c * 2 < F.size(w) * 3))),
-    Rule("repeated_lines", lambda t, w: let(lines_with_words(t), lambda x: F.size(x) - F.size(F.array_distinct(x))) * 10 > F.size(w)),
-    Rule("shouting", lambda t, w: found_in(t, "[A-Z]") * 100 > F.length(F.array_join(w, "")) * 60),
-    Rule("exclamation", lambda t, w: (F.length(t) - F.length(F.replace(t, F.lit("!!"), F.lit("")))) * 100 > F.size(w) * 60),
+    Rule("symbols", lambda t, w: found_in(t, r"[#*$%&|<>]") * 100 > F.size(w) * 25, COSTS["symbols"], lambda: measure("n_symbols") * 100 > measure("n_words") * 25),
+    Rule(
+        "word_length",
+        lambda t, w: let(F.length(F.array_join(w, "")), lambda c: (c > F.size(w) * 25) | (c * 2 < F.size(w) * 3)),
+        COSTS["word_length"],
+        lambda: (measure("word_chars") > measure("n_words") * 25) | (measure("word_chars") * 2 < measure("n_words") * 3),
+    ),
+    Rule(
+        "repeated_lines",
+        lambda t, w: let(lines_with_words(t), lambda x: F.size(x) - F.size(F.array_distinct(x))) * 10 > F.size(w),
+        COSTS["repeated_lines"],
+        lambda: measure("n_dup_lines") * 10 > measure("n_words"),
+    ),
+    Rule("shouting", lambda t, w: found_in(t, "[A-Z]") * 100 > F.length(F.array_join(w, "")) * 60, COSTS["shouting"]),
+    Rule("exclamation", lambda t, w: (F.length(t) - F.length(F.replace(t, F.lit("!!"), F.lit("")))) * 100 > F.size(w) * 60, COSTS["exclamation"]),
 )
 
 
@@ -143,20 +163,35 @@ def ordered(cost: dict[str, float], patterns: Sequence[tuple[frozenset[str], int
     return out
 
 
-def rule_order(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), text: str = "text", sample_rows: int = 1000, repeats: int = 2) -> list[Measured]:
+def sampled(docs: DataFrame, text: str, rows: int) -> DataFrame:
+    """A random share of the texts, so many on average, in one partition; which ones is fixed by the table's files."""
+    return docs.select(F.col(f"`{text}`").alias("text")).sample(min(1.0, rows / max(1, docs.count())), seed=17).repartition(1)
+
+
+def rule_order(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), text: str = "text", sample_rows: int = 1000) -> list[Measured]:
     """The rules in the order in which they reject most a second.
 
-    The sample is a random share of the rows, sized to sample_rows on average. Each rule is timed by itself over it, less the time that the
-    same job takes without a rule; the shortest of the repeats counts, and half of the empty job's time at least, below which the clock
-    can't tell rules apart. On an empty table the given order stays.
+    The sample is a random share of the rows, sized to sample_rows on average. On an empty table the given order stays.
+    """
+    verdicts = F.struct(*(F.coalesce(tested("text", r.rejects), F.lit(False)).alias(r.name) for r in rules))
+    found = sampled(docs, text, sample_rows).select(verdicts.alias("v"), F.length(whole("text")).alias("n")).groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("chars")).collect()
+    if not found:
+        return [Measured(r, 0.0, 0.0) for r in rules]
+    chars = max(1, sum(row.chars for row in found))
+    cost = {r.name: r.cost * chars * 1e-9 for r in rules}
+    patterns = [(frozenset(name for name, hit in row.v.asDict().items() if hit), row.n) for row in found]
+    by_name = {r.name: r for r in rules}
+    return [Measured(by_name[name], cost[name], rejected) for name, rejected in ordered(cost, patterns)]
+
+
+def timed_costs(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), text: str = "text", sample_rows: int = 1000, repeats: int = 5) -> dict[str, float]:
+    """Nanoseconds a character of each rule on a sample of a table that isn't empty: the shortest of several jobs, less that of a job without a rule.
+
+    For choosing the cost that a rule states; no query runs it.
     """
-    total = docs.count()
-    sample = docs.select(F.col(f"`{text}`").alias("text")).sample(min(1.0, sample_rows / max(1, total)), seed=17).repartition(1).persist()
+    sample = sampled(docs, text, sample_rows).persist()
     try:
-        verdicts = F.struct(*(F.coalesce(tested("text", r.rejects), F.lit(False)).alias(r.name) for r in rules))
-        found = sample.select(verdicts.alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()
-        if not found:
-            return [Measured(r, 0.0, 0.0) for r in rules]
+        chars = sample.agg(F.sum(F.length(whole("text")))).first()[0] or 1
 
         def timed(test: Callable[[Column, Column], Column]) -> float:
             spent = []
@@ -164,27 +199,29 @@ def rule_order(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *RULES), text: s
                 began = time.perf_counter()
                 sample.agg(F.sum(tested("text", test).cast("long"))).collect()
                 spent.append(time.perf_counter() - began)
-            return min(spent)
+            return min(spent) * 1e9 / chars
 
         idle = timed(lambda t, w: F.size(w) < 0)
-        cost = {r.name: max(timed(r.rejects) - idle, idle / 2) for r in rules}
+        return {r.name: max(timed(r.rejects) - idle, 0.1) for r in rules}
     finally:
         sample.unpersist()
-    patterns = [(frozenset(name for name, hit in row.v.asDict().items() if hit), row.n) for row in found]
-    by_name = {r.name: r for r in rules}
-    return [Measured(by_name[name], cost[name], rejected) for name, rejected in ordered(cost, patterns)]
 
 
-def rejected_by(order: Sequence[Rule], text: str = "text") -> Column:
-    """The first rule in this order that rejects the text, or null. Later rules aren't evaluated for it."""
+def rejected_by(order: Sequence[Rule], text: str = "text", measured: bool = False) -> Column:
+    """The first rule in this order that rejects the text, or null. Later rules aren't evaluated for it. measured: the base measures are columns beside it."""
 
-    def chain(whole_text: Column, words: Column) -> Column:
+    def verdict(rule: Rule, words: Column | None) -> Column:
+        if words is not None:
+            return rule.rejects(whole(text), words)
+        return rule.by_measures() if rule.by_measures else tested(text, rule.rejects)
+
+    def chain(words: Column | None) -> Column:
         out = F.lit(None).cast("string")
         for rule in reversed(order):
-            out = F.when(F.coalesce(rule.rejects(whole_text, words), F.lit(False)), rule.name).otherwise(out)
+            out = F.when(F.coalesce(verdict(rule, words), F.lit(False)), rule.name).otherwise(out)
         return out
 
-    return tested(text, chain)
+    return chain(None) if measured else let(words_of(whole(text)), chain)
 
 
 def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 1000, measures: bool = True) -> DataFrame:
@@ -198,10 +235,13 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "t
     one. Columns of docs named like an added one are replaced. An empty table gives an empty table.
     """
     tried = rules if measures else (*BASE, *rules)
+    if measures:
+        # what a rule reads off the measures costs next to nothing, so such rules come first
+        tried = [replace(r, cost=0.1) if r.by_measures else r for r in tried]
     order = [m.rule for m in rule_order(docs, tried, text, sample_rows)]
     if measures:
         found = base_measures(docs, text).withColumn("base_failed", base_failed())
-        verdict = F.when(F.col("base_failed"), "base").otherwise(rejected_by(order, text))
+        verdict = F.when(F.col("base_failed"), "base").otherwise(rejected_by(order, text, True))
     else:
         found, verdict = docs, rejected_by(order, text)
     return found.withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())

@@ -878,3 +878,82 @@ def test_queries_equal_sql(spark):
     con = connection(sf)
     for name, sql in queries.ORACLE_SQL.items():
         compare(queries.QUERIES[name](spark, sf), con, sql)
+
+
+# Cases that an earlier round missed
+
+
+def test_the_cost_of_rules_is_stated_not_timed(spark):
+    from panelforge.llm import quality_rules as q
+
+    docs = spark.createDataFrame([(" ".join(["word"] * 30),)] * 5 + [("few",)] * 5, "text string")
+    cheap, dear = q.Rule("cheap", lambda t, w: F.size(w) < 20, 1.0), q.Rule("dear", lambda t, w: F.size(w) > 0, 64.0)
+    assert [m.rule.name for m in q.rule_order(docs, (dear, cheap))] == ["cheap", "dear"]
+    assert [m.rule.name for m in q.rule_order(docs, (q.Rule("dear", dear.rejects, 0.5), cheap))] == ["dear", "cheap"]
+    assert set(q.timed_costs(docs, (cheap, dear), repeats=1)) == {"cheap", "dear"}
+
+
+def test_rules_by_measures_are_the_rules_by_text(spark, odd):
+    from panelforge.llm import quality_rules as q
+
+    rules = [r for r in (*q.BASE, *q.RULES) if r.by_measures]
+    found = q.base_measures(odd).select(*(F.coalesce(q.tested("text", r.rejects), F.lit(False)).alias(f"a{k}") for k, r in enumerate(rules)), *(r.by_measures().alias(f"b{k}") for k, r in enumerate(rules)))
+    assert len(rules) == 5 and all(r[f"a{k}"] == r[f"b{k}"] for r in found.collect() for k in range(len(rules)))
+
+
+def test_many_texts_under_one_id(spark):
+    from panelforge.llm.near_duplicates import full_sets, near_duplicates, sketched
+
+    rng = random.Random(31)
+    rows = []
+    for k in range(300):
+        base = prose(rng, 60, 5000).split()
+        rows += [(7, " ".join(base)), (7, " ".join([*base[:-1], f"end{k}"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates(docs).collect()
+    assert len(found) == 600 and {r.component_id for r in found} == {7} and all(r.kept for r in found)
+    # a text meets its own node alone, not those of all texts under the id
+    own = sketched(docs).withColumn("node", F.monotonically_increasing_id()).withColumnRenamed("doc_id", "least")
+    nodes = own.select("node", "least", "text_print", "n_shingles", "print1", "print2")
+    assert docs.select(F.col("doc_id").alias("least"), F.xxhash64("text").alias("text_print")).join(nodes, ["least", "text_print"]).count() == 600
+    assert full_sets(docs, nodes).count() == 600
+
+
+def test_speakers_whose_names_look_alike_stay_apart(spark):
+    from panelforge.llm.chat import rotated
+
+    turns = [(1, 0, None, "a"), (1, 1, "unknown", "b"), (1, 2, "x\ny", "c"), (1, 3, "x y", "d"), (1, 4, "system", "e"), (1, 5, None, "f")]
+    found = rotated(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")).collect()
+    assert sorted((r.speaker, r.n_own) for r in found) == [("unknown", 1), ("unknown", 2), ("x y", 1), ("x y", 1)]
+    shown = {"".join(r.text[s.start : s.end] for s in r.spans).replace("<|im_end|>", "") for r in found}
+    assert shown == {"af", "b", "c", "d"} and all("<|im_start|>system\ne" in r.text for r in found)
+
+
+def test_decoding_in_parts(spark, files):
+    from panelforge.llm import byte_tokens as b
+
+    path = files.path("byte_bpe_multi_50k.tiktoken")
+    of_id = {r: t for t, r in b.ranks_of(path).items()}
+    own, rng = b.Decoder(path), np.random.default_rng(5)
+    rows = [rng.integers(0, 50000, n).astype(np.int32) for n in (0, 3, b.BLOCK + 5, 1, 2 * b.BLOCK, 0, b.BLOCK)]
+    assert own.decode(rows) == [b"".join(of_id[i] for i in r.tolist()) for r in rows]
+    assert own.decode([]) == [] and own.decode([rows[0]]) == [b""]
+    for wrong in (-1, 50256, 1 << 30):
+        with pytest.raises(ValueError):
+            own.decode([np.array([wrong], np.int32)])
+
+
+def test_a_word_of_thousands_of_bytes(spark, files):
+    import tiktoken
+
+    from panelforge.llm.byte_tokens import encoded, ranks_of
+
+    path = files.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=files.PATTERN, mergeable_ranks=ranks_of(path), special_tokens={})
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (96, 97, 1500)] + ["a" * 2000, "ab" * 700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in encoded(docs, path, files.PATTERN).collect():
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
