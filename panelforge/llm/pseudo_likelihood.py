@@ -1,13 +1,17 @@
 """Language-model scoring by masked pseudo-likelihood.
 
 Every word of a text is predicted from the SIDE words on its left and on its right, never from itself, by a small network: the
-neighbours' embeddings, joined, pass a tanh layer; a softmax gives the word's class, and the class's counts in the corpus
-give the word. A text's score is the sum of the conditional log-probabilities of all its words.
+neighbours' embeddings, joined, pass a tanh layer, which turns left or right at each node of a binary tree whose leaves are the
+words. A word's probability is the product of its DEPTH turns, so each depends on both sides at every node, and all words together have
+probability 1. A text's score is the sum of the conditional log-probabilities of all its words.
 
-Words are hashed into WORDS buckets. The classes part the buckets, by frequency, into shares of about equal weight. Counts are
-taken over all texts. The network is trained in numpy inside the tasks: in each round every partition starts from the
-common weights and takes a gradient step for each batch of its own positions (each STRIDE-th of all its texts, others in each
-round, so that the rounds together take every position once); then the partitions' weights are averaged, an embedding by how often each partition met it.
+Words are hashed into WORDS buckets, whose leaves lie in order of frequency; a node begins with the turn that the counts of all texts give.
+The network is trained in numpy inside the tasks: in each round every training shard starts from the common weights and takes
+a gradient step for each batch of its own positions (each STRIDE-th of all its texts, others in each round, so that the rounds together
+take every position once); then the shards' weights are averaged, each row by how often a shard met it. Shards are made by a hash of text and
+id and read in its order, and there is one for each SHARD_WORDS words: neither the input's partitions nor its order make a difference.
+
+Texts are turned into buckets once; counting, training and scoring read these (2 bytes a word) from the shared folder.
 """
 
 from __future__ import annotations
@@ -19,19 +23,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import dropped, written
 from .near_duplicates import words_in
 from .textbytes import row_runs, text_bytes
 
-BITS = 14
-WORDS = 1 << BITS
+DEPTH = 14
+WORDS = 1 << DEPTH
 #: The bucket that stands beyond both ends of a text.
 EDGE = WORDS
-SIDE, SIZE, HIDDEN, CLASSES = 2, 8, 32, 64
-ROUNDS, BATCH = 2, 2048
+SIDE, SIZE, HIDDEN = 2, 8, 15
+ROUNDS, BATCH = 3, 2048
 STRIDE = ROUNDS
+#: Words of a training shard, on average.
+SHARD_WORDS = 2_000_000
 AT_ONCE = 1 << 20
 #: Positions that are scored at once.
-BLOCK = 1 << 13
+BLOCK = 1 << 12
+OFFSETS = np.array([k for k in range(-SIDE, SIDE + 1) if k])
+LEVELS = np.arange(DEPTH)
 
 
 def bucketed(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -39,7 +48,30 @@ def bucketed(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
     data, offsets = text_bytes(column)
     for first, last in row_runs(offsets, AT_ONCE):
         n, words = words_in(data, offsets[first : last + 1])
-        yield first, last, n, (words >> np.uint64(64 - BITS)).astype(np.int32)
+        yield first, last, n, (words >> np.uint64(64 - DEPTH)).astype(np.uint16)
+
+
+def texts_in_buckets(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, print, n_words, buckets binary) for each row of docs; print is a hash of text and id, buckets are unsigned 16-bit numbers."""
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, last, n, buckets in bucketed(b.column("text")):
+                ends = np.concatenate(([0], np.cumsum(n) * 2)).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(ends), pa.py_buffer(buckets.tobytes())])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(first, last - first) for c in ("doc_id", "print")), pa.array(n.astype(np.int64)), raw], ["doc_id", "print", "n_words", "buckets"])
+
+    own = docs.select("doc_id", F.xxhash64(text, "doc_id").alias("print"), F.col(text).alias("text"))
+    return own.mapInArrow(turn, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print long, n_words long, buckets binary")
+
+
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, words of each of these rows, their buckets) of a batch of texts_in_buckets, a bounded number at once."""
+    column, n = batch.column("buckets"), batch.column("n_words").to_numpy()
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    for first, last in row_runs(ends, AT_ONCE):
+        yield first, last, n[first:last], data[ends[first] : ends[last]].view("<u2").astype(np.int32)
 
 
 def neighbours(n: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,140 +82,185 @@ def neighbours(n: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row, at
 
 
-OFFSETS = np.array([k for k in range(-SIDE, SIDE + 1) if k])
+def summed_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, the sum of each one's rows of values)."""
+    by = np.argsort(keys.astype(np.uint16), kind="stable")  # a radix sort
+    ordered = keys[by]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    return ordered[first], np.add.reduceat(values[by], first)
 
 
 class Network:
-    """Weights, the class of each bucket, and the log share that a bucket has of its class."""
+    """Embeddings, the hidden layer, and for each inner node of the tree what turns right there; the last number of a node goes with a constant 1."""
 
     def __init__(self, counts: np.ndarray, seed: int = 23):
         by = np.argsort(-counts, kind="stable")
-        weight = counts[by] + 1.0
-        self.of_class = np.empty(WORDS, np.int32)
-        self.of_class[by] = np.minimum((np.cumsum(weight) - weight / 2) / weight.sum() * CLASSES, CLASSES - 1)
-        mass = np.bincount(self.of_class, counts + 1.0, CLASSES)
-        self.log_share = np.log((counts + 1.0) / mass[self.of_class]).astype(np.float32)
+        self.leaf = np.empty(WORDS, np.int32)
+        self.leaf[by] = np.arange(WORDS)
         rng = np.random.default_rng(seed)
         self.embedding = rng.normal(0, 0.3, (WORDS + 1, SIZE)).astype(np.float32)
         self.hidden = rng.normal(0, (2 * SIDE * SIZE) ** -0.5, (2 * SIDE * SIZE, HIDDEN)).astype(np.float32)
-        self.out = np.zeros((HIDDEN + 1, CLASSES), np.float32)
-        self.out[-1] = np.log(np.maximum(mass, 1) / mass.sum())
-
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(joined embeddings, hidden layer, logits of the classes, the greatest of each row being 0) for rows of neighbours."""
+        self.node = np.zeros((WORDS, HIDDEN + 1), np.float32)
+        mass = counts[by] + 1.0
+        for level in reversed(range(DEPTH)):
+            # node k of a level of 2^level nodes is row 2^level - 1 + k
+            left, right = mass[0::2], mass[1::2]
+            self.node[(1 << level) - 1 : (2 << level) - 1, -1] = np.log(right / left)
+            mass = left + right
+
+    def path(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the nodes on the way to each word, whether each turns right there as 0 or 1)."""
+        leaf = self.leaf[words][:, None]
+        return (1 << LEVELS) - 1 + (leaf >> (DEPTH - LEVELS)), leaf >> (DEPTH - 1 - LEVELS) & 1
+
+    def forward(self, context: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(joined embeddings, hidden layer with a 1 behind, the nodes' numbers, log odds of turning right at each node) for rows of neighbours."""
         x = self.embedding[context].reshape(len(context), -1)
-        h = np.tanh(x @ self.hidden)
-        z = h @ self.out[:-1] + self.out[-1]
-        z -= z.max(1, keepdims=True)
-        return x, h, z
+        h = np.ones((len(context), HIDDEN + 1), np.float32)
+        np.tanh(x @ self.hidden, out=h[:, :-1])
+        v = self.node[nodes]
+        return x, h, v, np.matmul(v, h[:, :, None])[:, :, 0]
 
     def log_probabilities(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of each word at these places, given its neighbours."""
         out = np.empty(len(at), np.float32)
         for k in range(0, len(at), BLOCK):
             own = at[k : k + BLOCK]
-            word = row[own]
-            z = self.forward(row[own[:, None] + OFFSETS])[2]
-            out[k : k + BLOCK] = z[np.arange(len(own)), self.of_class[word]] - np.log(np.exp(z).sum(1)) + self.log_share[word]
+            nodes, right = self.path(row[own])
+            odds = self.forward(row[own[:, None] + OFFSETS], nodes)[3]
+            out[k : k + BLOCK] = -np.logaddexp(0, np.where(right, -odds, odds)).sum(1)
         return out
 
     def step(self, context: np.ndarray, word: np.ndarray, state: dict[str, np.ndarray], rate: float = 0.1) -> None:
         """One gradient step (Adagrad) on the mean cross entropy."""
-        x, h, z = self.forward(context)
-        d = np.exp(z, out=z)
-        d /= d.sum(1, keepdims=True)
-        d[np.arange(len(word)), self.of_class[word]] -= 1
-        d *= np.float32(1 / len(word))
-        dh = (d @ self.out[:-1].T) * (1 - h * h)
-        dx = (dh @ self.hidden.T).reshape(-1, SIZE)
-        by = np.argsort(context.ravel(), kind="stable")
-        rows = context.ravel()[by]
-        first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        for name, own, g in (("hidden", slice(None), x.T @ dh), ("out", slice(None), np.concatenate((h.T @ d, d.sum(0)[None]))), ("embedding", rows[first], np.add.reduceat(dx[by], first))):
+        nodes, right = self.path(word)
+        x, h, v, odds = self.forward(context, nodes)
+        d = (1 / (1 + np.exp(-odds)) - right).astype(np.float32) * np.float32(1 / len(word))
+        dh = np.matmul(d[:, None, :], v)[:, 0, :-1] * (1 - h[:, :-1] * h[:, :-1])
+        at_node, of_node = summed_by(nodes.ravel(), (d[:, :, None] * h[:, None, :]).reshape(-1, HIDDEN + 1))
+        at_word, of_word = summed_by(context.ravel(), (dh @ self.hidden.T).reshape(-1, SIZE))
+        for name, own, g in (("hidden", slice(None), x.T @ dh), ("node", at_node, of_node), ("embedding", at_word, of_word)):
             state[name][own] += g * g
             getattr(self, name)[own] -= np.float32(rate) * g / np.sqrt(state[name][own] + np.float32(1e-8))
 
     def rows(self) -> np.ndarray:
         """All weights as rows of SIZE numbers."""
-        return np.concatenate([self.embedding, self.hidden.reshape(-1, SIZE), self.out.reshape(-1, SIZE)])
+        return np.concatenate([self.embedding, self.node.reshape(-1, SIZE), self.hidden.reshape(-1, SIZE)])
 
     def take(self, rows: np.ndarray) -> None:
-        a, b = len(self.embedding), len(self.embedding) + self.hidden.size // SIZE
-        self.embedding, self.hidden, self.out = rows[:a].copy(), rows[a:b].reshape(self.hidden.shape).copy(), rows[b:].reshape(self.out.shape).copy()
+        a, b = len(self.embedding), len(self.embedding) + self.node.size // SIZE
+        self.embedding, self.node, self.hidden = rows[:a].copy(), rows[a:b].reshape(self.node.shape).copy(), rows[b:].reshape(self.hidden.shape).copy()
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """How often each bucket occurs in all texts."""
+def word_counts(texts: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in all texts of texts_in_buckets."""
 
-    def count(batches):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(WORDS, np.int64)
         for b in batches:
-            for _, _, _, buckets in bucketed(b.column(0)):
+            for _, _, _, buckets in runs(b):
                 total += np.bincount(buckets, minlength=WORDS)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(total[there])], ["bucket", "n"])
 
-    found = docs.select(text).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = texts.select("n_words", "buckets").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(WORDS)
     counts[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 
-def trained(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
-    """A network trained on all texts. Without any word it stays at its start."""
-    network = Network(word_counts(docs, text))
+def trained(texts: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, shard_words: int = SHARD_WORDS) -> Network:
+    """A network trained on all texts of texts_in_buckets, null and empty ones having no word, very long ones being read piece by piece.
+
+    The same rows give the same network (but for the order in which sums of floats are added) however they are partitioned. Copies of a text are taken as
+    often as they stand there; they are spread over shards by their ids. Without any word, as for an empty table, it stays at its start.
+    """
+    counts = word_counts(texts)
+    network = Network(counts)
+    shards = max(1, -(-int(counts.sum()) // shard_words))
+    dealt = texts.select("print", "n_words", "buckets").repartition(shards, "print").sortWithinPartitions("print")
     values = [f"v{k}" for k in range(SIZE)]
     for turn in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast(network)
+        shared = texts.sparkSession.sparkContext.broadcast(network)
 
-        def train(batches, shared=shared, turn=turn):
+        def train(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
             import copy
 
             own = copy.copy(shared.value)
             own.take(own.rows())
-            state = {name: np.zeros_like(getattr(own, name)) for name in ("embedding", "hidden", "out")}
-            met, steps = np.zeros(WORDS + 1), 0
+            state = {name: np.zeros_like(getattr(own, name)) for name in ("embedding", "hidden", "node")}
+            met, used, steps = np.zeros(WORDS + 1), np.zeros(WORDS), 0
+            waiting: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
+
+            def learn(all_of_it: bool) -> None:
+                # batches of equal size whatever the Arrow batches' borders
+                nonlocal waiting, held, steps
+                context, word = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                whole = len(word) if all_of_it else len(word) // BATCH * BATCH
+                for k in range(0, whole, BATCH):
+                    part = slice(k, min(k + BATCH, whole))
+                    own.step(context[part], word[part], state)
+                    met[:] += np.bincount(context[part].ravel(), minlength=WORDS + 1)
+                    used[:] += np.bincount(own.path(word[part])[0].ravel(), minlength=WORDS)
+                steps += whole
+                waiting, held = [(context[whole:], word[whole:])], len(word) - whole
+
             for b in batches:
-                for _, _, n, buckets in bucketed(b.column(0)):
+                for _, _, n, buckets in runs(b):
                     row, at = neighbours(n, buckets)
-                    at = at[turn * stride // rounds :: stride]
-                    for k in range(0, len(at), BATCH):
-                        place = at[k : k + BATCH]
-                        context = row[place[:, None] + OFFSETS]
-                        own.step(context, row[place], state)
-                        met += np.bincount(context.ravel(), minlength=WORDS + 1)
-                        steps += len(place)
+                    # by place in the text, so that it doesn't matter which texts come together
+                    at = at[(np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)) % stride == turn * stride // rounds]
+                    waiting.append((row[at[:, None] + OFFSETS], row[at]))
+                    held += len(at)
+                    if held >= 8 * BATCH:
+                        learn(False)
+            if held:
+                learn(True)
             if steps:
                 rows = own.rows()
-                weight = np.full(len(rows), float(steps))
-                weight[: WORDS + 1] = met
+                weight = np.concatenate((met, np.repeat(used, own.node.shape[1] // SIZE), np.full(own.hidden.size // SIZE, float(steps))))
                 there = np.flatnonzero(weight)
-                yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(weight[there]), *(pa.array(rows[there, k].astype(np.float64)) for k in range(SIZE))], ["row", "weight", *values])
+                yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(weight[there]), *(pa.array(rows[there, k]) for k in range(SIZE))], ["row", "weight", *values])
 
-        found = docs.select(text).mapInArrow(train, "row int, weight double, " + ", ".join(f"{v} double" for v in values))
+        found = dealt.mapInArrow(train, "row int, weight double, " + ", ".join(f"{v} float" for v in values))
         means = found.groupBy("row").agg(*((F.sum(F.col("weight") * F.col(v)) / F.sum("weight")).alias(v) for v in values)).toPandas()
         rows = network.rows()
         rows[means["row"].to_numpy()] = means[values].to_numpy(np.float32)
         network.take(rows)
+        shared.unpersist()
     return network
 
 
+def scored(texts: DataFrame, network: Network) -> DataFrame:
+    """(doc_id, n_words, log_likelihood, mean_log_likelihood) for each row of texts_in_buckets."""
+    shared = texts.sparkSession.sparkContext.broadcast(network)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, last, n, buckets in runs(b):
+                row, at = neighbours(n, buckets)
+                p = shared.value.log_probabilities(row, at).astype(np.float64)
+                total = np.bincount(np.repeat(np.arange(len(n)), n), p, len(n))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, last - first), pa.array(n), pa.array(total)], ["doc_id", "n_words", "log_likelihood"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    found = texts.select("doc_id", "n_words", "buckets").mapInArrow(score, f"doc_id {kind}, n_words long, log_likelihood double")
+    return found.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+
+
 def pseudo_log_likelihood(docs: DataFrame, network: Network) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_likelihood) for each row of docs (doc_id, text), repeated rows included.
 
     A null text, or one without words, has 0 words, log-likelihood 0 and a null mean. Very long texts are read piece by piece. Other columns
     of docs, whatever their names, are ignored. An empty table gives an empty table.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+    return scored(texts_in_buckets(docs), network)
 
-    def score(batches):
-        for b in batches:
-            for first, last, n, buckets in bucketed(b.column("text")):
-                row, at = neighbours(n, buckets)
-                p = shared.value.log_probabilities(row, at).astype(np.float64)
-                total = np.bincount(np.repeat(np.arange(len(n)), n), p, len(n))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, last - first), pa.array(n.astype(np.int64)), pa.array(total)], ["doc_id", "n_words", "log_likelihood"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, n_words long, log_likelihood double")
-    return scored.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+def trained_and_scored(docs: DataFrame) -> DataFrame:
+    """pseudo_log_likelihood of docs by a network trained on docs; its cases are those of trained and pseudo_log_likelihood. Jobs run when this is called."""
+    texts = written(texts_in_buckets(docs))
+    found = written(scored(texts, trained(texts)))
+    dropped(texts)
+    return found

@@ -46,10 +46,9 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pseudo_likelihood import pseudo_log_likelihood, trained
+    from .pseudo_likelihood import trained_and_scored
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudo_log_likelihood(docs, trained(docs))
+    return trained_and_scored(table(spark, sf_dir, "documents"))
 
 
 def op6_byte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

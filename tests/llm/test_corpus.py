@@ -670,21 +670,71 @@ def test_pseudo_likelihood(spark, odd, empty):
     rng = random.Random(3)
     texts = [" ".join(x for _ in range(40) for x in rng.choice([["red", "fox", "ran"], ["old", "dog", "sat"]])) for _ in range(300)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    network, start = p.trained(docs, stride=2), p.Network(p.word_counts(docs))
+    rows = p.texts_in_buckets(docs).persist()
+    network, start = p.trained(rows, stride=2), p.Network(p.word_counts(rows))
     mean = lambda n: p.pseudo_log_likelihood(docs, n).agg(F.avg("mean_log_likelihood")).first()[0]
     assert mean(network) > mean(start) + 0.2
     for r in p.pseudo_log_likelihood(docs, network).limit(3).collect():
-        words = [next(iter(b))[3][0] for b in ([*p.bucketed(__import__("pyarrow").array([w]))] for w in texts[r.doc_id].split())]
-        row = [p.EDGE] * p.SIDE + [int(w) for w in words] + [p.EDGE] * p.SIDE
+        words = [int(next(iter(p.bucketed(__import__("pyarrow").array([w]))))[3][0]) for w in texts[r.doc_id].split()]
+        row = [p.EDGE] * p.SIDE + words + [p.EDGE] * p.SIDE
         total = 0.0
         for i in range(len(words)):
             x = np.concatenate([network.embedding[row[i + p.SIDE + k]] for k in p.OFFSETS])
-            z = np.tanh(x @ network.hidden) @ network.out[:-1] + network.out[-1]
-            total += z[network.of_class[words[i]]] - np.log(np.exp(z).sum()) + network.log_share[words[i]]
+            h = np.append(np.tanh(x @ network.hidden), 1)
+            node, leaf = 0, int(network.leaf[words[i]])
+            for level in range(p.DEPTH):
+                right = leaf >> (p.DEPTH - 1 - level) & 1
+                odds = float(network.node[node] @ h)
+                total -= np.log1p(np.exp(-odds if right else odds))
+                node = 2 * node + 1 + right
         assert r.n_words == len(words) and r.log_likelihood == pytest.approx(total, rel=1e-4, abs=1e-3)
     wild = p.pseudo_log_likelihood(clashing(odd), network).collect()
     assert len(wild) == odd.count() and all((r.mean_log_likelihood is None) == (r.n_words == 0) for r in wild)
-    assert p.pseudo_log_likelihood(empty, p.trained(empty)).count() == 0
+    assert p.pseudo_log_likelihood(empty, p.trained(p.texts_in_buckets(empty))).count() == 0
+    assert p.trained_and_scored(empty).count() == 0 and p.trained_and_scored(clashing(odd)).count() == odd.count()
+
+
+def test_probabilities_of_all_words_sum_to_one():
+    from panelforge.llm import pseudo_likelihood as p
+
+    rng = np.random.default_rng(4)
+    network = p.Network(rng.integers(0, 50, p.WORDS).astype(float))
+    network.node[:, :-1] = rng.normal(0, 0.5, (p.WORDS, p.HIDDEN))
+    row = np.concatenate([np.array([5, 9, w, 77, p.EDGE], np.int32) for w in range(p.WORDS)])
+    assert np.exp(network.log_probabilities(row, np.arange(p.WORDS) * 5 + 2).astype(float)).sum() == pytest.approx(1, rel=1e-3)
+
+
+def test_a_fitting_word_scores_above_a_strange_one_of_equal_count(spark):
+    from panelforge.llm import pseudo_likelihood as p
+
+    rng = random.Random(5)
+    sides = [("red", "fox", "ran"), ("old", "dog", "sat")]
+    texts = [" ".join(x for _ in range(40) for x in rng.choice(sides)) for _ in range(400)]
+    texts += [" ".join(x for _ in range(20) for pair in sides for x in pair)]  # so that counts of fox and dog are near
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    network = p.trained(p.texts_in_buckets(docs))
+
+    def term(text: str, at: int) -> float:
+        ((_, _, n, buckets),) = p.bucketed(__import__("pyarrow").array([text]))
+        row, places = p.neighbours(n, buckets.astype(np.int32))
+        return float(network.log_probabilities(row, places)[at])
+
+    assert term("ran red fox ran red", 2) > term("ran red dog ran red", 2) + 1
+    assert term("sat old dog sat old", 2) > term("sat old fox sat old", 2) + 1
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    from panelforge.llm import pseudo_likelihood as p
+
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, prose(rng, rng.randrange(0, 300), 800)) for i in range(300)] + [(4, None), (None, "no id"), (7, "twice it is"), (7, "twice it is")], "doc_id long, text string")
+    found = []
+    for parts in (1, 8):
+        rows = p.texts_in_buckets(docs.repartition(parts, F.rand(parts))).persist()
+        network = p.trained(rows, shard_words=9000)
+        found.append({(r.doc_id, r.n_words): r.log_likelihood for r in p.scored(rows, network).collect()})
+    assert found[0].keys() == found[1].keys() and len(found[0]) > 290
+    assert all(found[1][k] == pytest.approx(v, rel=1e-5, abs=1e-3) for k, v in found[0].items())
 
 
 def test_training_takes_every_position(spark):
@@ -693,10 +743,12 @@ def test_training_takes_every_position(spark):
     from panelforge.llm import pseudo_likelihood as p
 
     text = " ".join(f"word{i}" for i in range(600))
-    docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
-    start, network = p.Network(p.word_counts(docs)), p.trained(docs)
+    rows = p.texts_in_buckets(spark.createDataFrame([(0, text)], "doc_id long, text string"))
+    start, network = p.Network(p.word_counts(rows)), p.trained(rows)
     ((_, _, _, buckets),) = p.bucketed(pa.array([text]))
     assert (network.embedding[buckets] != start.embedding[buckets]).any(1).all()
+    leaf = network.leaf[buckets]
+    assert (network.node[p.WORDS // 2 - 1 + (leaf >> 1)] != start.node[p.WORDS // 2 - 1 + (leaf >> 1)]).any(1).all()
 
 
 # Audio
