@@ -3,8 +3,8 @@
 A text is split by the tokenizer's pattern into words, each of which is encoded by itself; so a worker encodes each distinct
 word once. The words' bytes are rows (word, place, id) of a recursive query: in each step neighbouring rows join the merge
 table, the leftmost of a word's pairs of least rank is contracted, and words without a pair leave. Ordered aggregation strings
-the ids of a word together. A text's ids are those of its words. Decoding knows ids only: rows (text, place, id) join the vocabulary's
-bytes, and ordered aggregation strings these together.
+the ids of a word together. A text's ids are those of its words. Decoding knows ids only: ordered aggregation of rows
+(text, place, id) gives each text's ids in order, which the vocabulary turns into bytes.
 
 In a word of many bytes a step contracts every pair of least rank at once, the left one of two that overlap, so that it takes few
 steps. Contracting them one by one gives the same unless a contraction makes a pair of still lower rank; in such a step only the
@@ -32,7 +32,7 @@ SHORT = 96
 KEPT = 900_000
 MEMORY = "500MB"
 #: Ids that are spelt or decoded at once; a longer row is decoded in parts.
-BLOCK = 1 << 18
+BLOCK = 1 << 20
 
 ENCODE = """
 WITH RECURSIVE state(word, place, id, following, active) AS (
@@ -84,7 +84,7 @@ SELECT word, array_to_string(list(id ORDER BY place), ',') AS ids FROM state WHE
 """
 
 #: Bytes are letters of Latin-1 here, one each, since strings are what DuckDB strings together.
-DECODE = "SELECT part, string_agg(letters, '' ORDER BY place) AS letters FROM ids JOIN vocabulary USING (id) GROUP BY part"
+DECODE = "SELECT part, array_to_string(list_select(letters, own), '') AS letters FROM (SELECT part, list(id + 1 ORDER BY place) AS own FROM ids GROUP BY part), vocabulary"
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -137,17 +137,26 @@ class ByteTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        return [parsed(x) for x in self.spelt(texts)]
+
+    def spelt(self, texts: list[str]) -> list[str]:
+        """The ids of each text, commas between them."""
         if len(self.ids) > KEPT:
             self.forget()
         pieces = [self.split.findall(t) for t in texts]
         fresh = list({w for words in pieces for w in words if w not in self.ids})
         if fresh:
             self.learn(fresh)
-        return [np.fromstring(",".join(map(self.ids.__getitem__, words)), np.int32, sep=",") if words else np.empty(0, np.int32) for words in pieces]
+        return [",".join(map(self.ids.__getitem__, words)) for words in pieces]
+
+
+def parsed(ids: str) -> np.ndarray:
+    """The numbers of ids with commas between them."""
+    return np.fromstring(ids, np.int32, sep=",") if ids else np.empty(0, np.int32)
 
 
 class Decoder:
-    """The bytes of ids, by a join with the vocabulary and ordered aggregation."""
+    """The bytes of ids, by ordered aggregation of rows and a look into the vocabulary, one list of all tokens."""
 
     def __init__(self, path: str):
         import duckdb
@@ -156,8 +165,8 @@ class Decoder:
         self.known = np.zeros(max(token) + 1, bool)
         self.known[list(token)] = True
         self.base = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
-        self.base.register("given", pa.table({"id": pa.array(list(token), pa.int32()), "letters": [t.decode("latin-1") for t in token.values()]}))
-        self.base.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
+        self.base.register("given", pa.table({"id": pa.array(range(len(self.known)), pa.int32()), "letters": [token.get(i, b"").decode("latin-1") for i in range(len(self.known))]}))
+        self.base.execute("CREATE TABLE vocabulary AS SELECT list(letters ORDER BY id) AS letters FROM given")
         self.base.unregister("given")
 
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
@@ -221,21 +230,21 @@ def tokenizer(path: str, pattern: str) -> ByteTokenizer:
     return _OPEN[path, pattern]
 
 
-_READY: dict[str, tuple[Decoder, Spelling]] = {}
+_READY: dict[str, Decoder] = {}
 
 
-def decoder(path: str) -> tuple[Decoder, Spelling]:
-    """(the decoder, each id's number as text and a comma), once for each worker process."""
+def decoder(path: str) -> Decoder:
+    """One for each worker process."""
     if path not in _READY:
-        _READY[path] = Decoder(path), Spelling({r: b"%d," % r for r in ranks_of(path).values()})
+        _READY[path] = Decoder(path)
     return _READY[path]
 
 
-def encoded_runs(batch: pa.RecordBatch, own: ByteTokenizer) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
-    """(doc_ids, ids of each) of a batch (doc_id, text), a bounded number of bytes at once."""
+def encoded_runs(batch: pa.RecordBatch, own: ByteTokenizer) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(doc_ids, ids of each with commas between them) of a batch (doc_id, text), a bounded number of bytes at once."""
     _, offsets = text_bytes(batch.column("text"))
     for first, last in row_runs(offsets, AT_ONCE):
-        yield batch.column("doc_id").slice(first, last - first), own.encode([t or "" for t in batch.column("text").slice(first, last - first).to_pylist()])
+        yield batch.column("doc_id").slice(first, last - first), own.spelt([t or "" for t in batch.column("text").slice(first, last - first).to_pylist()])
 
 
 def token_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -248,7 +257,8 @@ def token_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(ranks_path, pattern)
         for b in batches:
-            for doc_ids, found in encoded_runs(b, own):
+            for doc_ids, spelt in encoded_runs(b, own):
+                found = [parsed(x) for x in spelt]
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([doc_ids, ids], ["doc_id", "ids"])
@@ -272,7 +282,7 @@ def decoded(rows: DataFrame, ranks_path: str) -> DataFrame:
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = decoder(ranks_path)[0]
+        own = decoder(ranks_path)
         for b in batches:
             found = own.decode([x.astype(np.int32) for x in rows_of_ids(b.column("ids"))])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "bytes"])
@@ -285,12 +295,13 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs (doc_id, text): digests of its ids, as token_ids gives them (its cases are those), and of what these ids decode to."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (back, numbers) = tokenizer(ranks_path, pattern), decoder(ranks_path)
+        own, back = tokenizer(ranks_path, pattern), decoder(ranks_path)
         for b in batches:
-            for doc_ids, found in encoded_runs(b, own):
+            for doc_ids, spelt in encoded_runs(b, own):
+                found = [parsed(x) for x in spelt]
                 columns = [
                     pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([sha256(numbers.joined(x)[:-1]).hexdigest() for x in found], pa.string()),
+                    pa.array([sha256(x.encode()).hexdigest() for x in spelt], pa.string()),
                     pa.array([sha256(x).hexdigest() for x in back.decode(found)], pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays([doc_ids, *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
