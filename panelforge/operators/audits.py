@@ -130,9 +130,10 @@ def uneven_months(df: DataFrame, key: str = "month_id") -> DataFrame:
 
 
 def manifest(df: DataFrame, run: str, target: str, key: str = "month_id") -> DataFrame:
-    """(run, target, months array<struct<month_id, n_cells>>, cell_count): what a publication holds."""
-    months = F.array_sort(F.collect_list(F.struct(F.col(key).alias("month_id"), "n_cells")))
-    return cells_by_month(df, key).agg(months.alias("months"), F.max("n_cells").alias("cell_count")).select(F.lit(run).alias("run"), F.lit(target).alias("target"), "months", "cell_count")
+    """(run, target, months array<struct<month_id, n_cells, print>>, cell_count): what a publication holds, with a fingerprint of each month's rows."""
+    per = df.groupBy(key).agg(*content(df.columns))
+    months = F.array_sort(F.collect_list(F.struct(F.col(key).alias("month_id"), F.col("n").alias("n_cells"), "print")))
+    return per.agg(months.alias("months"), F.max("n").alias("cell_count")).select(F.lit(run).alias("run"), F.lit(target).alias("target"), "months", "cell_count")
 
 
 def content(columns: Sequence[str]) -> tuple[Column, Column]:

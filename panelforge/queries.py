@@ -979,6 +979,26 @@ def s16_v13_published(spark, sf):
     return found.select(F.explode("months").alias("m")).select("m.month_id", "m.n_cells")
 
 
+@query(f"WITH {tp.GRID_SQL}, last AS (SELECT max(month_id) AS m FROM grid) SELECT 'before' AS at, m - 1 AS month_id, 'missing' AS problem FROM last UNION ALL SELECT 'before', m, 'changed' FROM last UNION ALL SELECT 'written again', m - 1, 'once' FROM last UNION ALL SELECT 'written again', m, 'once' FROM last")
+def s16_v13_damaged_shards(spark, sf):
+    """A publication of which one shard is lost and one gets a row too many: the audit names both, and publishing again writes these alone."""
+    panel = densify.densify(tp.grid_panel(spark, sf), KEYS).select("month_id", F.col("grid_id").alias("priogrid_id"), F.array("v").alias("pred_v"))
+    path, last = scratch(spark), tp.grid_panel(spark, sf).agg(F.max("month_id")).first()[0]
+    tables.publish(panel, path, "run", "v", {"source": "orders"})
+    schema = panel.withColumn("source", F.lit("orders")).schema
+    lost = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shards/month_id={last - 1}")
+    lost.getFileSystem(spark._jsc.hadoopConfiguration()).delete(lost, True)
+    spark.read.parquet(f"{path}/shards/month_id={last}").limit(1).write.mode("append").parquet(f"{path}/shards/month_id={last}")
+    damaged = [tuple(r) for r in tables.stale_shards(spark, path, schema).collect()]
+    files = lambda: set(tables.shards(spark, path, schema).inputFiles())
+    before = files()
+    tables.publish(panel, path, "run", "v", {"source": "orders"})
+    require = tables.stale_shards(spark, path, schema).collect()
+    again = {int(f.partition("month_id=")[2].partition("/")[0]) for f in files() - before}
+    rows = [("before", *r) for r in damaged] + [("written again", m, "once") for m in again] + [("after", *r) for r in require]
+    return spark.createDataFrame(rows, "at string, month_id int, problem string")
+
+
 @query(GRID_ROWS.replace("grid_id, n, v FROM", "grid_id AS priogrid_id, n AS lines, v FROM"))
 def p5_p10_p11_renamed(spark, sf):
     panel = normalise_grid_key(tp.grid_panel(spark, sf).withColumnRenamed("grid_id", "priogrid_gid"))
@@ -1108,6 +1128,51 @@ def x3_corrections_streamed(spark, sf):
     return found
 
 
+def corrected_files(panel: DataFrame, at: str, months: str, by: int, arrived: int) -> None:
+    """A file of corrections of every second cell of some months."""
+    panel.where(f"{months} and grid_id % 2 = 0").select(*KEYS, (F.col("v") + by).alias("v"), F.lit(arrived).alias("arrived")).coalesce(1).write.mode("append").parquet(f"{at}/new")
+
+
+CORRECTIONS = "month_id int, grid_id long, v double, arrived int"
+
+
+@query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, CASE WHEN grid_id % 2 = 1 THEN v WHEN month_id = 201 THEN v + 7 WHEN month_id IN (200, 202) THEN v + 2 ELSE v END AS v FROM grid")
+def x3_corrections_compacted(spark, sf):
+    """Batches of corrections, merged into a base between two arrivals; what comes later lies over it."""
+    at = scratch(spark)
+    panel = tp.grid_panel(spark, sf).select(*KEYS, "v")
+    panel.write.parquet(f"{at}/panel")
+    arguments = spark, f"{at}/new", CORRECTIONS, f"{at}/state", f"{at}/panel", f"{at}/versions", KEYS
+    for months, by, number in (("month_id in (200, 201)", 1, 1), ("month_id in (200, 202)", 2, 2), ("month_id = 201", 7, 3)):
+        corrected_files(panel, at, months, by, number)
+        found = increments.apply_corrections(*arguments)
+        if number < 3:
+            increments.compact(spark, f"{at}/panel", f"{at}/versions", KEYS)
+    return found
+
+
+@query(
+    f"""WITH {PANEL_SQL}, newer AS (SELECT month_id, grid_id, CASE WHEN grid_id % 2 = 0 AND month_id IN (200, 201) THEN v + 3 WHEN grid_id % 2 = 0 AND month_id = 240 THEN v + 5 ELSE v END AS v FROM dense)
+    SELECT month_id, grid_id, lag(s) OVER (PARTITION BY grid_id ORDER BY month_id) AS ged_before FROM (SELECT *, sum(v) OVER (PARTITION BY grid_id ORDER BY month_id RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS s FROM newer)"""
+)
+def x3_replayed_where_touched(spark, sf):
+    """Sums of three months, a month late, made anew only where corrections are felt."""
+    at = scratch(spark)
+    panel = dense(spark, sf).select(*KEYS, "v")
+    panel.withColumnRenamed("v", "raw_ged").write.parquet(f"{at}/panel")
+    arguments = spark, f"{at}/panel", f"{at}/versions", f"{at}/derived", KEYS, [("x.ged", [("temporal.moving_sum", [3]), ("temporal.tlag", [1])], "ged_before")]
+    increments.refreshed(*arguments)
+    for months, by, number in (("month_id in (200, 201)", 3, 1), ("month_id = 240", 5, 2)):
+        corrected_files(panel, at, months, by, number)
+        renamed = CORRECTIONS.replace("v double", "raw_ged double")
+        spark.read.parquet(f"{at}/new").where(f"arrived = {number}").withColumnRenamed("v", "raw_ged").coalesce(1).write.mode("append").parquet(f"{at}/files")
+        increments.arrived(spark, f"{at}/files", renamed, f"{at}/state", f"{at}/panel", f"{at}/versions", KEYS)
+        found, counts = increments.refreshed(*arguments)
+        if counts["touched"] >= panel.count():
+            raise ValueError("the whole panel was made anew")
+    return found
+
+
 def ensemble_scores(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: three models' forecasts pooled by weight, aligned with what happened for 13 origins, scored by step, month and origin."""
     pooled = pool.pool_points(tp.model_points(spark, sf), KEYS, list(tp.MODELS), "mean", {"low": 0.5}, use_weights=True)

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.audits import content, fingerprint, manifest, uneven_months
+from ..operators.audits import content, manifest, require_empty, uneven_months
 from ..operators.drift import alerts, checks
 from ..schema import LEVELS, PREFIX, PanelError, audit_schema, ensure_double, grid_column, grid_row, rename_features
+from .versions import STALE, Folder
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -126,21 +127,28 @@ def patterned(cells: DataFrame, pattern: str, features: Sequence[str]) -> DataFr
     return cells.withColumns({f: values[pattern].cast("double") for f in features})
 
 
-def cached(spark: SparkSession, path: str, compute: Callable[[], DataFrame], audit: Callable[[DataFrame], DataFrame] = lambda df: df, use_saved: bool = True, current: Callable[[DataFrame], bool] = lambda df: True) -> DataFrame:
+def cached(
+    spark: SparkSession, path: str, compute: Callable[[], DataFrame], audit: Callable[[DataFrame], DataFrame] = lambda df: df, use_saved: bool = True, current: Callable[[DataFrame], bool] = lambda df: True, stale: float = STALE
+) -> DataFrame:
     """The saved table, if it is wanted, there and current; else the computed one, audited before it is saved. An empty or unreadable one is an error.
 
-    current says whether a saved table still serves, as one of another number of draws doesn't. A write commits as a whole, so that a reader
-    never sees a part of it.
+    current says whether a saved table still serves, as one of another number of draws doesn't. path is a Folder of versions: a reader sees a
+    whole table, the old one until the new one is complete, and a writer that stops midway changes nothing. A second writer is refused while the
+    first one writes, or until its mark is older than `stale` seconds.
     """
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if use_saved and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
-        saved = spark.read.parquet(path)
-        if saved.isEmpty():
+    folder = Folder(spark, path)
+    saved = folder.current() if use_saved else None
+    if saved:
+        found = spark.read.parquet(saved.path)
+        if found.isEmpty():
             raise PanelError(f"{path} is empty")
-        if current(saved):
-            return saved
-    audit(compute()).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        if current(found):
+            return found
+    elif use_saved and folder.names("") and not folder.names("pointers") and not folder.names("versions"):
+        raise PanelError(f"{path} holds no saved table")
+    with folder.writing(stale) as own:
+        audit(compute()).write.parquet(own.path)
+        return spark.read.parquet(own.commit().path)
 
 
 def newest_path(files: DataFrame, prefix: str) -> DataFrame:
@@ -191,23 +199,68 @@ def evaluation_name(run_type: Column, target: Column, kind: Column, ts: Column)
     return F.concat_ws("_", F.lit("eval"), run_type, target, kind, ts)
 
 
+def shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a publication's shards."""
+    return spark.read.schema(schema).parquet(f"{path}/shards").select(*schema.names)
+
+
 def publish(df: DataFrame, path: str, run: str, target: str, provenance: dict[str, str]) -> DataFrame:
-    """A shard for each month with where it comes from, then the manifest, which says that all shards are there.
+    """A shard for each month with where it comes from, then the manifest, which says that all shards are there and what each holds.
+
+    The manifest gives each shard's cells and a fingerprint of its rows that doesn't depend on their order. Months of different cell counts are an error, and so is
+    a written table whose content isn't the given one's, with the shards named; then there is no manifest. df is evaluated once: its fingerprint is observed while the
+    shards are written, and, being the sum of the shards' own, stands for all of them. A month of many rows gets several files.
 
-    Months of different cell counts are an error, and so is a written table whose content isn't the given one's; then there is no
-    manifest. df is evaluated once: its fingerprint is observed while the shards are written, and all else is read from them. A month
-    of many rows gets several files.
+    Where shards are there already, from a publication that stopped or was damaged, only those are written again whose rows aren't the
+    given ones (stale_shards); df is evaluated for that too, and months that it doesn't have are an error.
     """
-    shards = df.withColumns({k: F.lit(v) for k, v in provenance.items()})
-    given = Observation()
-    shards.observe(given, *content(shards.columns)).hint("rebalance", "month_id").write.partitionBy("month_id").parquet(f"{path}/shards")
-    written = df.sparkSession.read.parquet(f"{path}/shards").select(*(F.col(f.name).cast(f.dataType.simpleString()) for f in shards.schema.fields))
-    if not uneven_months(written).isEmpty():
+    spark = df.sparkSession
+    given = df.withColumns({k: F.lit(v) for k, v in provenance.items()})
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shards")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest"), True)
+    writer = lambda rows: rows.hint("rebalance", "month_id").write.partitionBy("month_id")
+    if files.exists(folder) and files.listStatus(folder):
+        wanted = spark.createDataFrame(prints(given).toArrow())  # a row for each month
+        stale = [r.month_id for r in differing(wanted, prints(shards(spark, path, given.schema))).collect()]
+        gone = wanted.select("month_id")
+        require_empty(shards(spark, path, given.schema).select("month_id").distinct().join(gone, "month_id", "left_anti"), "shards of months that aren't given")
+        if stale:
+            writer(given.where(F.col("month_id").isin(stale))).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/shards")
+        bad = differing(wanted, prints(shards(spark, path, given.schema)))
+        require_empty(bad, "shards that aren't what was given")
+    else:
+        seen = Observation()
+        writer(given.observe(seen, *content(given.columns))).parquet(f"{path}/shards")
+        written = prints(shards(spark, path, given.schema)).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("print").cast("decimal(38,0)").alias("print")).first()
+        if written.asDict() != seen.get:
+            require_empty(differing(prints(given), prints(shards(spark, path, given.schema))), "shards that aren't what was given")
+            raise PanelError("what was written isn't what was given")
+    found = shards(spark, path, given.schema)
+    if not uneven_months(found).isEmpty():
         raise PanelError("months have different numbers of cells")
-    if fingerprint(written).first().asDict() != given.get:
-        raise PanelError("what was written isn't what was given")
-    manifest(written, run, target).write.parquet(f"{path}/manifest")
-    return df.sparkSession.read.parquet(f"{path}/manifest")
+    manifest(found, run, target).write.parquet(f"{path}/manifest")
+    return spark.read.parquet(f"{path}/manifest")
+
+
+def prints(df: DataFrame) -> DataFrame:
+    """(month_id, n, print): each month's rows, and a hash of their content that doesn't depend on order."""
+    return df.groupBy("month_id").agg(*content(df.columns))
+
+
+def differing(wanted: DataFrame, there: DataFrame) -> DataFrame:
+    """(month_id, problem) of the months of wanted whose n or print isn't there's: `missing` or `changed`."""
+    both = wanted.join(there.select("month_id", F.col("n").alias("__n"), F.col("print").alias("__print")), "month_id", "left")
+    problem = F.when(F.col("__n").isNull(), "missing").when((F.col("n") != F.col("__n")) | ~F.col("print").eqNullSafe(F.col("__print")), "changed")
+    return both.select("month_id", problem.alias("problem")).where("problem is not null")
+
+
+def stale_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(month_id, problem): shards of a publication, whose rows have this schema, that aren't what its manifest says; must be empty."""
+    said = spark.read.parquet(f"{path}/manifest").select(F.explode("months").alias("m")).select("m.month_id", F.col("m.n_cells").alias("n"), "m.print")
+    there = prints(shards(spark, path, schema))
+    extra = there.join(said, "month_id", "left_anti").select("month_id", F.lit("extra").alias("problem"))
+    return differing(said, there).unionByName(extra)
 
 
 def json_rows(texts: DataFrame, column: str, schema: str) -> DataFrame:
