@@ -84,12 +84,34 @@ COLUMN_TRANSFORMS: dict[str, Callable[..., Column]] = {
 }
 
 
+#: Rows and columns of a tile: a month's cells of a tile are worked on together, with those just beyond its border.
+TILE = 16
+
+
+def tiles(low: Column, high: Column, side: int) -> Column:
+    """The numbers of the tiles that the range from low to high touches."""
+    return F.sequence(F.floor(low / side), F.floor(high / side))
+
+
 def spatial_lag(df: DataFrame, keys: tuple[str, str], column: str, out: str, reach: int = 1, row: str = "row", col: str = "col") -> DataFrame:
-    """out: the sum of column over the cells at most reach rows and columns away, the cell itself left out; 0 without neighbours."""
-    steps = [(i, j) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1) if i or j]
-    shifted = df.select(keys[0], row, col, F.col(column).alias("__v")).withColumn("__s", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps))))
-    near = shifted.groupBy(keys[0], (F.col(row) + F.col("__s.i")).alias(row), (F.col(col) + F.col("__s.j")).alias(col)).agg(F.sum("__v").alias(out))
-    return df.join(near, [keys[0], row, col], "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    """out: the sum of column over the cells at most reach rows and columns away, the cell itself left out; 0 without neighbours.
+
+    Cells go to their tile and, for their value alone, to those tiles whose border they are near: with reach 1 the panel moves 1.27 times, once.
+    What cells give to their neighbours is summed within the tile.
+    """
+    side = max(TILE, 4 * reach)
+    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)))
+    dealt = df.select(F.col(keys[0]).alias("__time"), F.col(row).alias("__row"), F.col(col).alias("__col"), F.col(column).alias("__v"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__all"))
+    dealt = dealt.select("*", F.explode(tiles(F.col("__row") - reach, F.col("__row") + reach, side)).alias("__tr")).select("*", F.explode(tiles(F.col("__col") - reach, F.col("__col") + reach, side)).alias("__tc"))
+    own = (F.floor(F.col("__row") / side) == F.col("__tr")) & (F.floor(F.col("__col") / side) == F.col("__tc"))
+    tile = ["__time", "__tr", "__tc"]
+    moved = dealt.withColumn("__all", F.when(own, F.col("__all"))).repartition(*tile).withColumn("__s", F.explode(steps))
+    still = (F.col("__s.i") == 0) & (F.col("__s.j") == 0)
+    # groups lie within a tile, so nothing moves again; a cell that stands there twice is two rows
+    near = moved.groupBy(*tile, (F.col("__row") + F.col("__s.i")).alias("__r"), (F.col("__col") + F.col("__s.j")).alias("__c")).agg(
+        F.sum(F.when(~still, F.col("__v"))).alias("__sum"), F.collect_list(F.when(still, F.col("__all"))).alias("__cells")
+    )
+    return near.select(F.explode("__cells").alias("__all"), F.coalesce("__sum", F.lit(0.0)).alias("__sum")).select("__all.*", F.col("__sum").alias(out))
 
 
 def adjacency_lag(df: DataFrame, keys: tuple[str, str], column: str, out: str, adjacency: DataFrame) -> DataFrame:
@@ -113,16 +135,25 @@ def tree_lag(df: DataFrame, keys: tuple[str, str], column: str, out: str, levels
 
 def spacetime_distance(df: DataFrame, keys: tuple[str, str], column: str, out: str, reach: int = 3, months: int = 12, row: str = "row", col: str = "col") -> DataFrame:
     """out: the least sqrt(rows^2 + columns^2 + (months back / months)^2) to a cell whose column is above 0, at most reach rows and
-    columns away and at most months back; null without one. Events are put into blocks of reach cells and joined with the blocks around."""
-    block = lambda c: F.floor(F.col(c) / reach)
-    events = df.where(F.col(column) > 0).select(F.col(keys[0]).alias("__t"), F.col(row).alias("__r"), F.col(col).alias("__c"), block(row).alias("__br"), block(col).alias("__bc"), F.floor(F.col(keys[0]) / months).alias("__bt"))
-    around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0))))
-    cells = df.select(*keys, row, col).withColumn("__s", around)
-    cells = cells.select(*keys, row, col, (block(row) + F.col("__s.i")).alias("__br"), (block(col) + F.col("__s.j")).alias("__bc"), (F.floor(F.col(keys[0]) / months) + F.col("__s.k")).alias("__bt"))
-    back, dr, dc = F.col(keys[0]) - F.col("__t"), F.col(row) - F.col("__r"), F.col(col) - F.col("__c")
-    near = cells.join(events, ["__br", "__bc", "__bt"]).where((back >= 0) & (back <= months) & (F.abs(dr) <= reach) & (F.abs(dc) <= reach))
-    least = near.groupBy(*keys).agg(F.min(F.sqrt((dr * dr + dc * dc + (back / months) * (back / months)).cast("double"))).alias(out))
-    return df.join(least, list(keys), "left")
+    columns away and at most months back; null without one.
+
+    Cells go to their tile of 2 * reach rows and columns and `months` months, once; events, which are few, go to the tiles that they reach. The least
+    distance is found within the tile.
+    """
+    side, span = max(1, 2 * reach), max(1, months)
+    here = [F.floor(F.col(c) / n).alias(f"__b{k}") for k, (c, n) in enumerate(((row, side), (col, side), (keys[0], span)))]
+    tile = ["__b0", "__b1", "__b2"]
+    cells = df.select(*here, F.monotonically_increasing_id().alias("__id"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__all"))
+    events = df.where(F.col(column) > 0).select(F.col(keys[0]).alias("__t"), F.col(row).alias("__r"), F.col(col).alias("__c"))
+    for k, (c, before, after, n) in enumerate((("__r", reach, reach, side), ("__c", reach, reach, side), ("__t", 0, months, span))):
+        events = events.select("*", F.explode(tiles(F.col(c) - before, F.col(c) + after, n)).alias(f"__e{k}"))
+    back, dr, dc = F.col(f"__all.{keys[0]}") - F.col("__t"), F.col(f"__all.{row}") - F.col("__r"), F.col(f"__all.{col}") - F.col("__c")
+    inside = (back >= 0) & (back <= months) & (F.abs(dr) <= reach) & (F.abs(dc) <= reach)
+    same = [F.col(f"__b{k}") == F.col(f"__e{k}") for k in range(3)]
+    near = cells.join(events, [*same, inside], "left")
+    distance = F.sqrt((dr * dr + dc * dc + (back / months) * (back / months)).cast("double"))
+    least = near.groupBy(*tile, "__id").agg(F.min(distance).alias("__least"), F.first("__all").alias("__all"))
+    return least.select("__all.*", F.col("__least").alias(out))
 
 
 def literal(text: str):

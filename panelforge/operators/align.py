@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..schema import PanelError
 from .audits import require_empty
 
 
@@ -61,12 +63,41 @@ def realign(result: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFr
     return wanted.select(*keys).join(result, list(keys))
 
 
+def on_keys(keyed: DataFrame, tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """keyed's rows with the columns of tables, each of which has one row for a key: the inner join on the keys, done as one shuffle of all tables.
+
+    Columns must have names of their own; a key that a table repeats is an error in the job.
+    """
+    names = [[c for c in df.columns if c not in keys] for df in tables]
+    if len(set(sum(names, []))) < len(sum(names, [])):
+        raise PanelError(f"columns of the same name: {names}")
+    parts = [df.select(*keys, F.lit(k).alias("__table"), *(F.struct(*own).alias(f"__{j}") if j == k else F.lit(None).cast(tables[j].select(*names[j]).schema).alias(f"__{j}") for j in range(len(tables)))) for k, (df, own) in enumerate(zip(tables, names, strict=True))]
+    rows = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.countDistinct("__table").alias("__tables"), *(F.first(f"__{j}", ignorenulls=True).alias(f"__{j}") for j in range(len(tables))))
+    error = F.raise_error(F.lit("a table has a key twice")).cast("boolean")
+    whole = rows.where(F.when(F.col("__n") > F.col("__tables"), error).otherwise(F.col("__tables") == len(tables)))
+    return keyed.join(whole.select(*keys, *(f"__{j}.{c}" for j, own in enumerate(names) for c in own)), list(keys))
+
+
+def key_prints(tables: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> dict[str, tuple]:
+    """By name: the number of distinct keys of each table, and two hashes of the set that don't depend on its order. One job, one scan of the keys of each table."""
+    rows = reduce(DataFrame.unionByName, (df.select(F.lit(k).alias("table"), *(F.col(c).cast("string").alias(c) for c in keys)) for k, (_, df) in enumerate(tables))).distinct()
+    hashes = [F.sum(F.xxhash64(F.lit(salt), *keys).cast("decimal(38,0)")).alias(f"h{salt}") for salt in (1, 2)]
+    found = {r.table: (r.n, r.h1, r.h2) for r in rows.groupBy("table").agg(F.count(F.lit(1)).alias("n"), *hashes).collect()}
+    return {name: found.get(k, (0, None, None)) for k, (name, _) in enumerate(tables)}
+
+
 def history(reference: DataFrame, sources: Sequence[tuple[str, DataFrame]], targets: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """reference's keys with each target from the first source that has it and whose keys are the reference's."""
-    out = reference.select(*keys)
+    """reference's keys with each target from the first source that has it and whose key set is the reference's; a target that no such source has is left out.
+
+    Key sets are compared by key_prints, in one job for all sources (key_differences tells how two differ). Targets of one source come with one join.
+    """
+    prints = key_prints([("", reference), *((f"{k}", df) for k, (_, df) in enumerate(sources))], keys)
+    taken: dict[int, list[str]] = {}
     for target in targets:
-        for _, df in sources:
-            if target in df.columns and key_differences(reference, df, keys).isEmpty():
-                out = out.join(df.select(*keys, target), list(keys))
-                break
-    return out
+        fitting = [k for k, (_, df) in enumerate(sources) if target in df.columns and prints[f"{k}"] == prints[""]]
+        if fitting:
+            taken.setdefault(fitting[0], []).append(target)
+    out = reference.select(*keys)
+    for k, own in taken.items():
+        out = out.join(sources[k][1].select(*keys, *own), list(keys))
+    return out.select(*keys, *(t for t in targets if t in out.columns))

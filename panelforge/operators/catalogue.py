@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,3 +135,36 @@ def changed(records: DataFrame, changes: DataFrame, id_column: str = "file_id")
     new = changes.select(id_column, *(F.col(c).alias(f"__{c}") for c in fields))
     joined = records.join(new, id_column, "left")
     return joined.withColumns({c: F.coalesce(f"__{c}", c) for c in fields}).select(*records.columns)
+
+
+def files_of(spark: SparkSession, path: str, pattern: str = "*", largest: int = 256 << 20) -> DataFrame:
+    """(name, path, size, modified, hash) of the files below path whose names fit the pattern; hash is the SHA-256 of a file's bytes.
+
+    Files are read by the tasks that hash them, each whole. Those of more than `largest` bytes would not fit a task: their hash is null (unhashed finds them), and their bytes aren't
+    read. Spark's reader leaves empty files out.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    found = reader.load(path)
+    named = lambda df, hash_: df.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), hash_.alias("hash"))
+    # the source drops files by their length before it reads them
+    small = named(found.where(F.col("length") <= largest), F.sha2("content", 256))
+    return small.unionByName(named(found.where(F.col("length") > largest), F.lit(None).cast("string")))
+
+
+def unhashed(files: DataFrame) -> DataFrame:
+    """(path, size) of files too large to be hashed."""
+    return files.where("hash is null").select("path", "size")
+
+
+def copies(files: DataFrame) -> DataFrame:
+    """(path, first, by): of files of equal content (`hash`), and else of equal name (`name`), all but the first, with the path of the first.
+
+    The first of several is the one modified earliest, then that of the least path. Files without a hash are compared by name alone.
+    """
+    def later(rows: DataFrame, key: str) -> DataFrame:
+        first = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct("modified", "path")).alias("__first"))
+        return rows.join(first, key).where(F.col("path") != F.col("__first.path")).select("path", F.col("__first.path").alias("first"), F.lit(key).alias("by"))
+
+    by_hash = later(files, "hash")
+    rest = files.join(by_hash.select("path"), "path", "left_anti")
+    return by_hash.unionByName(later(rest, "name"))

@@ -12,24 +12,26 @@ from ..functions.draws import resize
 
 
 def densify(df: DataFrame, keys: tuple[str, str], samples: int = 1) -> DataFrame:
-    """Every month of the panel for every place that the last month has; missing numbers 0, missing arrays samples zeros.
+    """Every month of the panel for every place that the last month has; missing numbers 0, missing arrays samples zeros. Keys must not repeat.
 
-    Months are a few hundred, so their list is broadcast; places and cells stay distributed.
+    The months, a few hundred, and the last one among them are one small aggregate. Then the panel moves once, by place: a place's rows are its months, which are
+    filled where they are, and places that lack the last month go.
     """
     time, place = keys
-    last = df.agg(F.max(time).alias(time))
-    places = df.join(F.broadcast(last), time, "left_semi").select(place).distinct()
-    months = F.broadcast(df.select(time).distinct())
-    full = places.crossJoin(months).join(df, [place, time], "left")
+    months = df.agg(F.array_sort(F.collect_set(time)).alias("__months"))
+    rest = [f for f in df.schema.fields if f.name not in keys]
+    own = df.where(F.col(time).isNotNull()).groupBy(place).agg(F.map_from_entries(F.collect_list(F.struct(F.col(time), F.struct(*(F.col(f"`{f.name}`") for f in rest))))).alias("__rows"))
+    kept = own.join(F.broadcast(months)).where(F.map_contains_key("__rows", F.element_at("__months", -1)))
+    cells = kept.select(place, "__rows", F.explode("__months").alias(time)).select(time, place, F.element_at("__rows", F.col(time)).alias("__row"))
     filled = {}
-    for f in df.schema.fields:
-        if f.name in keys:
-            continue
+    for f in rest:
+        value = F.col("__row")[f.name]
         if isinstance(f.dataType, T.ArrayType):
-            filled[f.name] = F.coalesce(F.col(f.name), F.array_repeat(F.lit(0.0), samples).cast(f.dataType))
+            value = F.coalesce(value, F.array_repeat(F.lit(0.0), samples).cast(f.dataType))
         elif isinstance(f.dataType, T.NumericType):
-            filled[f.name] = F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType))
-    return full.withColumns(filled).select(*df.columns)
+            value = F.coalesce(value, F.lit(0).cast(f.dataType))
+        filled[f.name] = value
+    return cells.select(*(filled[c].alias(c) if c in filled else F.col(c) for c in df.columns))
 
 
 def widen(df: DataFrame, columns: Sequence[str], samples: int) -> DataFrame:

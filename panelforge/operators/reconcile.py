@@ -109,6 +109,43 @@ def alerts(cells: DataFrame, countries: DataFrame, ratio: float = 1.0) -> DataFr
     return sums.select(kind.alias("kind"), MONTH, COUNTRY, far.alias("log_ratio")).where("kind is not null")
 
 
+def packed(mapping: DataFrame) -> DataFrame:
+    """(grid_id, country_id, first, last) of mapping (month_id, grid_id, country_id): the runs of months in which a cell has one country.
+
+    A cell's months are as many as the panel has, so a window over them is small. Repeated rows count once; a null country is one of its own.
+    """
+    runs = Window.partitionBy(GRID, COUNTRY).orderBy(MONTH)
+    rows = mapping.select(MONTH, GRID, COUNTRY).distinct().withColumn("__run", F.col(MONTH) - F.row_number().over(runs))
+    return rows.groupBy(GRID, COUNTRY, "__run").agg(F.min(MONTH).alias("first"), F.max(MONTH).alias("last")).select(GRID, COUNTRY, "first", "last")
+
+
+def mapping_faults(intervals: DataFrame) -> DataFrame:
+    """(grid_id, problem, first, last) of a packed mapping: months of a cell that two of its intervals share (`overlap`), and months between two that none has (`gap`); must be empty."""
+    own = Window.partitionBy(GRID).orderBy("first", "last", COUNTRY)
+    before = F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    rows = intervals.withColumn("__before", before)
+    overlap = F.when(F.col("first") <= F.col("__before"), F.struct(F.lit("overlap").alias("problem"), F.col("first"), F.least("last", "__before").alias("last")))
+    gap = F.when(F.col("first") > F.col("__before") + 1, F.struct(F.lit("gap").alias("problem"), (F.col("__before") + 1).alias("first"), (F.col("first") - 1).alias("last")))
+    return rows.select(GRID, F.coalesce(overlap, gap).alias("x")).where("x is not null").select(GRID, "x.*")
+
+
+def country_as_of(cells: DataFrame, intervals: DataFrame, bin_months: int = 24) -> DataFrame:
+    """cells with the country that a packed mapping gives them in their month; null where it gives none, one row for each where intervals overlap.
+
+    Intervals are put into the bins of so many months that they touch, and meet cells of the same place and bin, so a cell is compared
+    with the few intervals of its bin; a mapping row for each cell and month is never made.
+    """
+    bins = F.explode(F.sequence(F.floor(F.col("first") / bin_months), F.floor(F.col("last") / bin_months)))
+    dealt = intervals.select(F.col(GRID).alias("__grid"), COUNTRY, "first", "last", bins.alias("__bin"))
+    at = (F.col(GRID) == F.col("__grid")) & (F.floor(F.col(MONTH) / bin_months) == F.col("__bin")) & F.col(MONTH).between(F.col("first"), F.col("last"))
+    return cells.join(dealt, at, "left").drop("__grid", "__bin", "first", "last")
+
+
+def cells_of_country(intervals: DataFrame, country: int, month: int) -> DataFrame:
+    """(grid_id) of the cells that a country has in a month."""
+    return intervals.where((F.col(COUNTRY) == country) & F.lit(month).between(F.col("first"), F.col("last"))).select(GRID).distinct()
+
+
 def country_changes(mapping: DataFrame) -> DataFrame:
     """(month_id, grid_id, was, country_id): months in which a cell's country isn't that of its month before."""
     was = F.lag(COUNTRY).over(Window.partitionBy(GRID).orderBy(MONTH))

@@ -28,6 +28,19 @@ def require_fresh(panel: DataFrame, new: DataFrame, key: str = "month_id") -> No
         raise PanelError(f"the update ends at {b}, the panel at {a}")
 
 
+def unfit(panel: DataFrame, new: DataFrame, keys: tuple[str, str]) -> DataFrame:
+    """(problem, at) of an update: the panel has no raw_ column to replay from, they share no column, or the update ends before the panel does (at its last month); must be empty."""
+    last = panel.agg(F.max(keys[0]).alias("__panel")).join(F.broadcast(new.agg(F.max(keys[0]).alias("__new"))))
+    early = F.when(F.col("__panel").isNotNull() & (F.col("__new").isNull() | (F.col("__new") < F.col("__panel"))), F.struct(F.lit("ends before the panel").alias("problem"), F.col("__new").alias("at")))
+    none = F.lit(None).cast(new.schema[keys[0]].dataType).alias("at")
+    known = [early]
+    if not any(c.startswith("raw_") for c in panel.columns):
+        known.append(F.struct(F.lit("no raw column").alias("problem"), none))
+    if not any(c in panel.columns for c in new.columns if c not in keys):
+        known.append(F.struct(F.lit("no shared column").alias("problem"), none))
+    return last.select(F.explode(F.array_compact(F.array(*known))).alias("x")).select("x.*")
+
+
 def update_and_replay(panel: DataFrame, new: DataFrame, keys: tuple[str, str], columns, months: Sequence[int] | None = None, extra=None) -> DataFrame:
     """Raw columns overwritten, then derived columns made anew from them."""
     require_fresh(panel, new, keys[0])

@@ -231,6 +231,14 @@ def j11_realign(spark, sf):
     return rounded(align.realign(points.where("model = 'mid'").drop("model"), points.where("model = 'high'"), KEYS), "forecast")
 
 
+@query(f"WITH {tp.MODELS_SQL} SELECT month_id, grid_id, round(avg(forecast), 6) AS v, round(avg(forecast * 2), 6) AS w FROM points GROUP BY ALL HAVING count(*) = 3")
+def j2_targets_on_keys(spark, sf):
+    """Two targets pooled apart and brought together on the keys."""
+    points = tp.model_points(spark, sf)
+    pooled = [pool.pool_points(points.withColumn("forecast", F.col("forecast") * k), KEYS, list(tp.MODELS)).withColumnRenamed("forecast", t) for k, t in ((1, "v"), (2, "w"))]
+    return rounded(align.on_keys(pooled[0].select(*KEYS), pooled, KEYS), "v", "w")
+
+
 @query(f"WITH {tp.GRID_SQL} SELECT month_id, grid_id, v AS a, n AS b FROM grid")
 def j12_history(spark, sf):
     panel = tp.grid_panel(spark, sf)
@@ -372,6 +380,39 @@ def r8_alerts(spark, sf):
     return rounded(reconcile.alerts(*cells_and_totals(spark, sf)), "log_ratio")
 
 
+MAPPING_SQL = f"{tp.GRID_SQL}, mapping AS (SELECT month_id, grid_id, ((grid_id + month_id // 20) % 5)::INT AS country_id FROM grid WHERE NOT (grid_id % 4 = 0 AND month_id BETWEEN 210 AND 214))"
+
+
+def mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells that change their country every 20 months; every fourth has none for five months."""
+    own = tp.grid_panel(spark, sf).where("not (grid_id % 4 = 0 and month_id between 210 and 214)")
+    return own.select("month_id", "grid_id", ((F.col("grid_id") + F.floor(F.col("month_id") / 20)) % 5).cast("int").alias("country_id"))
+
+
+@query(f"WITH {MAPPING_SQL} SELECT grid.month_id, grid.grid_id, country_id FROM grid LEFT JOIN mapping USING (month_id, grid_id)")
+def r9_country_as_of(spark, sf):
+    """The mapping packed into intervals, and each cell's country as of its month."""
+    return reconcile.country_as_of(tp.grid_panel(spark, sf).select("month_id", "grid_id"), reconcile.packed(mapping(spark, sf)))
+
+
+@query(
+    f"""WITH {MAPPING_SQL}, doubled AS (SELECT * FROM mapping UNION ALL SELECT month_id, grid_id, 9 FROM mapping WHERE grid_id % 3 = 0 AND month_id BETWEEN 190 AND 192), per AS (
+    SELECT grid_id, month_id, count(DISTINCT country_id) AS n FROM doubled GROUP BY ALL), span AS (SELECT grid_id, unnest(range(min(month_id), max(month_id) + 1)) AS month_id FROM doubled GROUP BY grid_id)
+    SELECT grid_id, problem, count(*) AS months FROM (SELECT grid_id, CASE WHEN n IS NULL THEN 'gap' WHEN n > 1 THEN 'overlap' END AS problem FROM span LEFT JOIN per USING (grid_id, month_id)) WHERE problem IS NOT NULL GROUP BY ALL"""
+)
+def r9_mapping_faults(spark, sf):
+    """Months of each cell without a country, and with two."""
+    own = mapping(spark, sf)
+    twice = own.unionByName(own.where("grid_id % 3 = 0 and month_id between 190 and 192").withColumn("country_id", F.lit(9)))
+    found = reconcile.mapping_faults(reconcile.packed(twice))
+    return found.groupBy("grid_id", "problem").agg(F.sum(F.col("last") - F.col("first") + 1).alias("months"))
+
+
+@query(f"WITH {MAPPING_SQL} SELECT grid_id FROM mapping WHERE month_id = 230 AND country_id = 3")
+def r9_cells_of_country(spark, sf):
+    return reconcile.cells_of_country(reconcile.packed(mapping(spark, sf)), 3, 230)
+
+
 @query(
     f"""WITH {tp.GRID_SQL}, mapping AS (SELECT month_id, grid_id, ((grid_id + month_id // 20) % 5)::INT AS country_id FROM grid), before AS (SELECT *, lag(country_id) OVER (PARTITION BY grid_id ORDER BY month_id) AS was FROM mapping)
     SELECT month_id, grid_id, was, country_id FROM before WHERE was <> country_id"""
@@ -645,6 +686,14 @@ def t16_update_and_replay(spark, sf):
     return rounded(update.update_and_replay(panel, new, KEYS, columns, months), "ln_ged_lag")
 
 
+@query(f"""WITH {PANEL_SQL}, ends AS (SELECT (SELECT max(month_id) FROM dense) AS panel_ends, (SELECT max(month_id) FROM dense WHERE month_id < 250) AS update_ends)
+    SELECT 'ends before the panel' AS problem, update_ends AS at FROM ends UNION ALL SELECT 'no raw column', NULL UNION ALL SELECT 'no shared column', NULL""")
+def t17_unfit_updates(spark, sf):
+    """What keeps an update that ends early, has other columns, and meets a panel without raw columns, from being replayed."""
+    panel = dense(spark, sf).select(*KEYS, "v")
+    return update.unfit(panel, panel.where("month_id < 250").withColumnRenamed("v", "other"), KEYS)
+
+
 # Densify and drift
 
 
@@ -857,6 +906,20 @@ def k4_new_uploads(spark, sf):
     return catalogue.not_yet_there(own.where("file_id % 3 <> 0").select("name", "hash"), own.where("file_id % 3 = 0"))
 
 
+@query(
+    """WITH own AS (SELECT doc_id, sha256(coalesce(text, '') || chr(10)) AS hash FROM documents), firsts AS (SELECT hash, min(doc_id) AS first_id FROM own GROUP BY hash)
+    SELECT doc_id, first_id, 'hash' AS "by" FROM own JOIN firsts USING (hash) WHERE doc_id <> first_id"""
+)
+def k4_files_by_content(spark, sf):
+    """The texts of all documents written as a file each, found by their bytes: copies, with the first file of equal content."""
+    path = scratch(spark)
+    docs = tp.table(spark, sf, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    docs.repartition("doc").write.partitionBy("doc").text(path)
+    files = catalogue.files_of(spark, path, "part-*").withColumns({"name": F.regexp_extract("path", "doc=(.{12})", 1), "modified": F.lit(0)})
+    number = lambda c: F.regexp_extract(c, "doc=(.{12})", 1).cast("long")
+    return catalogue.copies(files).select(number("path").alias("doc_id"), number("first").alias("first_id"), "by")
+
+
 @query(f"WITH {CATALOGUE_SQL} SELECT file_id FROM docs WHERE file_id IS NULL UNION ALL SELECT DISTINCT file_id FROM docs WHERE file_id IS NOT NULL")
 def k5_unique_ids(spark, sf):
     own = descriptions(spark, sf)
