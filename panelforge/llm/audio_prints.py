@@ -6,7 +6,7 @@ image gives the sum of any rectangle in four lookups. Sixteen filters, each the
 Gray code and packed into one 32-bit code for each place of the window.
 
 Two recordings are aligned at the offset that most of their equal anchors agree on, and linked if the share of wrong bits there is small
-over a long enough overlap. An anchor is a pair of codes GAP places apart: single codes meet by chance in so many unrelated
+over a long enough overlap. A recording of GAP codes or fewer has no anchor and is linked with its exact copies alone. An anchor is a pair of codes GAP places apart: single codes meet by chance in so many unrelated
 recordings that a histogram of theirs aligns some of those too. So linked recordings share an anchor, and anchors are the buckets in
 which all candidates meet: first as stars, as for near-duplicate texts, then all pairs of a bucket that are in different components
 still. No link between different components is lost.
@@ -34,7 +34,7 @@ BORDERS = np.array([-0.25, 0.0, 0.25])
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 #: Places between the two codes of an anchor.
 GAP = 4
-#: Aligned recordings have at most this share of wrong bits over at least so many codes.
+#: Aligned recordings have at most this share of wrong bits over at least so many codes, or all of the shorter one if it has fewer.
 WRONG, OVERLAP = 0.25, 16
 
 
@@ -162,7 +162,7 @@ def align_pairs(pairs: DataFrame, prints: DataFrame) -> DataFrame:
     def compare(batches):
         for b in batches:
             found = [aligned(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(b.column("x"), b.column("y"), strict=True)]
-            good = [w <= WRONG and n >= OVERLAP for _, w, n in found]
+            good = [w <= WRONG and n >= min(OVERLAP, len(x.values), len(y.values)) for (_, w, n), x, y in zip(found, b.column("x"), b.column("y"), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array([o for o, _, _ in found], pa.int64()), pa.array([w for _, w, _ in found], pa.float64())], ["a", "b", "offset", "wrong"]).filter(pa.array(good, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()

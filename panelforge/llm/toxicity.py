@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out
@@ -33,8 +33,10 @@ SIZE, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 AT_ONCE = 1 << 20
 #: Labelled texts that the weights are fitted on, at most about, and their bytes.
 SAMPLE, SAMPLE_BYTES = 6000, 16 << 20
-#: Labelled texts of each class that a language needs for a threshold of its own; otherwise it has that of all languages together.
-LEAST = 8
+#: Texts of all languages together that a language's own labelled texts are counted with for its threshold.
+PRIOR = 100
+#: What a labelled text that the weights were trained on counts for thresholds; others count 1.
+SEEN = 0.001
 #: Logits are counted in steps of 1 / STEPS.
 STEPS, FARTHEST = 16, 40
 
@@ -250,32 +252,31 @@ def best_threshold(counts: np.ndarray) -> float:
 
 
 def calibrated(model, logits: DataFrame, labels: DataFrame):
-    """model with a threshold for each language, from all labelled rows of logits (doc_id, logit, language) that aren't held out and that the
-    weights weren't trained on; where these lack one of the labels, from all that aren't held out.
+    """model with a threshold for each language, from all labelled rows of logits (doc_id, logit, language) that aren't held out.
 
-    Only counts by language, step of the logit and label come to the driver.
+    Rows that the weights were trained on hardly count (SEEN), unless there are no others of a class. A language's own rows are counted with PRIOR
+    rows spread as those of all languages are, so the fewer it has, the nearer its threshold is to the common one. One rule holds at every size. Only counts by
+    language, step of the logit and label come to the driver. Without rows of both labels thresholds stay at 0.
     """
     if not isinstance(model, Convolution):
         return model
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("toxic").cast("int").alias("label"))
     place = F.greatest(F.lit(0), F.least(F.lit(2 * FARTHEST * STEPS - 1), F.floor((F.col("logit") + FARTHEST) * STEPS))).cast("int")
-    apart = ~trained_on(F.col("doc_id"), model.share)
-    rows = logits.join(known, "doc_id").groupBy("language", place.alias("step"), "label", apart.alias("apart")).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = np.zeros((2, len(LANGUAGES), 2 * FARTHEST * STEPS, 2))
+    seen = trained_on(F.col("doc_id"), F.col("label"), model.shares_taken)
+    rows = logits.join(known, "doc_id").groupBy("language", place.alias("step"), "label", seen.alias("seen")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = np.zeros((len(LANGUAGES), 2 * FARTHEST * STEPS, 2))
     for r in rows:
-        counts[int(r.apart), r.language, r.step, r.label] += r.n
-    own = counts[1] if counts[1].sum((0, 1)).min() >= LEAST else counts.sum(0)
-    if own.sum((0, 1)).min() > 0:
-        model.thresholds[:] = best_threshold(own.sum(0))
+        counts[r.language, r.step, r.label] += r.n * (SEEN if r.seen else 1)
+    common = counts.sum(0)
+    if common.sum(0).min() > 0:
         for k in range(len(LANGUAGES)):
-            if own[k].sum(0).min() >= LEAST:
-                model.thresholds[k] = best_threshold(own[k])
+            model.thresholds[k] = best_threshold(counts[k] + PRIOR * common / common.sum())
     return model
 
 
-def trained_on(doc_id, share: int):
-    """Whether the weights are trained on a labelled document: by two hashes of its id, a share (in millionths) of all, less a third for the thresholds."""
-    return sampled(doc_id, share) & (F.pmod(F.xxhash64(F.lit(71), doc_id), F.lit(3)) != 0)
+def trained_on(doc_id: Column, label: Column, shares: tuple[int, int]) -> Column:
+    """Whether the weights are trained on a labelled document: by two hashes of its id, a share (in millionths, by label) of all, less a third for the thresholds."""
+    return sampled(doc_id, label, shares) & (F.pmod(F.xxhash64(F.lit(71), doc_id), F.lit(3)) != 0)
 
 
 class Constant:
@@ -306,8 +307,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sampl
             packed = [np.concatenate([*own, np.empty((0, len(BITS)), np.int32)]).tobytes() for own in rows]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.string()), b.column("label").cast(pa.int32()), pa.array(packed, pa.binary())], ["doc_id", "label", "words"])
 
-    found, share = labelled_sample(docs, labels, "toxic", sample, sample_bytes)
-    found = found.where(trained_on(F.col("doc_id"), share))
+    found, shares = labelled_sample(docs, labels, "toxic", sample, sample_bytes, balanced=True)
+    found = found.where(trained_on(F.col("doc_id"), F.col("label"), shares))
     rows = sorted(found.mapInArrow(hashes, "doc_id string, label int, words binary").collect(), key=lambda r: r.doc_id)
     y = np.array([r.label for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
@@ -315,7 +316,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sampl
     words = [np.frombuffer(r.words, np.int32).reshape(-1, len(BITS)) for r in rows]
     del rows
     model = Convolution.fit(words, y)
-    model.share = share
+    model.shares_taken = shares
     return model
 
 

@@ -1009,3 +1009,47 @@ def test_a_word_of_thousands_of_bytes(spark, files):
         ids = library.encode_ordinary(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_a_rare_label_is_not_lost_in_the_sample(spark):
+    from panelforge.llm.common import held_out
+    from panelforge.llm.labelled import labelled_sample
+
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 500 == 3).cast("int").alias("toxic"))
+    there = {r.toxic: r["count"] for r in labels.where(~held_out(F.col("doc_id"))).groupBy("toxic").count().collect()}
+    found, shares = labelled_sample(docs, labels, "toxic", 300, 1 << 20, balanced=True)
+    taken = {r.label: r["count"] for r in found.groupBy("label").count().collect()}
+    assert taken[1] == there[1] and shares[1] == 1_000_000 and 230 < taken[0] < 350
+    plain, shares = labelled_sample(docs, labels, "toxic", 300, 1 << 20)
+    assert shares[0] == shares[1] and 230 < plain.count() < 370
+    few, _ = labelled_sample(docs, labels, "toxic", 300, 900, balanced=True)
+    assert few.count() < 150
+
+
+def test_thresholds_move_from_the_common_one_with_a_languages_own_texts(spark):
+    from panelforge.llm import toxicity as t
+
+    steps = 2 * t.FARTHEST * t.STEPS
+    common = np.zeros((steps, 2))
+    common[700, 0], common[760, 1] = 900, 100
+
+    def threshold(n):
+        own = np.zeros((steps, 2))
+        own[640, 0], own[680, 1] = n, n
+        return t.best_threshold(own + t.PRIOR * common / common.sum())
+
+    found = [threshold(n) for n in (0, 1, 10, 100, 1000)]
+    assert found[0] == t.best_threshold(common) and found == sorted(found, reverse=True) and found[-1] < found[0]
+
+
+def test_short_recordings_are_linked_by_all_of_their_codes(spark):
+    from panelforge.llm.audio_prints import recording_classes
+
+    rng = np.random.default_rng(3)
+    whole = rng.integers(-(1 << 31), 1 << 31, 40).astype(np.int32)
+    near = whole[5:15].copy()
+    near[8] ^= 3
+    rows = [(1, whole.tolist()), (2, near.tolist()), (3, rng.integers(-(1 << 31), 1 << 31, 10).tolist()), (4, whole[:3].tolist()), (5, whole[:3].tolist())]
+    found = {r.media_id: (r.class_id, r.n_links) for r in recording_classes(spark.createDataFrame(rows, "media_id long, codes array<int>")).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (3, 0), 4: (4, 0), 5: (4, 0)}
