@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,20 +15,28 @@ from ..schema import PanelError
 from .audits import draw_counts
 
 
-def per_draw(score) -> Column:
-    """The mean of a score over a row's draws, summed in one pass over them, so that nothing is exploded."""
-    total = F.aggregate("y_pred", F.lit(0.0), lambda a, p: a + score(F.col("y_true"), p))
-    return F.when(F.size("y_pred") > 0, total / F.size("y_pred"))
+def per_draw(score: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Column:
+    """The mean of a score over a row's draws; a batch of rows is one call, and nothing is exploded."""
+    return draws.mean_score(score)(F.col("y_pred"), F.col("y_true"))
 
 
-def tweedie(y: Column, p: Column, power: float = 1.5) -> Column:
-    """Deviance of power between 1 and 2; forecasts below 1e-9 count as that."""
-    q = F.greatest(p, F.lit(1e-9))
-    return 2 * (F.pow(y, F.lit(2 - power)) / ((1 - power) * (2 - power)) - y * F.pow(q, F.lit(1 - power)) / (1 - power) + F.pow(q, F.lit(2 - power)) / (2 - power))
+def squared(y, p):
+    """Of columns or arrays."""
+    return (y - p) * (y - p)
 
 
-def squared(y: Column, p: Column) -> Column:
-    return (y - p) * (y - p)
+def log_squared(y: np.ndarray, p: np.ndarray) -> np.ndarray:
+    return squared(np.log1p(y), np.log1p(p))
+
+
+def absolute(y: np.ndarray, p: np.ndarray) -> np.ndarray:
+    return np.abs(y - p)
+
+
+def tweedie(y: np.ndarray, p: np.ndarray, power: float = 1.5) -> np.ndarray:
+    """Deviance of power between 1 and 2; forecasts below 1e-9 count as that."""
+    q = np.maximum(p, 1e-9)
+    return 2 * (y ** (2 - power) / ((1 - power) * (2 - power)) - y * q ** (1 - power) / (1 - power) + q ** (2 - power) / (2 - power))
 
 
 @dataclass(frozen=True)
@@ -78,9 +87,9 @@ def correlation() -> Metric:
 #: By metric name. The row's number is computed once, before rows are dealt to the three groupings.
 METRICS: dict[str, Callable[..., Metric]] = {
     "MSE": lambda: mean_of(per_draw(squared)),
-    "MSLE": lambda: mean_of(per_draw(lambda y, p: squared(F.log1p(y), F.log1p(p)))),
-    "RMSLE": lambda: mean_of(per_draw(lambda y, p: squared(F.log1p(y), F.log1p(p))), F.sqrt),
-    "MAE": lambda: mean_of(per_draw(lambda y, p: F.abs(y - p))),
+    "MSLE": lambda: mean_of(per_draw(log_squared)),
+    "RMSLE": lambda: mean_of(per_draw(log_squared), F.sqrt),
+    "MAE": lambda: mean_of(per_draw(absolute)),
     "y_hat_bar": lambda: mean_of(mean_draw()),
     "Brier": lambda: mean_of(squared(F.col("y_true"), mean_draw())),
     "CRPS": lambda: mean_of(draws.crps(F.col("y_pred"), F.col("y_true"))),
@@ -89,7 +98,7 @@ METRICS: dict[str, Callable[..., Metric]] = {
     "MIS": lambda alpha=0.1: mean_of(draws.interval_score(F.col("y_pred"), F.col("y_true"), alpha)),
     "Coverage": lambda alpha=0.1: mean_of(draws.covered(F.col("y_pred"), F.col("y_true"), alpha)),
     "MCR_sample": ratio_of_means,
-    "EMD": lambda: mean_of(per_draw(lambda y, p: F.abs(y - p))),
+    "EMD": lambda: mean_of(per_draw(absolute)),
     "Pearson": correlation,
     "MTD": lambda: mean_of(per_draw(tweedie)),
 }
