@@ -31,7 +31,10 @@ DEPTH = 14
 WORDS = 1 << DEPTH
 #: The bucket that stands beyond both ends of a text.
 EDGE = WORDS
-SIDE, SIZE, HIDDEN = 2, 8, 15
+SIDE, SIZE, HIDDEN = 2, 8, 7
+#: Levels at the root whose nodes are computed all at once for each position, being few; below them each position has nodes of its own.
+TOP = 7
+ABOVE = (1 << TOP) - 1
 ROUNDS, BATCH = 3, 2048
 STRIDE = ROUNDS
 #: Words of a training shard, on average.
@@ -40,7 +43,7 @@ AT_ONCE = 1 << 20
 #: Positions that are scored at once.
 BLOCK = 1 << 12
 OFFSETS = np.array([k for k in range(-SIDE, SIDE + 1) if k])
-LEVELS = np.arange(DEPTH)
+LEVELS = np.arange(DEPTH, dtype=np.int32)
 
 
 def bucketed(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -87,7 +90,12 @@ def summed_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     by = np.argsort(keys.astype(np.uint16), kind="stable")  # a radix sort
     ordered = keys[by]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    return ordered[first], np.add.reduceat(values[by], first)
+    return ordered[first], np.add.reduceat(values.take(by, 0), first)
+
+
+def flat(nodes: np.ndarray) -> np.ndarray:
+    """The places of each row's nodes down to TOP in a table of ABOVE columns."""
+    return np.arange(len(nodes))[:, None] * ABOVE + nodes[:, :TOP]
 
 
 class Network:
@@ -114,12 +122,15 @@ class Network:
         return (1 << LEVELS) - 1 + (leaf >> (DEPTH - LEVELS)), leaf >> (DEPTH - 1 - LEVELS) & 1
 
     def forward(self, context: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(joined embeddings, hidden layer with a 1 behind, the nodes' numbers, log odds of turning right at each node) for rows of neighbours."""
-        x = self.embedding[context].reshape(len(context), -1)
+        """(joined embeddings, hidden layer with a 1 behind, numbers of the nodes below TOP, log odds of turning right at each node) for rows of neighbours."""
+        x = self.embedding.take(context, 0).reshape(len(context), -1)
         h = np.ones((len(context), HIDDEN + 1), np.float32)
         np.tanh(x @ self.hidden, out=h[:, :-1])
-        v = self.node[nodes]
-        return x, h, v, np.matmul(v, h[:, :, None])[:, :, 0]
+        v = self.node.take(nodes[:, TOP:], 0)
+        odds = np.empty(nodes.shape, np.float32)
+        odds[:, :TOP] = (h @ self.node[:ABOVE].T).ravel().take(flat(nodes))
+        odds[:, TOP:] = np.einsum("ijk,ik->ij", v, h)
+        return x, h, v, odds
 
     def log_probabilities(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of each word at these places, given its neighbours."""
@@ -128,7 +139,8 @@ class Network:
             own = at[k : k + BLOCK]
             nodes, right = self.path(row[own])
             odds = self.forward(row[own[:, None] + OFFSETS], nodes)[3]
-            out[k : k + BLOCK] = -np.logaddexp(0, np.where(right, -odds, odds)).sum(1)
+            away = np.where(right, -odds, odds)  # the log odds of turning the other way
+            out[k : k + BLOCK] = -(np.maximum(away, 0) + np.log1p(np.exp(-np.abs(away)))).sum(1)
         return out
 
     def step(self, context: np.ndarray, word: np.ndarray, state: dict[str, np.ndarray], rate: float = 0.1) -> None:
@@ -136,10 +148,12 @@ class Network:
         nodes, right = self.path(word)
         x, h, v, odds = self.forward(context, nodes)
         d = (1 / (1 + np.exp(-odds)) - right).astype(np.float32) * np.float32(1 / len(word))
-        dh = np.matmul(d[:, None, :], v)[:, 0, :-1] * (1 - h[:, :-1] * h[:, :-1])
-        at_node, of_node = summed_by(nodes.ravel(), (d[:, :, None] * h[:, None, :]).reshape(-1, HIDDEN + 1))
+        above = np.zeros((len(word), ABOVE), np.float32)
+        above.ravel()[flat(nodes)] = d[:, :TOP]
+        dh = (above @ self.node[:ABOVE] + np.einsum("ij,ijk->ik", d[:, TOP:], v))[:, :-1] * (1 - h[:, :-1] * h[:, :-1])
+        at_node, of_node = summed_by(nodes[:, TOP:].ravel(), (d[:, TOP:, None] * h[:, None, :]).reshape(-1, HIDDEN + 1))
         at_word, of_word = summed_by(context.ravel(), (dh @ self.hidden.T).reshape(-1, SIZE))
-        for name, own, g in (("hidden", slice(None), x.T @ dh), ("node", at_node, of_node), ("embedding", at_word, of_word)):
+        for name, own, g in (("hidden", slice(None), x.T @ dh), ("node", slice(0, ABOVE), above.T @ h), ("node", at_node, of_node), ("embedding", at_word, of_word)):
             state[name][own] += g * g
             getattr(self, name)[own] -= np.float32(rate) * g / np.sqrt(state[name][own] + np.float32(1e-8))
 
