@@ -290,26 +290,36 @@ def kinds(forecasts: DataFrame, by: Sequence[str] = (), column: str = "y_pred")
     return counts.select(*by, kind.alias("kind"))
 
 
-def kind_of(aligned: DataFrame) -> str:
-    """`point` or `sample`; cells of both kinds, or of several numbers of draws, are an error."""
-    kind = kinds(aligned).first().kind
-    if kind == "mixed":
+def kinds_of(aligned: dict[str, DataFrame]) -> dict[str, str]:
+    """Of each table by name `point` or `sample`, in one job; cells of both kinds, or of several numbers of draws, are an error."""
+    if not aligned:
+        return {}
+    found = {r.name: r.kind for r in reduce(DataFrame.unionByName, (kinds(df).select(F.lit(name).alias("name"), "kind") for name, df in aligned.items())).collect()}
+    if "mixed" in found.values():
         raise PanelError("forecasts have different numbers of draws")
-    return kind
+    return found
+
+
+def kind_of(aligned: DataFrame) -> str:
+    """kinds_of one table."""
+    return kinds_of({"": aligned})[""]
 
 
 def task_scores(aligned: dict[str, DataFrame], config: dict, options: dict[str, dict] | None = None) -> DataFrame:
     """(task, target, eval_type, group_id, metric, value) of every declared target (aligned by its name) by the metrics of its task.
 
     A target's task is regression or classification as the configuration declares it, point or sample as its forecasts are. A
-    configuration that gives a target's task no metrics is an error, and so is a declared target without forecasts.
+    configuration that gives a target's task no metrics is an error, and so is a declared target without forecasts. Each target's rows are
+    read once for its kind and once or twice for its scores, so rows that are costly to make should be written before.
     """
     lists, found = task_metrics(config), []
+    declared = [t for task in ("regression", "classification") for t in config.get(f"{task}_targets") or []]
+    own_kinds = kinds_of({t: aligned[t] for t in declared if t in aligned})
     for task in ("regression", "classification"):
         for target in config.get(f"{task}_targets") or []:
             if target not in aligned:
                 raise PanelError(f"no forecasts of {target}")
-            name = f"{task}_{kind_of(aligned[target])}"
+            name = f"{task}_{own_kinds[target]}"
             if name not in lists:
                 raise PanelError(f"no metrics for {name}")
             scores = scored(aligned[target], lists[name], options=options)

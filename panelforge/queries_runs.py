@@ -35,6 +35,7 @@ from .queries import (
     files,
     query,
     rounded,
+    saved,
     scratch,
     settled,
     settled_sql,
@@ -376,8 +377,8 @@ _PRECISION = f"""SELECT 'classification_point', 'c', eval_type, group_id, 'AP',
     UNION ALL {grouped_sql('c', 'classification_point', 'Brier', '(y - x[1]) * (y - x[1])')} UNION ALL {_PRECISION}"""
 )
 def g6_task_scores(spark, sf):
-    """Three targets, each scored by the metrics of its task: draws, points, and the chance of exceeding 150."""
-    rows = aligned_rows(spark, sf)
+    """Three targets, each scored by the metrics of its task: draws, points, and the chance of exceeding 150. Rows are aligned and written once for all."""
+    rows = saved(aligned_rows(spark, sf))
     point = evaluate.collapsed(rows)
     chance = F.array(F.when(F.get("y_pred", F.lit(0)) > 150, 1).otherwise(0) * F.lit(0.8) + F.lit(0.1))
     binary = point.withColumns({"y_pred": chance, "y_true": (F.col("y_true") > 150).cast("int")})
