@@ -46,8 +46,12 @@ def missing_cells(cells: DataFrame) -> DataFrame:
 
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows that only one of two tables has, repeated ones included; must be empty after a round trip."""
-    return left.exceptAll(right.select(*left.columns)).withColumn("side", F.lit("left")).unionByName(right.select(*left.columns).exceptAll(left).withColumn("side", F.lit("right")))
+    """Rows that only one of two tables has, repeated ones included; must be empty after a round trip. Both tables are grouped once, together."""
+    names = left.columns
+    rows = left.withColumn("__n", F.lit(1)).unionByName(right.select(*names).withColumn("__n", F.lit(-1)))
+    uneven = rows.groupBy(*names).agg(F.sum("__n").alias("__n")).where("__n <> 0")
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("__n")))
+    return uneven.select(*names, F.when(F.col("__n") > 0, "left").otherwise("right").alias("side"), times.alias("__n")).drop("__n")
 
 
 def sizes(df: DataFrame, keys: tuple[str, str]) -> DataFrame:
