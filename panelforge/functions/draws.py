@@ -131,10 +131,19 @@ def pick(x: Column, at: Sequence[int]) -> Column:
     return F.transform(F.array(*(F.lit(i) for i in at)), lambda i: F.get(x, i))
 
 
+def digest(seed: int, *of: Column) -> Column:
+    """The md5 of seed and values, colons between."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *(c.cast("string") for c in of)))
+
+
+def number(part: int, of: Column) -> Column:
+    """A whole number from 0 to 2^32 - 1: 8 hexadecimal digits of a digest, from the part-th (0 to 3) on."""
+    return F.conv(F.substring(of, 8 * part + 1, 8), 16, 10).cast("long")
+
+
 def chance(part: int, seed: int, *of: Column) -> Column:
-    """A whole number from 0 to 2^32 - 1, fixed by seed and values: 8 hexadecimal digits, from the part-th (0 to 3) on, of the md5 of both, colons between."""
-    text = F.concat_ws(":", F.lit(str(seed)), *(c.cast("string") for c in of))
-    return F.conv(F.substring(F.md5(text), 8 * part + 1, 8), 16, 10).cast("long")
+    """A whole number from 0 to 2^32 - 1, fixed by seed and values."""
+    return number(part, digest(seed, *of))
 
 
 def drawn(x: Column, k: int, seed: int, *keys: Column) -> Column:

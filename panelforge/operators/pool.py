@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import chance, zip_sum
+from ..functions.draws import digest, let, number, zip_sum
 from ..schema import PanelError
 
 
@@ -102,13 +102,18 @@ def pool_draws(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str],
             edges.append(total)
 
         def drawn(j: Column) -> Column:
-            at = [*(F.col(k) for k in keys), j]
-            unit = chance(0, seed, *at) / float(1 << 32)
-            which = F.lit(len(models) - 1)
-            for i in reversed(range(len(models) - 1)):
-                which = F.when(unit < edges[i], i).otherwise(which)
-            chosen = F.get(F.array(*own), which)
-            return F.get(chosen, F.pmod(chance(1, seed, *at), F.size(chosen)).cast("int"))
+            # a lambda's expressions are computed wherever they stand, so the hash and what it picks are bound once for a draw
+            def of(unit: Column) -> Column:
+                which = own[-1]
+                for i in reversed(range(len(models) - 1)):
+                    which = F.when(unit < edges[i], own[i]).otherwise(which)
+                return which
+
+            def picked(h: Column) -> Column:
+                chosen = let(number(0, h) / float(1 << 32), of)
+                return let(chosen, lambda x: F.get(x, F.pmod(number(1, h), F.size(x)).cast("int")))
+
+            return let(digest(seed, *(F.col(k) for k in keys), j), picked)
 
         pooled = F.transform(F.sequence(F.lit(0), F.size(own[0]) - 1), drawn)
     else:
