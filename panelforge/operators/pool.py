@@ -49,6 +49,13 @@ def complete(forecasts: DataFrame, keys: Sequence[str], models: int) -> DataFram
     return forecasts.join(full, list(keys), "left_semi")
 
 
+def models_there(models: Sequence[str]) -> Column:
+    """How many of the models a group has, from one bit for each. A distinct count would group the rows by model as well, and move them twice."""
+    parts = [list(models[i : i + 62]) for i in range(0, len(models), 62)]
+    bits = [F.coalesce(*(F.when(F.col("model") == m, F.lit(1 << i).cast("long")) for i, m in enumerate(part))) for part in parts]
+    return reduce(lambda a, b: a + b, (F.coalesce(F.bit_count(F.bit_or(b)), F.lit(0)) for b in bits), F.lit(0))
+
+
 def pool_points(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str], method: str = "mean", weights: dict[str, float] | None = None, use_weights: bool = False) -> DataFrame:
     """(keys, forecast) of the cells that all models have.
 
@@ -60,7 +67,7 @@ def pool_points(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str]
     if method not in ("mean", "median", "min", "max"):
         raise PanelError(f"unknown method {method}")
     pooled = F.sum(weight_of(normalised_weights(models, weights)) * F.coalesce(x, F.lit(0.0))) if use_weights else {"mean": F.avg, "median": F.median, "min": F.min, "max": F.max}[method](x)
-    cells = forecasts.where(F.col("model").isin(list(models))).groupBy(*keys).agg(pooled.alias("forecast"), F.countDistinct("model").alias("__n"))
+    cells = forecasts.where(F.col("model").isin(list(models))).groupBy(*keys).agg(pooled.alias("forecast"), models_there(models).alias("__n"))
     return cells.where(F.col("__n") == len(models)).drop("__n")
 
 
@@ -135,16 +142,16 @@ def pool_conflicts(forecasts: DataFrame, keys: Sequence[str], models: Sequence[s
 def pool_origins(forecasts: DataFrame, keys: Sequence[str], models: Sequence[str], method: str = "mean", **options) -> DataFrame:
     """Pools of all targets and rolling origins at once: target and origin are further keys. An origin that a model lacks fails the job (origin_gaps finds it).
 
-    Which models an origin has is one small aggregate beside the pooling, joined to it by target and origin.
+    Which models an origin has is one small aggregate beside the pooling. Its part of the result has no rows, and no cell is moved to meet it.
     """
     own = forecasts.where(F.col("model").isin(list(models)))
-    there = own.groupBy("target", "origin").agg(F.countDistinct("model").alias("__models"))
     pooled = pool_points(forecasts, ["target", "origin", *keys], models, method, **options)
-    # from the side of the origins, since one without a cell that all models have pools to nothing
-    joined = there.join(pooled.withColumn("__pooled", F.lit(True)), ["target", "origin"], "left")
-    error = F.raise_error(F.format_string("a model lacks origin %s of %s", F.col("origin").cast("string"), F.col("target"))).cast("boolean")
-    whole = joined.where(F.when(F.col("__models") < len(models), error).otherwise(F.col("__pooled").isNotNull()))
-    return whole.select("target", "origin", *keys, "forecast")
+    there = own.groupBy("target", "origin").agg(models_there(models).alias("__models"))
+    # the message names the count too: of the keys alone, the optimizer may test it before rows are grouped
+    error = F.raise_error(F.format_string("a model lacks origin %s of %s, which has %s", F.col("origin").cast("string"), F.col("target"), F.col("__models").cast("string")))
+    gaps = there.where(F.when(F.col("__models") < len(models), error.cast("boolean")).otherwise(F.lit(False)))
+    rest = [F.lit(None).cast(pooled.schema[c].dataType).alias(c) for c in (*keys, "forecast")]
+    return gaps.select("target", "origin", *rest).unionByName(pooled.select("target", "origin", *keys, "forecast"))
 
 
 def origin_gaps(forecasts: DataFrame, models: int) -> DataFrame:
