@@ -401,10 +401,10 @@ POOLED_SQL = f"""{tp.MODELS_SQL}, {tp.TOTALS_SQL}, pooled AS (SELECT month_id, g
     UNION ALL SELECT month_id, grid_id, country_id, {settled_sql('x')}, 'none' FROM cells UNION ALL SELECT month_id, grid_id, country_id, {settled_sql('x + 1')}, 'shifted' FROM cells"""
 )
 def x6_reconcilers(spark, sf):
-    """The same cells by two reconcilers of the library and one of the caller's."""
+    """The same cells by two reconcilers of the library and one of the caller's; they are pooled and written once for all."""
     points = tp.model_points(spark, sf)
     pooled = pool.pool_points(points, KEYS, list(tp.MODELS)).withColumnRenamed("forecast", "value")
-    cells, totals = reconcile.with_country(pooled, tp.hierarchy(spark, sf)), cells_and_totals(spark, sf)[1]
+    cells, totals = saved(reconcile.with_country(pooled, tp.hierarchy(spark, sf))), cells_and_totals(spark, sf)[1]
     shifted = "shifted", lambda c, t: runs.unchanged(c, t).withColumn("value", F.col("value") + 1)
     found = runs.reconciled(cells, totals, "proportional")
     for strategy in ("none", shifted):
