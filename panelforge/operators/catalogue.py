@@ -151,6 +151,12 @@ def files_of(spark: SparkSession, path: str, pattern: str = "*", largest: int =
     return small.unionByName(named(found.where(F.col("length") > largest), F.lit(None).cast("string")))
 
 
+def hashed(contents: DataFrame) -> DataFrame:
+    """(name, path, size, modified, hash) of contents (path, modified, content) that are rows of a table: what files_of gives for files of these bytes."""
+    name = F.element_at(F.split("path", "/"), -1)
+    return contents.select(name.alias("name"), "path", F.octet_length("content").cast("long").alias("size"), "modified", F.sha2("content", 256).alias("hash"))
+
+
 def unhashed(files: DataFrame) -> DataFrame:
     """(path, size) of files too large to be hashed."""
     return files.where("hash is null").select("path", "size")
@@ -159,7 +165,8 @@ def unhashed(files: DataFrame) -> DataFrame:
 def copies(files: DataFrame) -> DataFrame:
     """(path, first, by): of files of equal content (`hash`), and else of equal name (`name`), all but the first, with the path of the first.
 
-    The first of several is the one modified earliest, then that of the least path. Files without a hash are compared by name alone.
+    The first of several is the one modified earliest, then that of the least path. Files without a hash are compared by name alone. The table is read
+    several times, so what files_of or hashed give should be written before, or the bytes are hashed each time.
     """
     def later(rows: DataFrame, key: str) -> DataFrame:
         first = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct("modified", "path")).alias("__first"))

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from panelforge import queries, queries_runs
-from panelforge.operators import densify, pool
+from panelforge.operators import catalogue, densify, pool
 from panelforge.plans import testpanels as tp
 
 SF = "/root/testdata/sf0.001"
@@ -75,3 +75,15 @@ def test_cells_are_pooled_once_for_all_reconcilers(spark, monkeypatch):
     found = written(monkeypatch, queries_runs)
     plan = optimized(queries_runs.x6_reconcilers(spark, SF))
     assert len(found) == 1 and "explode" not in plan
+
+
+def test_contents_are_hashed_as_files_and_once(spark, monkeypatch, tmp_path):
+    texts = {"a": "one\n", "b": "one\n", "c": "zwei \u00e4\n", "d": "\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    rows = spark.createDataFrame([(f"x/{n}", 0, bytearray(t.encode())) for n, t in texts.items()], "path string, modified int, content binary")
+    files = {(r.name, r.size, r.hash) for r in catalogue.files_of(spark, str(tmp_path)).collect()}
+    assert files == {(r.name, r.size, r.hash) for r in catalogue.hashed(rows).collect()} and len(files) == 4
+    found = written(monkeypatch, queries)
+    plan = optimized(queries.k4_files_by_content(spark, SF))
+    assert len(found) == 1 and "sha2" not in plan and "binaryFile" not in plan
