@@ -9,14 +9,18 @@ Words are hashed into WORDS buckets, whose leaves lie in order of frequency; a n
 The network is trained in numpy inside the tasks: in each round every training shard starts from the common weights and takes
 a gradient step for each batch of its own positions (each STRIDE-th of all its texts, others in each round, so that the rounds together
 take every position once); then the shards' weights are averaged, each row by how often a shard met it. Shards are made by a hash of text and
-id and read in its order, and there is one for each SHARD_WORDS words: neither the input's partitions nor its order make a difference.
+id and read in its order, and there is one for each SHARD_WORDS words. A task trains those that it gets one after the other and hands on one
+average of them: neither the input's partitions nor its order nor the number of tasks make a difference, and what tasks hand on doesn't grow with it.
 
 Texts are turned into buckets once; counting, training and scoring read these (2 bytes a word) from the shared folder.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -183,59 +187,83 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     return counts
 
 
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[pa.RecordBatch]]:
+    """The batches of each shard of rows (shard, ...) in order of shard; each shard's are to be read before the next."""
+
+    def parts() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for b in batches:
+            shard = b.column("shard").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
+            for first, last in zip(edges[:-1], edges[1:], strict=True):
+                if first < last:
+                    yield int(shard[first]), b.slice(first, last - first)
+
+    for _, own in groupby(parts(), key=itemgetter(0)):
+        yield (b for _, b in own)
+
+
+def trained_shard(network: Network, batches: Iterator[pa.RecordBatch], turn: int, rounds: int, stride: int) -> tuple[np.ndarray, np.ndarray]:
+    """(all weights as rows after one round on a shard, how often it met each row)."""
+    own = copy.copy(network)
+    own.take(own.rows())
+    state = {name: np.zeros_like(getattr(own, name)) for name in ("embedding", "hidden", "node")}
+    met, used, steps = np.zeros(WORDS + 1), np.zeros(WORDS), 0
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def learn(all_of_it: bool) -> None:
+        # batches of equal size whatever the Arrow batches' borders
+        nonlocal waiting, held, steps
+        context, word = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        whole = len(word) if all_of_it else len(word) // BATCH * BATCH
+        for k in range(0, whole, BATCH):
+            part = slice(k, min(k + BATCH, whole))
+            own.step(context[part], word[part], state)
+            met[:] += np.bincount(context[part].ravel(), minlength=WORDS + 1)
+            used[:] += np.bincount(own.path(word[part])[0].ravel(), minlength=WORDS)
+        steps += whole
+        waiting, held = [(context[whole:], word[whole:])], len(word) - whole
+
+    for b in batches:
+        for _, _, n, buckets in runs(b):
+            row, at = neighbours(n, buckets)
+            # by place in the text, so that it doesn't matter which texts come together
+            at = at[(np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)) % stride == turn * stride // rounds]
+            waiting.append((row[at[:, None] + OFFSETS], row[at]))
+            held += len(at)
+            if held >= 8 * BATCH:
+                learn(False)
+    if held:
+        learn(True)
+    return own.rows(), np.concatenate((met, np.repeat(used, own.node.shape[1] // SIZE), np.full(own.hidden.size // SIZE, float(steps))))
+
+
 def trained(texts: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, shard_words: int = SHARD_WORDS) -> Network:
     """A network trained on all texts of texts_in_buckets, null and empty ones having no word, very long ones being read piece by piece.
 
-    The same rows give the same network (but for the order in which sums of floats are added) however they are partitioned. Copies of a text are taken as
+    The same rows give the same network (but for the order in which sums of floats are added) however they are partitioned and into however many
+    tasks the shards are dealt. Copies of a text are taken as
     often as they stand there; they are spread over shards by their ids. Without any word, as for an empty table, it stays at its start.
     """
     counts = word_counts(texts)
     network = Network(counts)
     shards = max(1, -(-int(counts.sum()) // shard_words))
-    dealt = texts.select("print", "n_words", "buckets").repartition(shards, "print").sortWithinPartitions("print")
+    dealt = texts.select(F.pmod("print", F.lit(shards)).cast("int").alias("shard"), "print", "n_words", "buckets").repartition(shards, "shard").sortWithinPartitions("shard", "print")
     values = [f"v{k}" for k in range(SIZE)]
     for turn in range(rounds):
         shared = texts.sparkSession.sparkContext.broadcast(network)
 
         def train(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
-            import copy
-
-            own = copy.copy(shared.value)
-            own.take(own.rows())
-            state = {name: np.zeros_like(getattr(own, name)) for name in ("embedding", "hidden", "node")}
-            met, used, steps = np.zeros(WORDS + 1), np.zeros(WORDS), 0
-            waiting: list[tuple[np.ndarray, np.ndarray]] = []
-            held = 0
-
-            def learn(all_of_it: bool) -> None:
-                # batches of equal size whatever the Arrow batches' borders
-                nonlocal waiting, held, steps
-                context, word = (np.concatenate(x) for x in zip(*waiting, strict=True))
-                whole = len(word) if all_of_it else len(word) // BATCH * BATCH
-                for k in range(0, whole, BATCH):
-                    part = slice(k, min(k + BATCH, whole))
-                    own.step(context[part], word[part], state)
-                    met[:] += np.bincount(context[part].ravel(), minlength=WORDS + 1)
-                    used[:] += np.bincount(own.path(word[part])[0].ravel(), minlength=WORDS)
-                steps += whole
-                waiting, held = [(context[whole:], word[whole:])], len(word) - whole
-
-            for b in batches:
-                for _, _, n, buckets in runs(b):
-                    row, at = neighbours(n, buckets)
-                    # by place in the text, so that it doesn't matter which texts come together
-                    at = at[(np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)) % stride == turn * stride // rounds]
-                    waiting.append((row[at[:, None] + OFFSETS], row[at]))
-                    held += len(at)
-                    if held >= 8 * BATCH:
-                        learn(False)
-            if held:
-                learn(True)
-            if steps:
-                rows = own.rows()
-                weight = np.concatenate((met, np.repeat(used, own.node.shape[1] // SIZE), np.full(own.hidden.size // SIZE, float(steps))))
-                there = np.flatnonzero(weight)
-                yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(weight[there]), *(pa.array(rows[there, k]) for k in range(SIZE))], ["row", "weight", *values])
+            sums = weights = None
+            for rows, weight in (trained_shard(shared.value, shard, turn, rounds, stride) for shard in by_shard(batches)):
+                if sums is None:
+                    sums, weights = np.zeros(rows.shape), np.zeros(len(rows))
+                sums += rows * weight[:, None]
+                weights += weight
+            if weights is not None:
+                there = np.flatnonzero(weights)
+                means = (sums[there] / weights[there, None]).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(weights[there]), *(pa.array(means[:, k]) for k in range(SIZE))], ["row", "weight", *values])
 
         found = dealt.mapInArrow(train, "row int, weight double, " + ", ".join(f"{v} float" for v in values))
         means = found.groupBy("row").agg(*((F.sum(F.col("weight") * F.col(v)) / F.sum("weight")).alias(v) for v in values)).toPandas()

@@ -737,6 +737,25 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert all(found[1][k] == pytest.approx(v, rel=1e-5, abs=1e-3) for k, v in found[0].items())
 
 
+def test_training_shards_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
+    from panelforge.llm import pseudo_likelihood as p
+
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, prose(rng, 60, 800)) for i in range(200)], "doc_id long, text string")
+    rows = p.texts_in_buckets(docs).persist()
+    kind, trained_rows, networks = type(docs), [], []
+    dealt, mapped = kind.repartition, kind.mapInArrow
+    counted = lambda df, f, schema: trained_rows.append(mapped(df, f, schema).persist()) or trained_rows[-1]
+    for least in (1, 2, 16):
+        monkeypatch.setattr(kind, "repartition", lambda df, n, *by, least=least: dealt(df, least if least == 1 else max(n, least), *by))
+        monkeypatch.setattr(kind, "mapInArrow", counted)
+        networks.append(p.trained(rows, rounds=1, shard_words=6000))
+    assert all(np.allclose(n.rows(), networks[0].rows(), rtol=1e-4, atol=1e-6) for n in networks)
+    handed = [df.count() for df in trained_rows[1::2]]  # after the counts of words
+    shards = -(-docs.select(F.sum(F.size(F.split("text", " ")))).first()[0] // 6000)
+    assert shards >= 2 and handed[2] <= shards * handed[0]
+
+
 def test_training_takes_every_position(spark):
     import pyarrow as pa
 
