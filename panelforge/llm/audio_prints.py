@@ -8,8 +8,9 @@ Gray code and packed into one 32-bit code for each place of the window.
 Two recordings are aligned at the offset that most of their equal anchors agree on, and linked if the share of wrong bits there is small
 over a long enough overlap. A recording of GAP codes or fewer has no anchor and is linked with its exact copies alone. An anchor is a pair of codes GAP places apart: single codes meet by chance in so many unrelated
 recordings that a histogram of theirs aligns some of those too. So linked recordings share an anchor, and anchors are the buckets in
-which all candidates meet: first as stars, as for near-duplicate texts, then all pairs of a bucket that are in different components
-still. No link between different components is lost.
+which all candidates meet. Pairs that are likely to be linked are tested first, being those of a bucket's centres that share many anchors for
+their overlap or whose overlap is short; what is in one component then isn't tested any more. All pairs of a bucket that are in different
+components still come after that, those of shorter overlap first. No link between different components is lost.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
-from .near_duplicates import components, star, unsettled
+from .common import dropped, written
+from .near_duplicates import components, relabelled
 from .textbytes import MULTIPLIER, mixed
 
 FRAME, HOP, SPAN, SMOOTH = 0.25, 0.0625, 16, 3
@@ -36,6 +37,10 @@ GRAY = np.array([0, 1, 3, 2], np.uint32)
 GAP = 4
 #: Aligned recordings have at most this share of wrong bits over at least so many codes, or all of the shorter one if it has fewer.
 WRONG, OVERLAP = 0.25, 16
+#: Pairs with a centre are tested first if one anchor in so many places of the overlap is equal, or the overlap is shorter than so many codes.
+PLACES, SHORT = 10, 24
+#: The rounds of all other pairs: tested if the overlap is shorter than so many codes; in the last, whatever it is.
+SHORTER = (40, None)
 
 
 def filters() -> list[tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int, int]]]]:
@@ -169,37 +174,107 @@ def align_pairs(pairs: DataFrame, prints: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, f"a {kind}, b {kind}, offset long, wrong double")
 
 
-def recording_links(nodes: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """(a, b, offset, wrong) of the links found among nodes (node, codes), and (node, component) of the nodes that they join; None without any.
+def overlap(one: str, other: str) -> Column:
+    """Codes that two recordings have in common if their places meet; one and other are prefixes of the columns place and size."""
+    (p, n), (q, m) = ((F.col(f"{x}place"), F.col(f"{x}size")) for x in (one, other))
+    return F.least(p, q) + F.least(n - p, m - q)
 
-    Every link is one that was tried: all between a star's centre and another node, and of the rest those between nodes that weren't in one
-    component yet. offset is b's start in a, in codes.
-    """
 
-    def keys(batches):
+def anchor_rows(nodes: DataFrame) -> DataFrame:
+    """(key, node, place, size) for each distinct anchor of nodes (node, codes): where it is first, and how many codes the node has."""
+
+    def rows(batches):
         for b in batches:
-            rows = [np.unique(mixed(anchors(x.values.to_numpy()) * MULTIPLIER)).view(np.int64) for x in b.column("codes")]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(rows, pa.list_(pa.int64()))], ["node", "bands"])
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                own = [x.values.to_numpy() for x in part.column("codes")]
+                found = [np.unique(mixed(anchors(x) * MULTIPLIER), return_index=True) for x in own]
+                n = np.array([len(keys) for keys, _ in found])
+                key, place = np.concatenate([k for k, _ in found]).view(np.int64), np.concatenate([p for _, p in found]).astype(np.int32)
+                size = np.repeat(np.array([len(x) for x in own], np.int32), n)
+                yield pa.RecordBatch.from_arrays([pa.array(key), part.column("node").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(place), pa.array(size)], ["key", "node", "place", "size"])
+
+    return nodes.select("node", "codes").mapInArrow(rows, f"key long, node {nodes.schema['node'].dataType.simpleString()}, place int, size int")
+
+
+def with_centres(members: DataFrame) -> DataFrame:
+    """(a, b, votes, overlap) of the pairs of a centre and another node of its bucket: how often they meet, and their shortest overlap there.
+
+    A bucket's centres are the node with the most company, the one that is nearest to its end and the one that is nearest to its start.
+    """
+    centre = lambda by: F.min(F.struct(by.cast("long").alias("by"), "node", "place", "size"))
+    best = members.groupBy("key").agg(F.array(centre(-F.col("company")), centre(F.col("size") - F.col("place")), centre(F.col("place"))).alias("centres"))
+    pairs = members.join(best.hint("merge"), "key").select("node", "place", "size", F.explode("centres").alias("c"))
+    pairs = pairs.select("*", overlap("", "c.").alias("overlap")).where(F.col("node") != F.col("c.node")).where(F.col("overlap") >= F.least(F.lit(OVERLAP), "size", "c.size"))
+    return pairs.groupBy(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("overlap").alias("overlap"))
+
+
+def in_components(rows: DataFrame, labels: DataFrame | None, node: str = "node", component: str = "component") -> DataFrame:
+    """rows with the component of a node of theirs by labels (node, component); a node without one is its own."""
+    if labels is None:
+        return rows.withColumn(component, F.col(node))
+    own = labels.select(F.col("node").alias(node), F.col("component").alias(component))
+    return rows.join(own.hint("merge"), node, "left").withColumn(component, F.coalesce(component, node))
+
 
-    kind = nodes.schema["node"].dataType.simpleString()
-    flat = written(nodes.select("node", "codes").mapInArrow(keys, f"node {kind}, bands array<long>").select(F.explode("bands").alias("key"), "node"))
+def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """labels (node, component), written, with what more links (a, b) between components join."""
+    if labels is None:
+        return components(links, "merge")
+    ends = in_components(in_components(links.select("a", "b"), labels, "a", "one"), labels, "b", "other")
+    later = components(ends.select(F.col("one").alias("a"), F.col("other").alias("b")), "merge")
+    new = later.join(labels.select("node").hint("merge"), "node", "left_anti")
+    return written(relabelled(labels, later, "merge").select("node", "component").union(new))
+
+
+def in_mixed_buckets(members: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component, with the component that has most of a bucket's nodes as main."""
+    n = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("n", "component")).alias("main"))
+    return members.join(n.where("n > 1").select("key", F.col("main.component").alias("main")).hint("merge"), "key")
+
+
+def across(members: DataFrame, shorter: int | None) -> DataFrame:
+    """(a, b) of each bucket of in_mixed_buckets that are in different components, with an overlap shorter than this, as often as they meet.
+
+    Nodes of the main component aren't paired with each other, so a bucket that is nearly all in one component costs little.
+    """
+    sides = [members.select("key", "main", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "place", "size", "component"))) for side in ("one", "other")]
+    pairs = sides[0].where("one_component <> main").join(sides[1].drop("main"), "key").where("one_component <> other_component and (other_component = main or one_node < other_node)")
+    if shorter is not None:
+        pairs = pairs.where(overlap("one_", "other_") < shorter)
+    return pairs.select(F.least("one_node", "other_node").alias("a"), F.greatest("one_node", "other_node").alias("b"))
+
+
+def recording_links(nodes: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """(a, b, offset, wrong) of the links found among nodes (node, codes), and (node, component) of the nodes that they join; None without any.
+
+    Every link is one that was tried: pairs with a bucket's centres that are likely to be linked, and of the rest those between nodes that
+    weren't in one component yet. No pair is tried twice. offset is b's start in a, in codes.
+    """
+    flat = written(anchor_rows(nodes))
     several = flat.groupBy("key").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
     members = written(flat.join(several.hint("merge"), "key"))
+    dropped(flat)
+    if members.isEmpty():
+        return None, None
     company = members.groupBy("node").agg(F.sum("company").alias("company"))
-    members = written(members.drop("company").join(company.hint("merge"), "node").withColumn("component", F.col("node")))
-    links = labels = None
-    for turn in range(2):
-        if members.isEmpty():
-            break
-        pairs = left_over(members) if turn else star(members, "merge")
-        found = written(align_pairs(written(pairs.select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b")).distinct()), nodes))
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.union(found)
-        labels = components(links, "merge")
+    centred = with_centres(members.drop("company").join(company.hint("merge"), "node"))
+    first = centred.where((F.col("votes") * PLACES >= F.col("overlap")) | (F.col("overlap") < SHORT))
+    members = members.drop("company")
+    links = labels = tried = None
+    for turn in range(1 + len(SHORTER)):
         if not turn:
-            members = members.drop("component").join(labels.hint("merge"), "node", "left").select("key", "node", "company", F.coalesce("component", "node").alias("component"))
-            members = written(unsettled(members, "merge"))
+            pairs = first.select("a", "b")
+        else:
+            members = written(in_mixed_buckets(in_components(members, labels)))
+            pairs = across(members, SHORTER[turn - 1]).distinct()
+            members = members.drop("component", "main")
+        pairs = written(pairs if tried is None else pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.union(pairs)
+        found = written(align_pairs(pairs, nodes))
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = joined(labels, found)
     return links, labels
 
 
@@ -240,14 +315,6 @@ def recording_classes(prints: DataFrame) -> DataFrame:
     )
 
 
-def left_over(members: DataFrame) -> DataFrame:
-    """All pairs of each bucket between components; the pair of a bucket of two is tested by its star."""
-    large = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key")
-    rows = members.join(large, "key", "left_semi")
-    left, right = (rows.select("key", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in "ab")
-    return left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select(F.col("a").alias("one"), F.col("b").alias("other"))
-
-
 RATE, NOTE = 4000, 0.1
 #: Semitones above 220 Hz of the levels of a value.
 SCALE = np.array([0, 3, 7, 10])

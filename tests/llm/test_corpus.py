@@ -1072,3 +1072,31 @@ def test_short_recordings_are_linked_by_all_of_their_codes(spark):
     rows = [(1, whole.tolist()), (2, near.tolist()), (3, rng.integers(-(1 << 31), 1 << 31, 10).tolist()), (4, whole[:3].tolist()), (5, whole[:3].tolist())]
     found = {r.media_id: (r.class_id, r.n_links) for r in recording_classes(spark.createDataFrame(rows, "media_id long, codes array<int>")).collect()}
     assert found == {1: (1, 1), 2: (1, 1), 3: (3, 0), 4: (4, 0), 5: (4, 0)}
+
+
+def test_recordings_that_are_in_one_class_are_not_aligned_any_more(spark, monkeypatch):
+    from panelforge.llm import audio_prints as a
+
+    rng, n = np.random.default_rng(7), 40
+    sound = rng.integers(-(1 << 31), 1 << 31, 64 * (n + 5) + 20).astype(np.int32)
+    passage = rng.integers(-(1 << 31), 1 << 31, 5).astype(np.int32)
+    rows = []
+    for i in range(n + 5):
+        at = 64 * i + int(rng.integers(30, 50))
+        sound[at : at + 5] = passage  # one anchor that all have in common
+    for i in range(n + 5):
+        own = sound[64 * i : 64 * i + 84].copy()
+        if i >= n:  # these are linked with nothing
+            own[:20], own[64:] = rng.integers(-(1 << 31), 1 << 31, (2, 20))
+        rows.append((i, own.tolist()))
+    tried, aligned_by = [], a.align_pairs
+
+    def counted(pairs, nodes):
+        tried.extend((r.a, r.b) for r in pairs.collect())
+        return aligned_by(pairs, nodes)
+
+    monkeypatch.setattr(a, "align_pairs", counted)
+    found = {r.media_id: r.class_id for r in a.recording_classes(spark.createDataFrame(rows, "media_id long, codes array<int>")).collect()}
+    assert found == {i: 0 if i < n else i for i in range(n + 5)}
+    # the links of the chain, and all pairs of different classes
+    assert len(tried) == len(set(tried)) == n - 1 + 5 * n + 10
